@@ -48,7 +48,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 def partitions(df: DataFrame, share: float = 1.0, target: int = 24 << 20) -> int:
     """Into how many parts to deal rows that take `share` times the bytes Spark expects of `df`, for `target` bytes in a part."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, min(1 << 20, int(size * share) // target + 1)) if size < 1 << 60 else least
 

@@ -18,6 +18,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import similar_components
+
+    return similar_components(read(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language import fit, identify
 
@@ -56,7 +62,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op6_language_id, op7_sharding, op9_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op4_exact_dedup, op5_ngram_jaccard, op6_language_id, op7_sharding, op9_decontamination, op10_token_counts)}
 
 SQL = {
     "op4_exact_dedup": r"""
