@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pack, unpack
+from .common import pack, unpack  # noqa: F401
 
 SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("n", pa.int64()), ("block", pa.binary())])
 DDL = "part int, kind int, n long, block binary"

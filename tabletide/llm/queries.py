@@ -12,6 +12,13 @@ from .common import held_out, read
 SHARDS = 24
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring import without_repeats
+
+    found = without_repeats(read(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact import exact_duplicates
 
@@ -62,7 +69,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op5_ngram_jaccard, op6_language_id, op7_sharding, op9_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_substring_dedup, op4_exact_dedup, op5_ngram_jaccard, op6_language_id, op7_sharding, op9_decontamination, op10_token_counts)}
 
 SQL = {
     "op4_exact_dedup": r"""
