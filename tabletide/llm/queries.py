@@ -46,6 +46,17 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(read(spark, sf_dir, "documents"), [1.0] * SHARDS, [1.0] * (SHARDS + 1))
 
 
+#: Permitted sequence lengths, in UTF-8 bytes.
+SEQUENCE_LENGTHS = (1024, 2048, 4096, 8192, 16384)
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import best_fit
+
+    docs = read(spark, sf_dir, "documents")
+    return best_fit(docs, F.octet_length("text"), SEQUENCE_LENGTHS)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
 
@@ -69,7 +80,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op3_substring_dedup, op4_exact_dedup, op5_ngram_jaccard, op6_language_id, op7_sharding, op9_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_substring_dedup, op4_exact_dedup, op5_ngram_jaccard, op6_language_id, op7_sharding, op8_best_fit_packing, op9_decontamination, op10_token_counts)}
 
 SQL = {
     "op4_exact_dedup": r"""

@@ -1,0 +1,58 @@
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tabletide.llm import packing as P
+from tabletide.llm import queries as Q
+
+
+def check(rows, lengths, sizes):
+    """Rows: (doc_id, piece, start, length, bin_id, bin_offset, bin_size, bin_fill)."""
+    of, bins = defaultdict(list), defaultdict(list)
+    for r in rows:
+        of[r[0]].append((r[2], r[3]))
+        bins[r[4]].append(r)
+    assert set(of) == set(lengths)
+    for i, n in lengths.items():
+        at = 0
+        for start, length in sorted(of[i]):
+            assert start == at and length <= max(sizes)
+            at += length
+        assert at == n
+    for parts in bins.values():
+        size, fill = parts[0][6:8]
+        assert all(p[6:8] == (size, fill) for p in parts) and size == min(s for s in sizes if s >= fill)
+        at = 0
+        for p in sorted(parts, key=lambda p: (p[5], p[3])):
+            assert p[5] == at
+            at += p[3]
+        assert at == fill
+    return sum(p[0][6] for p in bins.values())
+
+
+@pytest.mark.parametrize("sizes", [(10,), (8, 16, 64), (100, 1000)])
+def test_pack(sizes):
+    rng = random.Random(3)
+    lengths = [rng.choice([0, 1, 3, rng.randint(1, max(sizes)), max(sizes)]) for _ in range(500)]
+    place, bins = P.pack(lengths, sizes)
+    rows = [(i, 0, 0, n, b, o, *bins[b]) for i, (n, (b, o)) in enumerate(zip(lengths, place))]
+    assert check(rows, dict(enumerate(lengths)), sizes) <= 1.1 * sum(lengths) + 2 * max(sizes)
+    assert P.pack([], sizes) == ([], [])
+
+
+def test_tables(spark, small):
+    rows = list(map(tuple, Q.op8_best_fit_packing(spark, small).collect()))
+    lengths = {x.doc_id: len(x.text.encode()) for x in Q.read(spark, small, "documents").collect()}
+    assert check(rows, lengths, Q.SEQUENCE_LENGTHS) < 1.05 * sum(lengths.values()) + 20_000
+
+
+def test_odd_rows(spark):
+    docs = spark.createDataFrame([(1, "a" * 50, 1), (2, None, 1), (3, "", 1), (4, "b" * 20, 1), (5, "c" * 31, 2)], "doc_id long, text string, piece int")
+    for group in (4096, 1):
+        rows = list(map(tuple, P.best_fit(docs, F.length("text"), [5, 20], group=group).collect()))
+        check(rows, {1: 50, 2: 0, 3: 0, 4: 20, 5: 31}, [5, 20])
+    again = docs.where("doc_id = 5").union(docs.where("doc_id = 5"))
+    assert sum(r.length for r in P.best_fit(again, F.length("text"), [5, 20]).collect()) == 62
+    assert P.best_fit(docs.where("false"), F.length("text"), [5]).collect() == []
