@@ -12,6 +12,12 @@ from .common import held_out, read
 SHARDS = 24
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html import main_text
+
+    return main_text(read(spark, sf_dir, "pages"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring import without_repeats
 
@@ -80,7 +86,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op3_substring_dedup, op4_exact_dedup, op5_ngram_jaccard, op6_language_id, op7_sharding, op8_best_fit_packing, op9_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op3_substring_dedup, op4_exact_dedup, op5_ngram_jaccard, op6_language_id, op7_sharding, op8_best_fit_packing, op9_decontamination, op10_token_counts)}
 
 SQL = {
     "op4_exact_dedup": r"""

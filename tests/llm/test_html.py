@@ -1,0 +1,84 @@
+import random
+
+import pytest
+
+from tabletide.llm import html as H
+from tabletide.llm import queries as Q
+
+PAGE = """<!DOCTYPE html><html><head><title>T {i}</title><script>if (a < b) document.write("<p>no</p>");</script><style>p > a {{}}</style></head>
+<body class="has-sidebar"><header><h2>Site</h2><p>The daily news of the town</p></header><nav><ul><li><a href="/a">Home</a><li><a href="/b">News</a></ul></nav>
+<div class="cookie-notice">We use cookies {i}</div><!-- <p>not this</p> -->
+<main><article><header><h1>Title &amp; {i}</h1></header>
+<p>First&nbsp;  paragraph <b>number</b>
+{a}<p>Second <a href="x">linked</a> text&#46; {b}</p>
+<aside>See also</aside><div class="ad">Buy now</div><form><label>Mail</label><input><button>Go</button></form>
+<blockquote>Quote {a} &lt;kept&gt;</blockquote><ul><li>one {b}</li><li>two {a}</li></ul>
+<p hidden>gone</p><p style="display: none">gone</p></article>
+<section id="comments"><article class="comment"><p>I disagree {b}</p></article></section></main>
+<footer>&copy; 2024 Site</footer></body></html>"""
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+
+
+def test_pages_with_an_article():
+    rng = random.Random(1)
+    pages, want = [], []
+    for i in range(30):
+        a, b = words(rng, 5), words(rng, 7)
+        pages.append(PAGE.format(i=i, a=a, b=b))
+        want.append("\n".join([f"Title & {i}", f"First paragraph number {a}", f"Second linked text. {b}", f"Quote {a} <kept>", f"one {b}", f"two {a}"]))
+    assert H.main_texts(pages) == want
+    assert H.main_texts(pages[:1]) == want[:1]
+
+
+def test_template_without_marks():
+    """Plain divisions: what pages share is the template, what they don't is the text."""
+    rng = random.Random(2)
+    pages, want = [], []
+    for i in range(20):
+        a, b = words(rng, 9), words(rng, 12)
+        more = "".join(f"<div>Item <i>{words(rng, 2)}</i> costs</div>" for _ in range(rng.randint(0, 3)))
+        pages.append(f"<div>Welcome to our small site</div><div><a href=/>Home</a> <a href=/x>Contact us</a></div><div>{a} the</div><div>{b}</div>{more}<div>All rights reserved by us</div>")
+        want.append((a + " the", b))
+    for got, (a, b) in zip(H.main_texts(pages), want):
+        lines = got.split("\n")
+        assert lines[:2] == [a, b] and not any("Welcome" in x or "rights" in x or "Contact" in x for x in lines)
+
+
+@pytest.mark.parametrize(
+    "source, want",
+    [
+        (None, ""), ("", ""), ("plain", "plain"), ("<p>a<p>b</p>c</div>", "a\nb\nc"), ("a &amp b &#x41;&unknown; <br>c", "a & b A&unknown; c"), ("<p>x <!-- open", "x"), ("<p>x <script>y", "x"), ("1 < 2 <b>and</b> 3 > 2", "1 < 2 and 3 > 2"),
+        ('<p title="a > b">x</p>', "x"), ("<p title='unclosed>x</p>", "x"), ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"), ("<p>one<div>two</div>", "one\ntwo"), ("<div " + "<div>" * 3, ""), ("<p>cut &am", "cut &am"), ("<p>a<textarea>b</textarea>c", "ac"),
+    ],
+)
+def test_odd_markup(source, want):
+    assert H.main_texts([source]) == [want]
+
+
+def test_deep_and_long():
+    assert H.main_texts(["<div>" * 30_000 + "x" + "</div>" * 30_000 + "</p>" * 30_000]) == ["x"]
+    assert H.main_texts(["<p>" + "word " * 300_000]) == [" ".join(["word"] * 300_000)]
+
+
+def test_equal_pages_keep_their_text():
+    page = PAGE.format(i=1, a="x", b="y")
+    assert set(H.main_texts([page] * 50)) == set(H.main_texts([page]))
+
+
+def test_tables(spark, small):
+    rows = Q.op1_html_extraction(spark, small).collect()
+    pages = {r.page_id: r for r in Q.read(spark, small, "pages").collect()}
+    assert len(rows) == len(pages)
+    for r in rows:
+        article = pages[r.page_id].html.split("<article>")[1].split("</article>")[0]
+        assert r.url == pages[r.page_id].url and r.n_chars == len(r.text) > 0
+        assert r.text.split("\n")[0][:20].split()[0] in article and "<p>" not in r.text
+        assert not pages[r.page_id].html.split("<footer>")[1][7:25] in r.text
+    odd = spark.createDataFrame([(1, None, None, "z"), (1, None, None, "z"), (2, "not a url", "<p>x</p>", "z"), (None, "http://H.example/", "<p>y</p>", "z")], "page_id long, url string, html string, host string")
+    from tabletide.llm.html import main_text
+
+    assert sorted((r.page_id or 0, r.text, r.n_chars) for r in main_text(odd).collect()) == [(0, "y", 1), (1, "", 0), (1, "", 0), (2, "x", 1)]
+    assert main_text(odd.where("false")).collect() == []
