@@ -18,6 +18,14 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(read(spark, sf_dir, "pages"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit, toxicity
+
+    docs, out = read(spark, sf_dir, "documents"), held_out("doc_id", 4, 2)
+    model = fit(docs, read(spark, sf_dir, "labels"), "toxic", usable=~out)
+    return toxicity(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring import without_repeats
 
@@ -86,7 +94,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op3_substring_dedup, op4_exact_dedup, op5_ngram_jaccard, op6_language_id, op7_sharding, op8_best_fit_packing, op9_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_toxicity, op3_substring_dedup, op4_exact_dedup, op5_ngram_jaccard, op6_language_id, op7_sharding, op8_best_fit_packing, op9_decontamination, op10_token_counts)}
 
 SQL = {
     "op4_exact_dedup": r"""
