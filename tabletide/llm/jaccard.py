@@ -98,7 +98,7 @@ class Rule:
             mixed = mix(found ^ U64(0x5851F42D4C957F2D))
             for c in sorted(self.shared_sizes(size, self.boundary)):
                 # the sum of a subset's mixed n-grams, from the sum of all less those left out
-                left = np.array(list(combinations(range(size), size - c)), np.int64).reshape(-1, size - c)
+                left = np.array(list(combinations(range(size), size - c)), np.int64).reshape(math.comb(size, c), size - c)
                 sums = mixed.sum(dtype=U64, keepdims=True) - mixed[left].sum(1, dtype=U64)
                 out.append(mix(sums + U64(c * 0x9E3779B97F4A7C15 % (1 << 64))))
         for tag, m, spare in self.bands(size):
