@@ -1,10 +1,9 @@
 """Similar documents by the Jaccard similarity of their word n-grams: a size-aware join.
 
 Small sets are light: for every size a partner may have, a set enumerates its subsets of the fixed size that the two must share, and
-equal subsets meet.  Large sets are heavy: they are entered in inverted lists, and each list is scanned.  The keys of the lists are not
-single n-grams, of which frequent ones would make long lists, but the contents of hash ranges: two sets that are similar enough differ
-in fewer n-grams than there are ranges, so they agree in one.  The boundary between light and heavy is the size from which enumerating
-costs more than the lists.
+equal subsets meet.  Large sets are heavy: each is entered in the inverted lists of its rarest n-grams, as many as two similar sets
+cannot differ in, and the lists are scanned.  The boundary between light and heavy is the size from which enumerating costs more than
+the lists.  How rare an n-gram is comes from counts over all documents; n-grams that occur once need no list.
 
 What meets is only a candidate.  Candidates are gathered in clusters, whole texts are fetched for those alone, and within a cluster sets
 are compared until all links that can join two components have been decided.  A large cluster is split in blocks.
@@ -14,7 +13,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -25,12 +23,12 @@ from pyspark.sql import functions as F
 from . import blocks
 from .common import checkpoint, ids_and_texts, partitions, slices
 from .components import connected, smallest_labels
-from .words import Batch, grams, mix
+from .words import Batch, encoded, grams, mix
 
-#: A band's largest size is this times its smallest.
-BAND = 1.5
-#: What an entry in an inverted list costs against an enumerated subset: its key has fewer n-grams, so more sets meet by chance.
+#: What an entry in an inverted list costs against an enumerated subset: its key is one n-gram, so more sets meet by chance.
 LIST_COST = 4
+#: n-grams on more sets than this count as equally frequent.
+FREQUENT = 64
 #: Records that a task holds before it deals them out.
 HELD = 1 << 21
 #: n-grams of the sets that are compared in one task at a time; a larger cluster is split in blocks of about half as many.
@@ -49,7 +47,7 @@ class Rule:
             raise ValueError("the similarity must be above 0 and at most 1, of one word or more")
         self.words, self.num, self.den = words, num, den
         light = lambda s: sum(math.comb(s, c) for c in self.shared_sizes(s, s + s))
-        self.boundary = next(s for s in range(1, 1000) if light(s) > LIST_COST * self.ranges(int(s * BAND) + 1)[0] or light(s) > 500)
+        self.boundary = next(s for s in range(1, 1000) if light(s) > LIST_COST * self.lists(s))
 
     def similar(self, both: np.ndarray | int, a: np.ndarray | int, b: np.ndarray | int):
         return self.den * both >= self.num * (a + b - both)
@@ -63,36 +61,16 @@ class Rule:
         least, most = -(-self.num * size // self.den), self.den * size // self.num
         return {self.overlap(size, b) for b in range(max(1, least), min(most + 1, below)) if self.overlap(size, b) <= min(size, b)}
 
-    @cache  # noqa: B019
-    def ranges(self, upper: int) -> tuple[int, int]:
-        """Into how many hash ranges sets of sizes under `upper` are cut, and how many of them may be empty.
-
-        Similar sets differ in at most d n-grams, so of d + 1 + spare ranges they agree in 1 + spare; if one of the two has at most
-        `spare` empty ranges, they agree in a range that isn't empty.  Sets with more empty ranges enter those as well.
-        """
-        d = 2 * (upper - 1) * (self.den - self.num) // (self.den + self.num)
-        spare, least = 1, max(1.0, (upper - 1) / BAND)
-        while True:
-            m = d + 1 + spare
-            mean = m * math.exp(-least / m)
-            if spare >= mean + 2 * math.sqrt(mean) or spare > 3 * d + 8:
-                return m, spare
-            spare += 1
-
-    @cache  # noqa: B019
-    def bands(self, size: int) -> list[tuple[int, int, int]]:
-        """The bands a heavy set enters, as tag, ranges and spare: its own, and the next if a partner may be there."""
-        low, tag, out = self.boundary, 0, []
-        while True:
-            high = int(low * BAND) + 1
-            if size < high and (size >= low or size * self.den >= low * self.num):
-                out.append((tag, *self.ranges(high)))
-            if low * self.num > size * self.den:
-                return out
-            low, tag = high, tag + 1
-
-    def keys(self, found: np.ndarray) -> np.ndarray:
-        """The keys under which a set meets its candidates, given its n-grams in ascending order."""
+    def lists(self, size):
+        """In how many lists a set is entered: similar sets share one of that many rarest n-grams, whatever the order."""
+        return size - -(-self.num * size // self.den) + 1
+
+    def is_heavy(self, size: int) -> bool:
+        """Whether a set is entered in lists: it is large, or a large one may be similar."""
+        return size * self.den >= self.boundary * self.num
+
+    def subsets(self, found: np.ndarray) -> np.ndarray:
+        """The keys of the subsets that a light set enumerates, given its n-grams."""
         size, out = len(found), []
         if size < self.boundary:
             mixed = mix(found ^ U64(0x5851F42D4C957F2D))
@@ -101,13 +79,6 @@ class Rule:
                 left = np.array(list(combinations(range(size), size - c)), np.int64).reshape(math.comb(size, c), size - c)
                 sums = mixed.sum(dtype=U64, keepdims=True) - mixed[left].sum(1, dtype=U64)
                 out.append(mix(sums + U64(c * 0x9E3779B97F4A7C15 % (1 << 64))))
-        for tag, m, spare in self.bands(size):
-            at = ((found >> U64(32)) * U64(m)) >> U64(32)
-            cuts = np.searchsorted(at, np.arange(m + 1, dtype=U64))
-            sums = np.concatenate((np.zeros(1, U64), np.cumsum(mix(found ^ U64(0xDA942042E4DD58B5)), dtype=U64)))
-            key = mix(sums[cuts[1:]] - sums[cuts[:-1]] + (np.arange(m, dtype=U64) + U64((tag + 1) << 32)) * U64(0xC2B2AE3D27D4EB4F))
-            full = cuts[1:] > cuts[:-1]
-            out.append(key if m - int(full.sum()) > spare else key[full])
         return np.concatenate(out) if out else np.zeros(0, U64)
 
 
@@ -138,41 +109,125 @@ def _facts(rule: Rule):
     return run
 
 
-def _enter(rule: Rule, parts: int):
-    """The documents' keys, dealt out; a key that several sets of a task share is dealt out once, and the links that it makes with it."""
+def _part(node: np.ndarray, parts: int) -> np.ndarray:
+    return (node.view(U64) % U64(parts)).astype(np.int32)
+
+
+def _count(rule: Rule, parts: int):
+    """Each set's n-grams, dealt out to be counted (0), with its size (2), and the keys of its subsets (3).
+
+    An n-gram that FREQUENT of a task's sets have is frequent, however many others have it; it is dealt out once for the task (1), and
+    the sets are told at once (4).  So a passage that a third of all documents share makes few rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list[np.ndarray] = []
-        nodes: list[np.ndarray] = []
-        held, seen = 0, set()
+        held: list[tuple[int, np.ndarray]] = []
+        count, seen = 0, set()
 
         def flush():
-            key, node = np.concatenate(keys), np.concatenate(nodes)
-            order = np.lexsort((node, key))
-            key, node = key[order], node[order]
-            new = np.concatenate(([True], key[1:] != key[:-1]))
-            first = node[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
-            a, b = node[~new], first[~new]
-            if (a != b).any():
-                a, b = smallest_labels(a, b)
-                yield from blocks.dealt(1, (a % parts).astype(np.int32), a, b)
-            key, node = key[new], node[new]
-            yield from blocks.dealt(0, (key % U64(parts)).astype(np.int32), key, node)
+            heavy = [(n, x) for n, x in held if rule.is_heavy(len(x))]
+            light = [(n, k) for n, x in held if len(k := rule.subsets(x))]
+            if heavy:
+                size = np.array([len(x) for _, x in heavy])
+                node, gram = np.repeat(np.array([n for n, _ in heavy], np.int64), size), np.concatenate([x for _, x in heavy])
+                part, short = (gram % U64(parts)).astype(np.int32), (gram >> U64(32)).astype(np.uint32)
+                name = short.astype(U64) << U64(32) | part.astype(U64)
+                order = np.argsort(name, kind="stable")
+                new = np.concatenate(([True], name[order][1:] != name[order][:-1]))
+                often = np.empty(len(name), bool)
+                often[order] = (np.bincount(np.cumsum(new) - 1) >= FREQUENT)[np.cumsum(new) - 1]
+                yield from blocks.dealt(0, part[~often], short[~often], node[~often])
+                known = np.unique(name[often])
+                yield from blocks.dealt(1, (known & U64(0xFFFFFFFF)).astype(np.int32), (known >> U64(32)).astype(np.uint32))
+                yield from blocks.dealt(4, _part(node[often], parts), node[often], name[often])
+                nodes = np.array([n for n, _ in heavy], np.int64)
+                yield from blocks.dealt(2, _part(nodes, parts), nodes, size.astype(np.int64))
+            if light:
+                node, key = np.repeat(np.array([n for n, _ in light], np.int64), [len(k) for _, k in light]), np.concatenate([k for _, k in light])
+                yield from blocks.dealt(3, _part(node, parts), node, key)
 
         for _, texts in slices(batches):
             for found in sets_of(texts, rule.words):
                 node = node_of(found) if len(found) else None
                 if node is not None and node not in seen:
                     seen.add(node)
-                    keys.append(rule.keys(found))
-                    nodes.append(np.full(len(keys[-1]), node, np.int64))
-                    held += len(keys[-1])
-            if held > HELD:
+                    held.append((node, found))
+                    count += len(found)
+            if count > HELD:
                 yield from flush()
-                keys.clear(), nodes.clear(), seen.clear()
-                held = 0
-        if held:
-            yield from flush()
+                held.clear(), seen.clear()
+                count = 0
+        yield from flush()
+
+    return run
+
+
+#: Records by kind: n-grams and nodes, frequent n-grams, nodes and sizes, nodes and keys, nodes and frequent n-grams.
+_COUNTED = {0: (np.uint32, np.int64), 1: (np.uint32,), 2: (np.int64, np.int64), 3: (np.int64, np.uint64), 4: (np.int64, np.uint64)}
+_RANKED = {0: (np.int64, np.uint64, np.uint8), 2: (np.int64, np.int64), 3: (np.int64, np.uint64)}
+
+
+def _rank(parts: int):
+    """Counts a part's n-grams, and tells each set how frequent those are that it doesn't have alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = list(batches)
+        if not batches:
+            return
+        found = blocks.gathered(iter(batches), _COUNTED)
+        own = {p for b in batches for p, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if k in (0, 1)}
+        assert len(own) <= 1, "a task has one part"
+        short, node = found[0]
+        if len(short):
+            every = np.concatenate((short, found[1][0]))
+            weight = np.concatenate((np.ones(len(short), np.int64), np.full(len(found[1][0]), FREQUENT)))
+            names, index = np.unique(every, return_inverse=True)
+            total = np.minimum(np.bincount(index, weights=weight), FREQUENT)[index[: len(short)]].astype(np.uint8)
+            keep = total > 1
+            name = short[keep].astype(U64) << U64(32) | U64(own.pop())
+            yield from blocks.dealt(0, _part(node[keep], parts), node[keep], name, total[keep])
+        node, name = found[4]
+        yield from blocks.dealt(0, _part(node, parts), node, name, np.full(len(node), FREQUENT, np.uint8))
+        for kind in (2, 3):
+            yield from blocks.dealt(kind, _part(found[kind][0], parts), *found[kind])
+
+    return run
+
+
+def _enter(rule: Rule, parts: int):
+    """Enters sets in the lists of their rarest n-grams, and light sets under their subsets' keys.
+
+    A key that several sets of a task have is dealt out once, and the links that it makes with it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = blocks.gathered(batches, _RANKED)
+        nodes, first = np.unique(found[2][0], return_index=True)
+        size = found[2][1][first]
+        node, name, often = found[0]
+        order = np.lexsort((mix(name.copy()), often, node))
+        node, name = node[order], name[order]
+        if len(node):  # equal sets of several tasks are told twice
+            same = np.concatenate(([False], (node[1:] == node[:-1]) & (name[1:] == name[:-1])))
+            node, name = node[~same], name[~same]
+        start = np.searchsorted(node, nodes)
+        shared = np.diff(np.concatenate((start, [len(node)])))
+        take = np.maximum(0, rule.lists(size) - (size - shared))  # n-grams of its own come before all others
+        at = np.arange(len(node)) - np.repeat(start, shared)
+        chosen = at < np.repeat(take, shared)
+        key = np.concatenate((mix(name[chosen] ^ U64(0xD1B54A32D192ED03)), found[3][1]))
+        node = np.concatenate((node[chosen], found[3][0]))
+        if not len(key):
+            return
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        head = node[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+        a, b = node[~new], head[~new]
+        if (a != b).any():
+            a, b = smallest_labels(a, b)
+            yield from blocks.dealt(1, _part(a, parts), a, b)
+        yield from blocks.dealt(0, (key[new] % U64(parts)).astype(np.int32), key[new], node[new])
 
     return run
 
@@ -258,14 +313,26 @@ def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _own_sets(rule: Rule, rows: list[tuple]) -> tuple[list[int], list[np.ndarray]]:
+    """The nodes of rows (node, text), each once, with their sets; texts of other nodes with the same id are left out."""
+    nodes, sets, seen = [], [], set()
+    for a in range(0, len(rows), 200):
+        for (node, _), found in zip(rows[a : a + 200], sets_of([encoded(x) for _, x in rows[a : a + 200]], rule.words)):
+            if node not in seen and node_of(found) == node:
+                seen.add(node)
+                nodes.append(node)
+                sets.append(found)
+    return nodes, sets
+
+
 def _compare(rule: Rule):
     """Rows (cluster, block, node, text), sorted: the links that join each block's components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int]] = []
         for _, rows in _groups(batches, 2):
-            nodes = [x[0] for x in rows]
-            label = _join(rule, sets_of([x[1] or b"" for x in rows], rule.words))
+            nodes, sets = _own_sets(rule, rows)
+            label = _join(rule, sets) if sets else np.zeros(0, np.int64)
             out.extend((nodes[i], nodes[k]) for i, k in enumerate(label.tolist()) if i != k)
             if len(out) > 50_000:
                 yield _links(out)
@@ -283,13 +350,18 @@ def _compare_rest(rule: Rule):
             rest, odd = [x for x in rows if not x[0]], [x for x in rows if x[0]]
             if not rest or not odd:
                 continue
-            all_sets = _Sets(sets_of([x[3] or b"" for x in rest + odd], rule.words))
-            labels = np.array([x[2] for x in rest], np.int64)
+            (nodes, sets), (odd_nodes, odd_sets) = (_own_sets(rule, [(x[1], x[3]) for x in part]) for part in (rest, odd))
+            label_of = {x[1]: x[2] for x in rows}
+            if not nodes or not odd_nodes:
+                continue
+            all_sets = _Sets(sets + odd_sets)
+            labels = np.array([label_of[n] for n in nodes], np.int64)
             out: set[tuple[int, int]] = set()
-            flat, starts = all_sets.gather(np.arange(len(rest)))
-            for i, x in enumerate(odd, len(rest)):
-                hit = rule.similar(all_sets.overlaps(i, flat, starts), all_sets.sizes[i], all_sets.sizes[: len(rest)]) & (labels != x[2])
-                out.update((x[2], y) for y in np.unique(labels[hit]).tolist())
+            flat, starts = all_sets.gather(np.arange(len(nodes)))
+            for i, n in enumerate(odd_nodes, len(nodes)):
+                mine = label_of[n]
+                hit = rule.similar(all_sets.overlaps(i, flat, starts), all_sets.sizes[i], all_sets.sizes[: len(nodes)]) & (labels != mine)
+                out.update((mine, y) for y in np.unique(labels[hit]).tolist())
             yield _links(sorted(out))
 
     return run
@@ -304,13 +376,15 @@ def similar_components(docs: DataFrame, words: int = 5, num: int = 4, den: int =
     have one set and one component; null ids are never a component's smallest, unless it has no other.  Other columns are ignored;
     an empty table gives an empty result.
 
-    n-grams and whole sets are compared as 64-bit hashes.  No link is lost: see Rule.ranges.
+    n-grams and whole sets are compared as 64-bit hashes.  No link is lost: see Rule.lists and Rule.shared_sizes.
     """
     rule = Rule(words, num, den)
     rows = ids_and_texts(docs, id_col, text_col)
     parts = partitions(rows, 4.0)
     facts = checkpoint(rows.mapInArrow(_facts(rule), "doc_id long, n_shingles long, node long"))
-    lists = blocks.by_part(rows.mapInArrow(_enter(rule, parts), blocks.DDL), parts)
+    counted = blocks.by_part(rows.mapInArrow(_count(rule, parts), blocks.DDL), parts)
+    ranked = blocks.by_part(counted.mapInArrow(_rank(parts), blocks.DDL), parts)
+    lists = blocks.by_part(ranked.mapInArrow(_enter(rule, parts), blocks.DDL), parts)
     clusters = connected(lists.mapInArrow(_scan, "a long, b long"))
     clusters = clusters.select("node", F.col("label").alias("cluster"))
     links = _verified(rows, facts, clusters, rule)
@@ -319,20 +393,18 @@ def similar_components(docs: DataFrame, words: int = 5, num: int = 4, den: int =
 
 def _verified(rows: DataFrame, facts: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:
     """Links between nodes that have the same components as all links there are."""
-    first = facts.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"))
+    first = facts.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("size"))
     members = first.join(clusters, "node")
     sizes = members.groupBy("cluster").agg(F.sum("size").alias("grams"), F.count("*").alias("nodes")).where("nodes > 1")
-    # equal rows of one id count once; a text whose id another text has too is told apart by its node in _Fetch
-    members = members.join(sizes, "cluster").select("cluster", "node", F.col("doc_id").alias("first_id"), "grams", "nodes")
-    fetched = rows.join(members, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("cluster", "node", "grams", "nodes", "text")
-    fetched = checkpoint(fetched.mapInArrow(_own_text(rule), "cluster long, node long, grams long, nodes long, text binary").dropDuplicates(["node"]))
     split = F.when(F.col("grams") > BLOCK_GRAMS, F.ceil(F.col("grams") * 2 / BLOCK_GRAMS)).otherwise(1).cast("int")
-    block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("split")).cast("int")
+    members = members.join(sizes, "cluster").select("cluster", "node", "first_id", "nodes", split.alias("split"))
+    members = checkpoint(members.withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("split")).cast("int")))
     pivot = F.pmod(F.xxhash64("node", F.lit("pivot")), F.col("nodes")) < PIVOTS
-    placed = fetched.withColumn("split", split).withColumn("block", F.when((F.col("split") > 1) & pivot, F.sequence(F.lit(0), F.col("split") - 1)).otherwise(F.array(block)))
-    grouped = placed.select("cluster", F.explode("block").alias("block"), "node", "text").repartition("cluster", "block").sortWithinPartitions("cluster", "block")
+    blocks_of = F.when((F.col("split") > 1) & pivot, F.sequence(F.lit(0), F.col("split") - 1)).otherwise(F.array("block"))
+    fetched = _fetched(rows, members.select("first_id", "cluster", blocks_of.alias("blocks"), "node"))
+    grouped = fetched.select("cluster", F.explode("blocks").alias("block"), "node", "text").repartition("cluster", "block").sortWithinPartitions("cluster", "block")
     links = checkpoint(grouped.mapInArrow(_compare(rule), "a long, b long"))
-    large = placed.where("split > 1").select("cluster", "node", "split", "text")
+    large = members.where("split > 1").select("cluster", "node", "first_id", "split", "block")
     if not large.limit(1).count():
         return links
     # between blocks: whatever is not in a split cluster's main component is compared with all the cluster's blocks
@@ -341,24 +413,18 @@ def _verified(rows: DataFrame, facts: DataFrame, clusters: DataFrame, rule: Rule
     counts = large.groupBy("cluster", "label").agg(F.count("*").alias("n"))
     main = counts.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("main"), (F.sum("n") - F.max("n")).alias("odd"))
     large = checkpoint(large.join(main.where("odd > 0"), "cluster").withColumn("chunks", F.ceil(F.col("odd") / F.lit(2000)).cast("int")))
-    numbers = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
-    rest = large.select("cluster", F.pmod(F.xxhash64("node", F.lit("block")), F.col("split")).cast("int").alias("block"), numbers("chunks").alias("chunk"), F.lit(False).alias("odd"), "node", "label", "text")
-    odd = large.where("label <> main").select("cluster", "split", F.pmod(F.xxhash64("node", F.lit("chunk")), F.col("chunks")).cast("int").alias("chunk"), "node", "label", "text")
-    odd = odd.select("cluster", numbers("split").alias("block"), "chunk", F.lit(True).alias("odd"), "node", "label", "text")
-    pairs = rest.union(odd).repartition("cluster", "block", "chunk").sortWithinPartitions("cluster", "block", "chunk")
+    rest = large.select("first_id", "cluster", F.array("block").alias("blocks"), F.sequence(F.lit(0), F.col("chunks") - 1).alias("chunk"), F.lit(False).alias("odd"), "node", "label")
+    chunk = F.array(F.pmod(F.xxhash64("node", F.lit("chunk")), F.col("chunks")).cast("int"))
+    odd = large.where("label <> main").select("first_id", "cluster", F.sequence(F.lit(0), F.col("split") - 1).alias("blocks"), chunk.alias("chunk"), F.lit(True).alias("odd"), "node", "label")
+    both = _fetched(rows, rest.union(odd)).select("cluster", F.explode("blocks").alias("block"), "chunk", "odd", "node", "label", "text")
+    both = both.select("cluster", "block", F.explode("chunk").alias("chunk"), "odd", "node", "label", "text")
+    pairs = both.repartition("cluster", "block", "chunk").sortWithinPartitions("cluster", "block", "chunk")
     return links.union(pairs.mapInArrow(_compare_rest(rule), "a long, b long"))
 
 
-def _own_text(rule: Rule):
-    """Keeps rows whose text has the node they were fetched for."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches):
-            keep = [node_of(x) == n for x, n in zip(sets_of(texts, rule.words), batch.column(1).to_pylist())]
-            columns = [*batch.columns[:4], pa.array(texts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["cluster", "node", "grams", "nodes", "text"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
+def _fetched(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """Members with the texts that have their first ids; where several texts have one id, the comparison takes the right one by its node."""
+    return rows.join(members, F.col("doc_id").eqNullSafe(F.col("first_id"))).drop("doc_id", "first_id")
 
 
 def _named(facts: DataFrame, labels: DataFrame) -> DataFrame:

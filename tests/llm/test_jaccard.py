@@ -85,13 +85,29 @@ def test_odd_tables(spark):
 
 @pytest.mark.parametrize("num, den", [(9, 10), (4, 5), (1, 2)])
 def test_similar_sets_always_meet(num, den):
+    """Light sets by a subset of fixed size, heavy ones by one of their first n-grams in any order."""
     rule, rng = J.Rule(1, num, den), np.random.default_rng(0)
     met = 0
     for _ in range(600):
-        a = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 200), dtype=np.uint64))
+        a = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 60), dtype=np.uint64))
         keep = a[rng.random(len(a)) > 0.15 * (1 - num / den) * 5]
         b = np.unique(np.concatenate((keep, rng.integers(0, 1 << 63, rng.integers(0, 1 + len(a) // 12), dtype=np.uint64))))
         if len(b) and rule.similar(len(np.intersect1d(a, b)), len(a), len(b)):
             met += 1
-            assert len(np.intersect1d(rule.keys(a), rule.keys(b))), (len(a), len(b))
+            if max(len(a), len(b)) < rule.boundary:
+                assert len(np.intersect1d(rule.subsets(a), rule.subsets(b))), (len(a), len(b))
+            else:
+                assert rule.is_heavy(len(a)) and rule.is_heavy(len(b))
+                assert len(np.intersect1d(a[: rule.lists(len(a))], b[: rule.lists(len(b))]))
     assert met > 50
+
+
+def test_hot_words(spark, monkeypatch):
+    """n-grams that count as frequent everywhere, within tasks and over them."""
+    monkeypatch.setattr(J, "FREQUENT", 3)
+    monkeypatch.setattr(J, "HELD", 300)
+    rng = random.Random(4)
+    common = " ".join(f"c{i}" for i in range(12))
+    docs = [(i, f"{text} {common}" if rng.random() < 0.7 else common) for i, text in near_copies(9, 150, [2, 4, 10, 30, 50], 0.05)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.similar_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), 2, 4, 5).collect()}
+    assert got == brute(docs, 2, 4, 5)
