@@ -23,6 +23,9 @@ FORMATS = {"csv": "csv", "jsonl": "jsonl"}
 #: How CSV is written: doubled quotes, empty cells for null and for empty text, white space as it is.
 CSV = {"header": True, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "encoding": "UTF-8"}
 
+#: The folders that a write by stream makes; names that begin with _ are hidden.
+BY = "tide-stream"
+
 
 def extension(path: str) -> str:
     name = path.rstrip("/").rsplit("/", 1)[-1]
@@ -175,16 +178,16 @@ def write_folder(df: DataFrame, schema: Schema, path: str, kind: str, if_exists:
     cells = _cells_to_write(df, schema, kind)
     if stream_size:
         data = cells.drop("__stream", "__chunk")
-        cells = shape.rechunk(data, stream_size, "__chunk").withColumn("__name", F.format_string("chunk_%04d", F.col("__chunk"))).drop("__chunk")
-        _save(cells.repartition("__name"), kind, staging, "__name")
+        cells = shape.rechunk(data, stream_size, "__chunk").withColumn(BY, F.format_string("chunk_%04d", F.col("__chunk"))).drop("__chunk")
+        _save(cells.repartition(BY), kind, staging, BY)
     elif "__stream" in cells.columns:
-        _save(cells.withColumnRenamed("__stream", "__name").repartition("__name"), kind, staging, "__name")
+        _save(cells.withColumnRenamed("__stream", BY).repartition(BY), kind, staging, BY)
     else:
         _save(cells, kind, staging)
     parts = sorted(p for p, _ in Files(spark, staging).listed())
     names: dict[str, list[str]] = {}
     for p in parts:
-        inner = p.rsplit("__name=", 1)
+        inner = p.rsplit(BY + "=", 1)
         names.setdefault(_unescaped(inner[1].rsplit("/", 1)[0]) if len(inner) > 1 else stream, []).append(p)
     target.delete()
     out = []
