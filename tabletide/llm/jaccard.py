@@ -30,11 +30,14 @@ LIST_COST = 4
 #: n-grams on more sets than this count as equally frequent.
 FREQUENT = 64
 #: Records that a task holds before it deals them out.
-HELD = 1 << 21
-#: n-grams of the sets that are compared in one task at a time; a larger cluster is split in blocks of about half as many.
+HELD = 1 << 20
+#: Sets, and n-grams of theirs, that are compared in one task at a time; a larger cluster is split in blocks of about half as many.
+BLOCK_SETS = 256
 BLOCK_GRAMS = 2_000_000
 #: Sets of a split cluster that all its blocks see.
 PIVOTS = 32
+#: The blocks that what is left is compared with: at least so many.
+LEAST_BLOCKS = 16
 
 U64 = np.uint64
 
@@ -396,23 +399,26 @@ def _verified(rows: DataFrame, facts: DataFrame, clusters: DataFrame, rule: Rule
     first = facts.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("size"))
     members = first.join(clusters, "node")
     sizes = members.groupBy("cluster").agg(F.sum("size").alias("grams"), F.count("*").alias("nodes")).where("nodes > 1")
-    split = F.when(F.col("grams") > BLOCK_GRAMS, F.ceil(F.col("grams") * 2 / BLOCK_GRAMS)).otherwise(1).cast("int")
-    members = members.join(sizes, "cluster").select("cluster", "node", "first_id", "nodes", split.alias("split"))
+    by_grams = F.ceil(F.col("grams") * 2 / BLOCK_GRAMS)
+    is_large = (F.col("grams") > BLOCK_GRAMS) | (F.col("nodes") > BLOCK_SETS)
+    split = F.when(is_large, F.greatest(by_grams, F.ceil(F.col("nodes") * 2 / BLOCK_SETS), F.lit(2))).otherwise(1).cast("int")
+    members = members.join(sizes, "cluster").select("cluster", "node", "first_id", "size", "nodes", split.alias("split"), F.greatest(by_grams, F.lit(LEAST_BLOCKS)).cast("int").alias("rest_split"))
     members = checkpoint(members.withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("split")).cast("int")))
     pivot = F.pmod(F.xxhash64("node", F.lit("pivot")), F.col("nodes")) < PIVOTS
     blocks_of = F.when((F.col("split") > 1) & pivot, F.sequence(F.lit(0), F.col("split") - 1)).otherwise(F.array("block"))
     fetched = _fetched(rows, members.select("first_id", "cluster", blocks_of.alias("blocks"), "node"))
     grouped = fetched.select("cluster", F.explode("blocks").alias("block"), "node", "text").repartition("cluster", "block").sortWithinPartitions("cluster", "block")
     links = checkpoint(grouped.mapInArrow(_compare(rule), "a long, b long"))
-    large = members.where("split > 1").select("cluster", "node", "first_id", "split", "block")
+    block = F.pmod(F.xxhash64("node", F.lit("rest")), F.col("rest_split")).cast("int")
+    large = members.where("split > 1").select("cluster", "node", "first_id", "size", F.col("rest_split").alias("split"), block.alias("block"))
     if not large.limit(1).count():
         return links
     # between blocks: whatever is not in a split cluster's main component is compared with all the cluster's blocks
     labels = connected(links)
     large = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    counts = large.groupBy("cluster", "label").agg(F.count("*").alias("n"))
+    counts = large.groupBy("cluster", "label").agg(F.sum("size").alias("n"))
     main = counts.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("main"), (F.sum("n") - F.max("n")).alias("odd"))
-    large = checkpoint(large.join(main.where("odd > 0"), "cluster").withColumn("chunks", F.ceil(F.col("odd") / F.lit(2000)).cast("int")))
+    large = checkpoint(large.join(main.where("odd > 0"), "cluster").withColumn("chunks", F.ceil(F.col("odd") * 2 / BLOCK_GRAMS).cast("int")))
     rest = large.select("first_id", "cluster", F.array("block").alias("blocks"), F.sequence(F.lit(0), F.col("chunks") - 1).alias("chunk"), F.lit(False).alias("odd"), "node", "label")
     chunk = F.array(F.pmod(F.xxhash64("node", F.lit("chunk")), F.col("chunks")).cast("int"))
     odd = large.where("label <> main").select("first_id", "cluster", F.sequence(F.lit(0), F.col("split") - 1).alias("blocks"), chunk.alias("chunk"), F.lit(True).alias("odd"), "node", "label")

@@ -62,9 +62,11 @@ def test_tables(spark, small):
     assert got == brute(docs, 3, 90, 100)
 
 
-def test_split_clusters(spark, monkeypatch):
+@pytest.mark.parametrize("grams, sets", [(400, 256), (2_000_000, 20)])
+def test_split_clusters(spark, monkeypatch, grams, sets):
     """Blocks of a few sets: the second comparison has to join what the blocks left apart."""
-    monkeypatch.setattr(J, "BLOCK_GRAMS", 400)
+    monkeypatch.setattr(J, "BLOCK_GRAMS", grams)
+    monkeypatch.setattr(J, "BLOCK_SETS", sets)
     monkeypatch.setattr(J, "PIVOTS", 2)
     rng = random.Random(1)
     text = [f"w{i}" for i in range(60)]

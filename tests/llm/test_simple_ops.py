@@ -147,6 +147,7 @@ def test_decontamination(spark, small, odd, empty, monkeypatch):
             assert sorted(x.doc_id for x in D.clean(odd, bench).collect()) == sorted(i for i, _ in ODD if not want[i][1])
         else:
             assert got == _brute(ODD, odd_items[:-1])
+    monkeypatch.undo()
     assert D.contamination(empty, bench).collect() == [] and D.clean(odd, bench.where("false")).count() == len(ODD)
 
 
