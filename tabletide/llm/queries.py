@@ -102,4 +102,32 @@ SQL = {
         select doc_id, min(doc_id) over (partition by v) as keep_id, count(*) over (partition by v) as group_size,
                doc_id = min(doc_id) over (partition by v) as kept, sha256(v) as text_sha256
         from t""",
+    "op3_substring_dedup": r"""
+        with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+        p as (select doc_id, words, unnest(range(1, len(words) - 33)) as i from w where len(words) >= 35),
+        g as (select doc_id, i, array_to_string(words[i:i + 34], ' ') as win from p),
+        r as (select doc_id, i from (select doc_id, i, count(*) over (partition by win) as n from g) where n > 1),
+        gone as (select distinct doc_id, i + o as at from r, (select unnest(range(0, 35)) as o)),
+        each as (select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as at from w),
+        kept as (select e.doc_id, count(*) as n_words, count(g.at) as n_removed, string_agg(e.word, ' ' order by e.at) filter (where g.at is null) as text from each e left join gone g on e.doc_id = g.doc_id and e.at = g.at group by e.doc_id)
+        select d.doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(k.text, '')) as kept_sha256 from documents d left join kept k on d.doc_id = k.doc_id""",
+    "op5_ngram_jaccard": r"""
+        with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents),
+        s as materialized (select distinct doc_id, array_to_string(words[i:i + 2], ' ') as g from (select doc_id, words, unnest(range(1, greatest(2, len(words) - 1))) as i from w where len(words) > 0)),
+        n as materialized (select doc_id, count(*) as size from s group by doc_id),
+        c as (select a.doc_id as x, b.doc_id as y, count(*) as shared from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+        l as materialized (select x, y from c join n p on p.doc_id = x join n q on q.doc_id = y where 100 * shared >= 90 * (p.size + q.size - shared)),
+        e as materialized (select x, y from l union all select y, x from l),
+        r(doc_id, other) as (select doc_id, doc_id from documents union select r.doc_id, e.y from r join e on r.other = e.x)
+        select d.doc_id, coalesce(n.size, 0) as n_shingles, m.component_id from documents d left join n on n.doc_id = d.doc_id join (select doc_id, min(other) as component_id from r group by doc_id) m on m.doc_id = d.doc_id""",
+    "op9_decontamination": r"""
+        with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents),
+        b as (select cast(item_id as varchar) as item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from benchmark),
+        bw as (select distinct item, n, array_to_string(words[i:i + n - 1], ' ') as win from (select item, words, least(10, len(words)) as n, unnest(range(1, len(words) - least(10, len(words)) + 2)) as i from b where len(words) > 0)),
+        dw as (select doc_id, n, i, array_to_string(words[i:i + n - 1], ' ') as win from (select doc_id, words, n, unnest(range(1, len(words) - n + 2)) as i from d, (select distinct n from bw) where len(words) >= n)),
+        hit as (select doc_id, dw.n, i, item from dw join bw on dw.n = bw.n and dw.win = bw.win),
+        words_hit as (select doc_id, count(*) as n_hit from (select distinct doc_id, unnest(range(i, i + n)) as at from (select distinct doc_id, n, i from hit)) group by doc_id),
+        items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as names from (select distinct doc_id, item from hit) group by doc_id)
+        select d.doc_id, cast(len(d.words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from d left join words_hit h on d.doc_id = h.doc_id left join items i on d.doc_id = i.doc_id""",
 }
