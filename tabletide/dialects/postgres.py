@@ -201,3 +201,48 @@ def upsert_statement(schema: Schema, source: str, target: str, keys: list[str])
     columns = ", ".join(map(quote, names))
     action = "DO UPDATE SET " + ", ".join(f"{quote(n)} = EXCLUDED.{quote(n)}" for n in rest) if rest else "DO NOTHING"
     return f"INSERT INTO {quote_table(target)} ({columns}) SELECT {columns} FROM {quote_table(source)} ON CONFLICT ({', '.join(map(quote, keys))}) {action}"
+
+
+def catalog_query(table: str) -> str:
+    """The columns of a table in a live catalog: name, type, element type, whether null may be, and SRID or enumeration values."""
+    schema, _, name = table.rpartition(".")
+    return (
+        "SELECT c.column_name, c.data_type, c.udt_schema, c.udt_name, c.is_nullable, g.srid, "
+        "(SELECT STRING_AGG(e.enumlabel, E'\\n' ORDER BY e.enumsortorder) FROM pg_enum e JOIN pg_type t ON t.oid = e.enumtypid JOIN pg_namespace n ON n.oid = t.typnamespace "
+        "WHERE t.typname = c.udt_name AND n.nspname = c.udt_schema) AS labels "
+        "FROM information_schema.columns c LEFT JOIN public.geometry_columns g ON g.f_table_schema = c.table_schema AND g.f_table_name = c.table_name AND g.f_geometry_column = c.column_name "
+        f"WHERE c.table_schema = {quote_text(schema or 'public')} AND c.table_name = {quote_text(name)} ORDER BY c.ordinal_position"
+    )
+
+
+#: Type names of the catalog.
+CATALOG = {
+    "boolean": BOOL, "character": TEXT, "character varying": TEXT, "citext": TEXT, "text": TEXT, "date": DATE, "numeric": DECIMAL, "real": FLOAT32, "double precision": FLOAT64, "smallint": INT16, "integer": INT32,
+    "bigint": INT64, "json": JSON, "jsonb": JSON, "timestamp without time zone": TIMESTAMP, "timestamp with time zone": TIMESTAMPTZ, "uuid": UUID,
+    "bool": BOOL, "bpchar": TEXT, "varchar": TEXT, "float4": FLOAT32, "float8": FLOAT64, "int2": INT16, "int4": INT32, "int8": INT64, "timestamp": TIMESTAMP, "timestamptz": TIMESTAMPTZ,
+}
+
+
+def from_catalog(table: str, rows) -> Schema:
+    """The schema that catalog_query()'s rows describe."""
+    columns, named = [], {}
+    for name, data_type, udt_schema, udt_name, nullable, srid, labels in rows:
+        if data_type == "ARRAY":
+            element = udt_name.lstrip("_")
+            if element not in CATALOG:
+                raise TideError(f"column {name!r} has elements of the unknown type {element!r}")
+            t: DataType = Array(CATALOG[element])
+        elif udt_name == "geometry":
+            t = GeoJson(int(srid or 0))
+        elif labels is not None:
+            key = udt_name if udt_schema in ("public", None) else f"{udt_schema}.{udt_name}"
+            named[key] = OneOf(tuple(labels.split("\n")))
+            t = Named(key)
+        elif (found := CATALOG.get(data_type) or CATALOG.get(udt_name)) is not None:
+            t = found
+        else:
+            raise TideError(f"column {name!r} has the unknown type {data_type!r}")
+        columns.append(Column(name, t, nullable == "YES"))
+    if not columns:
+        raise TideError(f"there is no table {table!r}")
+    return Schema(Table(table, tuple(columns)), named)

@@ -274,3 +274,17 @@ def merge_statement(schema: Schema, source: str, target: str, keys: list[str]) -
     on = " AND ".join(f"dest.{quote(identifier(k))} = src.{quote(identifier(k))}" for k in keys)
     update = "WHEN MATCHED THEN UPDATE SET " + ", ".join(f"{quote(n)} = src.{quote(n)}" for n in rest) + " " if rest else ""
     return f"MERGE INTO {quote_table(target)} AS dest USING {quote_table(source)} AS src ON {on} {update}WHEN NOT MATCHED THEN INSERT ({', '.join(map(quote, names))}) VALUES ({', '.join(f'src.{quote(n)}' for n in names)})"
+
+
+def catalog_query(table: str) -> str:
+    """The columns of a table in a live catalog."""
+    *schema, name = table.split(".")
+    where = f" AND table_schema = {_literal(identifier(schema[-1]))}" if schema else ""
+    return f"SELECT column_name, data_type, is_nullable, column_comment FROM information_schema.columns WHERE table_name = {_literal(identifier(name))}{where} ORDER BY ordinal_position"
+
+
+def from_catalog(table: str, rows) -> Schema:
+    columns = tuple(Column(n, to_portable(parse_type(t)), nullable == "YES", comment) for n, t, nullable, comment in rows)
+    if not columns:
+        raise TideError(f"there is no table {table!r}")
+    return Schema(Table(table, columns))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..errors import TideError
 from ..operators.shape import bounded
@@ -30,10 +31,12 @@ def _schema(spark: SparkSession, source: locators.Locator, given: str | None, a:
 
 def copy(
     spark: SparkSession, source: str, destination: str, *, if_exists: str = "error", schema: str | None = None, where: str | None = None, from_format: str | None = None, to_format: str | None = None,
-    from_args: Iterable[str] = (), to_args: Iterable[str] = (), stream_size: int | None = None, max_streams: int | None = None, temporary: Iterable[str] = (), unstable: bool = True,
+    from_args: Iterable[str] = (), to_args: Iterable[str] = (), stream_size: int | None = None, max_streams: int | None = None, temporary: Iterable[str] = (), unstable: bool = True, metrics: dict | None = None,
 ) -> list[str]:
     """Copies a table, and returns the locators of what was written.
 
+    `metrics`, if given, gets the number of rows and of outputs, by schemes; they are counted as the rows go by.
+
     `temporary` is accepted for the databases that stage data in an object store; Spark's connectors take it from their own settings.
     """
     prepare(spark)
@@ -50,7 +53,12 @@ def copy(
     df = a.read(spark, table, read)
     if max_streams:
         df = bounded(df, max_streams)
-    return b.write(df, table, write, stream_size)
+    if metrics is None:
+        return b.write(df, table, write, stream_size)
+    seen = Observation()
+    written = b.write(df.observe(seen, F.count(F.lit(1)).alias("rows")), table, write, stream_size)
+    metrics |= {"from": a.scheme, "to": b.scheme, "rows": seen.get["rows"], "streams": len(written)}
+    return written
 
 
 def count(spark: SparkSession, source: str, *, schema: str | None = None, where: str | None = None, from_format: str | None = None, from_args: Iterable[str] = (), unstable: bool = True) -> int:

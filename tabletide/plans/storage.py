@@ -110,6 +110,37 @@ def _row(profile: str, t: Type) -> Transform:
     )
 
 
+def _sql(profile: str, t: Type, text: str, storing: bool, depth: int = 0) -> str:
+    """A Trino expression that stores or loads the value of an expression."""
+    if transform(profile, t).is_identity:
+        return text
+    stored = transform(profile, t).stored
+    if t.name == "array":
+        x = f"x{depth}"
+        return f"TRANSFORM({text}, {x} -> {_sql(profile, t.element, x, storing, depth + 1)})"  # type: ignore[arg-type]
+    if t.name == "row":
+        fields = [_sql(profile, x, f"{text}[{i}]", storing, depth) for i, (_, x) in enumerate(t.fields, 1)]
+        return f"IF({text} IS NULL, NULL, CAST(ROW({', '.join(fields)}) AS {stored if storing else t}))"
+    match t.name:
+        case "json":
+            return f"JSON_FORMAT({text})" if storing else f"JSON_PARSE({text})"
+        case "sphericalgeography":
+            return f"ST_AsText(to_geometry({text}))" if storing else f"to_spherical_geography(ST_GeometryFromText({text}))"
+        case "timestamp with time zone" if stored.name == "timestamp":
+            return f"CAST({text} AT TIME ZONE 'UTC' AS {stored})" if storing else f"with_timezone({text}, 'UTC')"
+    return f"CAST({text} AS {stored if storing else t})"
+
+
+def affixes(profile: str, t: Type, storing: bool) -> tuple[str, str]:
+    """What to write before and after an expression to store or load it; a row's expression stands several times, so a lambda binds it."""
+    if transform(profile, t).is_identity:
+        return "", ""
+    if t.name == "row":
+        return "ELEMENT_AT(TRANSFORM(ARRAY[", f"], r -> {_sql(profile, t, 'r', storing)}), 1)"
+    before, _, after = _sql(profile, t, "\0", storing).partition("\0")
+    return before, after
+
+
 def store(profile: str, t: Type, c: Column) -> Column:
     found = transform(profile, t).store
     return found(c) if found else c

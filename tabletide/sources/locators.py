@@ -389,6 +389,12 @@ class Database(Locator):
             out["password"] = unquote(url.password)
         return out
 
+    def _catalog(self, spark: SparkSession, query: str) -> list:
+        return [tuple(r) for r in spark.read.format("jdbc").options(**self.options(), query=query).load().collect()]
+
+    def schema(self, spark, a):
+        return postgres.from_catalog(self.table_name(), self._catalog(spark, postgres.catalog_query(self.table_name())))
+
     def select(self, schema: Schema, where: str | None) -> str:
         return postgres.export_select(schema, self.table_name(), where)
 
@@ -460,6 +466,9 @@ class TrinoLocator(Database):
     driver, jdbc = "io.trino.jdbc.TrinoDriver", "trino"
     features = Features(schema=True, write_schema=_SCHEMA_MODES, count=True, read=True, write=True, source=frozenset(("--where", "--from-arg")), destination=frozenset(("--to-arg",)), if_exists=_ALL, unstable=True)
 
+    def schema(self, spark, a):
+        return trino.from_catalog(self.table_name(), self._catalog(spark, trino.catalog_query(self.table_name())))
+
     def select(self, schema, where):
         names = ", ".join(trino.quote(trino.identifier(c.name)) for c in schema.table.columns)
         return f"SELECT {names} FROM {trino.quote_table(self.table_name())}" + (f" WHERE ({where})" if where else "")
@@ -494,6 +503,9 @@ class BigQueryLocator(Locator):
     def options(self, a: SourceArguments | None = None) -> dict[str, str]:
         return {"table": self.body} | ({"filter": a.where} if a and a.where else {})
 
+    def schema(self, spark, a):
+        return S.from_spark(self.table_name(), spark.read.format("bigquery").options(**self.options()).load().schema)
+
     def read(self, spark, schema, a):
         df = spark.read.format("bigquery").options(**self.options(a)).load()
         return rows.project(df, [c.name for c in schema.table.columns])

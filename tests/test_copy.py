@@ -59,6 +59,12 @@ def test_csv_to_jsonl_and_back(sql, put, tmp_path):
     assert copy.count(sql, f"file:{a}", schema=schema) == 2 and copy.count(sql, f"file:{a}", schema=schema, where="title > 'I'") == 1
 
 
+def test_metrics(sql, put, tmp_path):
+    found = {}
+    copy.copy(sql, f"file:{put('posts.csv', POSTS)}", f"file:{tmp_path}/o.csv", metrics=found)
+    assert found == {"from": "file:", "to": "file:", "rows": 2, "streams": 1}
+
+
 def test_folders_keep_streams(sql, put, tmp_path):
     put("in/01.csv", "a,b\n1,x\n"), put("in/02_nested/01.v2.csv", "a,b\n2,y\n")
     schema = "postgres-sql:" + put("t.sql", "CREATE TABLE t (a text, b text)")
@@ -83,10 +89,10 @@ def test_headers_have_to_be_the_schemas(sql, put, tmp_path):
 
 
 def test_names_that_differ_in_case_only(sql, put, tmp_path):
-    text = '"person__Delivery Zone 4.14","person__$Region - 8/1",name,Name\na,b,c,d\n'
+    text = '"Zone 4.14","$Region - 8/1",name,Name\na,b,c,d\n'
     a = put("t.csv", text)
     copy.copy(sql, f"csv:{a}", f"csv:{tmp_path}/out.csv")
-    assert open(f"{tmp_path}/out.csv").read().splitlines() == ["person__Delivery Zone 4.14,person__$Region - 8/1,name,Name", "a,b,c,d"]
+    assert open(f"{tmp_path}/out.csv").read().splitlines() == ["Zone 4.14,$Region - 8/1,name,Name", "a,b,c,d"]
     with pytest.raises(TideError, match="cannot have a column"):
         copy.convert_schema(sql, f"csv:{a}", f"bigquery-schema:{tmp_path}/x.json")
 

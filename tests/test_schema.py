@@ -182,3 +182,29 @@ def test_typescript():
     with pytest.raises(ParseError) as e:
         typescript.parse("interface A { x: string, x: number }", "A")
     assert str(e.value).count("line 1") == 2
+
+
+def test_live_catalogs():
+    rows = [
+        ("id", "integer", "pg_catalog", "int4", "NO", None, None), ("xs", "ARRAY", "pg_catalog", "_int8", "YES", None, None), ("g", "USER-DEFINED", "public", "geometry", "YES", 3857, None),
+        ("k", "USER-DEFINED", "shop", "color", "YES", None, "red\nit's"), ("v", "character varying", "pg_catalog", "varchar", "YES", None, None), ("c", "USER-DEFINED", "public", "citext", "YES", None, None),
+    ]
+    s = postgres.from_catalog("shop.t", rows)
+    assert [c.data_type for c in s.table.columns] == [S.INT32, Array(S.INT64), GeoJson(3857), Named("shop.color"), S.TEXT, S.TEXT] and s.named == {"shop.color": OneOf(("red", "it's"))}
+    assert "table_schema = 'shop' AND c.table_name = 't'" in postgres.catalog_query("shop.t") and "'public'" in postgres.catalog_query("t")
+    for bad in ([], [("x", "money", "pg_catalog", "money", "YES", None, None)], [("x", "ARRAY", "public", "_color", "YES", None, None)]):
+        with pytest.raises(TideError):
+            postgres.from_catalog("t", bad)
+    found = trino.from_catalog("t", [("a", "array(row(x integer))", "NO", None), ("b", "timestamp(6) with time zone", "YES", "note")])
+    assert found.table.columns == (Column("a", Array(Struct((StructField("x", S.INT32),))), False), Column("b", S.TIMESTAMPTZ, True, "note"))
+    assert trino.catalog_query("s.T").endswith("table_name = 't' AND table_schema = 's' ORDER BY ordinal_position")
+
+
+def test_storage_expressions_as_text():
+    from tabletide.plans.storage import affixes
+
+    t = trino.parse_type
+    assert affixes("memory", t("json"), True) == ("", "") and affixes("hive", t("json"), True) == ("JSON_FORMAT(", ")") and affixes("hive", t("json"), False) == ("JSON_PARSE(", ")")
+    assert affixes("iceberg", t("array(smallint)"), True) == ("TRANSFORM(", ", x0 -> CAST(x0 AS INT))") and affixes("iceberg", t("array(smallint)"), False)[1] == ", x0 -> CAST(x0 AS SMALLINT))"
+    before, after = affixes("iceberg", t("row(a tinyint, b varchar)"), True)
+    assert before + "col" + after == 'ELEMENT_AT(TRANSFORM(ARRAY[col], r -> IF(r IS NULL, NULL, CAST(ROW(CAST(r[1] AS INT), r[2]) AS ROW("a" INT, "b" VARCHAR)))), 1)'
