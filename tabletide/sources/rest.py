@@ -18,6 +18,7 @@ from ..errors import TideError
 from ..functions import decode
 from ..operators.rows import decoded
 from ..schema import Schema
+from ..session import importable
 
 #: Rows in a page, retries, and seconds before the first retry, doubled for each further one.
 PAGE, RETRIES, WAIT = 250, 3, 5.0
@@ -100,6 +101,7 @@ class _Reader(DataSourceReader):
 
 
 def read_pages(spark: SparkSession, url: str, schema: Schema, options: dict | None = None) -> DataFrame:
+    importable(spark)
     spark.dataSource.register(PagedSource)
     given = {k: str(v) for k, v in (options or {}).items() if not isinstance(v, (dict, list))}
     given |= {f"header.{k}": str(v) for k, v in ((options or {}).get("header") or {}).items()}
