@@ -9,16 +9,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import importable
+
 #: UTF-8 bytes of text that an operator works on at a time in Python.
 SLICE_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def ids_and_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
     """The two columns an operator reads, under fixed names, whatever else the table holds."""
+    importable(docs.sparkSession)
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), *more)
 
 

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import importable
 from .common import checkpoint, ids_and_texts, slices
 from .words import Batch, encoded, grams, sliding_min
 
@@ -145,6 +146,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram:
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 5, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of `docs`, all columns as they are, in whose text no window of the benchmark occurs; see contamination()."""
+    importable(docs.sparkSession)
     out = docs
     for block in _blocks(benchmark, item_id_col, item_text_col):
         index = docs.sparkSession.sparkContext.broadcast(Index(block, window, gram))

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import importable
+
 #: Pages of a host that are compared at a time, and their bytes; a host's other pages are compared in further groups.
 GROUP_PAGES = 96
 GROUP_BYTES = 8 << 20
@@ -333,6 +335,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     Pages are dealt out in ranges of host and a hash of the id, so a host with a third of all pages spreads over many tasks, and tasks
     hold about two groups of pages at a time.
     """
+    importable(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract(pages[url_col].cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = pages.select(host.alias("host"), pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), pages[html_col].cast("string").alias("html"))
     spread = F.xxhash64("page_id")

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import importable
+
 #: Pieces that are packed together; larger groups waste less in their last bins and take longer.
 GROUP = 4096
 #: What a bin costs besides its length.
@@ -105,6 +107,7 @@ def best_fit(docs: DataFrame, length: Column, sizes: Sequence[int], bin_cost: fl
     Pieces are packed in groups of about `group`, dealt out by a hash of id, piece and copy; only numbers are
     shuffled, and a task holds one group at a time.
     """
+    importable(docs.sparkSession)
     if not sizes or min(sizes) < 1:
         raise ValueError("the permitted sizes have to be positive")
     most = max(sizes)
