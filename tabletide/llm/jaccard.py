@@ -406,11 +406,12 @@ def _verified(rows: DataFrame, facts: DataFrame, clusters: DataFrame, rule: Rule
     members = checkpoint(members.withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("split")).cast("int")))
     pivot = F.pmod(F.xxhash64("node", F.lit("pivot")), F.col("nodes")) < PIVOTS
     blocks_of = F.when((F.col("split") > 1) & pivot, F.sequence(F.lit(0), F.col("split") - 1)).otherwise(F.array("block"))
-    fetched = _fetched(rows, members.select("first_id", "cluster", blocks_of.alias("blocks"), "node"))
-    grouped = fetched.select("cluster", F.explode("blocks").alias("block"), "node", "text").repartition("cluster", "block").sortWithinPartitions("cluster", "block")
+    # the candidates' texts are kept, so that all texts are dealt out once only
+    texts = checkpoint(_fetched(rows, members.select("first_id", "cluster", blocks_of.alias("blocks"), "node", (F.col("split") > 1).alias("large"))))
+    grouped = texts.select("cluster", F.explode("blocks").alias("block"), "node", "text").repartition("cluster", "block").sortWithinPartitions("cluster", "block")
     links = checkpoint(grouped.mapInArrow(_compare(rule), "a long, b long"))
     block = F.pmod(F.xxhash64("node", F.lit("rest")), F.col("rest_split")).cast("int")
-    large = members.where("split > 1").select("cluster", "node", "first_id", "size", F.col("rest_split").alias("split"), block.alias("block"))
+    large = members.where("split > 1").select("cluster", "node", "size", F.col("rest_split").alias("split"), block.alias("block"))
     if not large.limit(1).count():
         return links
     # between blocks: whatever is not in a split cluster's main component is compared with all the cluster's blocks
@@ -419,10 +420,11 @@ def _verified(rows: DataFrame, facts: DataFrame, clusters: DataFrame, rule: Rule
     counts = large.groupBy("cluster", "label").agg(F.sum("size").alias("n"))
     main = counts.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("main"), (F.sum("n") - F.max("n")).alias("odd"))
     large = checkpoint(large.join(main.where("odd > 0"), "cluster").withColumn("chunks", F.ceil(F.col("odd") * 2 / BLOCK_GRAMS).cast("int")))
-    rest = large.select("first_id", "cluster", F.array("block").alias("blocks"), F.sequence(F.lit(0), F.col("chunks") - 1).alias("chunk"), F.lit(False).alias("odd"), "node", "label")
+    rest = large.select("cluster", F.array("block").alias("blocks"), F.sequence(F.lit(0), F.col("chunks") - 1).alias("chunk"), F.lit(False).alias("odd"), "node", "label")
     chunk = F.array(F.pmod(F.xxhash64("node", F.lit("chunk")), F.col("chunks")).cast("int"))
-    odd = large.where("label <> main").select("first_id", "cluster", F.sequence(F.lit(0), F.col("split") - 1).alias("blocks"), chunk.alias("chunk"), F.lit(True).alias("odd"), "node", "label")
-    both = _fetched(rows, rest.union(odd)).select("cluster", F.explode("blocks").alias("block"), "chunk", "odd", "node", "label", "text")
+    odd = large.where("label <> main").select("cluster", F.sequence(F.lit(0), F.col("split") - 1).alias("blocks"), chunk.alias("chunk"), F.lit(True).alias("odd"), "node", "label")
+    texts = texts.where("large").select("node", "text")
+    both = rest.union(odd).join(texts, "node").select("cluster", F.explode("blocks").alias("block"), "chunk", "odd", "node", "label", "text")
     both = both.select("cluster", "block", F.explode("chunk").alias("chunk"), "odd", "node", "label", "text")
     pairs = both.repartition("cluster", "block", "chunk").sortWithinPartitions("cluster", "block", "chunk")
     return links.union(pairs.mapInArrow(_compare_rest(rule), "a long, b long"))
