@@ -62,37 +62,23 @@ def read_cells(spark: SparkSession, path: str, schema: Schema, kind: str, one_li
     reader = spark.read.option("recursiveFileLookup", True)
     if kind == "csv":
         names = [c.name for c in schema.table.columns]
-        inner = [f"c{i}" for i in range(len(names))]  # names that differ in case only are told apart by place
-        reader = reader.options(quote='"', escape='"', multiLine=not one_line, mode="FAILFAST", header=True, enforceSchema=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        df = reader.schema(text_schema(inner)).csv(path)
-        return shape.with_stream(df, path, is_folder).toDF(*names, "__stream")
+        # enforceSchema off: each file's own reader compares its header with the names, so there is no pass for that
+        reader = reader.options(quote='"', escape='"', multiLine=not one_line, mode="FAILFAST", header=True, enforceSchema=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        df = reader.schema(text_schema(names)).csv(path)
+        return shape.with_stream(df, path, is_folder)
     lines = reader.text(path).withColumnRenamed("value", "__line")
     lines = shape.with_stream(lines, path, is_folder).where(F.length(F.trim("__line")) > 0)
     return lines.select(*decode.from_json_text(schema, F.col("__line")), "__stream")
 
 
-def headers(spark: SparkSession, path: str) -> list[list[str]]:
-    """The different headers of the CSV files at a path: the first record of each file, as it is parsed."""
-    # a header may be quoted and hold line breaks, so Spark's reader reads it; only distinct headers reach the driver
-    files = [p for p, n in Files(spark, path).listed() if n]
-    found: dict[tuple[str, ...], None] = {}
-    first = spark.read.options(header=True, quote='"', escape='"', multiLine=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, inferSchema=False)
-    if files:
-        found[tuple(_plain_header(spark, files[0], first))] = None
-    if len(files) > 1:
-        lines = spark.read.option("recursiveFileLookup", True).text(path, wholetext=False).select("value", F.col("_metadata.file_block_start").alias("at"), F.col("_metadata.file_path").alias("file"))
-        # the line at the beginning of each file; monotonic ids ascend within a file's split
-        tops = lines.where("at = 0").withColumn("id", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", "id").alias("top")).groupBy("top").agg(F.min("file").alias("file"))
-        for row in tops.limit(10).collect():
-            found[tuple(_plain_header(spark, row["file"], first))] = None
-    return [list(x) for x in found]
-
-
-def _plain_header(spark: SparkSession, file: str, reader) -> list[str]:
-    """A file's header as text; Spark's reader would change names that differ in case only."""
+def header(spark: SparkSession, path: str) -> list[str] | None:
+    """The header of the first CSV file at a path that isn't empty: its first record, as text."""
     import csv
     import io
 
+    file = next((p for p, n in Files(spark, path).listed() if n), None)
+    if file is None:
+        return None
     top = spark.read.option("lineSep", "\n").text(file).limit(50).collect()
     return next(csv.reader(io.StringIO("\n".join(r[0] for r in top))))
 
@@ -103,10 +89,10 @@ def header_schema(spark: SparkSession, path: str) -> Schema:
         raise TideError(f"cannot tell the schema of the folder {path}")
     if format_of(extension(path), None) != "csv":
         raise TideError(f"only CSV files tell their columns, which {path} is not")
-    found = headers(spark, path)
+    found = header(spark, path)
     if not found:
         raise TideError(f"{path} has no header")
-    return Schema(Table(path.rsplit("/", 1)[-1].split(".", 1)[0], tuple(Column(n, TEXT) for n in found[0])))
+    return Schema(Table(path.rsplit("/", 1)[-1].split(".", 1)[0], tuple(Column(n, TEXT) for n in found)))
 
 
 def scan(spark: SparkSession, path: str, schema: Schema, kind: str | None = None, one_line: bool = False) -> DataFrame:
@@ -115,9 +101,8 @@ def scan(spark: SparkSession, path: str, schema: Schema, kind: str | None = None
     if not files.exists():
         raise TideError(f"{path} does not exist")
     kind = format_of(common_extension(p for p, _ in files.listed()), kind)
-    if kind == "csv":
-        for found in headers(spark, path):
-            check_header(found, schema)
+    if kind == "csv" and (found := header(spark, path)) is not None:
+        check_header(found, schema)  # the other files' headers are compared as they are read
     cells = read_cells(spark, path, schema, kind, one_line)
     typed = decoded(cells, schema)
     fields = [decode.column(schema, c, F.col(f"`{c.name.replace('`', '``')}`")).cast(f.dataType).alias(c.name, metadata=f.metadata) for c, f in zip(schema.table.columns, typed.schema.fields)]

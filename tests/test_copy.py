@@ -84,8 +84,12 @@ def test_folders_keep_streams(sql, put, tmp_path):
 def test_headers_have_to_be_the_schemas(sql, put, tmp_path):
     schema = "postgres-sql:" + put("t.sql", "CREATE TABLE t (a text, b text)")
     put("in/1.csv", "a,b\n1,x\n"), put("in/2.csv", "b,a\n1,x\n")
-    with pytest.raises(TideError, match="columns are"):
+    with pytest.raises(Exception, match="columns are|CSV header"):
         copy.copy(sql, f"file:{tmp_path}/in/", f"file:{tmp_path}/x.csv", schema=schema)
+    one = put("one.csv", "a,B\n1,x\n")
+    with pytest.raises(TideError, match="columns are"):
+        copy.copy(sql, f"file:{one}", f"file:{tmp_path}/x.csv", schema=schema)
+    assert not os.path.exists(tmp_path / "x.csv")
 
 
 def test_names_that_differ_in_case_only(sql, put, tmp_path):
