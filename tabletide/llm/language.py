@@ -16,12 +16,13 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import importable
 from .common import ids_and_texts, slices
 
 #: Hashed n-gram dimensions.
 DIMENSIONS = 1 << 14
 #: Documents that a model is fitted on, at most, over all languages together; sampled evenly by language.
-TRAINING_DOCS = 2000
+TRAINING_DOCS = 1200
 #: Languages that a model can learn; the most frequent, if there are more.
 LANGUAGES = 128
 #: Difference in mean loss a bit below which two languages count as equally near.
@@ -105,6 +106,7 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, limit: int = TRAININ
 
     Null labels and texts teach nothing.  Only hashed n-gram counts of the sample, which its size bounds, reach the driver.
     """
+    importable(labelled.sparkSession)
     rows = labelled.select(labelled[label_col].cast("string").alias("label"), labelled[text_col].cast("string").alias("text")).where("label is not null and text is not null")
     found = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).collect()
     found = sorted((x["label"], x["count"]) for x in found)
@@ -152,6 +154,7 @@ def identify(docs: DataFrame, model: Model, *more: Column, id_col: str = "doc_id
 
 def known_language(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of `docs`, all columns as they are, that identify() doesn't reject as `und`; ambiguous ones stay."""
+    importable(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
