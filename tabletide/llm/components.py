@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint
 
+#: Edges for a task.
+EDGES = 50_000
+
 
 def smallest_labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The nodes of the edges a-b, ascending, and for each the smallest node it is connected with."""
@@ -32,17 +35,20 @@ def connected(edges: DataFrame) -> DataFrame:
 
     Large and small stars in turn: every node first links its larger neighbours, then its smaller ones, to the smallest it knows.
     Each round is a partial minimum by node and a join with it, so no node's neighbours are gathered, and each round's edges are
-    written to the shared checkpoint folder.  The number of rounds grows with the logarithm of the longest path.
+    written to the shared checkpoint folder.  The number of rounds grows with the logarithm of the longest path.  Tasks have about
+    EDGES edges, so a small graph doesn't make a file for each of many empty partitions in each exchange.
     """
     edges = checkpoint(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    tasks = edges.count() // EDGES + 1
+    edges = edges.coalesce(tasks)
     while True:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).coalesce(tasks)
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = both.join(low, "a").where("b > a and b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.union(edges.join(low, "a").select("a", F.col("low").alias("b"))).where("a <> b").distinct()
+        large = large.union(edges.join(low, "a").select("a", F.col("low").alias("b"))).where("a <> b").coalesce(tasks).distinct().coalesce(tasks)
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e"))
-        edges = checkpoint(small.select("e.a", "e.b").where("a <> b").distinct())
+        edges = checkpoint(small.select("e.a", "e.b").where("a <> b").coalesce(tasks).distinct().coalesce(tasks))
         if not edges.join(edges.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count() and not edges.groupBy("a").count().where("count > 1").limit(1).count():
             break
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
