@@ -11,19 +11,24 @@ from __future__ import annotations
 
 import html
 import re
+import tempfile
 from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import importable
+from .common import checkpoint
 
-#: Pages of a host that are compared at a time, and their bytes; a host's other pages are compared in further groups.
+#: Pages of a host that are compared at a time, at least, if it has as many; beyond twice as many they are compared in further groups.
 GROUP_PAGES = 96
-GROUP_BYTES = 8 << 20
+#: Bytes of pages that a task holds; a group's pages beyond it wait in a file, and are parsed anew each time they are looked at.
+GROUP_BYTES = 16 << 20
+#: A host is hot, and dealt over several tasks, if it has over one in so many of all pages; so there are fewer hot hosts than this.
+HOT_SHARE = 4096
 #: Fewer pages than this tell nothing of a template.
 LEAST_PAGES = 4
 #: The share of a group's pages that a template's token is on, and how many tokens a class has at least.
@@ -193,29 +198,41 @@ def _ordered(tokens: list, places: list[dict]) -> list:
     return tokens
 
 
-def template_words(pages: list[Page]) -> dict[str, set[str]]:
-    """For each path the words of the template that the pages share."""
-    n = len(pages)
-    if n < LEAST_PAGES:
-        return {}
-    least = max(LEAST_PAGES - 1, int(SUPPORT * n))
-    counts: list[dict[str, Counter]] = []
-    pages_of: dict[str, Counter] = defaultdict(Counter)
-    for page in pages:
+def _vectors(pages: Sequence[Page], order: Sequence[int], least: int) -> dict[str, dict[str, dict[int, int]]]:
+    """By path and word, for those on `least` pages or more, how often each page that has it does.
+
+    What misses more pages than it may is let go, and what comes up too late isn't begun: pages that share little leave nothing held.
+    """
+    may_miss = len(pages) - least
+    found: dict[str, dict[str, dict[int, int]]] = defaultdict(dict)
+    for seen, i in enumerate(order):
         own: dict[str, Counter] = defaultdict(Counter)
-        for path, words, *_ in page.blocks:
+        for path, words, *_ in pages[i].blocks:
             own[path].update(words)
-        counts.append(own)
         for path, c in own.items():
-            pages_of[path].update(c.keys())
-    frequent = {path: {w for w, k in c.items() if k >= least} for path, c in pages_of.items()}
+            held = found[path] if seen <= may_miss else found.get(path, {})
+            for w, k in c.items():
+                if w in held:
+                    held[w][i] = k
+                elif seen <= may_miss:
+                    held[w] = {i: k}
+        if seen >= may_miss and (seen - may_miss) % 8 == 0 or seen == len(pages) - 1:
+            found = defaultdict(dict, {p: h for p, held in found.items() if (h := {w: v for w, v in held.items() if seen + 1 - len(v) <= may_miss})})
+    return found
+
+
+def template_words(pages: Sequence[Page], order: Sequence[int] | None = None) -> dict[str, set[str]]:
+    """For each path the words of the template that the pages share.  Pages are counted in `order`, of which nothing depends but memory."""
+    n = len(pages)
+    if n < LEAST_PAGES:
+        return {}
+    frequent = _vectors(pages, order or range(n), max(LEAST_PAGES - 1, int(SUPPORT * n)))
     # a word that is on every page equally often has a role for each time; each role is a token of its own
     classes: dict[tuple, list[tuple[str, str, int]]] = defaultdict(list)
     roles: dict[tuple[str, str], int] = {}
-    for path, words in frequent.items():
-        own = [c.get(path) or Counter() for c in counts]
-        for w in words:
-            vector = tuple(c[w] for c in own)
+    for path, words in sorted(frequent.items()):
+        for w, held in sorted(words.items()):
+            vector = tuple(held.get(i, 0) for i in range(n))
             if len({*vector} - {0}) == 1 and max(vector) <= MOST_ROLES:
                 roles[path, w] = max(vector)
                 classes[tuple(map(bool, vector))].extend((path, w, k) for k in range(max(vector)))
@@ -277,49 +294,96 @@ def _repeats(token, first, places: list[dict]) -> bool:
     return True
 
 
-def main_texts(sources: list[str | None]) -> list[str]:
-    """The main text of each of some pages of one host."""
-    pages = [Page(x or "") for x in sources]
-    shared = template_words(pages)
-    out = []
+def _texts(pages: Sequence[Page], order: Sequence[int] | None = None) -> Iterator[str]:
+    shared = template_words(pages, order)
     for page in pages:
         # where the page marks an article, nothing outside it is main text; elsewhere blocks that are links mostly are not either
         blocks = [b for b in page.blocks if not b[2] and (b[3] if page.has_article else b[4] * 2 <= len(b[1]))]
         free = [b for b in blocks if not shared.get(b[0], set()).issuperset(b[1])]
-        out.append("\n".join(" ".join(b[1]) for b in free or blocks))
-    return out
+        yield "\n".join(" ".join(b[1]) for b in free or blocks)
+
+
+def main_texts(sources: list[str | None]) -> list[str]:
+    """The main text of each of some pages of one host."""
+    return list(_texts([Page(x or "") for x in sources]))
+
+
+class Sources(Sequence):
+    """Pages that are parsed each time they are looked at, from rows [page_id, url, text or file, size, repetitions]."""
+
+    def __init__(self, rows: list[list]):
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> Page:
+        source = self.rows[i][2]
+        if not isinstance(source, str):
+            source.seek(0)
+            source = source.read().decode("utf-8", "surrogatepass")
+        return Page(source)
+
+    def texts(self) -> Iterator[tuple[int | None, str | None, str]]:
+        """Of each row and each repetition."""
+        shortest = sorted(range(len(self)), key=lambda i: self.rows[i][3])
+        pages = [self[i] for i in range(len(self))] if all(isinstance(r[2], str) for r in self.rows) else self
+        for (page_id, url, _, _, n), text in zip(self.rows, _texts(pages, shortest)):
+            for _ in range(n):
+                yield page_id, url, text
+
+
+def _filed(source: str):
+    """A nameless file of the text, in this machine's own folder, that goes when it is no longer referred to."""
+    file = tempfile.TemporaryFile()
+    file.write(source.encode("utf-8", "surrogatepass"))
+    return file
 
 
 _SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (host, page_id, url, html) sorted by host."""
-    now, held, size = None, [], 0
+    """From rows (host, bucket, page_id, url, html), those of a host and bucket together and repeated ones one after another."""
+    now, before, held, size = None, None, [], 0
+
+    def table(done):
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done), _SCHEMA)], schema=_SCHEMA)
 
     def out(rows):
-        texts = main_texts([r[2] for r in rows])
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(([r[0] for r in rows], [r[1] for r in rows], texts, list(map(len, texts))), _SCHEMA)], schema=_SCHEMA)
+        done, n = [], 0
+        for page_id, url, text in Sources(rows).texts():
+            done.append((page_id, url, text, len(text)))
+            n += len(text)
+            if n > GROUP_BYTES:
+                yield table(done)
+                done, n = [], 0
+        if done:
+            yield table(done)
 
     def last():
         # what is left is not cut so that a few pages stand alone
         half = len(held) // 2 if len(held) > GROUP_PAGES else len(held)
         for rows in (held[:half], held[half:]):
             if rows:
-                yield out(rows)
+                yield from out(rows)
 
     for batch in batches:
-        for host, *row in zip(*(c.to_pylist() for c in batch.columns)):
-            n = len(row[2] or "")
-            if host != now or held and size + n > 2 * GROUP_BYTES:
+        for host, bucket, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if (host, bucket) != now:
                 yield from last()
-                now, held, size = host, [], 0
-            held.append(row)
-            size += n
+                now, before, held, size = (host, bucket), None, [], 0
+            if row == before:
+                held[-1][4] += 1
+                continue
+            before, source = row, row[2] or ""
             if len(held) >= 2 * GROUP_PAGES:
-                yield out(held[:GROUP_PAGES])
+                yield from out(held[:GROUP_PAGES])
                 held = held[GROUP_PAGES:]
-                size = sum(len(r[2] or "") for r in held)
+                size = sum(r[3] for r in held if isinstance(r[2], str))
+            fits = size + len(source) <= GROUP_BYTES
+            size += len(source) * fits
+            held.append([row[0], row[1], source if fits else _filed(source), len(source), 1])
     yield from last()
 
 
@@ -332,11 +396,19 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     from the template, its blocks are kept, as on hosts with too few pages to compare.  Pages with a null url count as one host's.
     Repeated rows are answered each; other columns are ignored; an empty table gives an empty result.
 
-    Pages are dealt out in ranges of host and a hash of the id, so a host with a third of all pages spreads over many tasks, and tasks
-    hold about two groups of pages at a time.
+    Pages of one host are compared with 47 others at least, if it has as many: pages of a hot host are dealt out by a hash in buckets of
+    GROUP_PAGES to twice as many on average, other hosts' pages stay together; a task cuts what it gets of a host in groups by their
+    number, never by their length.  Repeated rows count once there.  Tasks hold about two groups of pages at a time, of long pages
+    GROUP_BYTES.
     """
     importable(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract(pages[url_col].cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = pages.select(host.alias("host"), pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), pages[html_col].cast("string").alias("html"))
-    spread = F.xxhash64("page_id")
-    return rows.repartitionByRange("host", spread).sortWithinPartitions("host", spread).mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")
+    rows = rows.withColumn("key", F.xxhash64("page_id", "url", "html"))
+    counts = checkpoint(rows.select("host", "key").distinct().groupBy("host").count())
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    hot = counts.where((F.col("count") * HOT_SHARE > total) & (F.col("count") >= 2 * GROUP_PAGES)).select("host", F.floor(F.col("count") / GROUP_PAGES).alias("buckets"))
+    bucket = F.coalesce(F.pmod(F.xxhash64("key", F.lit("bucket")), "buckets"), F.lit(0))
+    rows = rows.join(F.broadcast(hot), "host", "left").withColumn("bucket", bucket)
+    rows = rows.repartition("host", "bucket").sortWithinPartitions("host", "bucket", "key").select("host", "bucket", "page_id", "url", "html")
+    return rows.mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")

@@ -82,3 +82,40 @@ def test_tables(spark, small):
 
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in main_text(odd).collect()) == [(0, "y", 1), (1, "", 0), (1, "", 0), (2, "x", 1)]
     assert main_text(odd.where("false")).collect() == []
+
+
+def plain(i, text):
+    return f"<div>Welcome to our small site</div><div>{text}</div><div>All rights reserved by us</div>"
+
+
+def test_no_page_of_a_large_host_stands_alone(spark):
+    """Each page of a host with many is compared with others, wherever tasks begin and end."""
+    from tabletide.llm.html import main_text
+
+    many = {"spark.sql.shuffle.partitions": "400", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in many}
+    rng = random.Random(3)
+    pages = [(i, f"http://{'hot' if i % 3 else 'other'}.example/{i}", words(rng, 9)) for i in range(1500)]
+    df = spark.createDataFrame([(i, url, plain(i, text)) for i, url, text in pages], "page_id long, url string, html string")
+    try:
+        for k, v in many.items():
+            spark.conf.set(k, v)
+        got = {r.page_id: r.text for r in main_text(df.repartition(7)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: text for i, _, text in pages}
+    assert main_text(df.where("page_id < 9").union(df.where("page_id = 7"))).where("page_id = 7").count() == 2
+
+
+def test_long_pages_are_compared(monkeypatch):
+    """Groups are cut by the number of pages only; what doesn't fit in memory waits in files."""
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    monkeypatch.setattr(H, "GROUP_BYTES", 1000)
+    texts = [words(rng, 900 if i in (3, 4) else 400 if i % 5 == 0 else 6) for i in range(250)]
+    rows = [("h", 0, i, "u", plain(i, text)) for i, text in enumerate(texts)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(("host", "bucket", "page_id", "url", "html"), r)) for r in rows[a : a + 70]]) for a in range(0, 250, 70)]
+    got = [x for b in H._extracted(iter(batches)) for x in zip(*(c.to_pylist() for c in b.columns))]
+    assert sorted(got) == [(i, "u", text, len(text)) for i, text in enumerate(texts)]
