@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabletide.llm import exact, jaccard
 from tabletide.llm.common import held_out, read
 from tabletide.llm.decontaminate import clean
-from tabletide.llm.exact import exact_duplicates
-from tabletide.llm.jaccard import similar_components
 from tabletide.llm.language import fit, known_language
 from tabletide.llm.packing import best_fit
 from tabletide.llm.queries import SEQUENCE_LENGTHS
@@ -16,9 +15,16 @@ from tabletide.llm.queries import SEQUENCE_LENGTHS
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of `docs` with these ids, one for each id."""
-    return docs.join(ids.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+def _id() -> Column:
+    """What the stages that choose rows take for the id: a null one counts as an id of the text's own that is larger than others."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1) - F.pmod(F.xxhash64("text"), F.lit(1 << 48)))
+
+
+def _chosen(docs: DataFrame, digest: Column, kept: DataFrame) -> DataFrame:
+    """The rows of `docs` whose id and digest are those of a row of `kept`, one for each."""
+    keys = ["__id", "__digest"]
+    found = docs.withColumn("__id", _id()).withColumn("__digest", digest).join(kept.toDF(*keys), keys, "left_semi")
+    return found.dropDuplicates(keys).select(*docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,13 +33,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, the one with the smallest doc_id."""
-    return _chosen(docs, exact_duplicates(docs).where("kept"))
+    """Of documents with equal texts, the one with the smallest doc_id; any one of rows that repeat it.
+
+    Of an id with several texts, each text counts as a document.  Null ids come after others; of a text that has null ids only, one
+    row is kept.
+    """
+    found = exact.exact_duplicates(docs.withColumn("__id", _id()), id_col="__id")
+    return _chosen(docs, exact.digest(F.col("text")), found.where("kept").select("doc_id", "text_sha256"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of similar five-word shingles, 0.8 or more, connect, the one with the smallest doc_id."""
-    return _chosen(docs, similar_components(docs, words=5, num=4, den=5).where("doc_id = component_id"))
+    """Of documents that links of similar five-word shingles, 0.8 or more, connect, the one with the smallest doc_id.
+
+    Of an id with several texts, each text counts as a document; one that links connect with another of them isn't kept beside it.
+    Null ids come after others; of documents with null ids only that links connect, one is kept.
+    """
+    found = jaccard.one_of_each(docs.withColumn("__id", _id()), words=5, num=4, den=5, id_col="__id")
+    return _chosen(docs, jaccard.digest(F.col("text")), found)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

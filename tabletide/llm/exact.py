@@ -11,7 +11,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpoint, ids_and_texts
@@ -137,6 +137,15 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def digest(text: Column) -> Column:
+    """The text_sha256 that exact_duplicates() gives a text."""
+    return F.sha2(F.encode(_plain(text), "UTF-8"), 256)
+
+
+def _plain(text: Column) -> Column:
+    return F.regexp_replace(F.coalesce(text, F.lit("")), RUNS, " ")
+
+
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: one row for each row of `docs`, with the owner of its text.
 
@@ -146,8 +155,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     An empty table gives an empty result.  Other columns are ignored.
     """
     rows = ids_and_texts(docs, id_col, text_col)
-    text = F.regexp_replace(F.coalesce("text", F.lit("")), RUNS, " ")
-    rows = rows.select("doc_id", text.alias("text"))
+    rows = rows.select("doc_id", _plain(F.col("text")).alias("text"))
     local = rows.select("doc_id", F.encode("text", "UTF-8").alias("text"), F.octet_length("text").cast("long").alias("length"), F.xxhash64("text").alias("hash")).mapInArrow(_local, "length long, hash long, text binary, owner long, n long")
     owners = checkpoint(local.repartition("length", "hash").sortWithinPartitions("length", "hash").mapInArrow(_merged, "sha string, keep_id long, group_size long"))
     total = owners.agg(F.sum("group_size")).first()[0] or 0

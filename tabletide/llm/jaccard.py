@@ -17,7 +17,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
@@ -100,14 +100,14 @@ def node_of(found: np.ndarray) -> int:
     return int(value.astype(np.int64))
 
 
-_FACTS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64())])
+_FACTS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("digest", pa.int64())])
 
 
 def _facts(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in slices(batches):
             own = sets_of(texts, rule.words)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([len(x) for x in own], pa.int64()), pa.array([node_of(x) for x in own], pa.int64())], schema=_FACTS)
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([len(x) for x in own], pa.int64()), pa.array([node_of(x) for x in own], pa.int64()), rows.column(2)], schema=_FACTS)
 
     return run
 
@@ -381,10 +381,32 @@ def similar_components(docs: DataFrame, words: int = 5, num: int = 4, den: int =
 
     n-grams and whole sets are compared as 64-bit hashes.  No link is lost: see Rule.lists and Rule.shared_sizes.
     """
-    rule = Rule(words, num, den)
+    return _components(docs, Rule(words, num, den), id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def digest(text: Column) -> Column:
+    """The digest that one_of_each() gives a text."""
+    return F.xxhash64(text)
+
+
+def one_of_each(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, digest: the id and the text of one document of each component that similar_components() finds.
+
+    It has the component's smallest id.  If several texts have that id, one is taken by the hash of its set, then of the text.  Each
+    text without words is a component of its own, with each of its ids.
+    """
+    found = _components(docs, Rule(words, num, den), id_col, text_col)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("node") == F.col("owner")))
+    own = F.when(F.col("n_shingles") == 0, F.col("digest")).alias("own")
+    return kept.groupBy("doc_id", "node", own).agg(F.min("digest").alias("digest")).select("doc_id", "digest")
+
+
+def _components(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, n_shingles, component_id, node, digest, owner: the owner is the node that stands for the component."""
     rows = ids_and_texts(docs, id_col, text_col)
     parts = partitions(rows, 4.0)
-    facts = checkpoint(rows.mapInArrow(_facts(rule), "doc_id long, n_shingles long, node long"))
+    digested = rows.withColumn("digest", digest(F.col("text")))
+    facts = checkpoint(digested.mapInArrow(_facts(rule), "doc_id long, n_shingles long, node long, digest long"))
     counted = blocks.by_part(rows.mapInArrow(_count(rule, parts), blocks.DDL), parts)
     ranked = blocks.by_part(counted.mapInArrow(_rank(parts), blocks.DDL), parts)
     lists = blocks.by_part(ranked.mapInArrow(_enter(rule, parts), blocks.DDL), parts)
@@ -439,14 +461,16 @@ def _named(facts: DataFrame, labels: DataFrame) -> DataFrame:
     """Facts with component ids; sets without links are their own components."""
     first = facts.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows"))
     first = first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    lowest = first.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    lowest = first.groupBy("label").agg(F.min(F.struct(F.col("first_id").isNull(), "first_id", "node")).alias("least"))
+    lowest = lowest.select("label", F.col("least.first_id").alias("component_id"), F.col("least.node").alias("owner"))
     # only nodes that stand for several documents or have links need a join; a node's rows are few or, if one text is very frequent, hot
     total = facts.count()
-    named = checkpoint(first.join(lowest, "label").select("node", "component_id", "rows").where("rows > 1 or component_id <> first_id"))
-    hot = named.where(F.col("rows") * 1000 > total).select("node", F.col("component_id").alias("hot_id"))  # fewer than 1000 rows
+    named = checkpoint(first.join(lowest, "label").where("rows > 1 or node <> owner").select("node", "component_id", "owner", "rows"))
+    hot = named.where(F.col("rows") * 1000 > total).select("node", F.col("component_id").alias("hot_id"), F.col("owner").alias("hot_owner"))  # fewer than 1000 rows
     found = facts.join(F.broadcast(hot), "node", "left")
     key = F.when(F.col("hot_id").isNull() & (F.col("n_shingles") > 0), F.col("node"))
-    rest = named.where(F.col("rows") * 1000 <= total).select(F.col("node").alias("key"), "component_id")
+    rest = named.where(F.col("rows") * 1000 <= total).select(F.col("node").alias("key"), "component_id", "owner")
     # rows without a key are dealt out by their ids, and match nothing
     found = found.withColumn("key", F.coalesce(key, F.xxhash64("doc_id"))).withColumn("keyed", key.isNotNull()).join(rest.withColumn("keyed", F.lit(True)), ["key", "keyed"], "left")
-    return found.select("doc_id", "n_shingles", F.coalesce("hot_id", "component_id", "doc_id").alias("component_id"))
+    component = F.coalesce("hot_id", "component_id", "doc_id").alias("component_id")
+    return found.select("doc_id", "n_shingles", component, "node", "digest", F.coalesce("hot_owner", "owner", "node").alias("owner"))

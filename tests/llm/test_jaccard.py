@@ -113,3 +113,9 @@ def test_hot_words(spark, monkeypatch):
     docs = [(i, f"{text} {common}" if rng.random() < 0.7 else common) for i, text in near_copies(9, 150, [2, 4, 10, 30, 50], 0.05)]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.similar_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), 2, 4, 5).collect()}
     assert got == brute(docs, 2, 4, 5)
+
+
+def test_null_id_of_a_near_copy(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(None, long + " more"), (3, long)], "doc_id long, text string")
+    assert sorted(map(tuple, J.similar_components(docs, 3, 9, 10).collect()), key=str) == sorted([(None, 59, 3), (3, 58, 3)], key=str)

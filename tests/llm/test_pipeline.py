@@ -49,3 +49,26 @@ def test_stages(spark, small, tmp_path):
 
 def test_run(spark, small):
     assert corpus_pipeline.run(spark, small).count() > 0
+
+
+def test_null_and_repeated_ids(spark, small):
+    """No text is lost because its row has no id or shares it, and none stays beside its copy."""
+    long = " ".join(f"w{i}" for i in range(60))
+    near = long + " more"
+    a, b = "a b c d e f g", "h i j k l m n"
+    stages = dict(corpus_pipeline.STAGES)
+
+    def kept(stage, rows):
+        docs = spark.createDataFrame([(i, x, "en", "s", None) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+        out = stages[stage](spark, docs, small)
+        assert out.columns == docs.columns
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    shared = [(7, a), (7, b), (3, b)]
+    exact = [(7, a), (3, b), (None, long), (None, ""), (None, near)]
+    assert kept("exact_dedup", [*shared, (None, a), (None, long), (None, long), (None, ""), (None, near)]) == sorted(exact, key=str)
+    assert kept("near_dedup", [*shared, (None, "x"), (None, "x"), (None, "...")]) == sorted([(7, a), (3, b), (None, "x"), (None, "...")], key=str)
+    assert kept("near_dedup", [(None, near), (9, long), (9, a)]) == sorted([(9, long), (9, a)], key=str)
+    assert [x for x, _ in kept("near_dedup", [(None, near), (None, long)])] == [None]
+    assert len(kept("near_dedup", [(5, near), (5, long), (5, b), (6, b), (5, "Y"), (5, "y")])) == 3
+    assert kept("near_dedup", [(5, ""), (5, " "), (5, " ")]) == [(5, " "), (5, "")]
