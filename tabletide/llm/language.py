@@ -13,11 +13,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import importable
-from .common import ids_and_texts, slices
+from .common import checkpoint, ids_and_texts, slices
 
 #: Hashed n-gram dimensions.
 DIMENSIONS = 1 << 14
@@ -101,28 +101,63 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([x.tobytes() for x in at], pa.binary()), pa.array([v[x].tobytes() for v, x in zip(vectors, at)], pa.binary())], schema=_SPARSE)
 
 
+def _least(each: int):
+    """The distinct hashes (label, hash) of a task, of each label the `each` smallest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[str, np.ndarray] = {}
+        kind = None
+        for batch in batches:
+            kind = batch.schema
+            labels = batch.column(0).dictionary_encode()
+            of, hashes = labels.indices.to_numpy(), batch.column(1).to_numpy()
+            for k, label in enumerate(labels.dictionary.to_pylist()):
+                least[label] = np.unique(np.concatenate((least.get(label, hashes[:0]), hashes[of == k])))[:each]
+        for label, found in least.items():
+            yield pa.RecordBatch.from_arrays([pa.array([label] * len(found), kind.field(0).type), pa.array(found, pa.int64())], schema=kind)
+
+    return run
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (label, text, hash) of a task, the first of each label and hash."""
+    seen: set[tuple[str, int]] = set()
+    for batch in batches:
+        new = []
+        for key in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+            new.append(key not in seen)
+            seen.add(key)
+        yield batch.filter(pa.array(new, pa.bool_()))
+
+
 def fit(labelled: DataFrame, text_col: str, label_col: str, limit: int = TRAINING_DOCS) -> Model:
-    """A model of the languages in `label_col`, from a sample of `limit` rows at most, even by language and taken by a hash of the text.
+    """A model of the languages in `label_col`, from a sample of `limit` texts, or 4 of each language if that is more.
 
-    Null labels and texts teach nothing.  Only hashed n-gram counts of the sample, which its size bounds, reach the driver.
+    Each language has the same number of texts in the sample, or all if it has fewer: those with the smallest hashes.  A text counts
+    once in a language, however many rows have it.  Null labels and texts teach nothing.  Only hashed n-gram counts of the sample, which its size bounds, reach the driver.
     """
     importable(labelled.sparkSession)
     rows = labelled.select(labelled[label_col].cast("string").alias("label"), labelled[text_col].cast("string").alias("text")).where("label is not null and text is not null")
     found = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).collect()
-    found = sorted((x["label"], x["count"]) for x in found)
+    found = sorted(x["label"] for x in found)
     if not found:
         return Model([], np.zeros((DIMENSIONS, 0), np.float32), np.zeros(0, np.float32))
     each = max(4, limit // len(found))
-    share = F.element_at(F.create_map(*[F.lit(y) for label, n in found for y in (label, min(1.0, each / n))]), F.col("label"))
-    chance = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1_000_000)) / 1_000_000
-    sample = rows.where(F.coalesce(chance < share, F.lit(False))).orderBy(F.xxhash64("text")).limit(limit + limit // 4)
-    names = [label for label, _ in found]
+    # the smallest hashes of each language: of each partition first, so that a language of most rows isn't sorted in one task
+    hashed = rows.where(F.col("label").isin(found)).select("label", F.xxhash64("text", F.lit("sample")).alias("hash"))
+    hashed = hashed.mapInArrow(_least(each), "label string, hash long").distinct()
+    by_label = Window.partitionBy("label").orderBy("hash")
+    chosen = hashed.withColumn("at", F.row_number().over(by_label)).where(F.col("at") <= each).select("label", "hash")
+    chosen = F.broadcast(checkpoint(chosen))
+    sample = rows.withColumn("hash", F.xxhash64("text", F.lit("sample"))).join(chosen, ["label", "hash"], "left_semi")
+    # a task's repetitions of a text go before the shuffle, the others after it
+    sample = sample.select("label", "text", "hash").mapInArrow(_once, "label string, text string, hash long").dropDuplicates(["label", "hash"]).orderBy("hash", "label").select("label", "text")
     taken = sample.mapInArrow(_sparse, "label string, at binary, value binary").collect()
     x = np.zeros((len(taken), DIMENSIONS), np.float32)
     for i, row in enumerate(taken):
         x[i, np.frombuffer(row["at"], np.uint16)] = np.frombuffer(row["value"], np.float32)
-    code = codewords(len(names))
-    y = code[[names.index(row["label"]) for row in taken]] if taken else np.zeros((0, code.shape[1]), np.float32)
+    code = codewords(len(found))
+    y = code[[found.index(row["label"]) for row in taken]] if taken else np.zeros((0, code.shape[1]), np.float32)
     weights, bias = np.zeros((DIMENSIONS, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
     speed, n = np.zeros_like(weights), max(1, len(taken))
     for _ in range(ITERATIONS if code.shape[1] else 0):  # gradient descent with momentum on the regularised logistic loss
@@ -130,7 +165,7 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, limit: int = TRAININ
         speed = 0.9 * speed - 8.0 * (x.T @ slope / n + 1e-5 * weights)
         weights += speed
         bias -= 1.0 * slope.mean(0)
-    return Model(names, weights, bias)
+    return Model(found, weights, bias)
 
 
 def identify(docs: DataFrame, model: Model, *more: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

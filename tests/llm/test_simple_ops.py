@@ -1,6 +1,7 @@
 """Operators that answer each document by itself, and exact duplicates."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -175,3 +176,20 @@ def test_codewords_differ(n):
 
     code = codewords(n)
     assert len({tuple(x) for x in code.tolist()}) == n and (abs(code.sum(0)) < n).all()
+
+
+def test_language_sample_of_repeated_texts(spark):
+    """Copies of one text take no other text's place in the sample, of their language or of another."""
+    from tabletide.llm import language as L
+
+    rng = random.Random(5)
+    rows = [(lang, "".join(rng.choices(letters, k=60))) for lang, letters in (("en", "abcdefg"), ("es", "hijklmn"), ("fr", "opqrstu")) for _ in range(400)]
+    copies = [("es", "hijk lmn hijk")] * 4000 + [("en", rows[0][1])] * 3000
+
+    def fitted(rows):
+        df = spark.createDataFrame(rows, "label string, text string").repartition(5)
+        return L.fit(df, "text", "label", limit=300)
+
+    once, many = fitted(sorted({*rows, *copies})), fitted(rows + copies)
+    assert once.languages == many.languages == ["en", "es", "fr"]
+    assert (once.weights == many.weights).all() and (once.bias == many.bias).all()
