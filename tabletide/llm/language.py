@@ -23,11 +23,11 @@ from .common import checkpoint, ids_and_texts, slices
 DIMENSIONS = 1 << 14
 #: Documents that a model is fitted on, at most, over all languages together; sampled evenly by language.
 TRAINING_DOCS = 1200
-#: Languages that a model can learn; the most frequent, if there are more.
-LANGUAGES = 128
 #: Difference in mean loss a bit below which two languages count as equally near.
 AMBIGUOUS = 0.02
 ITERATIONS = 150
+#: Losses, of texts by languages by bits, that are held at a time.
+LOSSES = 1 << 23
 UNKNOWN = "und"
 
 _LETTER = regex.compile(r"\p{L}")
@@ -76,8 +76,9 @@ class Model:
             return [(UNKNOWN, 0.0, False)] * len(texts)
         known = [_LETTER.search(x.decode("utf-8", "replace")) is not None for x in texts]
         out: list[tuple[str, float, bool]] = []
-        for a in range(0, len(texts), 256):
-            rows = np.stack([features(x) for x in texts[a : a + 256]])
+        step = max(1, min(256, LOSSES // max(1, self.code.size)))
+        for a in range(0, len(texts), step):
+            rows = np.stack([features(x) for x in texts[a : a + step]])
             margins = np.clip(rows @ self.weights + self.bias, -30, 30)
             loss = np.logaddexp(0, -margins[:, None, :] * self.code[None, :, :]).sum(2)
             best = loss.argmin(1)
@@ -111,8 +112,9 @@ def _least(each: int):
             kind = batch.schema
             labels = batch.column(0).dictionary_encode()
             of, hashes = labels.indices.to_numpy(), batch.column(1).to_numpy()
-            for k, label in enumerate(labels.dictionary.to_pylist()):
-                least[label] = np.unique(np.concatenate((least.get(label, hashes[:0]), hashes[of == k])))[:each]
+            order = np.argsort(of, kind="stable")
+            for label, own in zip(labels.dictionary.to_pylist(), np.split(hashes[order], np.flatnonzero(np.diff(of[order])) + 1)):
+                least[label] = np.unique(np.concatenate((least.get(label, own[:0]), own)))[:each]
         for label, found in least.items():
             yield pa.RecordBatch.from_arrays([pa.array([label] * len(found), kind.field(0).type), pa.array(found, pa.int64())], schema=kind)
 
@@ -134,17 +136,17 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, limit: int = TRAININ
     """A model of the languages in `label_col`, from a sample of `limit` texts, or 4 of each language if that is more.
 
     Each language has the same number of texts in the sample, or all if it has fewer: those with the smallest hashes.  A text counts
-    once in a language, however many rows have it.  Null labels and texts teach nothing.  Only hashed n-gram counts of the sample, which its size bounds, reach the driver.
+    once in a language, however many rows have it.  Every label is learned, so the model and the driver's memory grow with the number
+    of labels.  Null labels and texts teach nothing.  Only hashed n-gram counts of the sample, which its size bounds, reach the driver.
     """
     importable(labelled.sparkSession)
     rows = labelled.select(labelled[label_col].cast("string").alias("label"), labelled[text_col].cast("string").alias("text")).where("label is not null and text is not null")
-    found = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).collect()
-    found = sorted(x["label"] for x in found)
+    found = sorted(x["label"] for x in rows.select("label").distinct().collect())
     if not found:
         return Model([], np.zeros((DIMENSIONS, 0), np.float32), np.zeros(0, np.float32))
     each = max(4, limit // len(found))
     # the smallest hashes of each language: of each partition first, so that a language of most rows isn't sorted in one task
-    hashed = rows.where(F.col("label").isin(found)).select("label", F.xxhash64("text", F.lit("sample")).alias("hash"))
+    hashed = rows.select("label", F.xxhash64("text", F.lit("sample")).alias("hash"))
     hashed = hashed.mapInArrow(_least(each), "label string, hash long").distinct()
     by_label = Window.partitionBy("label").orderBy("hash")
     chosen = hashed.withColumn("at", F.row_number().over(by_label)).where(F.col("at") <= each).select("label", "hash")

@@ -193,3 +193,14 @@ def test_language_sample_of_repeated_texts(spark):
     once, many = fitted(sorted({*rows, *copies})), fitted(rows + copies)
     assert once.languages == many.languages == ["en", "es", "fr"]
     assert (once.weights == many.weights).all() and (once.bias == many.bias).all()
+
+
+def test_every_language_is_learned(spark):
+    from tabletide.llm import language as L
+
+    rows = [(f"l{i:03}", f"{chr(0x4E00 + 40 * i)}{chr(0x4E01 + 40 * i)} " * (5 + k)) for i in range(140) for k in range(4 if i else 9)]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id long, label string, text string")
+    model = L.fit(df, "text", "label")
+    assert len(model.languages) == 140
+    got = {r.doc_id: r.lang_pred for r in L.identify(df, model).collect()}
+    assert sum(got[k] == label for k, (label, _) in enumerate(rows)) >= 0.95 * len(rows)
