@@ -1,8 +1,9 @@
-"""Removal of repeated passages by Relative Lempel-Ziv parsing.
+"""Removal of repeated passages by grouping hashed windows, with results in the form of a relative Lempel-Ziv parse.
 
-A passage is repeated if `window` words in a row occur again somewhere.  Every document is parsed greedily against every reference
-block that may hold a part of it; a factor is a longest run of words that the block has in one place, and those of `window` words or
-more are repeated spans.
+A passage is repeated if `window` words in a row occur again somewhere.  Which windows are is found by sorting and grouping their hashes
+in every reference block that may hold them.  No longest match is searched: a factor is a run of repeated windows that follows one
+other place of each, the first in the block or, for that itself, the next.  Another place could give longer factors, but the same
+repeated windows, and only these decide which words go.
 
 A reference block is an index of the windows whose smallest k-gram, their anchor, falls into one part of all hashes; so equal windows
 are always in one block, and windows that follow each other mostly are too.  At a factor's end the windows that reach over it belong
