@@ -2,7 +2,8 @@
 
 Of every `window - gram + 1` consecutive k-grams of words, the one with the smallest hash is kept as a fingerprint, in documents and in
 benchmark items alike.  So a shared run of `window` words has a shared fingerprint, whatever stands around it.  Fingerprints of the
-documents are joined with those of the benchmark, each hit is extended to the windows around it, and those are compared word by word.
+documents are joined with those of the benchmark, each hit is extended to the windows around it, and those are compared word by word,
+as bytes: hashes only say where to look.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import importable
 from .common import checkpoint, ids_and_texts, slices
-from .words import Batch, encoded, grams, sliding_min
+from .words import Batch, encoded, grams, lowered, sliding_min
 
 #: Bytes of benchmark text whose index is broadcast at a time; a larger benchmark is taken in blocks of about that size.
 BLOCK_BYTES = 4 << 20
@@ -31,30 +32,38 @@ def _find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Windows of benchmark items: by length, their hashes in order, with the words and the items of each."""
+    """Windows of benchmark items: by length, their hashes in order, with the place of each in the items' words, and its items."""
 
     def __init__(self, items: list[tuple[str, bytes]], window: int, gram: int):
         self.window, self.gram = window, min(gram, window)
         self.items = [x for x, _ in items]
-        batch = Batch([x for _, x in items], "alnum", True)
-        prints, found = [], {}
+        batch = Batch([lowered(x) for _, x in items], "alnum", False)
+        self.data, self.word_starts, self.word_ends = batch.data, batch.starts, batch.ends
+        prints: list[np.ndarray] = []
+        found: dict[int, dict[int, list[tuple[int, set[int]]]]] = {}
         for i in range(len(items)):
-            words = batch.hashes[batch.first[i] : batch.first[i + 1]]
+            first = int(batch.first[i])
+            words = batch.hashes[first : batch.first[i + 1]]
             if not len(words):
                 continue
             n = min(window, len(words))
-            for at, h in enumerate(grams(words, n).tolist()):
-                found.setdefault(n, {}).setdefault((h, words[at : at + n].tobytes()), set()).add(i)
+            for at, h in enumerate(grams(words, n).tolist(), first):
+                same = found.setdefault(n, {}).setdefault(h, [])
+                owners = next((x for place, x in same if self._words(place, n) == self._words(at, n)), None)
+                if owners is None:
+                    same.append((at, owners := set()))
+                owners.add(i)
             if n == window:
                 g = grams(words, self.gram)
                 prints.append(g[np.unique(sliding_min(g, window - self.gram + 1))])
         self.prints = np.unique(np.concatenate(prints)) if prints else np.zeros(0, np.uint64)
         self.by_length = {}
         for n, windows in found.items():
-            keys = sorted(windows)
-            hashes = np.array([k[0] for k in keys], np.uint64)
-            words = np.frombuffer(b"".join(k[1] for k in keys), np.uint64).reshape(len(keys), n)
-            self.by_length[n] = (hashes, words, [sorted(windows[k]) for k in keys])
+            rows = [(h, place, sorted(owners)) for h in sorted(windows) for place, owners in windows[h]]
+            self.by_length[n] = (np.array([r[0] for r in rows], np.uint64), [r[1] for r in rows], [r[2] for r in rows])
+
+    def _words(self, at: int, n: int) -> list[bytes]:
+        return [self.data[a:b] for a, b in zip(self.word_starts[at : at + n].tolist(), self.word_ends[at : at + n].tolist())]
 
     def _starts(self, batch: Batch, n: int) -> np.ndarray:
         """Where windows of n words may stand in the batch."""
@@ -72,7 +81,7 @@ class Index:
         cover = np.zeros(len(batch.hashes) + 1, np.int64)
         items: dict[int, set[int]] = {}
         text_of = np.repeat(np.arange(len(batch.first) - 1), np.diff(batch.first))
-        for n, (hashes, words, owners) in self.by_length.items():
+        for n, (hashes, places, owners) in self.by_length.items():
             starts = self._starts(batch, n)
             if not len(starts):
                 continue
@@ -80,8 +89,8 @@ class Index:
             found = _find(hashes, grams(batch.hashes, n)[starts])
             starts, found = starts[found >= 0], found[found >= 0]
             for s, k in zip(starts.tolist(), found.tolist()):
-                own = batch.hashes[s : s + n]
-                while not np.array_equal(words[k], own):
+                own = [lowered(x) for x in batch.words(s, s + n)]
+                while self._words(places[k], n) != own:
                     k += 1
                     if k == len(hashes) or hashes[k] != hashes[k - 1]:
                         break
@@ -145,10 +154,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 5, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns as they are, in whose text no window of the benchmark occurs; see contamination()."""
+    """The rows of `docs`, all columns as they are, in whose text no window of the benchmark occurs; see contamination().
+
+    Rows with null texts, null ids or repeated ids stay, each as often as it stands; an empty benchmark drops nothing.
+    """
     importable(docs.sparkSession)
     out = docs
-    for block in _blocks(benchmark, item_id_col, item_text_col):
+    for i, block in enumerate(_blocks(benchmark, item_id_col, item_text_col)):
         index = docs.sparkSession.sparkContext.broadcast(Index(block, window, gram))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
@@ -164,4 +176,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 5
                 yield whole.filter(pa.array(keep))
 
         out = out.mapInArrow(run, docs.schema)
+        if i % 4 == 3:  # no more than four indexes in a task
+            out = checkpoint(out)
     return out

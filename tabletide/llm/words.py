@@ -3,19 +3,23 @@
 A text's words are runs of bytes that are not separators.  Every separator used in this package is an ASCII byte, and UTF-8 never
 uses ASCII bytes inside a longer character, so the byte runs are exactly the character runs.
 
-A word's hash is a polynomial in its bytes modulo 2**64, shifted to begin at its first byte and then mixed.  It depends on the bytes
-alone, so it is the same in every process, on every machine.
+A word's hash mixes its bytes in, eight at a time, with its length; of words longer than LONG bytes it is a BLAKE2 hash.  No step is
+linear, so no two patterns of bytes cancel out whatever words are hashed, and runs of words are hashed in the same way.  A hash depends
+on the bytes and the seed alone, so it is the same in every process, on every machine.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 U64 = np.uint64
-#: An odd base has an inverse modulo 2**64, so that a word's polynomial can be moved to begin at power 0.
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
-#: Bytes hashed at a time; the temporary arrays take about 60 bytes for each of them.
+#: Odd numbers that states are multiplied with.
+ODD, LENGTH = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
+#: Words beyond so many bytes are hashed one by one.
+LONG = 256
+#: Bytes hashed at a time; the temporary arrays take about 40 bytes for each of them.
 PIECE = 1 << 19
 
 _SPACE = np.zeros(256, bool)
@@ -28,17 +32,8 @@ SEPARATORS = {"space": _SPACE, "alnum": _NOT_ALNUM}
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LOWER_BYTES = _LOWER.tobytes()
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power_table(base: int, n: int) -> np.ndarray:
-    """1, base, base**2, ... modulo 2**64, n of them at least."""
-    table = _powers.get(base)
-    if table is None or len(table) < n:
-        full = np.full(max(n, PIECE + 1), base, U64)
-        full[0] = 1
-        table = _powers[base] = np.multiply.accumulate(full)
-    return table
+#: The bytes of a little-endian number that belong to a word with so many left.
+_LEFT = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -57,18 +52,25 @@ def _spans(separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
 
 
-def _hash_piece(data: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hash_piece(data: np.ndarray, separator: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends = _spans(separator)
     if not len(starts):
         return np.zeros(0, U64), starts, ends
-    prefix = np.zeros(len(data) + 1, U64)
-    np.cumsum((data.astype(U64) + U64(1)) * _power_table(BASE, len(data))[: len(data)], out=prefix[1:])
-    found = (prefix[ends] - prefix[starts]) * _power_table(INVERSE, len(data))[starts]
-    found += (ends - starts).astype(U64) << U64(56)
-    return mix(found), starts, ends
-
-
-def hash_words(data: bytes, kind: str, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    length = ends - starts
+    eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, np.uint8))).data, strides=(1,))  # those that begin at each byte
+    found = mix((length.astype(U64) + U64(seed)) * LENGTH + (eight[starts] & _LEFT[np.minimum(length, 8)]) * ODD)
+    more, done = np.flatnonzero(length > 8), 8
+    while len(more) and done < LONG:
+        left = length[more] - done
+        found[more] = mix(found[more] * ODD + (eight[starts[more] + done] & _LEFT[np.minimum(left, 8)]))
+        done += 8
+        more = more[left > 8]
+    for i in more.tolist():
+        found[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "little")
+    return found, starts, ends
+
+
+def hash_words(data: bytes, kind: str, lower: bool, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The hashes of the words of `data`, and where each begins and ends in it.
 
     Long inputs are hashed in pieces that end at a separator, so the memory used doesn't follow the length of a text; only a single
@@ -77,7 +79,7 @@ def hash_words(data: bytes, kind: str, lower: bool) -> tuple[np.ndarray, np.ndar
     table = SEPARATORS[kind]
     whole = np.frombuffer(data.translate(_LOWER_BYTES) if lower else data, np.uint8)
     if len(whole) <= PIECE:
-        return _hash_piece(whole, table[whole])
+        return _hash_piece(whole, table[whole], seed)
     parts, at = [], 0
     while at < len(whole):
         to = min(at + PIECE, len(whole))
@@ -88,12 +90,17 @@ def hash_words(data: bytes, kind: str, lower: bool) -> tuple[np.ndarray, np.ndar
             else:
                 while to < len(whole) and not table[whole[to]]:
                     to += 1
-        found, starts, ends = _hash_piece(whole[at:to], table[whole[at:to]])
+        found, starts, ends = _hash_piece(whole[at:to], table[whole[at:to]], seed)
         parts.append((found, starts + at, ends + at))
         at = to
     return tuple(np.concatenate(x) for x in zip(*parts))  # type: ignore[return-value]
 
 
+def lowered(text: bytes) -> bytes:
+    """A-Z lower-cased, all else as it is."""
+    return text.translate(_LOWER_BYTES)
+
+
 def encoded(text: str | bytes | None) -> bytes:
     """UTF-8 bytes; none for null."""
     if text is None:
@@ -108,28 +115,36 @@ class Batch:
         self.data = b"\n".join(texts) + b"\n"
         lengths = np.fromiter((len(x) + 1 for x in texts), np.int64, len(texts))
         self.offsets = np.concatenate(([0], np.cumsum(lengths)))
+        self.kind, self.lower = kind, lower
         self.hashes, self.starts, self.ends = hash_words(self.data, kind, lower)
         self.first = np.searchsorted(self.starts, self.offsets)
 
+    def second(self) -> np.ndarray:
+        """Further hashes of the words, which depend on the first ones in nothing."""
+        return hash_words(self.data, self.kind, self.lower, 1)[0]
+
     def words(self, a: int, b: int) -> list[bytes]:
         return [self.data[s:e] for s, e in zip(self.starts[a:b].tolist(), self.ends[a:b].tolist())]
 
 
-def grams(hashes: np.ndarray, n: int, base: int = 0xD6E8FEB86659FD93) -> np.ndarray:
-    """The hash of each n consecutive words, in order; empty if there are fewer words."""
+def grams(hashes: np.ndarray, n: int) -> np.ndarray:
+    """The hash of each n consecutive words, in order; empty if there are fewer words.
+
+    Runs of 2, 4, 8 ... words are hashed from two halves each, and those whose lengths add up to n are put together.
+    """
     if n < 1 or len(hashes) < n:
         return np.zeros(0, U64)
-    if n <= 6:
-        found = hashes[: len(hashes) - n + 1].copy()
-        for i in range(1, n):
-            found *= U64(base)
-            found += hashes[i : len(hashes) - n + 1 + i]
-        return mix(found)
-    powers, inverse = _power_table(base, len(hashes)), _power_table(pow(base, -1, 1 << 64), len(hashes))
-    prefix = np.zeros(len(hashes) + 1, U64)
-    np.cumsum(hashes * powers[: len(hashes)], out=prefix[1:])
-    count = len(hashes) - n + 1
-    return mix((prefix[n:] - prefix[:count]) * inverse[:count])
+    count, run, span, done = len(hashes) - n + 1, hashes, 1, 0
+    found = np.full(count, n, U64)
+    while True:
+        if n & span:
+            found = mix(found * ODD + run[done : done + count])
+            done += span
+        span *= 2
+        if span > n:
+            return found
+        half = span // 2
+        run = mix(run[:-half] * LENGTH + run[half:])
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -150,17 +165,3 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
         left, right = at[: len(values) - width + 1], at[width - span : width - span + len(values) - width + 1]
         at = np.where(values[right] <= values[left], right, left)
     return at
-
-
-def by_bytes(rows, text_of, limit: int):
-    """Lists of consecutive rows whose texts together have about `limit` bytes; a longer text comes alone."""
-    held, size = [], 0
-    for row in rows:
-        n = text_of(row)
-        if held and size + n > limit:
-            yield held
-            held, size = [], 0
-        held.append(row)
-        size += n
-    if held:
-        yield held
