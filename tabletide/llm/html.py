@@ -1,10 +1,12 @@
 """Main text of web pages, by deducing each host's template.
 
-Pages of one host are compared.  Tokens, which are tags and words told apart by their place in the tree, are grouped in equivalence
-classes by their occurrence vectors: how often each occurs in each of the pages.  A class of several tokens that occur on nearly all
-pages, always in one order and nested in one slot of the classes around it, is part of the template that made the pages.  What the
-template leaves open is its slots.  A block of text whose words all belong to the template has no slot in it, and goes; so do blocks in
-elements that by their meaning hold no article.
+Pages of one host are compared.  Tokens are words, and the tags that open blocks, told apart by their place in the tree.  They are grouped
+in equivalence classes by their occurrence vectors: how often each occurs in each of the pages.  A class of tokens that stand once on
+nearly all pages, always in one order, is the template's frame.  It cuts each page in slots, and the same word in another slot is
+another token, with an occurrence vector of its own; so the frame grows inside its slots until no class is left that is valid there.
+Classes with more occurrences are valid in one slot if their tokens follow each other in turn.  What the template leaves open in its
+slots is extracted: a block goes if all its words stand where the template has them; so do blocks in elements that by their meaning
+hold no article.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +37,6 @@ LEAST_PAGES = 4
 #: The share of a group's pages that a template's token is on, and how many tokens a class has at least.
 SUPPORT = 0.8
 LEAST_TOKENS = 2
-#: A word that each page has more often than this keeps one role.
-MOST_ROLES = 8
 #: Elements below this depth have their parents' place in the tree.
 DEEPEST = 64
 
@@ -51,6 +52,8 @@ BLOCK = frozenset(
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adsense banner sponsor sponsored sponsors promo promotion promoted cookie cookies consent gdpr notice notices alert newsletter subscribe subscription signup paywall sidebar side related recommended recommendations comment comments commentlist respond disqus replies reply share sharing social breadcrumb breadcrumbs menu nav navbar navigation topbar toolbar footer masthead popup modal overlay login search searchbox widget widgets pagination pager skip outbrain taboola contentinfo complementary".split()
 )
+#: First words of names of what an element holds or lacks.
+HOLDING = frozenset("has with without no".split())
 _KEPT = frozenset(("html", "body", "main", "article"))
 #: What a start tag closes.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "body": ("head",)}
@@ -69,7 +72,9 @@ def _hides(name: str, attrs: str) -> bool:
         return True
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key in ("class", "id", "role") and any(w in MARKS for w in _WORD.findall(value)):
+        # `has-sidebar` says what an element holds, not what it is
+        names = (_WORD.findall(x) for x in value.split()) if key in ("class", "id", "role") else ()
+        if any(x and x[0] not in HOLDING and not MARKS.isdisjoint(x) for x in names):
             return True
         if key == "style" and _HIDDEN.search(value) or key == "aria-hidden" and value == "true" or key == "hidden":
             return True
@@ -175,132 +180,207 @@ class Page:
         flush()
 
 
-def _ordered(tokens: list, places: list[dict]) -> list:
-    """The tokens that stand in one order on every page: page by page the longest increasing run of places."""
-    for place in places:
-        row = [(place[t], t) for t in tokens if t in place]
-        best: list = []
-        back: dict = {}
-        tails: list = []
-        for p, t in row:
-            k = bisect_left(best, p)
-            back[t] = tails[k - 1] if k else None
-            if k == len(best):
-                best.append(p)
-                tails.append(t)
-            else:
-                best[k], tails[k] = p, t
-        keep, t = set(), tails[-1] if tails else None
-        while t is not None:
-            keep.add(t)
-            t = back[t]
-        tokens = [t for t in tokens if t in keep or t not in place]
-    return tokens
-
-
-def _vectors(pages: Sequence[Page], order: Sequence[int], least: int) -> dict[str, dict[str, dict[int, int]]]:
-    """By path and word, for those on `least` pages or more, how often each page that has it does.
+#: The word that stands for a block's opening tag.
+OPENING = ""
+
+
+def _frequent(pages: Sequence[Page], order: Sequence[int], least: int) -> dict[str, dict[str, int]]:
+    """By path, the words on `least` pages or more, each with a number.
 
     What misses more pages than it may is let go, and what comes up too late isn't begun: pages that share little leave nothing held.
     """
     may_miss = len(pages) - least
-    found: dict[str, dict[str, dict[int, int]]] = defaultdict(dict)
+    found: dict[str, dict[str, int]] = {}
     for seen, i in enumerate(order):
-        own: dict[str, Counter] = defaultdict(Counter)
+        own: dict[str, set[str]] = defaultdict(set)
         for path, words, *_ in pages[i].blocks:
             own[path].update(words)
-        for path, c in own.items():
-            held = found[path] if seen <= may_miss else found.get(path, {})
-            for w, k in c.items():
-                if w in held:
-                    held[w][i] = k
-                elif seen <= may_miss:
-                    held[w] = {i: k}
+        for path, words in own.items():
+            words.add(OPENING)
+            held = found.setdefault(path, {}) if seen <= may_miss else found.get(path, {})
+            for w in words if seen <= may_miss else held.keys() & words:
+                held[w] = held.get(w, 0) + 1
         if seen >= may_miss and (seen - may_miss) % 8 == 0 or seen == len(pages) - 1:
-            found = defaultdict(dict, {p: h for p, held in found.items() if (h := {w: v for w, v in held.items() if seen + 1 - len(v) <= may_miss})})
+            found = {p: h for p, held in found.items() if (h := {w: k for w, k in held.items() if seen + 1 - k <= may_miss})}
+    names = ((p, w) for p in sorted(found) for w in sorted(found[p]))
+    for number, (p, w) in enumerate(names):
+        found[p][w] = number
     return found
 
 
-def template_words(pages: Sequence[Page], order: Sequence[int] | None = None) -> dict[str, set[str]]:
-    """For each path the words of the template that the pages share.  Pages are counted in `order`, of which nothing depends but memory."""
+def _rising(places: np.ndarray) -> np.ndarray:
+    """Which tokens stand in one order on every page, from a row of places for each, -1 where it is missing.
+
+    The rows come in the order of one page.  Page by page the longest run of places that rise is kept.
+    """
+    keep = np.arange(len(places))
+    for column in places.T:
+        own = column[keep]
+        there = np.flatnonzero(own >= 0)
+        if (np.diff(own[there]) > 0).all():
+            continue
+        tails: list[int] = []
+        ends: list[int] = []  # index of the last token of the best run of each length
+        back: dict[int, int] = {}
+        for k in there.tolist():
+            at = bisect_left(tails, own[k])
+            back[k] = ends[at - 1] if at else -1
+            tails[at : at + 1] = [own[k]]
+            ends[at : at + 1] = [k]
+        run, k = set(), ends[-1]
+        while k >= 0:
+            run.add(k)
+            k = back[k]
+        keep = keep[[k in run or own[k] < 0 for k in range(len(keep))]]
+    return keep
+
+
+class _Tokens:
+    """Occurrences of the frequent tokens of some pages: the page, the token's number and the place of each."""
+
+    def __init__(self, pages: Sequence[Page], numbers: dict[str, dict[str, int]]):
+        self.sizes: list[int] = []
+        page, token, place = [], [], []
+        for i in range(len(pages)):
+            at, t, x = 0, [], []
+            for path, words, *_ in pages[i].blocks:
+                if want := numbers.get(path):
+                    own = [(want[w], k) for k, w in enumerate((OPENING, *words), at) if w in want]
+                    t += [n for n, _ in own]
+                    x += [k for _, k in own]
+                at += 1 + len(words)
+            self.sizes.append(at)
+            page.append(np.full(len(t), i, np.int64))
+            token.append(np.array(t, np.int64))
+            place.append(np.array(x, np.int64))
+        self.page, self.token, self.place = np.concatenate(page), np.concatenate(token), np.concatenate(place)
+        self.first = np.concatenate(([0], np.cumsum([len(x) for x in page])))
+        self.kinds = sum(map(len, numbers.values()))
+
+    def neighbours(self, frame: np.ndarray) -> np.ndarray:
+        """The frame with the tokens that stand next to one of its tokens wherever that is: those have its vector, and its place tells them apart."""
+        span = max(self.sizes) + 2
+        keys = self.page * span + self.place
+        grown = True
+        while grown and len(keys):
+            grown = False
+            for step in (-1, 1):
+                there = frame >= 0
+                place = np.arange(frame.shape[1])[None, :] * span + frame + step
+                at = np.minimum(np.searchsorted(keys, place), len(keys) - 1)
+                token = np.where(there & (keys[at] == place), self.token[at], -1)
+                free = ~np.isin(place, (place - step)[there])
+                one = np.where(there, token, token.max(1, initial=-1)[:, None])
+                rows = np.flatnonzero((one.max(1) >= 0) & (one.min(1) == one.max(1)) & (free | ~there).all(1))
+                if len(rows):
+                    frame = np.insert(frame, rows + (step > 0), np.where(there[rows], frame[rows] + step, -1), axis=0)
+                    grown = True
+        return frame
+
+    def slots(self, frame: np.ndarray) -> np.ndarray:
+        """The slot of each occurrence: the number of the frame's last token before it, rows of places by page, from 1; -1 if it is in the frame."""
+        out = np.empty(len(self.page), np.int64)
+        for i in range(len(self.sizes)):
+            there = np.flatnonzero(frame[:, i] >= 0)
+            own = slice(self.first[i], self.first[i + 1])
+            places = np.concatenate(([-1], frame[there, i]))
+            at = np.searchsorted(places, self.place[own], "right") - 1
+            out[own] = np.where(places[at] == self.place[own], -1, np.concatenate(([0], there + 1))[at])
+        return out
+
+    def vectors(self, slot: np.ndarray):
+        """Tokens told apart by slot, ascending; how often each is on each page; and the occurrences in the order of token, page and place."""
+        free = np.flatnonzero(slot >= 0)
+        name = slot * self.kinds + self.token
+        order = free[np.lexsort((self.place[free], self.page[free], name[free]))]
+        names, index = np.unique(name[order], return_inverse=True)
+        counts = np.zeros((len(names), len(self.sizes)), np.int32)
+        np.add.at(counts, (index, self.page[order]), 1)
+        return names, counts, order
+
+
+def _classes(vectors: np.ndarray) -> list[np.ndarray]:
+    """Rows with equal vectors, larger classes first."""
+    if not len(vectors):
+        return []
+    _, index, size = np.unique(vectors, axis=0, return_inverse=True, return_counts=True)
+    members = np.split(np.argsort(index.ravel(), kind="stable"), np.cumsum(size)[:-1])
+    return sorted(members, key=lambda m: (-len(m), m[0]))
+
+
+def template(pages: Sequence[Page], order: Sequence[int] | None = None) -> list[np.ndarray] | None:
+    """For each page, which of its tokens belong to the template that the pages share; None of too few pages.
+
+    A page's tokens are, block by block, the opening tag and the words.  Pages are counted in `order`, of which nothing depends but memory.
+    """
     n = len(pages)
     if n < LEAST_PAGES:
-        return {}
-    frequent = _vectors(pages, order or range(n), max(LEAST_PAGES - 1, int(SUPPORT * n)))
-    # a word that is on every page equally often has a role for each time; each role is a token of its own
-    classes: dict[tuple, list[tuple[str, str, int]]] = defaultdict(list)
-    roles: dict[tuple[str, str], int] = {}
-    for path, words in sorted(frequent.items()):
-        for w, held in sorted(words.items()):
-            vector = tuple(held.get(i, 0) for i in range(n))
-            if len({*vector} - {0}) == 1 and max(vector) <= MOST_ROLES:
-                roles[path, w] = max(vector)
-                classes[tuple(map(bool, vector))].extend((path, w, k) for k in range(max(vector)))
-            else:
-                roles[path, w] = 1
-                classes[vector].append((path, w, -1))
-    classes = {v: t for v, t in classes.items() if len(t) >= LEAST_TOKENS}
-    wanted: dict[str, set[str]] = defaultdict(set)
-    for tokens in classes.values():
-        for path, w, _ in tokens:
-            wanted[path].add(w)
-    places: list[dict[tuple[str, str, int], list[int]]] = []  # of each page's wanted tokens
-    for page in pages:
-        at, own_places = 0, defaultdict(list)
-        for path, words, *_ in page.blocks:
-            if want := wanted.get(path):
-                for k, w in enumerate(words):
-                    if w in want:
-                        own_places[path, w, -1].append(at + k)
-            at += len(words)
-        for path, w, _ in list(own_places):
-            for k, p in enumerate(own_places[path, w, -1][:MOST_ROLES]):
-                own_places[path, w, k] = [p]
-        places.append(own_places)
-    out: dict[str, set[str]] = defaultdict(set)
-    frame: list[list[int]] = [[] for _ in pages]  # places of the outer class, within whose slots others nest
-    # tokens that are on a page once make the outer template; classes with more occurrences repeat inside its slots
-    for vector in sorted(classes, key=lambda v: (max(v), -len(classes[v]))):
-        tokens = classes[vector]
-        once = max(vector) == 1
-        lead = next(i for i, k in enumerate(vector) if k)
-        tokens = sorted(tokens, key=lambda t: places[lead][t][0])
-        if once:
-            tokens = _ordered(tokens, [{t: p[0] for t in tokens if (p := own.get(t))} for own in places])
-        else:
-            tokens = [t for t in tokens if _repeats(t, tokens[0], places)]
-        if len(tokens) < LEAST_TOKENS:
-            continue
-        if not once:
-            slots = {bisect_left(frame[i], p) for i, own in enumerate(places) for t in tokens for p in own.get(t, ())} if frame[lead] else {0}
-            if len(slots) > 1 and len(slots) > max(vector):
-                continue
-        for path, w, _ in tokens:
-            roles[path, w] -= 1
-            if not roles[path, w]:
-                out[path].add(w)
-        if once:
-            for i, own in enumerate(places):
-                frame[i] = sorted([*frame[i], *(own[t][0] for t in tokens if t in own)])
-    return out
-
-
-def _repeats(token, first, places: list[dict]) -> bool:
-    """Whether a token's occurrences stand each after one of the first token's and before its next, on every page."""
-    for own in places:
-        a, b = own.get(first, []), own.get(token, [])
-        if len(a) != len(b) or any(x > y for x, y in zip(a, b)) or any(y > x for y, x in zip(b, a[1:])):
-            return False
-    return True
+        return None
+    least = max(LEAST_PAGES - 1, int(SUPPORT * n))
+    tokens = _Tokens(pages, _frequent(pages, order or range(n), least))
+    frame = np.zeros((0, n), np.int64)
+    grown = True
+    while grown:
+        names, counts, by_name = tokens.vectors(tokens.slots(frame))
+        there = counts > 0
+        once = (counts.max(1, initial=0) == 1) & (there.sum(1) >= least)
+        first = np.cumsum(counts.sum(1)) - counts.sum(1)
+        known = {x.tobytes() for x in frame >= 0}
+        slot_of, grown, added = names // max(1, tokens.kinds), False, []
+        for slot in np.unique(slot_of[once]).tolist():
+            rows = np.flatnonzero(once & (slot_of == slot))
+            for members in _classes(there[rows]):
+                # a class of its own has several tokens; a single one may join a class that the frame has
+                if len(members) < LEAST_TOKENS and there[rows[members[0]]].tobytes() not in known:
+                    continue
+                own = rows[members]
+                places = np.full((len(own), n), -1, np.int64)
+                for k, r in enumerate(own.tolist()):
+                    at = by_name[first[r] : first[r] + counts[r].sum()]
+                    places[k, tokens.page[at]] = tokens.place[at]
+                places = places[np.argsort(places[:, np.flatnonzero(there[own[0]])[0]], kind="stable")]
+                places = places[_rising(places)]
+                if len(places) >= LEAST_TOKENS or places.size and (places[0] >= 0).tobytes() in known:
+                    added.append((slot, places))
+                    grown = True
+                    break
+        for slot, places in reversed(added):
+            frame = np.insert(frame, slot, places, axis=0)
+        if grown:
+            frame = tokens.neighbours(frame)
+    flags = [np.zeros(k, bool) for k in tokens.sizes]
+    for i in range(n):
+        flags[i][frame[frame[:, i] >= 0, i]] = True
+    # classes that come again inside a slot
+    names, counts, by_name = tokens.vectors(tokens.slots(frame))
+    again = np.flatnonzero((counts.max(1, initial=0) > 1) & ((counts > 0).sum(1) >= least))
+    first = np.cumsum(counts.sum(1)) - counts.sum(1)
+    slot_of = names[again] // max(1, tokens.kinds)
+    for members in _classes(np.concatenate((slot_of[:, None], counts[again]), axis=1)):
+        runs = [by_name[first[r] : first[r] + counts[r].sum()] for r in again[members].tolist()]
+        runs.sort(key=lambda x: tokens.place[x[0]])
+        lead = tokens.place[runs[0]]
+        same = np.diff(tokens.page[runs[0]]) == 0
+        turns = [x for x in runs if (lead <= tokens.place[x]).all() and (tokens.place[x][:-1] < lead[1:])[same].all()]
+        if len(turns) >= LEAST_TOKENS:
+            for x in turns:
+                for i, at in zip(tokens.page[x].tolist(), tokens.place[x].tolist()):
+                    flags[i][at] = True
+    return flags
 
 
 def _texts(pages: Sequence[Page], order: Sequence[int] | None = None) -> Iterator[str]:
-    shared = template_words(pages, order)
-    for page in pages:
-        # where the page marks an article, nothing outside it is main text; elsewhere blocks that are links mostly are not either
-        blocks = [b for b in page.blocks if not b[2] and (b[3] if page.has_article else b[4] * 2 <= len(b[1]))]
-        free = [b for b in blocks if not shared.get(b[0], set()).issuperset(b[1])]
-        yield "\n".join(" ".join(b[1]) for b in free or blocks)
+    shared = template(pages, order)
+    for i, page in enumerate(pages):
+        blocks, free, at = [], [], 0
+        for _, words, apart, inside, linked in page.blocks:
+            # where the page marks an article, nothing outside it is main text; elsewhere blocks that are links mostly are not either
+            if not apart and (inside if page.has_article else linked * 2 <= len(words)):
+                blocks.append(words)
+                if shared is None or not shared[i][at + 1 : at + 1 + len(words)].all():
+                    free.append(words)
+            at += 1 + len(words)
+        yield "\n".join(map(" ".join, free or blocks))
 
 
 def main_texts(sources: list[str | None]) -> list[str]:

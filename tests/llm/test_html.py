@@ -119,3 +119,88 @@ def test_long_pages_are_compared(monkeypatch):
     batches = [pa.RecordBatch.from_pylist([dict(zip(("host", "bucket", "page_id", "url", "html"), r)) for r in rows[a : a + 70]]) for a in range(0, 250, 70)]
     got = [x for b in H._extracted(iter(batches)) for x in zip(*(c.to_pylist() for c in b.columns))]
     assert sorted(got) == [(i, "u", text, len(text)) for i, text in enumerate(texts)]
+
+
+COMMON = "the of and to in a is it for on".split()
+
+
+def unmarked(i, lines):
+    """A page of plain paragraphs: no article, class word or element tells what is what."""
+    return "<p>read the whole story of today here</p>" + "".join(f"<p>{x}</p>" for x in lines) + "<p>the rights of it are for the owners of all</p>"
+
+
+def natural(rng, n):
+    """Words as texts have them: some that every page has, in other places, and some of its own."""
+    return " ".join(rng.choice(COMMON) if rng.random() < 0.5 else words(rng, 1) for _ in range(n))
+
+
+def test_template_among_common_words(monkeypatch):
+    """The template decides alone, whatever common words the pages' own text has; without it its blocks stay."""
+    rng = random.Random(6)
+    texts = [[natural(rng, rng.randint(8, 40)) for _ in range(rng.randint(1, 5))] for _ in range(60)]
+    texts[7].append("read today the story")
+    pages = [unmarked(i, x) for i, x in enumerate(texts)]
+    assert H.main_texts(pages) == ["\n".join(x) for x in texts]
+    monkeypatch.setattr(H, "template", lambda *_: None)
+    assert all(a.startswith("read the whole story") for a in H.main_texts(pages))
+
+
+def test_one_word_more():
+    """A word of the template that a page has once more is another token there."""
+    rng = random.Random(7)
+    for k, more in enumerate(("the", "story", "read the whole", "")):
+        texts = [words(rng, 7) for _ in range(41)]
+        texts[k] += f" {more} " + words(rng, 2)
+        pages = [f"<p>read the whole story here today</p><p>{x}</p>" for x in texts]
+        assert H.main_texts(pages) == [" ".join(x.split()) for x in texts]
+
+
+def test_blocks_that_come_again():
+    """A class with several occurrences a page is valid in one slot, and goes there."""
+    rng = random.Random(8)
+    texts = [[words(rng, 6) for _ in range(rng.randint(1, 6))] for _ in range(30)]
+    pages = ["<div>our daily notes</div>" + "".join(f"<p>{x}</p><p>read more there</p>" for x in t) for t in texts]
+    assert H.main_texts(pages) == ["\n".join(t) for t in texts]
+
+
+def brute_template(pages):
+    """Blocks, by path and words, that every page has once."""
+    held = [[(b[0], tuple(b[1])) for b in H.Page(x).blocks] for x in pages]
+    return {b for b in held[0] if all(h.count(b) == 1 for h in held)}
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_small_hosts_against_whole_blocks(seed):
+    rng = random.Random(seed)
+    head, foot = f"<div>{words(rng, 4)}</div><h2>{words(rng, 3)}</h2>", f"<ul><li>{words(rng, 2)}</li><li>{words(rng, 5)}</li></ul>"
+    pages = [head + "".join(f"<p>{words(rng, rng.randint(1, 9))}</p>" for _ in range(rng.randint(1, 4))) + foot for _ in range(rng.randint(4, 9))]
+    shared = brute_template(pages)
+    want = ["\n".join(" ".join(b[1]) for b in H.Page(x).blocks if (b[0], tuple(b[1])) not in shared) for x in pages]
+    assert H.main_texts(pages) == want and len(shared) == 4
+
+
+def test_names_of_what_an_element_holds():
+    assert H.main_texts(['<div class="layout has-sidebar"><article>a b</article></div><div class="left sidebar">c</div>']) == ["a b"]
+
+
+@pytest.mark.parametrize("parts", [7, 64])
+def test_any_partitioning_gives_the_same_texts(spark, parts):
+    from tabletide.llm.html import main_text
+
+    rng = random.Random(9)
+    hosts = [f"h{k}.example" for k in (0, 0, 0, 0, 0, 1, 1, 2, 3)]
+    pages = [(i, f"http://{rng.choice(hosts)}/{i}", unmarked(i, [natural(rng, 12), natural(rng, 9)])) for i in range(700)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+
+    def texts(n):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        return {r.page_id: r.text for r in main_text(df.repartition(n)).collect()}
+
+    try:
+        one, many = texts(1), texts(parts)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert one == many and len(one) == 700 and not any("whole story" in x or "owners" in x for x in one.values())
