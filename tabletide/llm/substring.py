@@ -1,14 +1,14 @@
-"""Removal of repeated passages by grouping hashed windows, with results in the form of a relative Lempel-Ziv parse.
+"""Removal of repeated passages by a relative Lempel-Ziv parse.
 
-A passage is repeated if `window` words in a row occur again somewhere.  Which windows are is found by sorting and grouping their hashes
-in every reference block that may hold them.  No longest match is searched: a factor is a run of repeated windows that follows one
-other place of each, the first in the block or, for that itself, the next.  Another place could give longer factors, but the same
-repeated windows, and only these decide which words go.
+A passage is repeated if `window` words in a row occur again somewhere.  A reference block holds all windows whose smallest k-gram, their
+anchor, falls into one part of all hashes; so equal windows are always in one block, and windows that follow each other mostly are too.
+It is indexed by its sorted suffixes, and every document is factored greedily against each block that holds windows of it: a factor is
+the longest run of windows that the block has in another place, and the next one begins with the first window after it.  A factor of
+m windows is window + m - 1 words long, so neighbouring factors share window - 1 words, and each window that reaches over a factor's end
+is looked up with the factor after it, or in the block that its own anchor belongs to: no repeated window is lost at a boundary.
 
-A reference block is an index of the windows whose smallest k-gram, their anchor, falls into one part of all hashes; so equal windows
-are always in one block, and windows that follow each other mostly are too.  At a factor's end the windows that reach over it belong
-to other factors or other blocks, and each is looked up there: no repeated window is lost at a boundary.  Only windows whose anchor
-occurs twice are entered.
+Only windows whose anchor occurs twice are entered.  Windows of an anchor that a large share of all windows have are dealt out over all
+blocks, by their own hash.
 """
 
 from __future__ import annotations
@@ -21,13 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
-from .common import ids_and_texts, partitions, slices
+from .common import checkpoint, ids_and_texts, partitions, slices
 from .words import Batch, grams, sliding_min
 
 #: Words in an anchor.
 GRAM = 8
 #: Records that a task holds before it deals them out.
 HELD = 1 << 20
+#: An anchor is hot if it has over one in so many of all places of anchors; so there are fewer hot ones than this.
+HOT_SHARE = 4096
 
 U64 = np.uint64
 
@@ -72,37 +74,74 @@ def _repeated(new: np.ndarray, many: np.ndarray) -> np.ndarray:
     return ((size > 1) | several)[run]
 
 
-def factors(key: np.ndarray, at: np.ndarray, ref_key: np.ndarray, ref_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Greedy factors from windows with places in the reference: key, start, and number of windows of each.
+def _longest(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of a reference, the length of the longest run from it that occurs in another place too, and that place.
 
-    A factor goes on while the document's next window is the reference's next.
+    `ids` tells windows apart, `last` is where each one's text ends.  Runs of 1, 2, 4 ... windows are ranked, until suffixes are sorted;
+    the longest match of a suffix is with one of its neighbours then.
     """
-    order = np.lexsort((at, key))
-    key, at, ref_key, ref_at = key[order], at[order], ref_key[order], ref_at[order]
-    step = lambda x: x[1:] - x[:-1] != 1
-    new = np.ones(len(key), bool)
-    if len(key) > 1:
-        new[1:] = (key[1:] != key[:-1]) | (ref_key[1:] != ref_key[:-1]) | step(at.astype(np.int64)) | step(ref_at.astype(np.int64))
-    first = np.flatnonzero(new)
-    return key[first], at[first], np.diff(np.concatenate((first, [len(key)]))).astype(np.uint32)
-
-
-def parse(h: np.ndarray, check: np.ndarray, key: np.ndarray, at: np.ndarray, many: np.ndarray, asked: np.ndarray):
+    n, levels = len(ids), [ids.astype(np.int32)]
+    place = np.arange(n)
+    most = int((last - place).max(initial=0))
+    while 1 << (len(levels) - 1) < most:
+        span = 1 << (len(levels) - 1)
+        after = np.where(place + span < last, levels[-1][np.minimum(place + span, n - 1)] + 1, 0)
+        names, ranks = np.unique(levels[-1].astype(np.int64) * (n + 1) + after, return_inverse=True)
+        levels.append(ranks.astype(np.int32))
+        if len(names) == n:
+            break
+    order = np.argsort(levels[-1], kind="stable")
+    a, b = order[:-1], order[1:]
+    same = np.zeros(max(0, n - 1), np.int64)
+    for k in range(len(levels) - 1, -1, -1):
+        p, q = a + same, b + same
+        fits = (p + (1 << k) <= last[a]) & (q + (1 << k) <= last[b])
+        p, q = np.minimum(p, n - 1), np.minimum(q, n - 1)
+        same += (fits & (levels[k][p] == levels[k][q])).astype(np.int64) << k
+    length, other = np.zeros(n, np.int64), np.full(n, -1, np.int64)
+    for here, there in ((a, b), (b, a)):
+        more = same > length[here]
+        length[here[more]], other[here[more]] = same[more], there[more]
+    return length, other
+
+
+def factors(ids: np.ndarray, key: np.ndarray, at: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Greedy factors of the windows that are asked for: key, start and number of windows of each, and key and start of the other place.
+
+    Windows come by key and start.  A run of windows ends where the next one is of another text, or not the next in it.
+    """
+    n = len(ids)
+    new = np.ones(n, bool)
+    new[1:] = (key[1:] != key[:-1]) | (at[1:].astype(np.int64) - at[:-1] != 1)
+    starts = np.flatnonzero(new)
+    last = np.concatenate((starts[1:], [n]))[np.cumsum(new) - 1]
+    length, other = _longest(ids, last)
+    hit = np.flatnonzero((length > 0) & asked)
+    next_hit = np.concatenate((hit, [n]))[np.searchsorted(hit, np.arange(n + 1))].tolist()
+    taken, lengths, p = [], length.tolist(), next_hit[0]
+    while p < n:
+        taken.append(p)
+        p = next_hit[p + lengths[p]]
+    return key[taken], at[taken], length[taken].astype(np.uint32), key[other[taken]], at[other[taken]]
+
+
+def parse(h: np.ndarray, check: np.ndarray, key: np.ndarray, at: np.ndarray, asked: np.ndarray):
     """Indexes a reference block and parses against it the windows that are `asked` for.
 
-    Returns the factors, and for each window whether it is its kind's first and whether its kind is repeated.
+    Returns the factors: key, start and number of windows of each; and for each window whether it is its kind's first and whether its
+    kind is in the block again.
     """
     order = np.lexsort((at, key, check, h))
-    h, check, key, at, many, asked = (x[order] for x in (h, check, key, at, many, asked))
-    new = _runs(h, check)
-    hit = _repeated(new, many)
-    first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
-    ref = np.where(new, np.minimum(np.arange(len(h)) + 1, len(h) - 1), first)  # another place: the first one, for that itself the next
-    take = np.flatnonzero(hit & asked)
-    found = factors(key[take], at[take], key[ref[take]], at[ref[take]])
-    back = np.empty(len(order), np.int64)
-    back[order] = np.arange(len(order))
-    return found, new[back], hit[back]
+    new = _runs(h[order], check[order])
+    kind, repeated = np.cumsum(new) - 1, _repeated(new, np.zeros(len(order), bool))
+    ids, first, hit = np.empty(len(order), np.int64), np.empty(len(order), bool), np.empty(len(order), bool)
+    ids[order], first[order], hit[order] = kind, new, repeated
+    again = np.flatnonzero(hit)  # the others match nothing
+    again = again[np.lexsort((at[again], key[again]))]
+    if not len(again):
+        return (key[:0], at[:0], at[:0]), first, hit
+    ids = np.unique(ids[again], return_inverse=True)[1]
+    return factors(ids, key[again], at[again], asked[again])[:3], first, hit
 
 
 def _by_key(key: np.ndarray, parts: int) -> np.ndarray:
@@ -180,7 +219,40 @@ def _by_document(*types):
     return run
 
 
-def _enter_windows(window: int, parts: int):
+def _frequent_anchors(window: int):
+    """Anchors that have over one in HOT_SHARE of the places that a task holds at a time, with their numbers there, and the number of all (null)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        count = 0
+
+        def flush():
+            h, n = np.unique(np.concatenate(held), return_counts=True)
+            often = n * HOT_SHARE > count
+            return pa.RecordBatch.from_arrays([pa.array([None, *h[often].view(np.int64).tolist()], pa.int64()), pa.array([count, *n[often].tolist()], pa.int64())], names=["anchor", "n"])
+
+        for _, texts in slices(batches):
+            w = Windows(Batch(texts, "space", False), window)
+            held.append(w.hashes[np.unique(w.anchors)])
+            count += len(held[-1])
+            if count > HELD:
+                yield flush()
+                held.clear()
+                count = 0
+        if count:
+            yield flush()
+
+    return run
+
+
+def _hot_anchors(rows: DataFrame, window: int) -> np.ndarray:
+    """Fewer than HOT_SHARE hashes of anchors, ascending: those that have over one in HOT_SHARE of all places.  One that has is frequent in some task."""
+    counts = checkpoint(rows.select("text").mapInArrow(_frequent_anchors(window), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")))
+    total = counts.where("anchor is null").agg(F.sum("n")).first()[0] or 0
+    return np.sort(np.array([r[0] for r in counts.where((F.col("n") * HOT_SHARE > total) & F.col("anchor").isNotNull()).select("anchor").collect()], np.int64).view(U64))
+
+
+def _enter_windows(window: int, parts: int, hot: np.ndarray):
     """From rows (doc_id, text, key, block of anchor places): windows with repeated anchors, dealt out by anchor, and the factors within a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,8 +261,7 @@ def _enter_windows(window: int, parts: int):
 
         def flush():
             part, h, check, key, at = (np.concatenate(x) for x in zip(*held))
-            none = np.zeros(len(h), bool)
-            own, first, hit = parse(h, check, key, at, none, ~none)
+            own, first, hit = parse(h, check, key, at, np.ones(len(h), bool))
             yield from blocks.dealt(2, _by_key(own[0], parts), *own)
             for kind, which in ((0, ~hit), (1, hit & first)):
                 yield from blocks.dealt(kind, part[which], h[which], check[which], key[which], at[which])
@@ -206,8 +277,9 @@ def _enter_windows(window: int, parts: int):
             take = marked[w.anchors]
             starts, anchors = w.starts[take], w.anchors[take]
             key, at = w.place(starts, rows.column(2).to_numpy())
-            second = grams(batch.hashes ^ U64(0xA0761D6478BD642F), window, 0xE7037ED1A0B428DB)
-            held.append(((w.hashes[anchors] % U64(parts)).astype(np.int32), grams(batch.hashes, window)[starts], (second[starts] >> U64(32)).astype(np.uint32), key, at))
+            found, second, anchor = grams(batch.hashes, window)[starts], grams(batch.second(), window)[starts], w.hashes[anchors]
+            to = np.where(np.isin(anchor, hot), found, anchor)
+            held.append(((to % U64(parts)).astype(np.int32), found, (second >> U64(32)).astype(np.uint32), key, at))
             count += len(starts)
             if count > HELD:
                 yield from flush()
@@ -227,8 +299,7 @@ def _match_windows(parts: int):
         found = blocks.gathered(batches, {0: types, 1: types, 2: (np.int64, np.uint32, np.uint32)})
         both = [np.concatenate(x) for x in zip(found[0], found[1])]
         if len(both[0]):
-            many = np.arange(len(both[0])) >= len(found[0][0])
-            own, _, _ = parse(*both, many, ~many)
+            own, _, _ = parse(*both, np.arange(len(both[0])) < len(found[0][0]))
             yield from blocks.dealt(0, _by_key(own[0], parts), *own)
         yield from blocks.dealt(0, _by_key(found[2][0], parts), *found[2])
 
@@ -273,14 +344,16 @@ def without_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", t
     text has no words; one of fewer words than a window loses none; a repeated row repeats all its windows.  Null and repeated
     ids are allowed; other columns are ignored; an empty table gives an empty result.
 
-    Windows are compared by 96 bits of hashes.  Texts are dealt out once; anchors, windows and factors as blocks of numbers.
+    Windows are compared by 96 bits of two independent hashes.  Texts are dealt out once, very long ones whole; anchors, windows and
+    factors as blocks of numbers.
     """
     rows = ids_and_texts(docs, id_col, text_col)
     rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     parts = partitions(rows, 3.0)
     anchors = blocks.by_part(rows.mapInArrow(_enter_anchors(window, parts), blocks.DDL), parts)
     places = blocks.by_part(anchors.mapInArrow(_match_anchors(parts), blocks.DDL), parts).mapInArrow(_by_document(np.uint32), "key long, block binary")
-    entered = rows.join(places, "key").select("doc_id", "text", "key", "block").mapInArrow(_enter_windows(window, parts), blocks.DDL)
+    hot = _hot_anchors(rows, window)
+    entered = rows.join(places, "key").select("doc_id", "text", "key", "block").mapInArrow(_enter_windows(window, parts, hot), blocks.DDL)
     found = blocks.by_part(entered, parts).mapInArrow(_match_windows(parts), blocks.DDL)
     found = blocks.by_part(found, parts).mapInArrow(_by_document(np.uint32, np.uint32), "key long, block binary")
     return rows.join(found, "key", "left").select("doc_id", "text", "key", "block").mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, spans array<long>, text binary")
