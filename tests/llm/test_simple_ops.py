@@ -41,16 +41,29 @@ def test_exact_on_odd_rows(odd, empty):
     assert exact_duplicates(empty).collect() == []
 
 
-def test_trie():
+@pytest.mark.parametrize("limit", [1 << 40, 20_000, 900])
+def test_trie(limit):
+    """Nodes branch where keys part; what is taken away in subtrees and what is left are all keys, with their owners."""
     from tabletide.llm.exact import Trie
 
-    trie, want = Trie(), {}
+    rng = random.Random(limit)
     keys = [b"", b"a", b"ab", b"abc", b"abd", b"b", b"ab", b"", b"abcdef", b"abcxyz", b"a" * 1000, b"a" * 999 + b"b"]
+    keys += [bytes(rng.choices(b"ab", k=rng.randint(0, 12))) for _ in range(400)]
+    trie, parts, want = Trie(), [], {}
     for i, k in enumerate(keys):
-        trie.add(k, 100 - i, 1)
+        trie.add(k, 1000 - i, 1)
         old = want.get(k, (None, 0))
-        want[k] = (100 - i, old[1] + 1)
-    assert {k: (o, n) for k, o, n in trie.items()} == want
+        want[k] = (1000 - i, old[1] + 1)
+        if trie.size > limit:
+            parts.extend(trie.spilled(limit // 2))
+            assert trie.size <= limit // 2
+    if limit == 1 << 40:
+        assert {len(x[1]) for x in trie.root[1].values()} == {2} and trie.root[3] == sum(map(len, want)) + 400 * len(want)
+    got = {}
+    for k, owner, n in [*parts, *trie.items()]:
+        old = got.get(k, (10_000, 0))
+        got[k] = (min(owner, old[0]), n + old[1])
+    assert got == want
 
 
 def test_exact_matches_plain_grouping(spark, small):
