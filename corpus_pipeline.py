@@ -9,10 +9,11 @@ from tabletide.llm import exact, jaccard
 from tabletide.llm.common import held_out, read
 from tabletide.llm.decontaminate import clean
 from tabletide.llm.language import fit, known_language
-from tabletide.llm.packing import best_fit
-from tabletide.llm.queries import SEQUENCE_LENGTHS
+from tabletide.llm.packing import best_fit_texts
+from tabletide.llm.queries import tokenizer_path
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Permitted sequence lengths, in tokens.
+SEQUENCE_TOKENS = (256, 512, 1024, 2048, 4096)
 
 
 def _id() -> Column:
@@ -28,7 +29,10 @@ def _chosen(docs: DataFrame, digest: Column, kept: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has letters of a known language; others go.  The model is fitted on rows that op6_language_id learns from."""
+    """Documents whose language the model tells; those without letters, and those that two languages fit alike, go.
+
+    The model is fitted on rows that op6_language_id learns from.  Rows with null or repeated ids are each judged by their text.
+    """
     return known_language(docs, fit(docs.where(~held_out("doc_id", 5, 0)), "text", "lang"))
 
 
@@ -58,8 +62,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's place in bins of the permitted sequence lengths, in UTF-8 bytes."""
-    return best_fit(docs, F.octet_length("text"), SEQUENCE_LENGTHS)
+    """Every document's pieces, with their texts and places in bins of the permitted sequence lengths, in tokens."""
+    return best_fit_texts(docs, tokenizer_path(), SEQUENCE_TOKENS)
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("packing", packing)]

@@ -8,7 +8,7 @@ loss is nearly as small, the answer is flagged as ambiguous.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -175,7 +175,7 @@ def identify(docs: DataFrame, model: Model, *more: Column, id_col: str = "doc_id
 
     lang_pred is a language of the model, or `und` with score 0 if the text is null or has no letter, or the model knows no language.
     score is the answer's share of exp(-loss) over all languages.  ambiguous is true if another language's mean loss a bit is within
-    AMBIGUOUS.  A text gets the same answer wherever and however often it stands; other columns are ignored; an empty table gives an
+    AMBIGUOUS; of languages with equal losses the first in string order is the answer.  A text gets the same answer wherever and however often it stands; other columns are ignored; an empty table gives an
     empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -189,15 +189,21 @@ def identify(docs: DataFrame, model: Model, *more: Column, id_col: str = "doc_id
     return ids_and_texts(docs, id_col, text_col, *more).mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean")
 
 
-def known_language(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns as they are, that identify() doesn't reject as `und`; ambiguous ones stay."""
+def known_language(docs: DataFrame, model: Model, text_col: str = "text", languages: Collection[str] | None = None) -> DataFrame:
+    """The rows of `docs`, all columns as they are, whose language identify() tells: not `und`, not ambiguous, and one of `languages` if given.
+
+    Null texts and those without letters go.  Rows with null or repeated ids, and repeated rows, are each judged by their text; a column
+    has no meaning but for `text_col`; an empty table gives an empty result.
+    """
     importable(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    wanted = None if languages is None else frozenset(languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             texts = pa.RecordBatch.from_arrays([whole.column(whole.schema.get_field_index(text_col)).cast(pa.string())], names=["text"])
-            keep = [x[0] != UNKNOWN for _, raw in slices(iter([texts])) for x in shared.value.predict(raw)]
+            answers = [x for _, raw in slices(iter([texts])) for x in shared.value.predict(raw)]
+            keep = [found != UNKNOWN and not ambiguous and (wanted is None or found in wanted) for found, _, ambiguous in answers]
             yield whole.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

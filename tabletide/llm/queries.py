@@ -60,7 +60,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(read(spark, sf_dir, "documents"), [1.0] * SHARDS, [1.0] * (SHARDS + 1))
 
 
-#: Permitted sequence lengths, in UTF-8 bytes.
+#: Permitted sequence lengths, in characters.
 SEQUENCE_LENGTHS = (1024, 2048, 4096, 8192, 16384)
 
 
@@ -68,7 +68,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import best_fit
 
     docs = read(spark, sf_dir, "documents")
-    return best_fit(docs, F.octet_length("text"), SEQUENCE_LENGTHS)
+    return best_fit(docs, F.char_length("text"), SEQUENCE_LENGTHS)
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,9 +86,46 @@ class Counter:
         return out
 
 
+#: Characters of the parts that a text is put together from when it is cut.
+SMALL_PART = 256
+
+
+def pieces(counter: Counter, text: str, most: int) -> list[tuple[int, str, int]]:
+    """`text` cut in consecutive pieces of at most `most` tokens each: start in characters, piece, and tokens.
+
+    Cuts come at safe boundaries, where the pieces' tokens are the text's; only a part without one that is too long by itself is cut
+    between any two characters.  A single character may have more tokens than `most`.
+    """
+    if (n := counter.count([text])[0]) <= most:
+        return [(0, text, n)]
+    small = list(parts(text, SMALL_PART)) if counter.cut_safely else [text]
+    stack, out, at = list(zip(small, counter.count(small)))[::-1], [], 0
+    held, size = "", 0
+    while stack:
+        part, n = stack.pop()
+        if n > most and len(part) > 1:
+            half = [part[: len(part) // 2], part[len(part) // 2 :]]
+            stack.extend(list(zip(half, counter.count(half)))[::-1])
+            continue
+        whole = size + n if counter.cut_safely and n <= most and _SAFE.match(held[-1:] + part[:2], 1) else (counter.count([held + part])[0] if held else n)
+        if held and whole > most:
+            out.append((at, held, size))
+            at, held, whole = at + len(held), "", n
+        held, size = held + part, whole
+    return [*out, (at, held, size)]
+
+
 _counters: dict[str, Counter] = {}
 
 
+def counter_of(tokenizer: str) -> Counter:
+    """This process's counter for a tokenizer's file."""
+    counter = _counters.get(tokenizer)
+    if counter is None:
+        counter = _counters[tokenizer] = Counter(tokenizer)
+    return counter
+
+
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit): one row for each row of `docs`, over whole texts.
 
@@ -99,9 +136,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, id_col: str
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counters.get(tokenizer)
-        if counter is None:
-            counter = _counters[tokenizer] = Counter(tokenizer)
+        counter = counter_of(tokenizer)
         for batch, raw in slices(batches):
             n = counter.count([x.decode("utf-8", "replace") for x in raw])
             yield table(_SCHEMA, batch.column(0), list(map(len, raw)), n, list(map(int.__gt__, n, repeat(limit))))

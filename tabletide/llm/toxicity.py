@@ -1,4 +1,5 @@
-"""Toxicity by logistic regression over hashed words, pairs of neighbouring words and pairs with one word between, fitted by FTRL-proximal.
+"""Toxicity by logistic regression over hashed words and their stems, pairs of neighbouring words and pairs with one word between, fitted
+by FTRL-proximal.
 
 Each coordinate has its own learning rate, which falls with the gradients it has seen, and L1 keeps all weights at zero whose evidence
 is weak; what is left is small enough to broadcast.
@@ -18,14 +19,14 @@ from .words import Batch, grams, mix
 
 #: Hashed dimensions.
 BITS = 20
-#: Labelled rows that a model is fitted on, at most, taken by a hash of the id; longer texts than LONGEST bytes are not learned from.
+#: Labelled rows that a model is fitted on, at most, and how many features these may have together; they are taken by a hash of the id.
 TRAINING_ROWS = 16_000
-LONGEST = 1 << 18
-#: Features that the fitting task holds, at most; rows beyond it, in the order of the hash, are not learned from.
 TRAINING_FEATURES = 48_000_000
+#: Bytes of the stems that count beside a word; inflected and compound words share them.
+STEMS = (5, 6, 7)
 EPOCHS = 5
 #: FTRL-proximal: learning rate, its offset, L1 and L2.
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.1
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.1
 
 U64 = np.uint64
 
@@ -33,7 +34,7 @@ U64 = np.uint64
 def features(batch: Batch) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of the batch's texts, with repetitions: the text of each and its dimension."""
     text_of = np.repeat(np.arange(len(batch.first) - 1), np.diff(batch.first))
-    found = [(text_of, batch.hashes)]
+    found = [(text_of, batch.hashes), *((text_of, batch.stems(k)) for k in STEMS)]
     for gap in (1, 2):
         if len(batch.hashes) > gap:
             same = text_of[:-gap] == text_of[gap:]
@@ -102,11 +103,11 @@ def _dimensions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows, held = [], 0
-    for batch in batches:
-        for label, at in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            if held + len(at) // 4 <= TRAINING_FEATURES:
-                rows.append((np.frombuffer(at, np.uint32), label))
-                held += len(at) // 4
+    for label, at in (x for batch in batches for x in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+        held += len(at) // 4
+        if held > TRAINING_FEATURES and rows:
+            break  # the first row that doesn't fit ends the sample, so that it stays one by hash whatever the lengths
+        rows.append((np.frombuffer(at, np.uint32), label))
     if not rows:
         return
     model = Ftrl()
@@ -120,8 +121,9 @@ def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text", usable: Column | None = None, limit: int = TRAINING_ROWS) -> Model:
-    """A model of labels 0 and 1, learned from `limit` labelled rows at most.
+    """A model of labels 0 and 1, learned from `limit` labelled rows at most, with TRAINING_FEATURES features together at most.
 
+    The sample is the rows with the smallest hashes of their ids, up to these bounds, and their whole texts.
     Rows of `labels` with a null id or label, or outside `usable`, teach nothing; if an id has several labels the largest counts.  The
     sample's ids are broadcast, its features go to one task, and only weights that are not zero, of 2**BITS at most, reach the driver.
     """
@@ -134,7 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
     if count > limit:
         known = known.where(F.pmod(order, F.lit(1_000_000)) < min(1_000_000, 1_000_000 * limit * 1.05 / count))
     known = checkpoint(known.orderBy(order).limit(limit))
-    rows = ids_and_texts(docs, id_col, text_col).join(F.broadcast(known), "doc_id").where(F.octet_length("text") <= LONGEST).select("doc_id", "text", "label")
+    rows = ids_and_texts(docs, id_col, text_col).join(F.broadcast(known), "doc_id").select("doc_id", "text", "label")
     taken = rows.mapInArrow(_dimensions, "doc_id long, label double, at binary").repartition(1).sortWithinPartitions(order, "at")
     found = taken.mapInArrow(_fitted, "at binary, weight binary, constant double").collect()
     if not found:

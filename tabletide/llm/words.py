@@ -52,12 +52,17 @@ def _spans(separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
 
 
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each byte on, as one number; zeros follow the last."""
+    return np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, np.uint8))).data, strides=(1,))
+
+
 def _hash_piece(data: np.ndarray, separator: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends = _spans(separator)
     if not len(starts):
         return np.zeros(0, U64), starts, ends
     length = ends - starts
-    eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, np.uint8))).data, strides=(1,))  # those that begin at each byte
+    eight = _eights(data)
     found = mix((length.astype(U64) + U64(seed)) * LENGTH + (eight[starts] & _LEFT[np.minimum(length, 8)]) * ODD)
     more, done = np.flatnonzero(length > 8), 8
     while len(more) and done < LONG:
@@ -123,6 +128,11 @@ class Batch:
         """Further hashes of the words, which depend on the first ones in nothing."""
         return hash_words(self.data, self.kind, self.lower, 1)[0]
 
+    def stems(self, size: int) -> np.ndarray:
+        """Hashes of the first `size` bytes, at most 8, of each word; shorter words are their own stems."""
+        data = np.frombuffer(lowered(self.data) if self.lower else self.data, np.uint8)
+        return mix((_eights(data)[self.starts] & _LEFT[np.minimum(self.ends - self.starts, size)]) * ODD + U64(size))
+
     def words(self, a: int, b: int) -> list[bytes]:
         return [self.data[s:e] for s, e in zip(self.starts[a:b].tolist(), self.ends[a:b].tolist())]
 

@@ -44,10 +44,69 @@ def test_pack(sizes):
 
 def test_tables(spark, small):
     rows = list(map(tuple, Q.op8_best_fit_packing(spark, small).collect()))
-    lengths = {x.doc_id: len(x.text.encode()) for x in Q.read(spark, small, "documents").collect()}
+    lengths = {x.doc_id: len(x.text) for x in Q.read(spark, small, "documents").collect()}
     assert check(rows, lengths, Q.SEQUENCE_LENGTHS) < 1.05 * sum(lengths.values()) + 20_000
 
 
+def brute_bins(lengths, sizes, cost):
+    """The rules, followed by looking through all open bins for each piece."""
+    best = None
+    for top in range(len(sizes)):
+        own = sizes[: top + 1]
+        if max(lengths, default=0) > own[-1]:
+            continue
+        bins, rest = [], sum(lengths)
+        for n in sorted(lengths, reverse=True):
+            rest -= n
+            open_ = [b for b in bins if b[0] - sum(b[1]) >= n > 0 or n == 0 and b[0] > sum(b[1])]
+            if open_:
+                min(open_, key=lambda b: b[0] - sum(b[1]))[1].append(n)
+                continue
+
+            def unit_cost(size):
+                fill = max(1, min(size, n + rest))
+                final = min(c for c in own if c >= fill)
+                return (final + cost) / fill, final, size
+
+            bins.append((min((s for s in own if s >= n), key=unit_cost), [n]))
+        total = sum(min(s for s in own if s >= sum(b)) + cost for _, b in bins)
+        best = total if best is None else min(best, total)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_against_brute_force(seed):
+    rng = random.Random(seed)
+    sizes = sorted(rng.sample(range(5, 60), 3))
+    lengths = [rng.randint(1, sizes[-1]) for _ in range(rng.randint(1, 40))]
+    _, bins = P.pack(lengths, sizes, 4)
+    assert sum(c + 4 for c, _ in bins) == brute_bins(lengths, sizes, 4)
+
+
+def test_texts_in_tokens(spark):
+    """Pieces are the texts, none longer than the largest size, each as long as the library says; repeated rows and null ids stay."""
+    tokenizers = pytest.importorskip("tokenizers")
+    path = Q.tokenizer_path()
+    library = tokenizers.Tokenizer.from_file(path)
+    long = "it's a longer text, with words and 123 numbers; " * 60
+    docs = [(1, long), (1, long), (2, None), (3, ""), (4, "中文没有空格" * 50), (None, "a few words"), (1, "another text"), (5, "x" * 900), (6, "e\u0301\U0001f600" * 40)]
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, length int, copy string")
+    for group in (4096, 2):
+        rows = P.best_fit_texts(df, path, [16, 64], group=group).collect()
+        bins, texts = defaultdict(list), defaultdict(list)
+        for r in rows:
+            assert r.length == len(library.encode(r.text, add_special_tokens=False)) <= 64
+            bins[r.bin_id].append(r)
+            texts[r.doc_id, r.piece].append((r.start, r.text))
+        for own in bins.values():
+            assert sum(r.length for r in own) == own[0].bin_fill <= own[0].bin_size and own[0].bin_size in (16, 64)
+        for i, t in docs:
+            if i != 1:
+                assert "".join(texts[i, k][0][1] for k in range(sum(1 for x in texts if x[0] == i))) == (t or "")
+        assert sum(len(x) for k, v in texts.items() if k[0] == 1 for _, x in v) == 2 * len(long) + len("another text")
+    assert P.best_fit_texts(df.where("false"), path, [16]).collect() == []
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, "a" * 50, 1), (2, None, 1), (3, "", 1), (4, "b" * 20, 1), (5, "c" * 31, 2)], "doc_id long, text string, piece int")
     for group in (4096, 1):

@@ -183,6 +183,22 @@ def test_language(spark, small, odd, empty):
     assert {r.lang_pred for r in L.identify(odd, none).collect()} == {"und"}
 
 
+def test_rejected_languages(spark):
+    """What is no language, or two alike, goes; so does what isn't wanted.  Ids mean nothing."""
+    from tabletide.llm import language as L
+
+    rng = random.Random(3)
+    rows = [(lang, " ".join("".join(rng.choices(letters, k=5)) for _ in range(12))) for lang, letters in (("en", "abcdefg"), ("es", "hijklmn")) for _ in range(100)]
+    model = L.fit(spark.createDataFrame(rows, "label string, text string"), "text", "label")
+    both = " ".join(f"{a[1]} {b[1]}" for a, b in zip(rows[:100], rows[100:]))
+    docs = [(None, rows[0][1]), (None, rows[0][1]), (1, rows[150][1]), (1, None), (2, "12 ."), (3, both)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert model.predict([both.encode()])[0][2]
+    assert sorted(map(tuple, L.known_language(df, model).collect()), key=str) == sorted([docs[0], docs[1], docs[2]], key=str)
+    assert [r.doc_id for r in L.known_language(df, model, languages=["es"]).collect()] == [1]
+    assert L.known_language(df.where("false"), model).collect() == []
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6, 9, 20, 128])
 def test_codewords_differ(n):
     from tabletide.llm.language import codewords
