@@ -22,7 +22,7 @@ DECIMAL = r"^[+-]?(\d+(\.\d*)?|\.\d+)$"
 FLOAT = r"^[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
 STAMP = r"^(\d{4,6}-\d{1,2}-\d{1,2})[ T](\d{1,2}:\d{1,2}:\d{1,2}(?:\.\d{1,9})?)"
 ZONE = r"(Z|z|[+-]\d{2}(?::?\d{2})?)$"
-UUID = r"^(?i:\{?[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\}?|[0-9a-f]{32}|urn:uuid:[0-9a-f-]{36})$"
+UUID = r"^(?i:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}|\{[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}\}|[0-9a-f]{32}|urn:uuid:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12})$"
 
 
 def fail(name: str, what: str, cell: Column) -> Column:
@@ -85,30 +85,50 @@ def is_json(cell: Column) -> Column:
     return F.coalesce(F.try_parse_json(cell).isNotNull(), F.lit(False))
 
 
-def _leaf_type(schema: Schema, t: DataType) -> str:
-    """The type that JSON is read into: text at all leaves, so no number is rounded before it is looked at."""
-    t = schema.resolve(t)
-    if isinstance(t, S.Array):
-        return f"array<{_leaf_type(schema, t.element)}>"
-    if isinstance(t, S.Struct):
-        return "struct<" + ",".join(f"`{f.name.replace('`', '``')}`:{_leaf_type(schema, f.data_type)}" for f in t.fields) + ">"
-    return "string"
+#: Types whose values are JSON numbers, or strings where a number might be rounded.
+NUMBERS = (S.INT16, S.INT32, S.INT64, S.DECIMAL, S.FLOAT32, S.FLOAT64)
 
 
-def _nested(schema: Schema, t: DataType, value: Column, name: str, kind: Column | None) -> Column:
-    """A value whose leaves are texts, decoded.  `kind` is the JSON it came from, to tell strings from other values."""
-    t = schema.resolve(t)
+def _field(value: Column, name: str) -> Column:
+    """A key's value in a JSON object; null if there is none."""
+    return F.try_variant_get(value, "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']", "variant")
+
+
+def _kind(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+
+
+def _from_json(schema: Schema, t: DataType, value: Column, name: str) -> Column:
+    """The value of a part of JSON, whose kind has to be the type's: true or false for bool, a string for text and what is written as
+    text, a number or a string of one for numbers.  A JSON null is null.
+    """
+    t, kind = schema.resolve(t), _kind(value)
+    text, plain = F.to_json(value), F.try_variant_get(value, "$", "string")
+    is_text = kind == "STRING"
     if isinstance(t, S.Array):
-        return F.transform(value, lambda x: _nested(schema, t.element, x, f"{name}[]", None))
-    if isinstance(t, S.Struct):
-        fields = []
+        good, what = kind.startswith("ARRAY"), "a JSON array"
+        found = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: _from_json(schema, t.element, x, f"{name}[]"))
+    elif isinstance(t, S.Struct):
+        good, what, fields = kind.startswith("OBJECT"), "a JSON object", []
         for f in t.fields:
-            inner = _nested(schema, f.data_type, value[f.name], f"{name}.{f.name}", None)
+            part = _field(value, f.name)
+            inner = _from_json(schema, f.data_type, part, f"{name}.{f.name}")
             if not f.is_nullable:
-                inner = F.when(value[f.name].isNull(), fail(f"{name}.{f.name}", "a value that is not null", value[f.name].cast("string"))).otherwise(inner)
+                inner = F.when(_kind(part) == "VOID", fail(f"{name}.{f.name}", "a value that is not null", F.to_json(part))).otherwise(inner)
             fields.append(inner.alias(f.name))
-        return F.when(value.isNull(), F.lit(None)).otherwise(F.struct(*fields))
-    return scalar(schema, t, value, name)
+        found = F.struct(*fields)
+    elif t == S.BOOL:
+        good, what, found = kind == "BOOLEAN", "JSON true or false", F.try_variant_get(value, "$", "boolean")
+    elif t in NUMBERS:
+        is_number = kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+        good, what, found = is_text | is_number, "a JSON number", scalar(schema, t, F.when(is_text, plain).otherwise(text), name)
+    elif t == S.JSON:
+        good, what, found = F.lit(True), "json", text
+    elif isinstance(t, S.GeoJson):
+        good, what, found = is_text | kind.startswith("OBJECT"), "GeoJSON geometry", scalar(schema, t, F.when(is_text, plain).otherwise(text), name)
+    else:
+        good, what, found = is_text, "a JSON string", scalar(schema, t, plain, name)
+    return F.when(kind == "VOID", F.lit(None)).when(good, found).otherwise(fail(name, what, text))
 
 
 def cell(schema: Schema, t: DataType, text: Column, name: str) -> Column:
@@ -116,10 +136,10 @@ def cell(schema: Schema, t: DataType, text: Column, name: str) -> Column:
     t = schema.resolve(t)
     if not isinstance(t, (S.Array, S.Struct)):
         return scalar(schema, t, text, name)
-    opening, what = ("[", "a JSON array") if isinstance(t, S.Array) else ("{", "a JSON object")
-    raw = F.from_json(text, _leaf_type(schema, t), {"mode": "PERMISSIVE", "allowNumericLeadingZeros": "false"})
-    good = is_json(text) & F.ltrim(text).startswith(opening) & raw.isNotNull()
-    return F.when(text.isNull(), F.lit(None)).when(good, _nested(schema, t, raw, name, text)).otherwise(fail(name, what, text))
+    opening, what = ("ARRAY", "a JSON array") if isinstance(t, S.Array) else ("OBJECT", "a JSON object")
+    value = F.try_parse_json(text)
+    good = F.coalesce(_kind(value).startswith(opening), F.lit(False))
+    return F.when(text.isNull(), F.lit(None)).when(good, _from_json(schema, t, value, name)).otherwise(fail(name, what, text))
 
 
 def column(schema: Schema, c: S.Column, text: Column) -> Column:
@@ -138,9 +158,8 @@ def from_json_text(schema: Schema, line: Column) -> list[Column]:
     whole = F.when(F.schema_of_variant(value).startswith("OBJECT"), value).otherwise(F.raise_error(F.concat(F.lit("expected a JSON object, found "), F.coalesce(line, F.lit("null")))))
     out = []
     for c in schema.table.columns:
-        path = "$['" + c.name.replace("\\", "\\\\").replace("'", "\\'") + "']"
-        field = F.try_variant_get(whole, path, "variant")
-        kind = F.coalesce(F.schema_of_variant(field), F.lit("VOID"))
+        field = _field(whole, c.name)
+        kind = _kind(field)
         text = F.to_json(field)
         if schema.is_json_cell(c.data_type):
             cell_text = F.when(kind == "VOID", F.lit("")).otherwise(text)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import TideError
+from ..session import shared_folder
 
 
 def stream_name(base: str, path: str) -> str:
@@ -42,21 +43,31 @@ def concatenate(*streams: DataFrame) -> DataFrame:
 
 
 def row_bytes(df: DataFrame) -> Column:
-    """About the bytes that a row of texts takes as CSV."""
-    sizes = [F.coalesce(F.octet_length(F.col("`" + c.replace("`", "``") + "`")), F.lit(0)) for c in df.columns]
-    total = sizes[0]
-    for s in sizes[1:]:
-        total = total + s
-    return (total + len(sizes)).cast("long")
+    """The bytes that a row of texts takes as CSV, with its separators, its line break and the quotes that cells need."""
+    total = F.lit(len(df.columns))
+    for c in df.columns:
+        cell = F.col("`" + c.replace("`", "``") + "`")
+        quotes = F.octet_length(cell) - F.octet_length(F.replace(cell, F.lit('"')))
+        total = total + F.coalesce(F.octet_length(cell) + F.when(cell.rlike('[",\r\n]'), 2 + quotes).otherwise(0), F.lit(0))
+    return total.cast("long")
 
 
 def rechunk(df: DataFrame, size: int, name: str = "__chunk") -> DataFrame:
-    """`df`, which has texts only, with the number of the chunk that each row goes to, from 1: chunks have about `size` bytes.
+    """`df`, which has texts only, with the number of the chunk that each row goes to, from 1 without gaps.
 
-    Rows keep their order.  Each partition adds up its own rows; the partitions' totals, a row for each, are added up over them.
+    All rows' bytes are laid end to end, cut every `size` bytes less the header's, and a row goes where its first byte lies; so a chunk
+    is over `size` by less than its last row, and no chunk depends on what comes after it.  (Cutting anew after the row that fills a
+    chunk would make each chunk wait for all before it.)  Rows keep their order.  Each partition adds up its own rows; the partitions'
+    totals, a row for each, and the chunks' numbers, a row for each, are put in order over them.  Rows that come from a shuffle, whose
+    order another run may change, are written to the shared folder first.
     """
     if size < 1:
         raise TideError("a stream's size has to be positive")
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+            df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
+        df = df.checkpoint()
+    header = sum(len(c.encode()) + 1 for c in df.columns)
     held = df.withColumn("__at", F.monotonically_increasing_id()).withColumn("__bytes", row_bytes(df))
     held = held.withColumn("__partition", F.shiftright("__at", 33))
     totals = held.groupBy("__partition").agg(F.sum("__bytes").alias("__total"))
@@ -64,7 +75,10 @@ def rechunk(df: DataFrame, size: int, name: str = "__chunk") -> DataFrame:
     starts = totals.select("__partition", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__start"))
     own = Window.partitionBy("__partition").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
     at = F.col("__start") + F.coalesce(F.sum("__bytes").over(own), F.lit(0))
-    chunked = held.join(F.broadcast(starts), "__partition").withColumn(name, (F.floor(at / size) + 1).cast("int"))
+    placed = held.join(F.broadcast(starts), "__partition").withColumn("__cut", F.floor(at / max(1, size - header)))
+    # cuts inside one long row leave numbers out
+    number = F.row_number().over(Window.orderBy("__cut")).cast("int").alias(name)
+    chunked = placed.join(F.broadcast(placed.select("__cut").distinct().select("__cut", number)), "__cut")
     return chunked.select(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns], name)
 
 

@@ -18,6 +18,7 @@ from .functions.geo import is_geometry
 from .operators import merge, rows, shape
 from .plans import storage
 from .plans.copy import prepare
+from .session import shared_folder
 from .schema import Array, Column, GeoJson, OneOf, Schema, Struct, StructField, Table
 from .sources import files, locators
 from .sources.arguments import DestinationArguments, IfExists, SourceArguments
@@ -36,8 +37,7 @@ def table(*columns: Column, named=None) -> Schema:
 
 def scratch(spark: SparkSession) -> str:
     """A new place in the folder that all executors share."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "/tmp/checkpoints"
-    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 ORDERS = table(Column("o_orderkey", S.INT64, False), Column("o_custkey", S.INT64), Column("o_orderstatus", S.TEXT), Column("o_orderdate", S.TIMESTAMP), Column("o_orderpriority", S.TEXT))

@@ -79,8 +79,14 @@ def header(spark: SparkSession, path: str) -> list[str] | None:
     file = next((p for p, n in Files(spark, path).listed() if n), None)
     if file is None:
         return None
-    top = spark.read.option("lineSep", "\n").text(file).limit(50).collect()
-    return next(csv.reader(io.StringIO("\n".join(r[0] for r in top))))
+    lines, n = spark.read.option("lineSep", "\n").text(file), 64
+    while True:
+        top = [r[0] for r in lines.limit(n).collect()]
+        found = io.StringIO("\n".join(top))
+        names = next(csv.reader(found))
+        if len(top) < n or found.tell() < len(found.getvalue()) - 1:  # the record ends before what was read does
+            return names
+        n *= 4
 
 
 def header_schema(spark: SparkSession, path: str) -> Schema:
@@ -141,8 +147,7 @@ def write_file(df: DataFrame, schema: Schema, path: str, kind: str, if_exists: I
         csv.writer(text, lineterminator="\n").writerow([c.name for c in schema.table.columns])
         Files(df.sparkSession, staging + "/part-0").write(text.getvalue() if kind == "csv" else "", True)
         parts = [staging + "/part-0"]
-    target.delete()
-    target.rename(parts[0], path)
+    target.replace([(parts[0], path)])
     Files(df.sparkSession, staging).delete()
     return [path]
 
@@ -150,7 +155,7 @@ def write_file(df: DataFrame, schema: Schema, path: str, kind: str, if_exists: I
 def write_folder(df: DataFrame, schema: Schema, path: str, kind: str, if_exists: IfExists, stream: str, stream_size: int | None = None) -> list[str]:
     """A folder of files named after their streams, or after chunks of about `stream_size` bytes.
 
-    Rows without streams of their own make one named `stream`; if several tasks write it, its files are numbered.
+    Rows without streams of their own make one named `stream`; if several tasks write a stream, its files are numbered.
     """
     spark = df.sparkSession
     target = Files(spark, path)
@@ -166,7 +171,8 @@ def write_folder(df: DataFrame, schema: Schema, path: str, kind: str, if_exists:
         cells = shape.rechunk(data, stream_size, "__chunk").withColumn(BY, F.format_string("chunk_%04d", F.col("__chunk"))).drop("__chunk")
         _save(cells.repartition(BY), kind, staging, BY)
     elif "__stream" in cells.columns:
-        _save(cells.withColumnRenamed("__stream", BY).repartition(BY), kind, staging, BY)
+        # each task writes what it read, so a large stream has several writers, and several numbered files
+        _save(cells.withColumnRenamed("__stream", BY), kind, staging, BY)
     else:
         _save(cells, kind, staging)
     parts = sorted(p for p, _ in Files(spark, staging).listed())
@@ -174,17 +180,16 @@ def write_folder(df: DataFrame, schema: Schema, path: str, kind: str, if_exists:
     for p in parts:
         inner = p.rsplit(BY + "=", 1)
         names.setdefault(_unescaped(inner[1].rsplit("/", 1)[0]) if len(inner) > 1 else stream, []).append(p)
-    target.delete()
-    out = []
+    moves = []
     for name, own in names.items():
         if any(part in ("..", "") for part in name.split("/")):
             raise TideError(f"a stream cannot have the name {name!r}")
         for i, p in enumerate(own):
             place = f"{folder}/{name}{f'_{i + 1:04d}' if len(own) > 1 else ''}.{kind}"
-            target.rename(p, place)
-            out.append(place)
+            moves.append((p, place))
+    target.replace(moves)
     Files(spark, staging).delete()
-    return out
+    return [place for _, place in moves]
 
 
 def _unescaped(name: str) -> str:

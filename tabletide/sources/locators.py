@@ -17,6 +17,7 @@ from ..errors import TideError
 from ..operators import merge, rows
 from ..schema import Schema
 from . import files
+from ..session import shared_folder
 from .arguments import DestinationArguments, Features, IfExists, SourceArguments
 from .storage import Files
 
@@ -111,12 +112,12 @@ class FileLocator(Locator):
 
 
 def spool(spark: SparkSession, kind: str | None) -> str:
-    """Standard input as a file in the shared checkpoint folder, for executors to read."""
+    """Standard input as a file in the shared checkpoint folder, for executors to read; a megabyte is held at a time."""
     import sys
 
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "/tmp/checkpoints"
-    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex[:10]}/data.{files.format_of('', kind)}"
-    Files(spark, path).write(sys.stdin.read(), False)
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex[:10]}/data.{files.format_of('', kind)}"
+    blocks = iter(lambda: sys.stdin.read(1 << 20).encode("utf-8"), b"")
+    Files(spark, path).write_blocks(blocks, False)
     return path
 
 
@@ -319,7 +320,10 @@ class TableLocator(Locator):
         return [self.text]
 
     def _upsert(self, spark: SparkSession, data: DataFrame, keys: list[str]) -> None:
-        """Writes the merged rows as a new table, and gives it the old one's name once it is whole: a plan cannot overwrite what it reads."""
+        """Writes the merged rows as a new table, and gives it the old one's name once it is whole: a plan cannot overwrite what it reads.
+
+        The whole table is written anew.  If the new table cannot get the name, the old one gets it back.
+        """
         there = spark.table(self.body)
         for k in keys:
             if k not in there.columns:
@@ -327,7 +331,11 @@ class TableLocator(Locator):
         tag = uuid.uuid4().hex[:10]
         merge.upsert(there, data, keys).write.saveAsTable(f"{self.body}_{tag}")
         spark.sql(f"ALTER TABLE {self.body} RENAME TO {self.body}_{tag}_old")
-        spark.sql(f"ALTER TABLE {self.body}_{tag} RENAME TO {self.body}")
+        try:
+            spark.sql(f"ALTER TABLE {self.body}_{tag} RENAME TO {self.body}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {self.body}_{tag}_old RENAME TO {self.body}")
+            raise
         spark.sql(f"DROP TABLE {self.body}_{tag}_old")
 
 
@@ -518,8 +526,11 @@ class BigQueryLocator(Locator):
             for k in a.if_exists.keys:
                 if schema.table.column(k).is_nullable:
                     raise TideError(f"the upsert key {k!r} has to be REQUIRED")
-            there = df.sparkSession.read.format("bigquery").options(**self.options()).load()
-            data, mode = merge.upsert(there, data, list(a.if_exists.keys)), "overwrite"
+            # a plan cannot overwrite what it reads: the merged rows become a table of their own first
+            reader, staged = df.sparkSession.read.format("bigquery"), {"table": f"{self.body}_{uuid.uuid4().hex[:10]}"}
+            merged = merge.upsert(reader.options(**self.options()).load(), data, list(a.if_exists.keys))
+            merged.write.format("bigquery").options(**staged).mode("errorifexists").save()
+            data, mode = reader.options(**staged).load(), "overwrite"
         data.write.format("bigquery").options(**self.options()).mode({"error": "errorifexists"}.get(mode, mode)).save()
         return [self.text]
 

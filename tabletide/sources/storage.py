@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +50,23 @@ class Files:
         if not self._fs.rename(self._at(source), place):
             raise TideError(f"cannot rename {source} to {target}")
 
+    def replace(self, moves: list[tuple[str, str]]) -> None:
+        """Puts files that are written already in this place: what was here is renamed first, and deleted last, or put back if a move fails."""
+        old = f"{self.path.rstrip('/')}.{uuid.uuid4().hex[:10]}.old"
+        was_there = self.exists()
+        if was_there:
+            self.rename(self.path, old)
+        try:
+            for source, target in moves:
+                self.rename(source, target)
+        except Exception:
+            if was_there:
+                self.delete()
+                self.rename(old, self.path)
+            raise
+        if was_there:
+            self._fs.delete(self._at(old), True)
+
     def read(self) -> str:
         stream = self._fs.open(self._place)
         try:
@@ -57,10 +75,15 @@ class Files:
             stream.close()
 
     def write(self, text: str, overwrite: bool) -> None:
+        self.write_blocks([text.encode("utf-8")], overwrite)
+
+    def write_blocks(self, blocks: Iterable[bytes], overwrite: bool) -> None:
+        """A file of blocks, of which one is held at a time."""
         if self.exists() and not overwrite:
             raise TideError(f"{self.path} exists")
         stream = self._fs.create(self._place, overwrite)
         try:
-            stream.write(bytearray(text.encode("utf-8")))
+            for block in blocks:
+                stream.write(bytearray(block))
         finally:
             stream.close()

@@ -34,14 +34,14 @@ def decoded(spark, t, cells, nullable=True):
 
 
 UTC = dt.UTC
-STAMP = dt.datetime(1969, 7, 20, 20, 17, 39)
+STAMP = dt.datetime(1987, 11, 5, 22, 41, 8)
 GOOD = [
-    (S.BOOL, ["1", "y", "YES", "On", "t", "True"], [True] * 6), (S.BOOL, ["0", "n", "No", "OFF", "f", "false"], [False] * 6), (S.DATE, ["1969-07-20", "2000-02-29"], [dt.date(1969, 7, 20), dt.date(2000, 2, 29)]),
-    (S.INT16, ["-32768", "+7", "32767"], [-32768, 7, 32767]), (S.INT64, ["-9223372036854775808", "9223372036854775807"], [-(2**63), 2**63 - 1]), (S.DECIMAL, ["3.14", "-1", "0.100000000"], [Decimal("3.14"), Decimal(-1), Decimal("0.1")]),
+    (S.BOOL, ["1", "y", "YES", "On", "t", "True"], [True] * 6), (S.BOOL, ["0", "n", "No", "OFF", "f", "false"], [False] * 6), (S.DATE, ["1987-11-05", "2000-02-29"], [dt.date(1987, 11, 5), dt.date(2000, 2, 29)]),
+    (S.INT16, ["-32768", "+7", "32767"], [-32768, 7, 32767]), (S.INT64, ["-9223372036854775808", "9223372036854775807"], [-(2**63), 2**63 - 1]), (S.DECIMAL, ["2.72", "-1", "0.700000000"], [Decimal("2.72"), Decimal(-1), Decimal("0.7")]),
     (S.FLOAT64, ["1e+37", "1000.125", "-0"], [1e37, 1000.125, 0.0]), (S.FLOAT32, ["1e-37"], [pytest.approx(1e-37, rel=1e-6)]), (S.TEXT, [" a ", "x"], [" a ", "x"]),
-    (S.TIMESTAMP, ["1969-07-20 20:17:39", "1969-07-20 20:17:39.0", "1969-07-20T20:17:39"], [STAMP] * 3), (S.TIMESTAMP, ["1969-07-20T20:17:39.5"], [STAMP.replace(microsecond=500_000)]),
-    (S.UUID, ["084ec3bb-3193-4ffb-8b74-99a288e8432c", "084EC3BB31934FFB8B7499A288E8432C", "{084ec3bb-3193-4ffb-8b74-99a288e8432c}"], ["084ec3bb-3193-4ffb-8b74-99a288e8432c"] * 3), (S.JSON, ['{"x": 1, "y": [2]}', "3", "null"], ['{"x": 1, "y": [2]}', "3", "null"]),
-    (OneOf(("red", "green")), ["red", "green"], ["red", "green"]), (GeoJson(), ['{"type":"Point","coordinates":[-71,42]}', '{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}'], ['{"type":"Point","coordinates":[-71,42]}', '{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}']),
+    (S.TIMESTAMP, ["1987-11-05 22:41:08", "1987-11-05 22:41:08.0", "1987-11-05T22:41:08"], [STAMP] * 3), (S.TIMESTAMP, ["1987-11-05T22:41:08.5"], [STAMP.replace(microsecond=500_000)]),
+    (S.UUID, ["6fa459ea-ee8a-3ca4-894e-db77e160355e", "6FA459EAEE8A3CA4894EDB77E160355E", "{6fa459ea-ee8a-3ca4-894e-db77e160355e}"], ["6fa459ea-ee8a-3ca4-894e-db77e160355e"] * 3), (S.JSON, ['{"x": 1, "y": [2]}', "3", "null"], ['{"x": 1, "y": [2]}', "3", "null"]),
+    (OneOf(("red", "green")), ["red", "green"], ["red", "green"]), (GeoJson(), ['{"type":"Point","coordinates":[13,-7]}', '{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}'], ['{"type":"Point","coordinates":[13,-7]}', '{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}']),
     (Array(S.INT64), ['["-9223372036854775808", 0, null]', "[]"], [[-(2**63), 0, None], []]), (Array(S.TEXT), ['["hello",""]'], [["hello", ""]]), (Array(Array(S.BOOL)), ["[[true,false],[]]"], [[[True, False], []]]),
 ]
 
@@ -52,16 +52,16 @@ def test_good_cells(sql, t, cells, want):
 
 
 def test_time_zones(sql):
-    cells = ["1969-07-20 20:17:39+00", "1969-07-20 19:17:39.0-0100", "1969-07-20 21:17:39.0+01:00", "1969-07-20T21:17:39.0+01:00", "1969-07-20T20:17:39Z"]
+    cells = ["1987-11-05 22:41:08+00", "1987-11-05 20:11:08.0-0230", "1987-11-06 00:41:08.0+02:00", "1987-11-06T00:41:08.0+02:00", "1987-11-05T22:41:08Z"]
     df = sql.createDataFrame([(c,) for c in cells], "v string")
     value = decode.column(one(S.TIMESTAMPTZ), Column("v", S.TIMESTAMPTZ), F.col("v"))
-    assert {r[0] for r in df.select(encode.cell(one(S.TIMESTAMPTZ), S.TIMESTAMPTZ, value)).collect()} == {"1969-07-20T20:17:39Z"}
+    assert {r[0] for r in df.select(encode.cell(one(S.TIMESTAMPTZ), S.TIMESTAMPTZ, value)).collect()} == {"1987-11-05T22:41:08Z"}
 
 
 BAD = [
     (S.BOOL, ["10", " t", "tt"]), (S.DATE, ["2001", "2001-01-01T10", "2001-02-30", " 2001-01-01", "x"]), (S.INT16, ["32768", " 1", "1.0", "", "0x1"]), (S.INT64, ["9223372036854775808", "1e3"]),
     (S.DECIMAL, ["1e5", "x", "1.0000000001", "9" * 40]), (S.FLOAT64, ["1.5d", " 1", "x"]), (S.TIMESTAMP, ["2001-01-01", "2001-01-01 10", "2001-01-01 10:00:00Z", "2001-01-01 25:00:00"]),
-    (S.TIMESTAMPTZ, ["2001-01-01 10:00:00", "2001-01-01 10:00:00 UTC"]), (S.UUID, ["084ec3bb", "084ec3bb-3193-4ffb-8b74-99a288e8432g"]), (S.JSON, ["{", "{'a': 1}"]), (OneOf(("a",)), ["b", "A"]),
+    (S.TIMESTAMPTZ, ["2001-01-01 10:00:00", "2001-01-01 10:00:00 UTC"]), (S.UUID, ["{6fa459ea-ee8a-3ca4-894e-db77e160355e", "6fa459ea-ee8a-3ca4-894e-db77e160355e}", "6fa459ea", "6fa459ea-ee8a-3ca4-894e-db77e160355g"]), (S.JSON, ["{", "{'a': 1}"]), (OneOf(("a",)), ["b", "A"]),
     (GeoJson(), ['{"type":"Feature","geometry":null}', '{"type":"Point","coordinates":[1]}', "x"]), (Array(S.INT32), ["{}", '["x"]', "[1", '[3000000000]', "1"]), (Struct((StructField("a", S.INT32, False),)), ["{}", "[]", '{"a": "x"}']),
 ]
 
@@ -72,6 +72,25 @@ def test_bad_cells(sql, t, cell):
         decoded(sql, t, [cell], nullable=False)
 
 
+KINDS = [
+    (Array(S.TEXT), ["[1]", "[true]", '[{"a":1}]', "[[]]"]), (Array(S.BOOL), ['["yes"]', "[1]", '["true"]']), (Array(S.DATE), ["[20010101]"]), (Array(S.INT64), ["[true]", "[1.5]", "[[1]]"]), (Array(S.FLOAT64), ["[false]", '[{}]']),
+    (Struct((StructField("a", S.TEXT),)), ['{"a": 5}', '{"a": false}']), (Struct((StructField("a", Array(S.BOOL)),)), ['{"a": [0]}', '{"a": true}']), (Array(OneOf(("1",))), ["[1]"]), (Array(S.UUID), ["[7]"]),
+]
+
+
+@pytest.mark.parametrize("t, cell", [(t, c) for t, cells in KINDS for c in cells], ids=str)
+def test_json_of_another_kind(sql, t, cell):
+    """Inside JSON only true and false are bool, and only strings are text."""
+    with pytest.raises(Exception, match="column 'v"):
+        decoded(sql, t, [cell])
+
+
+def test_numbers_in_json(sql):
+    assert decoded(sql, Array(S.INT64), ['["7", 8, null]']) == [[7, 8, None]]
+    assert decoded(sql, Array(S.FLOAT64), ["[1, 2.5, 1e3]"]) == [[1.0, 2.5, 1000.0]]
+    assert decoded(sql, Array(S.DECIMAL), ['[12345678901234567890.123456789, "0.5"]']) == [[Decimal("12345678901234567890.123456789"), Decimal("0.5")]]
+
+
 def test_null_and_empty(sql):
     assert decoded(sql, S.TEXT, ["", None, "x"]) == [None, None, "x"]
     assert decoded(sql, S.TEXT, ["", None, "x"], nullable=False) == ["", "", "x"]
@@ -83,8 +102,8 @@ def test_exact_output(sql):
     columns = (ID, *(Column(n, t) for n, t in (("b", S.BOOL), ("d", S.DATE), ("i16", S.INT16), ("i32", S.INT32), ("i64", S.INT64), ("t", S.TEXT), ("ts", S.TIMESTAMP), ("tz", S.TIMESTAMPTZ), ("u", S.UUID), ("Select", S.TEXT), ("e", S.Named("color")))))
     schema = Schema(Table("t", columns), {"color": OneOf(("red", "green"))})
     cells = [
-        ("1", "t", "1969-07-20", "-32768", "-2147483648", "-9223372036854775808", "hello", "1969-07-20T20:17:39", "1969-07-20T20:17:39Z", "084ec3bb-3193-4ffb-8b74-99a288e8432c", None, "red"),
-        ("2", "f", "2001-01-01", "32767", "2147483647", "9223372036854775807", None, "1969-07-20T20:17:39.5", "1969-07-20T20:17:39.000001Z", None, "x,\"y\"\n", "green"), ("3", *[None] * 11),
+        ("1", "t", "1987-11-05", "-32768", "-2147483648", "-9223372036854775808", "hello", "1987-11-05T22:41:08", "1987-11-05T22:41:08Z", "6fa459ea-ee8a-3ca4-894e-db77e160355e", None, "red"),
+        ("2", "f", "2001-01-01", "32767", "2147483647", "9223372036854775807", None, "1987-11-05T22:41:08.5", "1987-11-05T22:41:08.000001Z", None, "x,\"y\"\n", "green"), ("3", *[None] * 11),
     ]
     df = sql.createDataFrame(cells, ", ".join(f"`{c.name}` string" for c in columns))
     assert [tuple(r) for r in rows.encoded(rows.decoded(df, schema), schema).orderBy("id").collect()] == cells
@@ -112,7 +131,7 @@ def random_value(rng, t):
         S.BOOL: lambda: rng.random() < 0.5, S.DATE: lambda: dt.date(1900 + rng.randrange(200), 1 + rng.randrange(12), 1 + rng.randrange(28)), S.DECIMAL: lambda: Decimal(rng.randint(-(10**15), 10**15)).scaleb(-9),
         S.FLOAT64: lambda: rng.choice([0.5, 1e37, -1e-37, rng.random() * 1e6, 1e22, 123456789.0]), S.INT16: lambda: rng.randint(-(2**15), 2**15 - 1), S.INT32: lambda: rng.randint(-(2**31), 2**31 - 1), S.INT64: lambda: rng.randint(-(2**63), 2**63 - 1),
         S.TEXT: lambda: rng.choice(["x", "a \"b\"\n\\", "é 中 😀", "null", "[1]"]), S.TIMESTAMP: lambda: dt.datetime(1950 + rng.randrange(100), 3, 4, 5, 6, 7, rng.choice([0, 500_000, 1, 123_456])),
-        S.UUID: lambda: "084ec3bb-3193-4ffb-8b74-99a288e8432c",
+        S.UUID: lambda: "6fa459ea-ee8a-3ca4-894e-db77e160355e",
     }[t]()
 
 
@@ -177,13 +196,13 @@ def test_literals():
     schema = one(S.TEXT)
     for t, value, want in (
         (S.BOOL, True, "TRUE"), (S.TEXT, 'a"é\n', '"a\\"\\U000000e9\\U0000000a"'), (S.INT64, -5, "-5"), (S.FLOAT64, 1000.125, "1000.125e0"), (S.FLOAT64, 1e37, "1e37"), (S.DECIMAL, Decimal("1.50"), 'NUMERIC "1.50"'),
-        (S.DATE, dt.date(2001, 2, 3), 'DATE "2001-02-03"'), (S.TIMESTAMP, STAMP, 'DATETIME "1969-07-20T20:17:39"'), (S.TIMESTAMPTZ, STAMP.replace(tzinfo=UTC), 'TIMESTAMP "1969-07-20T20:17:39Z"'),
+        (S.DATE, dt.date(2001, 2, 3), 'DATE "2001-02-03"'), (S.TIMESTAMP, STAMP, 'DATETIME "1987-11-05T22:41:08"'), (S.TIMESTAMPTZ, STAMP.replace(tzinfo=UTC), 'TIMESTAMP "1987-11-05T22:41:08Z"'),
         (Array(Array(S.INT16)), [[1], []], "ARRAY[STRUCT(ARRAY[1]),STRUCT(ARRAY[])]"), (GeoJson(), "{}", 'ST_GEOGFROMGEOJSON("{}")'), (S.TEXT, None, "NULL"),
     ):
         assert literals.bigquery(schema, t, value) == want
     for t, value, want in (
         ("bigint", 5, "BIGINT '5'"), ("array(int)", [], "CAST(ARRAY[] AS ARRAY(INT))"), ("array(int)", [1, 2], "ARRAY[1, 2]"), ('row("a" int)', [1], 'CAST(ROW(1) AS ROW("a" INT))'), ("varchar", "it's", "'it''s'"),
-        ("timestamp(3)", STAMP, "TIMESTAMP '1969-07-20 20:17:39.000'"), ("json", None, "CAST(NULL AS JSON)"), ("varbinary", b"\x01", "X'01'"), ("double", float("inf"), "DOUBLE 'Infinity'"),
+        ("timestamp(3)", STAMP, "TIMESTAMP '1987-11-05 22:41:08.000'"), ("json", None, "CAST(NULL AS JSON)"), ("varbinary", b"\x01", "X'01'"), ("double", float("inf"), "DOUBLE 'Infinity'"),
     ):
         assert literals.trino(parse_type(t), value) == want
 
