@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from .. import schema as S
@@ -263,15 +264,18 @@ def render(schema: Schema, table: str | None = None) -> str:
     return str(create_table(schema, (table or schema.table.name).replace(".", "_")))
 
 
-def merge_statement(schema: Schema, source: str, target: str, keys: list[str]) -> str:
-    """MERGE on equal keys; without other columns, rows that match stay as they are."""
+def merge_statement(schema: Schema, source: str, target: str, keys: list[str], loaded: Callable[[str, str], str] = lambda name, x: x) -> str:
+    """MERGE on equal keys; without other columns, rows that match stay as they are.
+
+    Keys are compared as `loaded` gives them, by column and expression: as values, not as a storage keeps them.
+    """
     if not keys:
         raise TideError("an upsert needs a key")
     names = [identifier(c.name) for c in schema.table.columns]
     for k in keys:
         schema.table.column(k)
     rest = [n for n in names if n not in {identifier(k) for k in keys}]
-    on = " AND ".join(f"dest.{quote(identifier(k))} = src.{quote(identifier(k))}" for k in keys)
+    on = " AND ".join(f"{loaded(k, f'dest.{quote(identifier(k))}')} = {loaded(k, f'src.{quote(identifier(k))}')}" for k in keys)
     update = "WHEN MATCHED THEN UPDATE SET " + ", ".join(f"{quote(n)} = src.{quote(n)}" for n in rest) + " " if rest else ""
     return f"MERGE INTO {quote_table(target)} AS dest USING {quote_table(source)} AS src ON {on} {update}WHEN NOT MATCHED THEN INSERT ({', '.join(map(quote, names))}) VALUES ({', '.join(f'src.{quote(n)}' for n in names)})"
 
@@ -288,3 +292,44 @@ def from_catalog(table: str, rows) -> Schema:
     if not columns:
         raise TideError(f"there is no table {table!r}")
     return Schema(Table(table, columns))
+
+
+def export_expression(t: Type, x: str) -> str:
+    """SQL that gives a value in interchange text."""
+    match t.name:
+        case "varchar":
+            return x
+        case "boolean":
+            return f"CASE WHEN {x} THEN 't' WHEN NOT {x} THEN 'f' END"
+        case "timestamp":
+            return f"RTRIM(RTRIM(DATE_FORMAT({x}, '%Y-%m-%dT%H:%i:%s.%f'), '0'), '.')"
+        case "timestamp with time zone":
+            return f"RTRIM(RTRIM(DATE_FORMAT({x} AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%i:%s.%f'), '0'), '.') || 'Z'"
+        case "json":
+            return f"JSON_FORMAT({x})"
+        case "array" | "row":
+            return f"JSON_FORMAT(CAST({x} AS JSON))"
+        case "sphericalgeography":
+            return f"to_geojson_geometry({x})"
+    return f"CAST({x} AS VARCHAR)"
+
+
+def import_expression(t: Type, x: str) -> str:
+    """SQL that gives the value of interchange text; an empty cell is null."""
+    text = f"NULLIF({x}, '')"
+    match t.name:
+        case "varchar":
+            return text
+        case "boolean":
+            return f"CASE WHEN LOWER({x}) IN ('1', 'y', 'yes', 'on', 't', 'true') THEN TRUE WHEN LOWER({x}) IN ('0', 'n', 'no', 'off', 'f', 'false') THEN FALSE ELSE CAST({text} AS BOOLEAN) END"
+        case "timestamp":
+            return f"CAST(REPLACE({text}, 'T', ' ') AS {t})"
+        case "timestamp with time zone":
+            return f"CAST(from_iso8601_timestamp_nanos({text}) AS {t})"
+        case "json":
+            return f"JSON_PARSE({text})"
+        case "array" | "row":
+            return f"CAST(JSON_PARSE({text}) AS {t})"
+        case "sphericalgeography":
+            return f"from_geojson_geometry({text})"
+    return f"CAST({text} AS {t})"

@@ -94,10 +94,26 @@ def _field(value: Column, name: str) -> Column:
     return F.try_variant_get(value, "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']", "variant")
 
 
+def _bound(value: Column, f) -> Column:
+    """f(value), with the value computed once however often f refers to it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _kind(value: Column) -> Column:
     return F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
 
 
+def _member(schema: Schema, f: S.StructField, name: str):
+    """What reads a struct's field from its JSON."""
+    spot = f"{name}.{f.name}"
+
+    def read(part: Column) -> Column:
+        whole = _from_json(schema, f.data_type, part, spot)
+        return whole if f.is_nullable else F.when(_kind(part) == "VOID", fail(spot, "a value that is not null", F.to_json(part))).otherwise(whole)
+
+    return read
+
+
 def _from_json(schema: Schema, t: DataType, value: Column, name: str) -> Column:
     """The value of a part of JSON, whose kind has to be the type's: true or false for bool, a string for text and what is written as
     text, a number or a string of one for numbers.  A JSON null is null.
@@ -111,11 +127,7 @@ def _from_json(schema: Schema, t: DataType, value: Column, name: str) -> Column:
     elif isinstance(t, S.Struct):
         good, what, fields = kind.startswith("OBJECT"), "a JSON object", []
         for f in t.fields:
-            part = _field(value, f.name)
-            inner = _from_json(schema, f.data_type, part, f"{name}.{f.name}")
-            if not f.is_nullable:
-                inner = F.when(_kind(part) == "VOID", fail(f"{name}.{f.name}", "a value that is not null", F.to_json(part))).otherwise(inner)
-            fields.append(inner.alias(f.name))
+            fields.append(_bound(_field(value, f.name), _member(schema, f, name)).alias(f.name))
         found = F.struct(*fields)
     elif t == S.BOOL:
         good, what, found = kind == "BOOLEAN", "JSON true or false", F.try_variant_get(value, "$", "boolean")
@@ -137,9 +149,13 @@ def cell(schema: Schema, t: DataType, text: Column, name: str) -> Column:
     if not isinstance(t, (S.Array, S.Struct)):
         return scalar(schema, t, text, name)
     opening, what = ("ARRAY", "a JSON array") if isinstance(t, S.Array) else ("OBJECT", "a JSON object")
-    value = F.try_parse_json(text)
-    good = F.coalesce(_kind(value).startswith(opening), F.lit(False))
-    return F.when(text.isNull(), F.lit(None)).when(good, _from_json(schema, t, value, name)).otherwise(fail(name, what, text))
+
+    def whole(x: Column) -> Column:
+        value = x["value"]
+        return F.when(x["text"].isNull(), F.lit(None)).when(_kind(value).startswith(opening), _from_json(schema, t, value, name)).otherwise(fail(name, what, x["text"]))
+
+    # of a text that is no JSON nothing is left to look at but the text
+    return _bound(F.struct(text.alias("text"), F.try_parse_json(text).alias("value")), whole)
 
 
 def column(schema: Schema, c: S.Column, text: Column) -> Column:

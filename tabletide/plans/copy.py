@@ -11,6 +11,7 @@ from ..errors import TideError
 from ..operators.shape import bounded
 from ..schema import Schema
 from ..sources import locators
+from ..sources.storage import Files
 from ..sources.arguments import DestinationArguments, IfExists, SourceArguments, parse
 
 
@@ -29,15 +30,28 @@ def _schema(spark: SparkSession, source: locators.Locator, given: str | None, a:
     return found
 
 
+def stage(spark: SparkSession, temporary: Iterable[str]) -> None:
+    """Tells the connectors where they may stage data."""
+    for place in temporary:
+        scheme = place.split(":", 1)[0]
+        if scheme == "gs":
+            spark.conf.set("temporaryGcsBucket", place[len("gs://") :].split("/", 1)[0])
+        elif scheme == "s3":
+            spark.conf.set("tempdir", "s3a" + place[len("s3") :])
+        else:
+            raise TideError(f"{place} is no place in an object store")
+
+
 def copy(
     spark: SparkSession, source: str, destination: str, *, if_exists: str = "error", schema: str | None = None, where: str | None = None, from_format: str | None = None, to_format: str | None = None,
     from_args: Iterable[str] = (), to_args: Iterable[str] = (), stream_size: int | None = None, max_streams: int | None = None, temporary: Iterable[str] = (), unstable: bool = True, metrics: dict | None = None,
 ) -> list[str]:
     """Copies a table, and returns the locators of what was written.
 
-    `metrics`, if given, gets the number of rows and of outputs, by schemes; they are counted as the rows go by.
+    `metrics`, if given, gets the number of rows and of outputs, by schemes, and of bytes in files; rows are counted as they go by.
 
-    `temporary` is accepted for the databases that stage data in an object store; Spark's connectors take it from their own settings.
+    Two servers that can do it between them copy without Spark: see remote.  `temporary` names folders where connectors stage data, such
+    as s3://bucket/tmp/ for Redshift and gs://bucket/tmp/ for BigQuery.
     """
     prepare(spark)
     a, b = locators.parse(source, unstable), locators.parse(destination, unstable)
@@ -50,6 +64,13 @@ def copy(
     a.features.check_source(a.scheme, read)
     b.features.check_destination(b.scheme, write)
     table = _schema(spark, a, schema, read, unstable)
+    from .remote import transfer
+
+    if (written := transfer(spark, a, b, table, read, write)) is not None:
+        if metrics is not None:
+            metrics |= {"from": a.scheme, "to": b.scheme, "streams": len(written)}
+        return written
+    stage(spark, temporary)
     df = a.read(spark, table, read)
     if max_streams:
         df = bounded(df, max_streams)
@@ -58,6 +79,8 @@ def copy(
     seen = Observation()
     written = b.write(df.observe(seen, F.count(F.lit(1)).alias("rows")), table, write, stream_size)
     metrics |= {"from": a.scheme, "to": b.scheme, "rows": seen.get["rows"], "streams": len(written)}
+    if isinstance(b, locators.FileLocator):
+        metrics["bytes"] = sum(n for w in written for _, n in Files(spark, locators.parse(w).path).listed())
     return written
 
 

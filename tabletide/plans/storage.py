@@ -141,6 +141,17 @@ def affixes(profile: str, t: Type, storing: bool) -> tuple[str, str]:
     return before, after
 
 
+def loaded_sql(profile: str, t: Type, text: str) -> str:
+    """A Trino expression for the value that a stored expression stands for."""
+    before, after = affixes(profile, t, False)
+    return before + text + after
+
+
+def stored_sql(profile: str, t: Type, text: str) -> str:
+    before, after = affixes(profile, t, True)
+    return before + text + after
+
+
 def store(profile: str, t: Type, c: Column) -> Column:
     found = transform(profile, t).store
     return found(c) if found else c

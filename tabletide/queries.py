@@ -5,22 +5,24 @@ Each takes (spark, sf_dir) and works on whole tables.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schema as S
-from .dialects import postgres
+from .dialects import bigquery, postgres, trino
 from .dialects.trino import parse_type
-from .functions import decode, encode
+from .errors import TideError
+from .functions import decode, encode, literals
 from .functions.geo import is_geometry
 from .operators import merge, rows, shape
 from .plans import storage
 from .plans.copy import prepare
 from .session import shared_folder
 from .schema import Array, Column, GeoJson, OneOf, Schema, Struct, StructField, Table
-from .sources import files, locators
+from .sources import arguments, files, locators
 from .sources.arguments import DestinationArguments, IfExists, SourceArguments
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -137,8 +139,8 @@ def struct_roundtrip(spark, d):
     """Structs and arrays of them, to JSON text and back."""
     t = Array(CUSTOMER)
     text = encode.cell(ONE(t), t, F.array("value"))
-    back = decode.cell(ONE(t), t, text, "value")[0]
-    return _customers(spark, d).select("c_custkey", back["c_name"].alias("c_name"), back["segment"].alias("segment"), back["nation"].alias("nation"))
+    back = F.col("back")[0]
+    return _customers(spark, d).select("c_custkey", decode.cell(ONE(t), t, text, "value").alias("back")).select("c_custkey", back["c_name"].alias("c_name"), back["segment"].alias("segment"), back["nation"].alias("nation"))
 
 
 def json_field(spark, d):
@@ -282,34 +284,249 @@ def inline_relation(spark, d):
     return at.read(spark, schema, SourceArguments())
 
 
+def _types(schema: Schema) -> list[str]:
+    return [json.dumps(S.type_to_json(c.data_type)) for c in schema.table.columns]
+
+
 def schema_of_tables(spark, d):
-    """Each table's schema, read from Spark and written as PostgreSQL: a row for each column."""
-    out = None
-    for t in TABLES[:7]:
-        found = S.from_spark(t, read(spark, d, t).schema)
-        back = postgres.parse(postgres.render(found))
-        names = [(t, i, c.name) for i, c in enumerate(back.table.columns, 1)]
-        one = spark.createDataFrame(names, "table_name string, position int, column_name string")
-        out = one if out is None else out.union(one)
-    return out
+    """Each table's columns, read from Spark, with their types in every dialect; what a dialect's parser reads back is compared with it."""
+    found = []
+    for t in TABLES:
+        own = S.from_spark(t, read(spark, d, t).schema)
+        made = trino.create_table(own)
+        back = {"postgres": _types(postgres.parse(postgres.render(own))), "portable": _types(S.schema_from_json(S.schema_to_json(own))), "bigquery": _types(bigquery.parse(bigquery.render(own))), "trino": _types(trino.parse(trino.render(own)))}
+        for i, c in enumerate(own.table.columns):
+            names = postgres.type_name(own, c.data_type), bigquery.type_name(own, c.data_type), str(made.columns[i][1])
+            found.append((t, i + 1, c.name, _types(own)[i], c.is_nullable, *names, *(back[k][i] for k in ("portable", "postgres", "bigquery", "trino"))))
+    return spark.createDataFrame(found, "table_name string, position int, column_name string, portable string, nullable boolean, postgres string, bigquery string, trino string, from_portable string, from_postgres string, from_bigquery string, from_trino string")
+
+
+def schema_conversion(spark, d):
+    """From Spark's catalog through PostgreSQL's DDL, BigQuery's JSON and Trino's DDL in files, one after another."""
+    from .plans.copy import convert_schema
+
+    at, name = scratch(spark), f"conversion_{uuid.uuid4().hex[:8]}"
+    read(spark, d, "orders").limit(0).createOrReplaceTempView(name)
+    places = [f"table:{name}", f"postgres-sql:{at}/a.sql", f"portable-schema:{at}/b.json", f"trino-sql:{at}/c.sql", f"bigquery-schema:{at}/d.json"]
+    for a, b in zip(places, places[1:]):
+        convert_schema(spark, a, b)
+    last = locators.parse(places[-1]).schema(spark, SourceArguments())
+    spark.catalog.dropTempView(name)
+    return spark.createDataFrame([(i, c.name, t) for i, (c, t) in enumerate(zip(last.table.columns, _types(last)), 1)], "position int, column_name string, portable string")
+
+
+def csv_header_schema(spark, d):
+    """The columns that a CSV file's header tells."""
+    path = f"{scratch(spark)}.csv"
+    schema = S.from_spark("part", read(spark, d, "part").schema)
+    files.write_file(read(spark, d, "part").limit(3), schema, path, "csv", IfExists())
+    found = locators.parse(f"csv:{path}").schema(spark, SourceArguments())
+    return spark.createDataFrame([(i, c.name, t) for i, (c, t) in enumerate(zip(found.table.columns, _types(found)), 1)], "position int, column_name string, portable string")
+
+
+NATIONS = table(Column("n_nationkey", S.INT64, False), Column("n_name", S.TEXT), Column("n_regionkey", S.INT64))
+
+
+def _nations(spark, d, where="true"):
+    return read(spark, d, "nation").where(where).select(F.col("n_nationkey").cast("long"), "n_name", F.col("n_regionkey").cast("long"))
+
+
+def _policy(spark, d, *steps):
+    """Writes to a new table, with a policy and rows for each step; what is there then, and how many steps were refused."""
+    at, refused = locators.parse(f"table:policy_{uuid.uuid4().hex[:10]}"), 0
+    for policy, df in steps:
+        try:
+            at.write(df, NATIONS, DestinationArguments(IfExists.parse(policy)))
+        except TideError:
+            refused += 1
+    return spark.table(at.body).withColumn("refused", F.lit(refused))
+
+
+def if_exists_error(spark, d):
+    return _policy(spark, d, ("error", _nations(spark, d, "n_regionkey = 1")), ("error", _nations(spark, d)))
+
+
+def if_exists_append(spark, d):
+    return _policy(spark, d, ("append", _nations(spark, d, "n_regionkey < 3")), ("append", _nations(spark, d, "n_regionkey > 1")))
+
+
+def if_exists_overwrite(spark, d):
+    return _policy(spark, d, ("overwrite", _nations(spark, d)), ("overwrite", _nations(spark, d, "n_regionkey = 2")))
+
+
+def if_exists_upsert(spark, d):
+    changed = _nations(spark, d, "n_regionkey in (2, 4)").withColumn("n_name", F.lower("n_name"))
+    return _policy(spark, d, ("error", _nations(spark, d, "n_regionkey < 3")), ("upsert-on:n_nationkey", changed))
+
+
+def single_file(spark, d):
+    """One CSV file, overwritten, and read as an older locator names it."""
+    path = f"{scratch(spark)}.csv"
+    at = locators.parse(f"file:{path}")
+    for policy, df in (("error", _nations(spark, d)), ("overwrite", _nations(spark, d, "n_regionkey <> 3"))):
+        at.write(df, NATIONS, DestinationArguments(IfExists.parse(policy)))
+    return locators.parse(f"csv:{path}").read(spark, NATIONS, SourceArguments(where="n_nationkey > 4")).drop("__stream")
+
+
+def copied_folder(spark, d):
+    """A copy of a folder of files keeps their streams, through JSON Lines."""
+    from .plans.copy import copy
+
+    at, name = scratch(spark), f"regions_{uuid.uuid4().hex[:8]}"
+    schema = f"portable-schema:{at}/schema.json"
+    locators.parse(schema).write_schema(spark, NATIONS, IfExists())
+    for k in range(5):
+        files.write_file(_nations(spark, d, f"n_regionkey = {k}"), NATIONS, f"{at}/in/{'deep/' if k % 2 else ''}r{k}.v1.csv", "csv", IfExists())
+    copy(spark, f"file:{at}/in/", f"file:{at}/out/", schema=schema, to_format="jsonl")
+    copy(spark, f"file:{at}/out/", f"table:{name}", schema=schema, where="n_nationkey % 2 = 0")
+    back = files.scan(spark, f"{at}/out/", NATIONS).groupBy(F.col("__stream").alias("stream")).agg(F.count("*").alias("n"))
+    return back.join(spark.table(name).groupBy(F.concat(F.when(F.col("n_regionkey") % 2 == 1, "deep/").otherwise(""), F.lit("r"), F.col("n_regionkey")).alias("stream")).agg(F.count("*").alias("even")), "stream", "left")
+
+
+def arriving_files(spark, d):
+    """Files of a folder, appended to a table as a stream, twice over with the same checkpoints: each once."""
+    from .streaming.tables import arriving, keep_copied
+
+    at, name = scratch(spark), f"arriving_{uuid.uuid4().hex[:8]}"
+    for k in range(5):
+        files.write_file(_nations(spark, d, f"n_regionkey = {k}"), NATIONS, f"{at}/in/r{k}.csv", "csv", IfExists())
+        if k in (2, 4):
+            keep_copied(arriving(spark, f"{at}/in", NATIONS), NATIONS, name, "append", f"{at}/checkpoints", once=True).awaitTermination()
+    return spark.table(name)
+
+
+def align_types(spark, d):
+    """A text column takes what is written as text; other types have to be the same."""
+    have, want = table(Column("a", S.TEXT)), table(Column("a", S.TEXT))
+    cases = [(S.TEXT, t) for t in (S.TEXT, S.UUID, S.JSON, GeoJson(), OneOf(("x",)), S.INT64, S.BOOL)] + [(S.INT64, S.INT64), (S.INT64, S.INT32), (Array(S.TEXT), Array(S.UUID)), (Array(S.TEXT), Array(S.DATE))]
+    out = []
+    for i, (t, u) in enumerate(cases):
+        try:
+            out.append((i, json.dumps(S.type_to_json(rows.align_type(have, t, want, u, "a")))))
+        except TideError:
+            out.append((i, None))
+    return spark.createDataFrame(out, "i int, taken string")
+
+
+def json_lines_not_null(spark, d):
+    """Keys that have to be there, with values that are not null."""
+    schema = table(Column("k", S.INT64, False), Column("name", S.TEXT, False), Column("note", S.TEXT))
+    line = F.concat(F.lit('{"k": '), F.col("c_custkey"), F.lit(', "name": "'), F.col("c_name"), F.when(F.col("c_custkey") % 2 == 0, '", "note": null}').otherwise('", "note": "odd"}'))
+    return rows.decoded(read(spark, d, "customer").select(*decode.from_json_text(schema, line)), schema)
+
+
+MIXED = Struct((StructField("price", S.DECIMAL), StructField("times", Array(S.TIMESTAMP)), StructField("big", S.INT64), StructField("flags", Array(S.BOOL)), StructField("at", GeoJson())))
+
+
+def _mixed(spark, d):
+    point = F.concat(F.lit('{"type":"Point","coordinates":['), F.col("o_custkey"), F.lit(",0]}"))
+    value = F.struct((F.col("o_custkey") + F.lit("0.25").cast("decimal(3,2)")).cast("decimal(38,9)").alias("price"), F.array(F.col("o_orderdate").cast("timestamp_ntz"), F.lit(None)).alias("times"),
+        F.col("o_orderkey").alias("big"), F.array(F.col("o_custkey") % 2 == 0).alias("flags"), point.alias("at"))
+    return read(spark, d, "orders").select("o_orderkey", value.alias("value"))
+
+
+def nested_encode(spark, d):
+    """Decimals, times, large numbers, truth values and geometries inside a struct."""
+    return _mixed(spark, d).select("o_orderkey", encode.cell(ONE(MIXED), MIXED, F.col("value")).alias("cell"))
+
+
+def nested_decode(spark, d):
+    text = encode.cell(ONE(MIXED), MIXED, F.col("value"))
+    back = F.col("back")
+    typed = _mixed(spark, d).select("o_orderkey", decode.cell(ONE(MIXED), MIXED, text, "value").alias("back"))
+    return typed.select("o_orderkey", encode.scalar(ONE(S.DECIMAL), S.DECIMAL, back["price"]).alias("price"), encode.timestamp(back["times"][0]).alias("first"), back["times"][1].isNull().alias("missing"), back["big"].alias("big"), back["flags"][0].alias("flag"))
+
+
+def json_kinds(spark, d):
+    """Numbers from JSON numbers and from strings, text from strings, truth from true and false."""
+    t = Struct((StructField("n", S.INT64), StructField("s", S.TEXT), StructField("b", S.BOOL), StructField("xs", Array(S.FLOAT64))))
+    key = F.col("event_id").cast("string")
+    text = F.concat(F.lit('{"n": '), F.when(F.col("event_id") % 2 == 0, key).otherwise(F.concat(F.lit('"'), key, F.lit('"'))), F.lit(', "s": "'), key, F.lit('", "b": '), (F.col("event_id") % 3 == 0).cast("string"), F.lit(', "xs": ["1.5", 2, null], "more": {}}'))
+    value = F.col("value")
+    return read(spark, d, "events").select("event_id", decode.cell(ONE(t), t, text, "value").alias("value")).select("event_id", value["n"].alias("n"), value["s"].alias("s"), value["b"].alias("b"), value["xs"][0].alias("x0"), value["xs"][1].alias("x1"), value["xs"][2].isNull().alias("x2_null"))
+
+
+STORED = ("boolean", "smallint", "bigint", "varchar", "json", "uuid", "time(3)", "timestamp(6)", "timestamp(3) with time zone", "array(smallint)", 'row("a" json, "b" bigint)', "SphericalGeography")
+
+
+def storage_types(spark, d):
+    """What each profile stores a type as, and the SQL that stores and loads it, around an expression x."""
+    found = []
+    for profile in storage.CAPABILITIES:
+        for name in STORED:
+            t = parse_type(name)
+            found.append((profile, name, str(storage.transform(profile, t).stored), storage.transform(profile, t).is_identity, storage.stored_sql(profile, t, "x") == "x"))
+    return spark.createDataFrame(found, "profile string, name string, stored string, same boolean, plain boolean")
+
+
+def storage_tables(spark, d):
+    """CREATE TABLE as each profile can have it: NOT NULL, OR REPLACE, and what merging needs."""
+    found = []
+    for profile, can in storage.CAPABILITIES.items():
+        plain = trino.create_table(table(Column("k", S.INT64, False), Column("j", S.JSON)), "t", or_replace=True)
+        first, made = storage.storage_table(profile, plain, merge=can["merge"])
+        found.append((profile, len(first), made.or_replace, [n for _, _, n, _ in made.columns], [str(t) for _, t, _, _ in made.columns], sorted(k for k, _ in made.options)))
+    return spark.createDataFrame(found, "profile string, drops int, or_replace boolean, nullable array<boolean>, types array<string>, options array<string>").select("profile", "drops", "or_replace", F.array_join(F.col("nullable").cast("array<string>"), ",").alias("nullable"), F.array_join("types", ",").alias("types"), F.array_join("options", ",").alias("options"))
+
+
+def storage_times(spark, d):
+    """Times at UTC in a storage that has none, and with fewer digits."""
+    zoned, short = parse_type("timestamp(3) with time zone"), parse_type("timestamp(1)")
+    at = F.col("ts").cast("timestamp")
+    back = storage.load("hive", zoned, storage.store("hive", zoned, at))
+    cut = storage.load("iceberg", short, storage.store("iceberg", short, F.col("ts").cast("timestamp_ntz")))
+    return read(spark, d, "events").select("event_id", encode.timestamp_utc(back).alias("hive"), encode.timestamp(cut).alias("iceberg"))
+
+
+def rechunk_chunks(spark, d):
+    """Each chunk's rows and bytes, of rows in the order of their keys."""
+    ordered = read(spark, d, "orders").select([c.name for c in ORDERS.table.columns]).orderBy("o_orderkey")
+    text = rows.encoded(ordered, ORDERS)
+    return shape.rechunk(text, 50_000).withColumn("b", shape.row_bytes(text)).groupBy(F.col("__chunk").alias("chunk")).agg(F.count("*").alias("n_rows"), F.sum("b").alias("n_bytes"), F.min(F.col("o_orderkey").cast("long")).alias("first_key"))
+
+
+def rechunk_long_rows(spark, d):
+    """Texts longer than a chunk are chunks of their own, and no number is left out."""
+    text = read(spark, d, "conversations").select("text").where("text is not null").repartition(3)
+    chunks = shape.rechunk(text, 200).groupBy("__chunk").agg(F.count("*").alias("n"))
+    return chunks.agg(F.sum("n").alias("n_rows"), F.min("__chunk").alias("first"), (F.max("__chunk") == F.count("*")).alias("gapless"))
+
+
+def literals_of_rows(spark, d):
+    """Values as BigQuery and Trino write them."""
+    found = read(spark, d, "region").collect()
+    texts = [(int(r.r_regionkey), literals.bigquery(ONE(S.TEXT), S.TEXT, r.r_name), literals.bigquery(ONE(S.INT64), S.INT64, int(r.r_regionkey)), literals.trino(parse_type("varchar"), r.r_name), literals.trino(parse_type("bigint"), int(r.r_regionkey))) for r in found]
+    return spark.createDataFrame(texts, "r_regionkey long, bq_text string, bq_number string, trino_text string, trino_number string")
+
+
+def driver_arguments(spark, d):
+    """Arguments as one object."""
+    found = arguments.parse(["a=1", "b.c=x", "b[d]=y=z", "e[]=p", "e[]=q", "f.g[]="])
+    flat = [("a", found["a"]), ("b.c", found["b"]["c"]), ("b.d", found["b"]["d"]), *((f"e.{i}", x) for i, x in enumerate(found["e"])), ("f.g.0", found["f"]["g"][0])]
+    return spark.createDataFrame(flat, "name string, value string")
 
 
 _DONE = (
     copy_orders, where_filter, count_where, count_all_tables, encode_timestamp, encode_timestamp_utc, encode_bool, decode_bool_tokens, decode_scalars, decode_timestamp_offsets, decode_uuid, encode_int_array,
     struct_encode, struct_roundtrip, json_field, json_lines_encode, json_lines_decode, upsert_orders, upsert_composite_key, upsert_all_keys, append_rows, concat_streams, align_columns, rename_header,
     null_empty_semantics, one_of_validate, geo_points, storage_hive_timestamp, storage_iceberg_rows, csv_roundtrip, csv_roundtrip_text, jsonl_roundtrip, rechunk_sizes, stream_names, inline_relation,
-    schema_of_tables,
+    schema_of_tables, schema_conversion, csv_header_schema, if_exists_error, if_exists_append, if_exists_overwrite, if_exists_upsert, single_file, copied_folder, arriving_files, align_types, json_lines_not_null,
+    nested_encode, nested_decode, json_kinds, storage_types, storage_tables, storage_times, rechunk_chunks, rechunk_long_rows, literals_of_rows, driver_arguments,
 )
 QUERIES = {f.__name__: f for f in _DONE}
 
 _STAMP = "regexp_replace(strftime({}, '%Y-%m-%dT%H:%M:%S.%f'), '\\.?0+$', '')"
 _UUID = "substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12)"
-_COLUMNS = {
-    "region": ("r_regionkey", "r_name"), "nation": ("n_nationkey", "n_name", "n_regionkey"), "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
-    "supplier": ("s_suppkey", "s_name", "s_nationkey", "s_acctbal"), "part": ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
-    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
-    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"),
-}
+#: Types by DuckDB's names: portable, PostgreSQL's, BigQuery's and Trino's, and what is read back from the last two.
+_TYPES = {
+    "BIGINT": ('"int64"', "bigint", "INT64", "BIGINT", '"int64"', '"int64"'), "INTEGER": ('"int32"', "int", "INT64", "INT", '"int64"', '"int32"'), "VARCHAR": ('"text"', "text", "STRING", "VARCHAR", '"text"', '"text"'),
+    "DOUBLE": ('"float64"', "double precision", "FLOAT64", "DOUBLE", '"float64"', '"float64"'), "FLOAT": ('"float32"', "real", "FLOAT64", "REAL", '"float64"', '"float32"'), "BOOLEAN": ('"bool"', "boolean", "BOOL", "BOOLEAN", '"bool"', '"bool"'),
+    "TIMESTAMP": ('"timestamp_without_time_zone"', "timestamp without time zone", "DATETIME", "TIMESTAMP(3)", '"timestamp_without_time_zone"', '"timestamp_without_time_zone"'),
+    "FLOAT[]": ('{"array": "float32"}', "real[]", "ARRAY<FLOAT64>", "ARRAY(REAL)", '{"array": "float64"}', '{"array": "float32"}'),
+}
+_TYPE_ROWS = ", ".join("(" + ", ".join(f"'{x}'" for x in (k, *v)) + ")" for k, v in _TYPES.items())
+_LISTED = f"(select * from information_schema.columns where table_name in ({', '.join(map(repr, TABLES))}))"
+_NATION = "select cast(n_nationkey as bigint) as n_nationkey, n_name, cast(n_regionkey as bigint) as n_regionkey"
 _ORDER_CELLS = f"cast(o_orderkey as varchar) as o_orderkey, cast(o_custkey as varchar) as o_custkey, o_orderstatus, {_STAMP.format('o_orderdate')} as o_orderdate, o_orderpriority"
 
 SQL = {
@@ -349,5 +566,34 @@ SQL = {
     "rechunk_sizes": f"select count(*) as n_rows, cast(sum(strlen(o_orderkey) + strlen(o_custkey) + strlen(o_orderstatus) + strlen(o_orderdate) + strlen(o_orderpriority) + 5) as bigint) as n_bytes, 0 as too_large from (select {_ORDER_CELLS} from orders)",
     "stream_names": "select 'nation' as stream, count(*) as n from nation",
     "inline_relation": "select r_regionkey, r_name from region",
-    "schema_of_tables": " union all ".join(f"select '{t}' as table_name, {i} as position, '{c}' as column_name" for t, columns in _COLUMNS.items() for i, c in enumerate(columns, 1)),
+    "schema_of_tables": f"""select c.table_name, cast(c.ordinal_position as integer) as position, c.column_name, t.portable, true as nullable, t.postgres, t.bigquery, t.trino,
+        t.portable as from_portable, t.portable as from_postgres, t.from_bigquery, t.from_trino
+        from {_LISTED} c join (values {_TYPE_ROWS}) t(name, portable, postgres, bigquery, trino, from_bigquery, from_trino) on c.data_type = t.name""",
+    "schema_conversion": f"select cast(ordinal_position as integer) as position, column_name, t.from_bigquery as portable from {_LISTED} c join (values {_TYPE_ROWS}) t(name, portable, postgres, bigquery, trino, from_bigquery, from_trino) on c.data_type = t.name where table_name = 'orders'",
+    "csv_header_schema": f"select cast(ordinal_position as integer) as position, column_name, '\"text\"' as portable from {_LISTED} where table_name = 'part'",
+    "if_exists_error": f"{_NATION}, 1 as refused from nation where n_regionkey = 1",
+    "if_exists_append": f"{_NATION}, 0 as refused from nation where n_regionkey < 3 union all {_NATION}, 0 from nation where n_regionkey > 1",
+    "if_exists_overwrite": f"{_NATION}, 0 as refused from nation where n_regionkey = 2",
+    "if_exists_upsert": "select cast(n_nationkey as bigint) as n_nationkey, case when n_regionkey in (2, 4) then lower(n_name) else n_name end as n_name, cast(n_regionkey as bigint) as n_regionkey, 0 as refused from nation where n_regionkey <> 3",
+    "single_file": f"{_NATION} from nation where n_regionkey <> 3 and n_nationkey > 4",
+    "copied_folder": "select case when n_regionkey % 2 = 1 then 'deep/' else '' end || 'r' || n_regionkey as stream, count(*) as n, nullif(sum(case when n_nationkey % 2 = 0 then 1 else 0 end), 0)::bigint as even from nation group by 1",
+    "arriving_files": f"{_NATION} from nation",
+    "align_types": """select i::integer as i, taken from (values (0, '"text"'), (1, '"uuid"'), (2, '"json"'), (3, '{"geo_json": 4326}'), (4, '{"one_of": ["x"]}'), (5, null), (6, null), (7, '"int64"'), (8, null), (9, '{"array": "uuid"}'), (10, null)) t(i, taken)""",
+    "json_lines_not_null": "select c_custkey as k, c_name as name, case when c_custkey % 2 = 1 then 'odd' end as note from customer",
+    "nested_encode": f"""select o_orderkey, '{{"price":"' || o_custkey || '.25","times":["' || {_STAMP.format('o_orderdate')} || '",null],"big":"' || o_orderkey || '","flags":[' || case when o_custkey % 2 = 0 then 'true' else 'false' end || '],"at":{{"type":"Point","coordinates":[' || o_custkey || ',0]}}}}' as cell from orders""",
+    "nested_decode": f"select o_orderkey, o_custkey || '.25' as price, {_STAMP.format('o_orderdate')} as first, true as missing, o_orderkey as big, o_custkey % 2 = 0 as flag from orders",
+    "json_kinds": "select event_id, event_id as n, cast(event_id as varchar) as s, event_id % 3 = 0 as b, 1.5::double as x0, 2::double as x1, true as x2_null from events",
+    "storage_types": """with t(name, trino, hive, iceberg) as (values ('boolean', 'BOOLEAN', null, null), ('smallint', 'SMALLINT', null, 'INT'), ('bigint', 'BIGINT', null, null), ('varchar', 'VARCHAR', null, null), ('json', 'JSON', 'VARCHAR', 'VARCHAR'), ('uuid', 'UUID', 'VARCHAR', null),
+        ('time(3)', 'TIME(3)', 'VARCHAR', 'TIME(6)'), ('timestamp(6)', 'TIMESTAMP(6)', 'TIMESTAMP(3)', null), ('timestamp(3) with time zone', 'TIMESTAMP(3) WITH TIME ZONE', 'TIMESTAMP(3)', 'TIMESTAMP(6) WITH TIME ZONE'), ('array(smallint)', 'ARRAY(SMALLINT)', null, 'ARRAY(INT)'),
+        ('row("a" json, "b" bigint)', 'ROW("a" JSON, "b" BIGINT)', 'ROW("a" VARCHAR, "b" BIGINT)', 'ROW("a" VARCHAR, "b" BIGINT)'), ('SphericalGeography', 'SphericalGeography', 'VARCHAR', 'VARCHAR')),
+        p as (select 'hive' as profile, name, coalesce(hive, trino) as stored, hive is null as same from t union all select 'iceberg', name, coalesce(iceberg, trino), iceberg is null from t union all select 'memory', name, trino, true from t)
+        select profile, name, stored, same, same as plain from p""",
+    "storage_tables": "select * from (values ('hive', 1::integer, false, 'true,true', 'BIGINT,VARCHAR', 'format,transactional'), ('iceberg', 0, true, 'false,true', 'BIGINT,VARCHAR', ''), ('memory', 1, false, 'true,true', 'BIGINT,JSON', '')) t(profile, drops, or_replace, nullable, types, options)",
+    "storage_times": f"select event_id, {_STAMP.format("date_trunc('milliseconds', ts)")} || 'Z' as hive, {_STAMP.format("time_bucket(interval '100 milliseconds', ts)")} as iceberg from events",
+    "rechunk_chunks": f"""with o as (select cast(o_orderkey as bigint) as k, strlen(o_orderkey) + strlen(o_custkey) + strlen(o_orderstatus) + strlen(o_orderdate) + strlen(o_orderpriority) + 5 as b from (select {_ORDER_CELLS} from orders)),
+        c as (select k, b, floor((sum(b) over (order by k) - b) / (50000 - {sum(len(c.name) + 1 for c in ORDERS.table.columns)})) as cut from o)
+        select cast(dense_rank() over (order by cut) as integer) as chunk, count(*) as n_rows, cast(sum(b) as bigint) as n_bytes, min(k) as first_key from c group by cut""",
+    "rechunk_long_rows": "select count(*) as n_rows, 1 as first, true as gapless from conversations where text is not null",
+    "literals_of_rows": """select cast(r_regionkey as bigint) as r_regionkey, '"' || r_name || '"' as bq_text, cast(r_regionkey as varchar) as bq_number, chr(39) || r_name || chr(39) as trino_text, 'BIGINT ' || chr(39) || r_regionkey || chr(39) as trino_number from region""",
+    "driver_arguments": "select * from (values ('a', '1'), ('b.c', 'x'), ('b.d', 'y=z'), ('e.0', 'p'), ('e.1', 'q'), ('f.g.0', '')) t(name, value)",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import uuid
+from fnmatch import fnmatch
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,13 +54,15 @@ def text_schema(names: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def read_cells(spark: SparkSession, path: str, schema: Schema, kind: str, one_line: bool = False) -> DataFrame:
+def read_cells(spark: SparkSession, path: str, schema: Schema, kind: str, one_line: bool = False, pattern: str | None = None) -> DataFrame:
     """Interchange cells, all text, of the files at a path, with __stream.
 
     CSV headers have to be the schema's names in order, in each file.  With `one_line` no cell holds a line break, and files are split.
     """
     is_folder = Files(spark, path).is_folder()
     reader = spark.read.option("recursiveFileLookup", True)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     if kind == "csv":
         names = [c.name for c in schema.table.columns]
         # enforceSchema off: each file's own reader compares its header with the names, so there is no pass for that
@@ -71,12 +74,12 @@ def read_cells(spark: SparkSession, path: str, schema: Schema, kind: str, one_li
     return lines.select(*decode.from_json_text(schema, F.col("__line")), "__stream")
 
 
-def header(spark: SparkSession, path: str) -> list[str] | None:
+def header(spark: SparkSession, path: str, pattern: str | None = None) -> list[str] | None:
     """The header of the first CSV file at a path that isn't empty: its first record, as text."""
     import csv
     import io
 
-    file = next((p for p, n in Files(spark, path).listed() if n), None)
+    file = next((p for p, n in Files(spark, path).listed() if n and (pattern is None or fnmatch(p.rsplit("/", 1)[-1], pattern))), None)
     if file is None:
         return None
     lines, n = spark.read.option("lineSep", "\n").text(file), 64
@@ -101,15 +104,15 @@ def header_schema(spark: SparkSession, path: str) -> Schema:
     return Schema(Table(path.rsplit("/", 1)[-1].split(".", 1)[0], tuple(Column(n, TEXT) for n in found)))
 
 
-def scan(spark: SparkSession, path: str, schema: Schema, kind: str | None = None, one_line: bool = False) -> DataFrame:
-    """Typed rows of the files at a path, with __stream."""
+def scan(spark: SparkSession, path: str, schema: Schema, kind: str | None = None, one_line: bool = False, pattern: str | None = None) -> DataFrame:
+    """Typed rows of the files at a path, of those whose names match the pattern, with __stream."""
     files = Files(spark, path)
     if not files.exists():
         raise TideError(f"{path} does not exist")
-    kind = format_of(common_extension(p for p, _ in files.listed()), kind)
-    if kind == "csv" and (found := header(spark, path)) is not None:
+    kind = format_of(common_extension(p for p, _ in files.listed() if pattern is None or fnmatch(p.rsplit("/", 1)[-1], pattern)), kind)
+    if kind == "csv" and (found := header(spark, path, pattern)) is not None:
         check_header(found, schema)  # the other files' headers are compared as they are read
-    cells = read_cells(spark, path, schema, kind, one_line)
+    cells = read_cells(spark, path, schema, kind, one_line, pattern)
     typed = decoded(cells, schema)
     fields = [decode.column(schema, c, F.col(f"`{c.name.replace('`', '``')}`")).cast(f.dataType).alias(c.name, metadata=f.metadata) for c, f in zip(schema.table.columns, typed.schema.fields)]
     return cells.select(*fields, "__stream")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import ClassVar
 from urllib.parse import quote, unquote, urlsplit
 
@@ -171,6 +171,13 @@ class GsLocator(BucketLocator):
     spark_scheme = "gs:"
     single_files = True
 
+    def read(self, spark, schema, a):
+        """The object itself, or all *.csv below the folder; other objects in it are no part of the table."""
+        if not self.path.endswith("/"):
+            return super().read(spark, schema, a)
+        kind = a.format or "csv"
+        return rows.where(files.scan(spark, self.path, schema, kind, pattern=f"*.{kind}"), a.where)
+
 
 # Schemas
 
@@ -409,8 +416,34 @@ class Database(Locator):
     def read_options(self, schema: Schema, a: SourceArguments) -> dict[str, str]:
         return self.options() | {"query": self.select(schema, a.where), "fetchsize": "10000"}
 
+    def partitions(self, spark: SparkSession, a: SourceArguments) -> list[str]:
+        """Conditions that cut the table in parts, for a task each.
+
+        Arguments partition.column, partition.lower, partition.upper and partition.count cut by ranges of a whole-number column; its nulls
+        go with the first part.
+        """
+        given = a.arguments.get("partition")
+        if not given:
+            return []
+        low, high, n = int(given["lower"]), int(given["upper"]), int(given["count"])
+        name, step = postgres.quote(given["column"]), max(1, -(-(high - low + 1) // n))
+        cuts = list(range(low + step, high + 1, step))
+        if not cuts:
+            return []
+        inner = [f"{name} >= {x} AND {name} < {y}" for x, y in zip(cuts, cuts[1:])]
+        return [f"{name} < {cuts[0]} OR {name} IS NULL", *inner, f"{name} >= {cuts[-1]}"]
+
     def read(self, spark, schema, a):
-        cells = spark.read.format("jdbc").options(**self.read_options(schema, a)).load()
+        parts = self.partitions(spark, a)
+        if len(parts) > 1:
+            out = None
+            for part in parts:
+                both = replace(a, where=f"({a.where}) AND ({part})" if a.where else part, arguments={k: v for k, v in a.arguments.items() if k != "partition"})
+                one = spark.read.format("jdbc").options(**self.read_options(schema, both)).load()
+                out = one if out is None else out.union(one)
+            cells = out
+        else:
+            cells = spark.read.format("jdbc").options(**self.read_options(schema, a)).load()
         texts = rows.rename_header(cells, [c.name for c in schema.table.columns])
         return rows.decoded(texts.select([rows.named(c).cast("string").alias(c) for c in texts.columns]), schema)
 
@@ -454,7 +487,29 @@ class Database(Locator):
 class PostgresLocator(Database):
     scheme = "postgres:"
     driver, jdbc = "org.postgresql.Driver", "postgresql"
-    features = Features(schema=True, count=True, read=True, write=True, source=frozenset(("--where",)), if_exists=_ALL)
+    features = Features(schema=True, count=True, read=True, write=True, source=frozenset(("--where", "--from-arg")), if_exists=_ALL)
+    #: Pages of the table for a task, and tasks at most.
+    PAGES: ClassVar[int] = 32_768
+    PARTS: ClassVar[int] = 512
+
+    def pages(self, spark: SparkSession) -> int:
+        schema, _, name = self.table_name().rpartition(".")
+        found = self._catalog(spark, f"SELECT c.relpages FROM pg_class c JOIN pg_namespace n ON n.oid = c.relnamespace WHERE c.relname = {postgres.quote_text(name)} AND n.nspname = {postgres.quote_text(schema or 'public')} AND c.relkind = 'r'")
+        return int(found[0][0]) if found else 0
+
+    def partitions(self, spark, a):
+        """Ranges of pages by ctid, which need no key; a table that has grown since has the rest in the last part."""
+        if a.arguments.get("partition"):
+            return super().partitions(spark, a)
+        return self.page_ranges(self.pages(spark))
+
+    @classmethod
+    def page_ranges(cls, pages: int) -> list[str]:
+        step = max(cls.PAGES, -(-pages // cls.PARTS))
+        cuts = [f"'({x},0)'::tid" for x in range(step, pages, step)]
+        if not cuts:
+            return []
+        return [f"ctid < {cuts[0]}", *(f"ctid >= {x} AND ctid < {y}" for x, y in zip(cuts, cuts[1:])), f"ctid >= {cuts[-1]}"]
 
 
 @dataclass(frozen=True)
@@ -477,16 +532,47 @@ class TrinoLocator(Database):
     def schema(self, spark, a):
         return trino.from_catalog(self.table_name(), self._catalog(spark, trino.catalog_query(self.table_name())))
 
-    def select(self, schema, where):
-        names = ", ".join(trino.quote(trino.identifier(c.name)) for c in schema.table.columns)
-        return f"SELECT {names} FROM {trino.quote_table(self.table_name())}" + (f" WHERE ({where})" if where else "")
+    def profile(self, arguments: dict) -> str:
+        """How the catalog stores tables: hive, unless an argument connector=... says another."""
+        return arguments.get("connector", "hive")
+
+    def select(self, schema, where, profile="hive"):
+        from ..plans.storage import loaded_sql
+
+        columns = [(trino.quote(trino.identifier(c.name)), trino.from_portable(schema, c.data_type)) for c in schema.table.columns]
+        cells = [x if (e := trino.export_expression(t, loaded_sql(profile, t, x))) == x else f"{e} AS {x}" for x, t in columns]
+        return f"SELECT {', '.join(cells)} FROM {trino.quote_table(self.table_name())}" + (f" WHERE ({where})" if where else "")
+
+    def read_options(self, schema, a):
+        return super().read_options(schema, a) | {"query": self.select(schema, a.where, self.profile(a.arguments))}
+
+    def write(self, df, schema, a, stream_size=None):
+        """Creates the table as its storage can have it, and appends stored values; an upsert merges a table of the new rows."""
+        from ..plans import storage
+        from ..plans.remote import key_loader
+
+        mode, profile, name = a.if_exists.mode, self.profile(a.arguments), self.table_name()
+        made = trino.create_table(schema, name, or_replace=mode == "overwrite", if_not_exists=mode in ("append", "upsert"))
+        first, made = storage.storage_table(profile, made, merge=mode == "upsert")
+        staged, last = name, []
+        if mode == "upsert":
+            staged = f"{name}_{uuid.uuid4().hex[:10]}"
+            _, beside = storage.storage_table(profile, trino.create_table(schema, staged))
+            first = [*first, str(made), str(beside)]
+            last = [trino.merge_statement(schema, staged, name, list(a.if_exists.keys), key_loader(schema, profile)), f"DROP TABLE {trino.quote_table(staged)}"]
+        else:
+            first = [*first, str(made)]
+        self.execute(df.sparkSession, first)
+        data = rows.not_null(schema, df.drop("__stream"))
+        data = data.select([storage.store(profile, trino.from_portable(schema, c.data_type), rows.named(c.name)).alias(trino.identifier(c.name)) for c in schema.table.columns])
+        data.write.format("jdbc").options(**self.write_options(a) | {"dbtable": staged}).mode("append").save()
+        if last:
+            self.execute(df.sparkSession, last)
+        return [self.text]
 
     def count_statement(self, a):
         return f'SELECT COUNT(*) AS "count" FROM {trino.quote_table(self.table_name())}' + (f" WHERE ({a.where})" if a.where else "")
 
-    def upsert(self, schema, source, keys):
-        return [trino.merge_statement(schema, source, self.table_name(), keys)]
-
     def write_schema(self, spark, schema, if_exists):
         from ..plans.storage import storage_table
 
