@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import importable
+from ..session import importable, shared_folder
 
 #: UTF-8 bytes of text that an operator works on at a time in Python.
 SLICE_BYTES = 1 << 20
@@ -42,11 +42,10 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Itera
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """`df` as files in the shared folder of spark.checkpoint.dir; where that is unset, as in tests, in one of this machine."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    """`df` as files in the shared folder of spark.checkpoint.dir; where that is unset in a local session, in one of this machine."""
+    context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or "/tmp/checkpoints")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -10,6 +10,8 @@ from .common import checkpoint
 
 #: Edges for a task.
 EDGES = 50_000
+#: A node is a hub if over one in so many edges end at it; there are fewer than twice as many hubs.
+HUB_SHARE = 1000
 
 
 def smallest_labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -30,24 +32,36 @@ def smallest_labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
         label = new
 
 
+def _with_low(edges: DataFrame, low: DataFrame, total: int) -> DataFrame:
+    """The edges (a, b) with `low` of a, from rows (a, low, n) with the numbers of edges: hubs' rows are broadcast, so no task gets all edges of one."""
+    if total <= EDGES:  # one task has them all
+        return edges.join(low.drop("n"), "a")
+    hub = F.col("n") * HUB_SHARE > total
+    found = edges.join(F.broadcast(low.where(hub).select("a", F.col("low").alias("hub_low"))), "a", "left")
+    key = F.when(F.col("hub_low").isNull(), F.col("a")).otherwise(F.xxhash64("a", "b"))
+    found = found.withColumn("key", key).join(low.where(~hub).select(F.col("a").alias("key"), F.col("low").alias("own_low")), "key", "left")
+    return found.select("a", "b", F.coalesce("hub_low", "own_low").alias("low")).where("low is not null")
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """node, label: for each node of the edges (a, b), which are longs, the smallest node it is connected with.
 
     Large and small stars in turn: every node first links its larger neighbours, then its smaller ones, to the smallest it knows.
-    Each round is a partial minimum by node and a join with it, so no node's neighbours are gathered, and each round's edges are
-    written to the shared checkpoint folder.  The number of rounds grows with the logarithm of the longest path.  Tasks have about
+    Each round is a partial minimum by node and a join with it, in which hubs' edges stay where they are; so no node's neighbours are
+    gathered.  Each round's edges are written to the shared checkpoint folder.  The number of rounds grows with the logarithm of the longest path.  Tasks have about
     EDGES edges, so a small graph doesn't make a file for each of many empty partitions in each exchange.
     """
     edges = checkpoint(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    tasks = edges.count() // EDGES + 1
+    total = edges.count()
+    tasks = total // EDGES + 1
     edges = edges.coalesce(tasks)
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).coalesce(tasks)
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.join(low, "a").where("b > a and b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.union(edges.join(low, "a").select("a", F.col("low").alias("b"))).where("a <> b").coalesce(tasks).distinct().coalesce(tasks)
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e"))
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"), F.count("*").alias("n"))
+        large = _with_low(both, low, total).where("b > a and b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        large = large.union(_with_low(edges, low, total).select("a", F.col("low").alias("b"))).where("a <> b").coalesce(tasks).distinct().coalesce(tasks)
+        low = large.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
+        small = _with_low(large, low, total).select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e"))
         edges = checkpoint(small.select("e.a", "e.b").where("a <> b").coalesce(tasks).distinct().coalesce(tasks))
         if not edges.join(edges.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count() and not edges.groupBy("a").count().where("count > 1").limit(1).count():
             break

@@ -81,3 +81,12 @@ def test_components(spark, seed):
     got = {r.node: r.label for r in components.connected(df).collect()}
     assert got == brute([e for e in edges if e[0] != e[1]])
     assert components.connected(df.where("false")).collect() == []
+
+
+def test_hubs(spark, monkeypatch):
+    """Nodes with a large share of all edges, in a graph of several tasks."""
+    monkeypatch.setattr(components, "EDGES", 100)
+    monkeypatch.setattr(components, "HUB_SHARE", 10)
+    edges = [(0, i) for i in range(1, 300)] + [(1000 - i, 1000) for i in range(1, 250)] + [(2000 + i, 2001 + i) for i in range(40)] + [(299, 2000)]
+    got = {r.node: r.label for r in components.connected(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
+    assert got == brute(edges)
