@@ -13,7 +13,7 @@ from collections.abc import Collection, Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import importable
@@ -22,7 +22,9 @@ from .common import checkpoint, ids_and_texts, slices
 #: Hashed n-gram dimensions.
 DIMENSIONS = 1 << 14
 #: Documents that a model is fitted on, at most, over all languages together; sampled evenly by language.
-TRAINING_DOCS = 1200
+TRAINING_DOCS = 2000
+#: Texts of a language that are looked at beyond twice as many as its sample has.
+SPARE = 200
 #: Difference in mean loss a bit below which two languages count as equally near.
 AMBIGUOUS = 0.02
 ITERATIONS = 150
@@ -92,82 +94,86 @@ class Model:
         return out
 
 
-_SPARSE = pa.schema([("label", pa.string()), ("at", pa.binary()), ("value", pa.binary())])
+#: A training text: its label and hash, and the places and values of its features.
+_SPARSE = pa.schema([("label", pa.string()), ("hash", pa.int64()), ("at", pa.binary()), ("value", pa.binary())])
+_WEIGHTS = pa.schema([("weights", pa.binary()), ("bias", pa.binary())])
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of rows (label, text, hash), the first of a task's rows of each label and hash."""
+    seen: set[tuple[str, int]] = set()
     for rows, texts in slices(batches):
-        vectors = [features(x) for x in texts]
+        new = []
+        for i, key in enumerate(zip(rows.column(0).to_pylist(), rows.column(2).to_pylist())):
+            if key not in seen:
+                seen.add(key)
+                new.append(i)
+        vectors = [features(texts[i]) for i in new]
         at = [np.flatnonzero(v).astype(np.uint16) for v in vectors]
-        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([x.tobytes() for x in at], pa.binary()), pa.array([v[x].tobytes() for v, x in zip(vectors, at)], pa.binary())], schema=_SPARSE)
+        which = pa.array(new, pa.int64())
+        yield pa.RecordBatch.from_arrays([rows.column(0).take(which), rows.column(2).take(which), pa.array([x.tobytes() for x in at], pa.binary()), pa.array([v[x].tobytes() for v, x in zip(vectors, at)], pa.binary())], schema=_SPARSE)
 
 
-def _least(each: int):
-    """The distinct hashes (label, hash) of a task, of each label the `each` smallest."""
+def _fitted(languages: list[str], each: int):
+    """Weights and constants, from the rows of _sparse() in the order of their hashes; of each label the first `each` count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least: dict[str, np.ndarray] = {}
-        kind = None
+        number, taken = {x: i for i, x in enumerate(languages)}, []
+        count = np.zeros(len(languages), np.int64)
         for batch in batches:
-            kind = batch.schema
-            labels = batch.column(0).dictionary_encode()
-            of, hashes = labels.indices.to_numpy(), batch.column(1).to_numpy()
-            order = np.argsort(of, kind="stable")
-            for label, own in zip(labels.dictionary.to_pylist(), np.split(hashes[order], np.flatnonzero(np.diff(of[order])) + 1)):
-                least[label] = np.unique(np.concatenate((least.get(label, own[:0]), own)))[:each]
-        for label, found in least.items():
-            yield pa.RecordBatch.from_arrays([pa.array([label] * len(found), kind.field(0).type), pa.array(found, pa.int64())], schema=kind)
+            for label, _, at, value in zip(*(c.to_pylist() for c in batch.columns)):
+                if count[number[label]] < each:
+                    count[number[label]] += 1
+                    taken.append((number[label], at, value))
+        if not taken:
+            return
+        x = np.zeros((len(taken), DIMENSIONS), np.float32)
+        for i, (_, at, value) in enumerate(taken):
+            x[i, np.frombuffer(at, np.uint16)] = np.frombuffer(value, np.float32)
+        code = codewords(len(languages))
+        y = code[[k for k, _, _ in taken]]
+        # weights are sums of the texts' features, so descent is on what each text adds to them, from the products of texts
+        products = x @ x.T
+        added, bias = np.zeros(y.shape, np.float32), np.zeros(code.shape[1], np.float32)
+        speed = np.zeros_like(added)
+        for _ in range(ITERATIONS if code.shape[1] else 0):  # gradient descent with momentum on the regularised logistic loss
+            slope = -y / (1 + np.exp(np.clip(y * (products @ added + bias), -30, 30)))
+            speed = 0.9 * speed - 8.0 * (slope / len(taken) + 1e-5 * added)
+            added += speed
+            bias -= 1.0 * slope.mean(0)
+        weights = x.T @ added
+        yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([bias.tobytes()], pa.binary())], schema=_WEIGHTS)
 
     return run
 
 
-def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows (label, text, hash) of a task, the first of each label and hash."""
-    seen: set[tuple[str, int]] = set()
-    for batch in batches:
-        new = []
-        for key in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
-            new.append(key not in seen)
-            seen.add(key)
-        yield batch.filter(pa.array(new, pa.bool_()))
-
-
 def fit(labelled: DataFrame, text_col: str, label_col: str, limit: int = TRAINING_DOCS) -> Model:
     """A model of the languages in `label_col`, from a sample of `limit` texts, or 4 of each language if that is more.
 
     Each language has the same number of texts in the sample, or all if it has fewer: those with the smallest hashes.  A text counts
-    once in a language, however many rows have it.  Every label is learned, so the model and the driver's memory grow with the number
-    of labels.  Null labels and texts teach nothing.  Only hashed n-gram counts of the sample, which its size bounds, reach the driver.
+    once in a language, however many rows have it.  Every label is learned, so the model grows with the number of labels.  Null labels
+    and texts teach nothing.  One task learns from hashed n-gram counts of the sample, which its size bounds; only labels and weights reach the driver.
+
+    Which hashes may be among the smallest follows from how many different texts a language has, about; so no task sees all of a language.
     """
     importable(labelled.sparkSession)
     rows = labelled.select(labelled[label_col].cast("string").alias("label"), labelled[text_col].cast("string").alias("text")).where("label is not null and text is not null")
-    found = sorted(x["label"] for x in rows.select("label").distinct().collect())
+    rows = rows.withColumn("hash", F.xxhash64("text", F.lit("sample")))
+    counts = checkpoint(rows.groupBy("label").agg(F.approx_count_distinct("hash", 0.05).alias("n")))
+    found = sorted(x["label"] for x in counts.select("label").collect())
     if not found:
         return Model([], np.zeros((DIMENSIONS, 0), np.float32), np.zeros(0, np.float32))
     each = max(4, limit // len(found))
-    # the smallest hashes of each language: of each partition first, so that a language of most rows isn't sorted in one task
-    hashed = rows.select("label", F.xxhash64("text", F.lit("sample")).alias("hash"))
-    hashed = hashed.mapInArrow(_least(each), "label string, hash long").distinct()
-    by_label = Window.partitionBy("label").orderBy("hash")
-    chosen = hashed.withColumn("at", F.row_number().over(by_label)).where(F.col("at") <= each).select("label", "hash")
-    chosen = F.broadcast(checkpoint(chosen))
-    sample = rows.withColumn("hash", F.xxhash64("text", F.lit("sample"))).join(chosen, ["label", "hash"], "left_semi")
+    # twice as many hashes as are wanted, and some more, are expected below the bound; the estimate of n errs by a few hundredths
+    share = F.lit(2.0 * each + SPARE) / F.col("n")
+    bound = F.when(share < 0.99, ((share - 0.5) * 2.0**64).cast("long")).otherwise((1 << 63) - 1)
+    bounds = counts.select("label", bound.alias("bound"))
+    sample = rows.join(F.broadcast(bounds), "label").where("hash <= bound").select("label", "text", "hash")
     # a task's repetitions of a text go before the shuffle, the others after it
-    sample = sample.select("label", "text", "hash").mapInArrow(_once, "label string, text string, hash long").dropDuplicates(["label", "hash"]).orderBy("hash", "label").select("label", "text")
-    taken = sample.mapInArrow(_sparse, "label string, at binary, value binary").collect()
-    x = np.zeros((len(taken), DIMENSIONS), np.float32)
-    for i, row in enumerate(taken):
-        x[i, np.frombuffer(row["at"], np.uint16)] = np.frombuffer(row["value"], np.float32)
-    code = codewords(len(found))
-    y = code[[found.index(row["label"]) for row in taken]] if taken else np.zeros((0, code.shape[1]), np.float32)
-    weights, bias = np.zeros((DIMENSIONS, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
-    speed, n = np.zeros_like(weights), max(1, len(taken))
-    for _ in range(ITERATIONS if code.shape[1] else 0):  # gradient descent with momentum on the regularised logistic loss
-        slope = -y / (1 + np.exp(np.clip(y * (x @ weights + bias), -30, 30)))
-        speed = 0.9 * speed - 8.0 * (x.T @ slope / n + 1e-5 * weights)
-        weights += speed
-        bias -= 1.0 * slope.mean(0)
-    return Model(found, weights, bias)
+    sample = sample.mapInArrow(_sparse, "label string, hash long, at binary, value binary").dropDuplicates(["label", "hash"])
+    learned = sample.repartition(1).sortWithinPartitions("hash", "label").mapInArrow(_fitted(found, each), "weights binary, bias binary").first()
+    bits = codewords(len(found)).shape[1]
+    return Model(found, np.frombuffer(learned["weights"], np.float32).reshape(DIMENSIONS, bits), np.frombuffer(learned["bias"], np.float32))
 
 
 def identify(docs: DataFrame, model: Model, *more: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

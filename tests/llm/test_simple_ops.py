@@ -190,10 +190,13 @@ def test_rejected_languages(spark):
     rng = random.Random(3)
     rows = [(lang, " ".join("".join(rng.choices(letters, k=5)) for _ in range(12))) for lang, letters in (("en", "abcdefg"), ("es", "hijklmn")) for _ in range(100)]
     model = L.fit(spark.createDataFrame(rows, "label string, text string"), "text", "label")
-    both = " ".join(f"{a[1]} {b[1]}" for a, b in zip(rows[:100], rows[100:]))
+    words = [[w for _, text in part for w in text.split()] for part in (rows[:100], rows[100:])]
+    # of mixtures of both, a word more or less of one, the one that the model is least sure of
+    mixtures = [" ".join((*words[0][a:], *words[1][b:])) for a, b in [(k, 0) for k in range(0, 120, 2)] + [(0, k) for k in range(0, 120, 2)]]
+    both = min(zip((p[1] for p in model.predict([x.encode() for x in mixtures])), mixtures))[1]
     docs = [(None, rows[0][1]), (None, rows[0][1]), (1, rows[150][1]), (1, None), (2, "12 ."), (3, both)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    assert model.predict([both.encode()])[0][2]
+    assert [p[2] for p in model.predict([both.encode(), *(text.encode() for _, text in rows)])] == [True] + [False] * len(rows)
     assert sorted(map(tuple, L.known_language(df, model).collect()), key=str) == sorted([docs[0], docs[1], docs[2]], key=str)
     assert [r.doc_id for r in L.known_language(df, model, languages=["es"]).collect()] == [1]
     assert L.known_language(df.where("false"), model).collect() == []
