@@ -51,19 +51,20 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 #: Bytes that a part of blocks should have, and how many times as many it may have where the input is very large.
 PART_BYTES, LARGER_PARTS = 24 << 20, 10
+#: What Spark expects of a table it knows nothing of is more than this.
+NO_SIZE = 1 << 60
 
 
 def partitions(df: DataFrame, share: float = 1.0) -> int:
     """Into how many parts to deal records that take `share` times the bytes Spark expects of `df`.
 
     Parts of PART_BYTES, beyond 100 GB of input growing with its square root, since ever more parts would leave a task only a few
-    records for each; never fewer than the session's shuffle partitions, nor more than 64 times as many, as an expectation after
-    joins may be far too high.
+    records for each; never fewer than the session's shuffle partitions.  Where Spark knows no size, they are as many as those.
     """
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     target = PART_BYTES * min(LARGER_PARTS, max(1.0, (size / 1e11) ** 0.5))
-    return max(least, min(64 * least, int(size * share / target) + 1))
+    return max(least, int(size * share / target) + 1) if size < NO_SIZE else least
 
 
 def table(schema: pa.Schema, *columns) -> pa.RecordBatch:

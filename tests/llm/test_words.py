@@ -71,20 +71,23 @@ def brute(edges):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_components(spark, seed):
+def test_components(spark, seed, monkeypatch):
     rng = random.Random(seed)
     edges = [(rng.randrange(-80, 80), rng.randrange(-80, 80)) for _ in range(60)] + [(i, i + 1) for i in range(200, 240)] + [(500, i) for i in range(501, 540)]
     rng.shuffle(edges)
     nodes, labels = components.smallest_labels(np.array([a for a, _ in edges]), np.array([b for _, b in edges]))
     assert dict(zip(nodes.tolist(), labels.tolist())) == brute(edges)
     df = spark.createDataFrame(edges, "a long, b long")
-    got = {r.node: r.label for r in components.connected(df).collect()}
-    assert got == brute([e for e in edges if e[0] != e[1]])
-    assert components.connected(df.where("false")).collect() == []
+    for most in (0, len(edges)):
+        monkeypatch.setattr(components, "ONE_TASK", most)
+        rows = components.connected(df.repartition(3)).collect()
+        assert {r.node: r.label for r in rows} == brute([e for e in edges if e[0] != e[1]]) and len(rows) == len({r.node for r in rows})
+        assert components.connected(df.where("false")).collect() == []
 
 
 def test_hubs(spark, monkeypatch):
     """Nodes with a large share of all edges, in a graph of several tasks."""
+    monkeypatch.setattr(components, "ONE_TASK", 0)
     monkeypatch.setattr(components, "EDGES", 100)
     monkeypatch.setattr(components, "HUB_SHARE", 10)
     edges = [(0, i) for i in range(1, 300)] + [(1000 - i, 1000) for i in range(1, 250)] + [(2000 + i, 2001 + i) for i in range(40)] + [(299, 2000)]
