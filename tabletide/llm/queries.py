@@ -94,7 +94,29 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_toxicity, op3_substring_dedup, op4_exact_dedup, op5_ngram_jaccard, op6_language_id, op7_sharding, op8_best_fit_packing, op9_decontamination, op10_token_counts)}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .audit import filter_audit
+
+    return filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(read(spark, sf_dir, "embeddings"), 8)
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import decode, encode
+
+    ranks = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    encoded = encode(read(spark, sf_dir, "documents"), ranks)
+    names = F.array_join(F.col("ids").cast("array<string>"), ",")
+    decoded = decode(encoded.select("doc_id", "n_tokens", F.sha2(names, 256).alias("ids_sha256"), "ids"), ranks)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_toxicity, op3_substring_dedup, op4_exact_dedup, op5_ngram_jaccard, op6_language_id, op7_sharding, op8_best_fit_packing, op9_decontamination, op10_token_counts, op11_filter_audit, op12_embedding_whitening, op13_byte_bpe)}
 
 SQL = {
     "op4_exact_dedup": r"""
@@ -130,4 +152,19 @@ SQL = {
         items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as names from (select distinct doc_id, item from hit) group by doc_id)
         select d.doc_id, cast(len(d.words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
         from d left join words_hit h on d.doc_id = h.doc_id left join items i on d.doc_id = i.doc_id""",
+    "op11_filter_audit": r"""
+        with t as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+        f as (select doc_id, part, len(words) < 100 as a, 100 * len(list_distinct(words)) < 80 * len(words) as b, 100 * len(regexp_replace(text, '[^A-Z]+', '', 'g')) > 10 * len(text) as c,
+                     regexp_matches(text, '[#$%&*|]') as d, coalesce(doc_id > min(doc_id) over (partition by text), false) as e from t),
+        l as (select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic from labels group by doc_id),
+        h as (select part, a::int + 2 * b::int + 4 * c::int + 8 * d::int + 16 * e::int as mask, count(*) as n, count(*) filter (where good) as good, count(*) filter (where toxic) as toxic
+              from f left join l on f.doc_id = l.doc_id group by 1, 2),
+        x as (select unnest(['A', 'B', 'C', 'D', 'E']) as letter, unnest([1, 2, 4, 8, 16]) as bit),
+        o as (select p.letter || q.letter || r.letter || s.letter || t.letter as filter_order, [p.bit, q.bit, r.bit, s.bit, t.bit] as bits from x p, x q, x r, x s, x t where p.bit + q.bit + r.bit + s.bit + t.bit = 31 and p.bit | q.bit | r.bit | s.bit | t.bit = 31),
+        g as (select filter_order, step, bits[step] as bit, list_sum(bits[1:step - 1])::int as earlier from o, (select unnest(range(1, 6)) as step)),
+        m as (select g.*, part, h.mask, n, good, toxic, h.mask & bit > 0 as fails, coalesce(h.mask & earlier, 0) > 0 as gone from g, h),
+        r as (select part, filter_order, step, bit, coalesce(sum(n) filter (where not fails and not gone), 0)::bigint as kept, coalesce(sum(n) filter (where fails and not gone), 0)::bigint as removed,
+                     coalesce(sum(n) filter (where fails and gone), 0)::bigint as redundant, coalesce(sum(n) filter (where mask = bit), 0)::bigint as unique_fails,
+                     coalesce(sum(good) filter (where fails and not gone), 0)::bigint as good_lost, coalesce(sum(toxic) filter (where fails and not gone), 0)::bigint as toxic_lost from m group by 1, 2, 3, 4)
+        select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) over (partition by part, bit))::bigint as shapley from r""",
 }
