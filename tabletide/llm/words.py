@@ -3,8 +3,9 @@
 A text's words are runs of bytes that are not separators.  Every separator used in this package is an ASCII byte, and UTF-8 never
 uses ASCII bytes inside a longer character, so the byte runs are exactly the character runs.
 
-A word's hash mixes its bytes in, eight at a time, with its length; of words longer than LONG bytes it is a BLAKE2 hash.  No step is
-linear, so no two patterns of bytes cancel out whatever words are hashed, and runs of words are hashed in the same way.  A hash depends
+A word's length is scrambled first, and then its bytes, eight at a time; of words longer than LONG bytes the hash is a BLAKE2 hash.  No
+sum of length and bytes comes in unscrambled, so none can cancel another, and each seed scrambles with multipliers of its own, so words
+that collide under one of them don't for that reason collide under the other.  Runs of words are hashed in the same way.  A hash depends
 on the bytes and the seed alone, so it is the same in every process, on every machine.
 """
 
@@ -36,13 +37,18 @@ _LOWER_BYTES = _LOWER.tobytes()
 _LEFT = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 
 
-def mix(x: np.ndarray) -> np.ndarray:
+#: Shifts and multipliers of two published 64-bit finalisers, for the seeds 0 and 1.
+SCRAMBLERS = (((33, 33, 33), (U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53))), ((30, 27, 31), (U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB))))
+
+
+def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A one-to-one scrambling of 64 bits, in place."""
-    x ^= x >> U64(33)
-    x *= U64(0xFF51AFD7ED558CCD)
-    x ^= x >> U64(33)
-    x *= U64(0xC4CEB9FE1A85EC53)
-    x ^= x >> U64(33)
+    (first, second, third), (a, b) = SCRAMBLERS[seed]
+    x ^= x >> U64(first)
+    x *= a
+    x ^= x >> U64(second)
+    x *= b
+    x ^= x >> U64(third)
     return x
 
 
@@ -63,11 +69,12 @@ def _hash_piece(data: np.ndarray, separator: np.ndarray, seed: int) -> tuple[np.
         return np.zeros(0, U64), starts, ends
     length = ends - starts
     eight = _eights(data)
-    found = mix((length.astype(U64) + U64(seed)) * LENGTH + (eight[starts] & _LEFT[np.minimum(length, 8)]) * ODD)
+    found = mix((length.astype(U64) + U64(seed + 1)) * LENGTH, seed)
+    found = mix((found ^ (eight[starts] & _LEFT[np.minimum(length, 8)])) * ODD, seed)
     more, done = np.flatnonzero(length > 8), 8
     while len(more) and done < LONG:
         left = length[more] - done
-        found[more] = mix(found[more] * ODD + (eight[starts[more] + done] & _LEFT[np.minimum(left, 8)]))
+        found[more] = mix((found[more] ^ (eight[starts[more] + done] & _LEFT[np.minimum(left, 8)])) * ODD, seed)
         done += 8
         more = more[left > 8]
     for i in more.tolist():
