@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import TideError
-from ..session import shared_folder
+from ..session import checkpointed
+from . import boundaries
 
 
 def stream_name(base: str, path: str) -> str:
@@ -52,34 +55,29 @@ def row_bytes(df: DataFrame) -> Column:
     return total.cast("long")
 
 
+#: Fixed value: bytes that a writer of chunks holds back at most before it counts them.
+BUFFER = 8 << 10
+
+
 def rechunk(df: DataFrame, size: int, name: str = "__chunk") -> DataFrame:
     """`df`, which has texts only, with the number of the chunk that each row goes to, from 1 without gaps.
 
-    All rows' bytes are laid end to end, cut every `size` bytes less the header's, and a row goes where its first byte lies; so a chunk
-    is over `size` by less than its last row, and no chunk depends on what comes after it.  (Cutting anew after the row that fills a
-    chunk would make each chunk wait for all before it.)  Rows keep their order.  Each partition adds up its own rows; the partitions'
-    totals, a row for each, and the chunks' numbers, a row for each, are put in order over them.  Rows that come from a shuffle, whose
-    order another run may change, are written to the shared folder first.
+    A chunk begins with a header and ends with the row that takes it beyond `size` bytes; these are counted in whole buffers, so a size
+    of more than BUFFER counts as the next multiple of it.  Rows keep their order.  Chunks are found without one task that reads all
+    rows, see boundaries; partitions add up their rows' bytes in one pass, and number their rows in another.  Rows that come from a
+    shuffle, whose order another run may change, are written to the shared folder first.
     """
     if size < 1:
         raise TideError("a stream's size has to be positive")
     if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-            df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
-        df = df.checkpoint()
-    header = sum(len(c.encode()) + 1 for c in df.columns)
-    held = df.withColumn("__at", F.monotonically_increasing_id()).withColumn("__bytes", row_bytes(df))
-    held = held.withColumn("__partition", F.shiftright("__at", 33))
-    totals = held.groupBy("__partition").agg(F.sum("__bytes").alias("__total"))
-    before = Window.orderBy("__partition").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("__partition", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__start"))
-    own = Window.partitionBy("__partition").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
-    at = F.col("__start") + F.coalesce(F.sum("__bytes").over(own), F.lit(0))
-    placed = held.join(F.broadcast(starts), "__partition").withColumn("__cut", F.floor(at / max(1, size - header)))
-    # cuts inside one long row leave numbers out
-    number = F.row_number().over(Window.orderBy("__cut")).cast("int").alias(name)
-    chunked = placed.join(F.broadcast(placed.select("__cut").distinct().select("__cut", number)), "__cut")
-    return chunked.select(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns], name)
+        df = checkpointed(df)
+    text = io.StringIO()
+    csv.writer(text, lineterminator="\n").writerow(df.columns)
+    header, buffer = len(text.getvalue().encode()), min(BUFFER, size)
+    limit = -(-size // buffer) * buffer
+    held = df.withColumn("__bytes", row_bytes(df))
+    begin = boundaries.beginnings(held.select("__bytes"), df.rdd.getNumPartitions(), limit, header)
+    return boundaries.numbered(held, "__bytes", begin, limit, header, name)
 
 
 def bounded(df: DataFrame, streams: int) -> DataFrame:

@@ -269,7 +269,7 @@ def rechunk_sizes(spark, d):
     size = 100_000
     text = rows.encoded(read(spark, d, "orders").select([c.name for c in ORDERS.table.columns]), ORDERS)
     chunks = shape.rechunk(text, size).withColumn("b", shape.row_bytes(text)).groupBy("__chunk").agg(F.count("*").alias("n"), F.sum("b").alias("b"), F.max("b").alias("most"))
-    return chunks.agg(F.sum("n").alias("n_rows"), F.sum("b").alias("n_bytes"), F.max(F.when(F.col("b") > size + F.col("most"), 1).otherwise(0)).alias("too_large"))
+    return chunks.agg(F.sum("n").alias("n_rows"), F.sum("b").alias("n_bytes"), F.max(F.when(F.col("b") > size + shape.BUFFER + F.col("most"), 1).otherwise(0)).alias("too_large"))
 
 
 def stream_names(spark, d):
@@ -479,7 +479,7 @@ def storage_times(spark, d):
 
 
 def rechunk_chunks(spark, d):
-    """Each chunk's rows and bytes, of rows in the order of their keys."""
+    """Each chunk's rows and bytes, of rows in the order of their keys, as one count after another has them."""
     ordered = read(spark, d, "orders").select([c.name for c in ORDERS.table.columns]).orderBy("o_orderkey")
     text = rows.encoded(ordered, ORDERS)
     return shape.rechunk(text, 50_000).withColumn("b", shape.row_bytes(text)).groupBy(F.col("__chunk").alias("chunk")).agg(F.count("*").alias("n_rows"), F.sum("b").alias("n_bytes"), F.min(F.col("o_orderkey").cast("long")).alias("first_key"))
@@ -590,9 +590,10 @@ SQL = {
         select profile, name, stored, same, same as plain from p""",
     "storage_tables": "select * from (values ('hive', 1::integer, false, 'true,true', 'BIGINT,VARCHAR', 'format,transactional'), ('iceberg', 0, true, 'false,true', 'BIGINT,VARCHAR', ''), ('memory', 1, false, 'true,true', 'BIGINT,JSON', '')) t(profile, drops, or_replace, nullable, types, options)",
     "storage_times": f"select event_id, {_STAMP.format("date_trunc('milliseconds', ts)")} || 'Z' as hive, {_STAMP.format("time_bucket(interval '100 milliseconds', ts)")} as iceberg from events",
-    "rechunk_chunks": f"""with o as (select cast(o_orderkey as bigint) as k, strlen(o_orderkey) + strlen(o_custkey) + strlen(o_orderstatus) + strlen(o_orderdate) + strlen(o_orderpriority) + 5 as b from (select {_ORDER_CELLS} from orders)),
-        c as (select k, b, floor((sum(b) over (order by k) - b) / (50000 - {sum(len(c.name) + 1 for c in ORDERS.table.columns)})) as cut from o)
-        select cast(dense_rank() over (order by cut) as integer) as chunk, count(*) as n_rows, cast(sum(b) as bigint) as n_bytes, min(k) as first_key from c group by cut""",
+    "rechunk_chunks": f"""with recursive o as (select cast(o_orderkey as bigint) as k, strlen(o_orderkey) + strlen(o_custkey) + strlen(o_orderstatus) + strlen(o_orderdate) + strlen(o_orderpriority) + 5 as b from (select {_ORDER_CELLS} from orders)),
+        s as materialized (select k, b, sum(b) over (order by k) as upto from o),
+        c(chunk, begin) as (select 1, cast(0 as hugeint) union all select chunk + 1, min(upto) from c join s on upto > begin + 57344 - {sum(len(c.name) + 1 for c in ORDERS.table.columns)} group by chunk having min(upto) < (select max(upto) from s))
+        select chunk, count(*) as n_rows, cast(sum(b) as bigint) as n_bytes, min(k) as first_key from s asof join c on s.upto > c.begin group by chunk""",
     "rechunk_long_rows": "select count(*) as n_rows, 1 as first, true as gapless from conversations where text is not null",
     "literals_of_rows": """select cast(r_regionkey as bigint) as r_regionkey, '"' || r_name || '"' as bq_text, cast(r_regionkey as varchar) as bq_number, chr(39) || r_name || chr(39) as trino_text, 'BIGINT ' || chr(39) || r_regionkey || chr(39) as trino_number from region""",
     "driver_arguments": "select * from (values ('a', '1'), ('b.c', 'x'), ('b.d', 'y=z'), ('e.0', 'p'), ('e.1', 'q'), ('f.g.0', '')) t(name, value)",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from .errors import TideError
 
@@ -31,3 +31,11 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise TideError("set spark.checkpoint.dir to a folder that all machines share")
     return os.path.join(tempfile.gettempdir(), "tabletide-checkpoints")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """`df` as files in the shared folder, so that no row is computed twice, nor in another order."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()

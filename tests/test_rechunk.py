@@ -1,0 +1,81 @@
+"""Chunks against counting one row after another."""
+
+import csv
+import io
+import random
+
+import numpy as np
+import pytest
+
+from tabletide.operators import boundaries, shape
+from tabletide.operators.rows import named
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+def sequential(sizes, size, header):
+    """Numbers as a writer gives them that counts whole buffers only: a full buffer is counted when another byte comes."""
+    buffer, out, chunk, written = min(8192, size), [], 1, header
+    for b in sizes:
+        written += b
+        out.append(chunk)
+        if (written - 1) // buffer * buffer >= size:
+            chunk, written = chunk + 1, header
+    return out
+
+
+def line(cells):
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerow(["" if c is None else c for c in cells])
+    return len(out.getvalue().encode())
+
+
+@pytest.mark.parametrize("name", TABLES)
+def test_tables(spark, small, name, monkeypatch):
+    """All tables, in several partitions, with runs composed in levels."""
+    monkeypatch.setattr(boundaries, "beginnings", lambda *a, f=boundaries.beginnings: f(*a, fan_in=3))
+    df = spark.read.parquet(f"{small}/{name}.parquet")
+    df = df.select([named(c).cast("string").alias(c) for c in df.columns]).repartition(11)
+    for size in (300, 20_000):
+        found = [tuple(r) for r in shape.rechunk(df, size).collect()]
+        sizes = [line(r[:-1]) for r in found]
+        assert [r[-1] for r in found] == sequential(sizes, size, line(df.columns))
+
+
+def test_as_documented(spark):
+    """The smallest case: a header and a row are just over seven bytes."""
+    df = spark.createDataFrame([("1", "1"), ("2", "1"), ("1", "2"), ("2", "2")], "a string, b string").coalesce(1)
+    assert [r["__chunk"] for r in shape.rechunk(df, 7).collect()] == [1, 2, 3, 4]
+    assert shape.rechunk(df.limit(0), 7).collect() == []
+
+
+def test_runs_compose():
+    """Any cut of any rows in runs, composed in any order, does what the rows do one by one."""
+    r = random.Random(3)
+    for _ in range(600):
+        header, n = r.randint(1, 12), r.randint(0, 30)
+        limit = r.choice([r.randint(1, 20), r.randint(20, 300)])
+        sizes = [r.choice([1, 2, 7, r.randint(1, 60)]) for _ in range(n)]
+        cuts = sorted(r.randint(0, n) for _ in range(4))
+        runs = [boundaries.run_of(np.array(sizes[a:b], np.int64), limit, header) for a, b in zip([0, *cuts], [*cuts, n])]
+        assert all((a == b).all() for x in runs for a, b in zip(vars(boundaries.Run.from_bytes(x.to_bytes())).values(), vars(x).values()) if isinstance(a, np.ndarray))
+        while len(runs) > 1:
+            k = r.randrange(len(runs) - 1)
+            runs[k : k + 2] = [boundaries.composed(runs[k], runs[k + 1], header)]
+        for full in range(header, max(header, limit) + 1):
+            at, ended = full, 0
+            for b in sizes:
+                at += b
+                if at > limit:
+                    at, ended = header, ended + 1
+            after, count = runs[0](np.array([full]))
+            assert (int(after[0]), int(count[0])) == (at, ended)
+            got = boundaries.numbers(np.array(sizes, np.int64), full, 1, limit, header)
+            assert got[1:] == (at, ended + 1) and len(got[0]) == n
+
+
+def test_plan(spark, small):
+    """No partition is sorted, and nothing is shuffled."""
+    df = spark.read.parquet(f"{small}/orders.parquet").selectExpr("cast(o_orderkey as string) as k", "o_orderstatus as s")
+    plan = shape.rechunk(df, 5000)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan and "Window" not in plan
