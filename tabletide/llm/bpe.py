@@ -2,8 +2,9 @@
 
 A sequence of tokens is what merging by rank makes of its bytes exactly if merging makes each two neighbours of themselves again.  So
 each prefix of a text has one last token, which follows from the last tokens of the prefixes that a token may begin at.  A state of the
-transducer holds, for each place where a token may still begin, the tokens that lead there; tokens that all of these share are certain
-and are emitted.  States and transitions are made when a byte first asks for them and are kept by the worker.
+transducer holds, for each place where a token may still have begun, the bytes since and the last token before; a state's output is the
+last token of the prefix that leads to it.  Tokens up to where the ways back from all places meet are certain, which is never
+more than a few tokens' lengths back, and are emitted.  States and transitions are made when a byte first asks for them.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import gc
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +27,16 @@ from .common import ids_and_texts, slices, table
 #: Splits a text into what is encoded separately: fixed values, as published with the vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Transitions, and pieces with their tokens, that a worker keeps; beyond these it begins anew.
-TRANSITIONS, REMEMBERED = 800_000, 300_000
-#: Longer pieces aren't remembered, in bytes; longer texts are split piece by piece, in characters.
-SHORT_PIECE, LONG_TEXT = 64, 1 << 20
+TRANSITIONS, REMEMBERED = 700_000, 600_000
+#: Longer pieces aren't remembered, and those beyond LONG_PIECE give their tokens as they are read, in bytes; texts of more characters are split as they are read.
+SHORT_PIECE, LONG_PIECE, LONG_TEXT = 64, 1 << 12, 1 << 20
 #: Pieces of a long text that are encoded at a time, and tokens that are decoded at a time.
 RUN = 1 << 16
 
-#: Stands for the token before a state's places: none as the piece begins here, and any as no place needs it.
-BEGIN, ANY = -1, -2
+#: Stands for the token before the first one.
+BEGIN = -1
+#: Characters below it are letters, numbers and spaces alike in all versions of Unicode that libraries have.
+LATIN = 0x250
 
 
 def ranks_of(path: str) -> dict[bytes, int]:
@@ -72,20 +76,30 @@ def splitter(newer: tuple[list[tuple[int, int]], list[tuple[int, int]]] = ([], [
     return regex.compile(found, regex.V1 if any(newer) else 0)
 
 
+def _latin_splitter():
+    """The same for texts whose characters are all below LATIN, which Python's own module splits in half the time."""
+    letters, numbers = (regex.findall(kind, "".join(map(chr, range(LATIN)))) for kind in (r"\p{L}", r"\p{N}"))
+    spaces = regex.findall(r"\s", "".join(map(chr, range(LATIN))))
+    space, letter, number = ("".join(map(re.escape, x)) for x in (spaces, letters, numbers))
+    return re.compile(PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{letter}{number}]").replace(r"\p{L}", f"[{letter}]").replace(r"\p{N}", f"[{number}]").replace(r"\S", f"[^{space}]").replace(r"\s", f"[{space}]"))
+
+
 class Transducer:
     """Encodes pieces, a byte at a time."""
 
     def __init__(self, ranks: dict[bytes, int], transitions: int = TRANSITIONS):
         self.ranks, self.most = ranks, transitions
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.begun = {token[:n] for token in ranks for n in range(1, len(token))}
+        self.begun = {x: x for token in ranks for n in range(1, len(token)) for x in (token[:n],)}
+        self.lengths = {rank: len(token) for token, rank in ranks.items()}
         self.fit: dict[int, bool] = {}
         self.edges: dict[tuple[int, int], list[tuple[bytes, float]]] = {}
         self._anew()
 
     def _anew(self) -> None:
-        start = (BEGIN, ((b"", ()),))
-        self.ids, self.states, self.ends, self.moves = {start: 0}, [start], [()], {}
+        start = ((b"", BEGIN),)
+        # of each state the last token, with which all transitions to it have to do
+        self.ids, self.states, self.last, self.moves, self.places = {start: 0}, [start], [BEGIN], {}, {}
 
     def merged(self, data: bytes, most: int = 1) -> list[bytes]:
         """What merging makes of a short run of bytes: each time the pair of the lowest rank, the first of equals, until none or `most` parts are left."""
@@ -132,34 +146,37 @@ class Transducer:
             self.fit[left << 32 | right] = found
         return found
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """The next state and the tokens that are certain with this byte."""
-        before, places = self.states[state]
-        places = [(begun + bytes([byte]), way) for begun, way in places]
-        for token, way in places:  # the longest first
+    def _move(self, state: int, byte: int) -> int:
+        """The next state."""
+        grown = [(begun + bytes([byte]), last) for begun, last in self.states[state]]
+        for token, last in grown:  # the longest first
             rank = self.ranks.get(token)
-            last = way[-1] if way else before
             if rank is not None and (last == BEGIN or self.fits(last, rank)):
-                found = (b"", (*way, rank))
                 break
         else:
             raise ValueError("the ranks hold no token for some byte, or tokens that merging doesn't make")
-        grown = [place for place in places if place[0] in self.begun] + [found]
-        shared, ways = 0, [way for _, way in grown]
-        while all(len(way) > shared for way in ways) and len({way[shared] for way in ways}) == 1:
-            shared += 1
-        sure = ways[0][:shared]
-        before = sure[-1] if sure else before
-        if shared:
-            grown = [(x, way[shared:]) for x, way in grown]
-        key = (before if any(not way for _, way in grown) else ANY, tuple(grown))
+        same = self.places.setdefault  # places are few beside states
+        key = tuple([same((whole, last), (whole, last)) for begun, last in grown if (whole := self.begun.get(begun)) is not None] + [same((b"", rank), (b"", rank))])
         to = self.ids.get(key)
         if to is None:
             to = self.ids[key] = len(self.states)
             self.states.append(key)
-            self.ends.append(grown[-1][1])
-        move = self.moves[state << 8 | byte] = (to, sure)
-        return move
+            self.last.append(rank)
+        self.moves[state << 8 | byte] = to
+        return to
+
+    def _back(self, states: list[int], to: int) -> list[int]:
+        """The tokens of the first `to` bytes, of which each led to a state."""
+        out, last, lengths = [], self.last, self.lengths
+        while to:
+            token = last[states[to - 1]]
+            out.append(token)
+            to -= lengths[token]
+        out.reverse()
+        return out
+
+    def stream(self) -> Stream:
+        return Stream(self)
 
     def encode(self, piece: bytes) -> list[int]:
         """The piece's tokens."""
@@ -168,56 +185,89 @@ class Transducer:
             return [whole]
         if len(self.moves) > self.most:
             self._anew()
-        state, out, moves = 0, [], self.moves
+        if len(piece) > LONG_PIECE:
+            stream = self.stream()
+            return [x for at in range(0, len(piece), LONG_PIECE) for x in stream.feed(piece[at : at + LONG_PIECE])] + stream.end()
+        state, states, moves = 0, [], self.moves
         for byte in piece:
-            move = moves.get(state << 8 | byte)
-            state, sure = move if move is not None else self._move(state, byte)
-            if sure:
-                out += sure
-        out += self.ends[state]
+            state = moves.get(state << 8 | byte) or self._move(state, byte)
+            states.append(state)
+        return self._back(states, len(states))
+
+
+class Stream:
+    """One piece that arrives in parts: each gives the tokens that are certain with it."""
+
+    def __init__(self, transducer: Transducer):
+        self.by, self.state, self.states = transducer, 0, []
+
+    def feed(self, data: bytes) -> list[int]:
+        by, state, states = self.by, self.state, self.states
+        for byte in data:
+            state = by.moves.get(state << 8 | byte) or by._move(state, byte)
+            states.append(state)
+        self.state = state
+        ways = {len(states) - len(begun) for begun, _ in by.states[state]}
+        while len(ways) > 1:
+            furthest = max(ways)
+            ways.remove(furthest)
+            ways.add(furthest - by.lengths[by.last[states[furthest - 1]]])
+        meet = ways.pop()
+        sure = by._back(states, meet)
+        del states[:meet]
+        return sure
+
+    def end(self) -> list[int]:
+        out, self.states, self.state = self.by._back(self.states, len(self.states)), [], 0
         return out
 
 
+class _Known(dict):
+    """Tokens by piece, as 32-bit numbers.  Pieces met lately are kept, and those before them as long as they are met again."""
+
+    def __init__(self, transducer: Transducer, most: int):
+        super().__init__()
+        self.transducer, self.most, self.older = transducer, most, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            data = piece.encode()
+            found = array("i", self.transducer.encode(data)).tobytes()
+            if len(data) > SHORT_PIECE:
+                return found
+        self[piece] = found
+        return found
+
+    def rest(self) -> None:
+        if len(self) > self.most // 2:
+            self.older = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Encodes whole texts, each piece by the transducer."""
 
     def __init__(self, ranks: dict[bytes, int], newer: tuple = ([], []), remembered: int = REMEMBERED):
-        self.transducer, self.split, self.split_newer, self.remembered = Transducer(ranks), splitter(), splitter(newer), remembered
-        first = min((a for kind in newer for a, _ in kind), default=0x110000)
-        self.newer = re.compile(f"[{chr(first)}-{chr(0x10FFFF)}]") if first < 0x110000 else None
-        # pieces met lately, and those before them: what is used stays, however many others pass by
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _pieces(self, pieces: list[str]) -> bytes:
-        """The tokens of consecutive pieces, as 32-bit numbers."""
-        if len(self.known) > self.remembered // 2:
-            self.older, self.known = self.known, {}
-        known, older, long = self.known, self.older, {}
-        for piece in set(pieces).difference(known):
-            found = older.get(piece)
-            if found is None:
-                data = piece.encode()
-                found = array("i", self.transducer.encode(data)).tobytes()
-                if len(data) > SHORT_PIECE:
-                    long[piece] = found
-                    continue
-            known[piece] = found
-        if long:
-            return b"".join([long[x] if x in long else known[x] for x in pieces])
-        return b"".join(map(known.__getitem__, pieces))
+        self.transducer, self.latin, self.split_newer = Transducer(ranks), _latin_splitter(), splitter(newer)
+        self.beyond = re.compile(f"[{chr(LATIN)}-{chr(0x10FFFF)}]")
+        self.known = _Known(self.transducer, remembered)
 
     def encode(self, text: str) -> np.ndarray:
-        split = self.split if self.newer is None or text.isascii() or self.newer.search(text) is None else self.split_newer
+        split = self.latin if self.beyond.search(text) is None else self.split_newer
+        known, found = self.known, []
         if len(text) <= LONG_TEXT:
-            return np.frombuffer(self._pieces(split.findall(text)), np.int32)
-        found, run = [], []
-        for match in split.finditer(text):
-            run.append(match[0])
-            if len(run) == RUN:
-                found.append(self._pieces(run))
-                run = []
-        return np.frombuffer(b"".join([*found, self._pieces(run)]), np.int32)
+            found = [b"".join(map(known.__getitem__, split.findall(text)))]
+        else:
+            pieces = (match[0] for match in split.finditer(text))
+            while run := list(islice(pieces, RUN)):
+                found.append(b"".join(map(known.__getitem__, run)))
+                known.rest()
+        known.rest()
+        return np.frombuffer(b"".join(found), np.int32)
+
+    def decode(self, ids: np.ndarray) -> str:
+        return text_of(ids.tolist(), self.transducer.tokens)
 
 
 def _utf8_steps() -> list[list[int]]:
@@ -275,6 +325,17 @@ class Characters:
         return data.decode("utf-8", "replace")
 
 
+def text_of(ids: list[int], tokens: dict[int, bytes]) -> str:
+    """The text of tokens, decoded run by run."""
+    characters, out = Characters(), []
+    for at in range(0, len(ids), RUN):
+        try:
+            out.append(characters.feed(b"".join(map(tokens.__getitem__, ids[at : at + RUN]))))
+        except KeyError as e:
+            raise ValueError(f"no token has the id {e.args[0]}") from None
+    return "".join([*out, characters.end()])
+
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -288,15 +349,17 @@ def _encoder(path: str, newer: tuple) -> Encoder:
 _IDS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
-def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", decoded_col: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids: the tokens of each row's whole text, one row for each row of `docs`.
 
     `ranks` is the path of a .tiktoken file, which each executor must be able to open; the ids are those that the tiktoken library
     gives with PATTERN and no special tokens.  Null and empty texts have none.  Bytes that are no UTF-8 count as U+FFFD.  Repeated
     rows are encoded each; other columns are ignored; an empty table gives an empty result.  Texts are taken a megabyte at a time; a
-    longer one is split as it is read, and time grows with its length alone, also if it is one word.
+    longer one is split as it is read, and time grows with its length alone, also if it is one word.  With `decoded_col` the text that
+    the ids decode to comes along, as decode() gives it, without another pass.
     """
     newer = newer_characters()
+    schema = _IDS.append(pa.field(decoded_col, pa.string())) if decoded_col else _IDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks, newer)
@@ -308,9 +371,9 @@ def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str =
                 gc.enable()
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             ids = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32), np.concatenate(found))
-            yield table(_IDS, batch.column(0), pa.array(lengths), ids)
+            yield table(schema, batch.column(0), pa.array(lengths), ids, *([pa.array(list(map(encoder.decode, found)), pa.string())] if decoded_col else []))
 
-    return ids_and_texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
+    return ids_and_texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>" + (f", `{decoded_col}` string" if decoded_col else ""))
 
 
 def decode(encoded: DataFrame, ranks: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
@@ -323,27 +386,17 @@ def decode(encoded: DataFrame, ranks: str, ids_col: str = "ids", text_col: str =
     others = [c for c in encoded.columns if c not in (ids_col, text_col)]
     frame = encoded.select(*[encoded[c] for c in others], encoded[ids_col].cast("array<int>").alias(ids_col))
     schema = frame.drop(ids_col).withColumn(text_col, F.lit(None).cast("string")).schema
-    tokens: dict[int, bytes] = {}
-
-    def text_of(ids: list[int]) -> str:
-        characters, out = Characters(), []
-        for at in range(0, len(ids), RUN):
-            try:
-                out.append(characters.feed(b"".join(map(tokens.__getitem__, ids[at : at + RUN]))))
-            except KeyError as e:
-                raise ValueError(f"no token has the id {e.args[0]}") from None
-        return "".join([*out, characters.end()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens.update({rank: token for token, rank in ranks_of(ranks).items()})
+        tokens = {rank: token for token, rank in ranks_of(ranks).items()}
         for batch in batches:
             *rest, ids = batch.columns
             offsets, values = np.asarray(ids.offsets), ids.values
             there, at = ids.is_valid().to_pylist(), 0
-            while at < batch.num_rows:  # rows with about a megabyte of tokens
+            while at < batch.num_rows:  # rows with about a million tokens
                 to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (1 << 20), "right")) - 1)
                 rows = [values.slice(offsets[i], offsets[i + 1] - offsets[i]).to_pylist() if there[i] else None for i in range(at, to)]
-                texts = pa.array([None if x is None else text_of(x) for x in rows], pa.string())
+                texts = pa.array([None if x is None else text_of(x, tokens) for x in rows], pa.string())
                 yield pa.RecordBatch.from_arrays([*[c.slice(at, to - at) for c in rest], texts], names=[*batch.schema.names[:-1], text_col])
                 at = to
 

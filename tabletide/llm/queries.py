@@ -107,13 +107,11 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .bpe import decode, encode
+    from .bpe import encode
 
-    ranks = tokenizer_path("byte_bpe_multi_50k.tiktoken")
-    encoded = encode(read(spark, sf_dir, "documents"), ranks)
+    encoded = encode(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), decoded_col="decoded")
     names = F.array_join(F.col("ids").cast("array<string>"), ",")
-    decoded = decode(encoded.select("doc_id", "n_tokens", F.sha2(names, 256).alias("ids_sha256"), "ids"), ranks)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+    return encoded.select("doc_id", "n_tokens", F.sha2(names, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_toxicity, op3_substring_dedup, op4_exact_dedup, op5_ngram_jaccard, op6_language_id, op7_sharding, op8_best_fit_packing, op9_decontamination, op10_token_counts, op11_filter_audit, op12_embedding_whitening, op13_byte_bpe)}

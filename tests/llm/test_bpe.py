@@ -83,29 +83,25 @@ def test_tokens_come_early(ranks, library):
     t, r = bpe.Transducer(ranks), random.Random(9)
     longest = max(map(len, ranks))
     for piece in (b"ab" * 3000, b"a" * 6000, "中文".encode() * 2000, bytes(r.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(20_000))):
-        state, out, done, waited = 0, [], 0, 0
+        stream, out, done, waited = t.stream(), [], 0, 0
         for n, byte in enumerate(piece, 1):
-            state, sure = t.moves.get(state << 8 | byte) or t._move(state, byte)
+            sure = stream.feed(bytes([byte]))
             out += sure
             done += sum(len(t.tokens[x]) for x in sure)
             waited = max(waited, n - done)
         assert waited <= 4 * longest
-        assert out + list(t.ends[state]) == t.encode(piece) == library.encode_ordinary(piece.decode())
+        assert out + stream.end() == t.encode(piece) == library.encode_ordinary(piece.decode())
 
 
 def test_begun_anew(ranks, library, encoder):
     """Few states and pieces kept give the same tokens; so do texts split as they are read."""
-    few, r = bpe.Encoder(ranks, encoder_newer(encoder), 20), random.Random(4)
+    few, r = bpe.Encoder(ranks, bpe.newer_characters(), 20), random.Random(4)
     few.transducer.most = 50
     for _ in range(300):
         text = wordlike(r) + strange(r)
         assert few.encode(text).tolist() == library.encode_ordinary(text)
 
 
-def encoder_newer(encoder):
-    return bpe.newer_characters() if encoder.newer else ([], [])
-
-
 def test_long_texts(encoder, library, monkeypatch):
     r = random.Random(6)
     text = " ".join(wordlike(r) for _ in range(3000)) + "x" * 5000
@@ -138,6 +134,8 @@ def test_operators(spark, path, library, monkeypatch):
     assert encoded.columns == ["doc_id", "n_tokens", "ids"]
     got = sorted(((r.doc_id, r.n_tokens, r.ids) for r in encoded.collect()), key=str)
     assert got == sorted(((i, len(t), t) for i, x in texts for t in [library.encode_ordinary(x or "")]), key=str)
+    both = bpe.encode(docs, path, decoded_col="back again").select("doc_id", "back again").collect()
+    assert sorted(map(tuple, both), key=str) == sorted(((i, x or "") for i, x in texts), key=str)
     decoded = bpe.decode(encoded, path)
     assert decoded.columns == ["doc_id", "n_tokens", "text"]
     assert sorted(((r.doc_id, r.text) for r in decoded.collect()), key=str) == sorted(((i, x or "") for i, x in texts), key=str)
