@@ -18,15 +18,15 @@ from .common import checkpoint, ids_and_texts, slices
 from .words import Batch, grams, mix
 
 #: Hashed dimensions.
-BITS = 20
+BITS = 22
 #: Labelled rows that a model is fitted on, at most, and how many features these may have together; they are taken by a hash of the id.
 TRAINING_ROWS = 16_000
 TRAINING_FEATURES = 48_000_000
 #: Bytes of the stems that count beside a word; inflected and compound words share them.
 STEMS = (5, 6, 7)
-EPOCHS = 5
+EPOCHS = 8
 #: FTRL-proximal: learning rate, its offset, L1 and L2.
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.1
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.1
 
 U64 = np.uint64
 
