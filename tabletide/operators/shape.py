@@ -26,9 +26,9 @@ def stream_name(base: str, path: str) -> str:
     return relative.split(".", 1)[0]
 
 
-def with_stream(df: DataFrame, base: str, is_folder: bool, name: str = "__stream") -> DataFrame:
-    """A file scan with stream_name() of each row's input file."""
-    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+def with_stream(df: DataFrame, base: str, is_folder: bool, name: str = "__stream", file: str = "_metadata.file_path") -> DataFrame:
+    """A file scan with stream_name() of each row's input file, which is in the column `file`."""
+    path = F.url_decode(F.regexp_replace(F.col(file), r"\+", "%2B"))
     path = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*(?=/))?", "")
     top = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*(?=/))?", "", base).rstrip("/")
     relative = F.substring(path, F.lit(len(top) + 2), F.length(path)) if is_folder else F.element_at(F.split(path, "/"), -1)

@@ -260,6 +260,18 @@ def csv_roundtrip_text(spark, d):
     return _written(spark, read(spark, d, "conversations"), TURNS, "csv")
 
 
+def csv_in_ranges(spark, d):
+    """One file whose cells hold line breaks, read by 32 tasks or so."""
+    from .sources.storage import Files
+
+    at = locators.parse(f"file:{scratch(spark)}.csv")
+    at.write(read(spark, d, "conversations").select([c.name for c in TURNS.table.columns]), TURNS, DestinationArguments(IfExists("error")))
+    own = type(spark)(spark.sparkContext, spark._jsparkSession.cloneSession())
+    own.conf.set("spark.sql.files.maxPartitionBytes", max(1, sum(n for _, n in Files(spark, at.path).listed()) // 32))
+    own.conf.set("spark.sql.files.openCostInBytes", 0)
+    return at.read(own, TURNS, SourceArguments()).drop("__stream")
+
+
 def jsonl_roundtrip(spark, d):
     return _written(spark, read(spark, d, "events"), EVENTS, "jsonl").withColumn("ts", encode.timestamp(F.col("ts")))
 
@@ -509,7 +521,7 @@ def driver_arguments(spark, d):
 _DONE = (
     copy_orders, where_filter, count_where, count_all_tables, encode_timestamp, encode_timestamp_utc, encode_bool, decode_bool_tokens, decode_scalars, decode_timestamp_offsets, decode_uuid, encode_int_array,
     struct_encode, struct_roundtrip, json_field, json_lines_encode, json_lines_decode, upsert_orders, upsert_composite_key, upsert_all_keys, append_rows, concat_streams, align_columns, rename_header,
-    null_empty_semantics, one_of_validate, geo_points, storage_hive_timestamp, storage_iceberg_rows, csv_roundtrip, csv_roundtrip_text, jsonl_roundtrip, rechunk_sizes, stream_names, inline_relation,
+    null_empty_semantics, one_of_validate, geo_points, storage_hive_timestamp, storage_iceberg_rows, csv_roundtrip, csv_roundtrip_text, csv_in_ranges, jsonl_roundtrip, rechunk_sizes, stream_names, inline_relation,
     schema_of_tables, schema_conversion, csv_header_schema, if_exists_error, if_exists_append, if_exists_overwrite, if_exists_upsert, single_file, copied_folder, arriving_files, align_types, json_lines_not_null,
     nested_encode, nested_decode, json_kinds, storage_types, storage_tables, storage_times, rechunk_chunks, rechunk_long_rows, literals_of_rows, driver_arguments,
 )
@@ -562,6 +574,7 @@ SQL = {
     "storage_iceberg_rows": "select p_partkey, p_size as stored_size, p_size as size, p_name as name from part",
     "csv_roundtrip": f"select event_id, {_STAMP.format('ts')} as ts, user_id, event_type, value, props from events",
     "csv_roundtrip_text": "select conv_id, turn, role, text from conversations",
+    "csv_in_ranges": "select conv_id, turn, role, text from conversations",
     "jsonl_roundtrip": f"select event_id, {_STAMP.format('ts')} as ts, user_id, event_type, value, replace(props, ' ', '') as props from events",
     "rechunk_sizes": f"select count(*) as n_rows, cast(sum(strlen(o_orderkey) + strlen(o_custkey) + strlen(o_orderstatus) + strlen(o_orderdate) + strlen(o_orderpriority) + 5) as bigint) as n_bytes, 0 as too_large from (select {_ORDER_CELLS} from orders)",
     "stream_names": "select 'nation' as stream, count(*) as n from nation",

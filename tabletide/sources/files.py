@@ -16,6 +16,7 @@ from ..functions import decode, encode
 from ..operators import shape
 from ..operators.rows import check_header, decoded, encoded
 from ..schema import TEXT, Column, Schema, Table
+from . import ranges
 from .arguments import IfExists
 from .storage import Files
 
@@ -54,20 +55,27 @@ def text_schema(names: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def read_cells(spark: SparkSession, path: str, schema: Schema, kind: str, one_line: bool = False, pattern: str | None = None) -> DataFrame:
+def read_cells(spark: SparkSession, path: str, schema: Schema, kind: str, one_line: bool = False, pattern: str | None = None, ranged: bool = False) -> DataFrame:
     """Interchange cells, all text, of the files at a path, with __stream.
 
-    CSV headers have to be the schema's names in order, in each file.  With `one_line` no cell holds a line break, and files are split.
+    CSV headers have to be the schema's names in order, in each file.  With `one_line` no cell holds a line break, and files are split as
+    they are; otherwise files larger than a task's share are read in ranges, see ranges, and smaller ones each by one task, unless
+    `ranged` asks for ranges: Spark's reader of whole files takes line ends of two bytes for ones of one byte, in cells too.
     """
-    is_folder = Files(spark, path).is_folder()
+    there = Files(spark, path)
+    is_folder = there.is_folder()
     reader = spark.read.option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if kind == "csv":
         names = [c.name for c in schema.table.columns]
+        options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        share = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+        if not one_line and (ranged or any(n > share for p, n in there.listed() if pattern is None or fnmatch(p.rsplit("/", 1)[-1], pattern))):
+            df = ranges.cells(spark, path, names, pattern, {k: str(v).lower() for k, v in options.items()})
+            return shape.with_stream(df, path, is_folder, file="__path").drop("__path")
         # enforceSchema off: each file's own reader compares its header with the names, so there is no pass for that
-        reader = reader.options(quote='"', escape='"', multiLine=not one_line, mode="FAILFAST", header=True, enforceSchema=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        df = reader.schema(text_schema(names)).csv(path)
+        df = reader.options(**options, multiLine=not one_line, mode="FAILFAST", header=True, enforceSchema=False).schema(text_schema(names)).csv(path)
         return shape.with_stream(df, path, is_folder)
     lines = reader.text(path).withColumnRenamed("value", "__line")
     lines = shape.with_stream(lines, path, is_folder).where(F.length(F.trim("__line")) > 0)
@@ -76,6 +84,12 @@ def read_cells(spark: SparkSession, path: str, schema: Schema, kind: str, one_li
 
 def header(spark: SparkSession, path: str, pattern: str | None = None) -> list[str] | None:
     """The header of the first CSV file at a path that isn't empty: its first record, as text."""
+    found = _top(spark, path, pattern)
+    return found and found[0]
+
+
+def _top(spark: SparkSession, path: str, pattern: str | None) -> tuple[list[str], bool] | None:
+    """A header, and whether its line ends in two bytes."""
     import csv
     import io
 
@@ -88,7 +102,7 @@ def header(spark: SparkSession, path: str, pattern: str | None = None) -> list[s
         found = io.StringIO("\n".join(top))
         names = next(csv.reader(found))
         if len(top) < n or found.tell() < len(found.getvalue()) - 1:  # the record ends before what was read does
-            return names
+            return names, top[0].endswith("\r")
         n *= 4
 
 
@@ -110,9 +124,10 @@ def scan(spark: SparkSession, path: str, schema: Schema, kind: str | None = None
     if not files.exists():
         raise TideError(f"{path} does not exist")
     kind = format_of(common_extension(p for p, _ in files.listed() if pattern is None or fnmatch(p.rsplit("/", 1)[-1], pattern)), kind)
-    if kind == "csv" and (found := header(spark, path, pattern)) is not None:
-        check_header(found, schema)  # the other files' headers are compared as they are read
-    cells = read_cells(spark, path, schema, kind, one_line, pattern)
+    found = _top(spark, path, pattern) if kind == "csv" else None
+    if found:
+        check_header(found[0], schema)  # the other files' headers are compared as they are read
+    cells = read_cells(spark, path, schema, kind, one_line, pattern, ranged=bool(found) and found[1])
     typed = decoded(cells, schema)
     fields = [decode.column(schema, c, F.col(f"`{c.name.replace('`', '``')}`")).cast(f.dataType).alias(c.name, metadata=f.metadata) for c, f in zip(schema.table.columns, typed.schema.fields)]
     return cells.select(*fields, "__stream")
