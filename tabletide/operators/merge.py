@@ -29,6 +29,18 @@ def check_keys(columns: Sequence[str], keys: Sequence[str]) -> None:
         raise TideError(f"an upsert key is named twice in {', '.join(keys)}")
 
 
+def checked(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`source`, with an error when it is computed if a key is null, or if two rows have it."""
+    columns = [named(k) for k in keys]
+    spot = F.concat_ws(", ", *[F.concat(F.lit(f"{k} = "), F.coalesce(named(k).cast("string"), F.lit("null"))) for k in keys])
+    whole = F.lit(True)
+    for c in columns:
+        whole = whole & c.isNotNull()
+    once = F.count("*").over(Window.partitionBy(*columns)) == 1
+    found = source.withColumn("__once", once)
+    return found.where(F.assert_true(whole, F.concat(F.lit("an upsert key is null: "), spot)).isNull() & F.assert_true(F.col("__once"), F.concat(F.lit("several rows to upsert have the key "), spot)).isNull()).drop("__once")
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows of `source`, and those of `target` whose keys it doesn't have; columns are the target's, by name.
 
@@ -36,13 +48,5 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     the anti join need the same partitioning, so the source is shuffled once for both; Spark broadcasts it by itself if it is small.
     """
     check_keys(target.columns, keys)
-    source = project(source, target.columns)
-    columns = [named(k) for k in keys]
-    spot = F.concat_ws(", ", *[F.concat(F.lit(f"{k} = "), F.coalesce(named(k).cast("string"), F.lit("null"))) for k in keys])
-    whole = F.lit(True)
-    for c in columns:
-        whole = whole & c.isNotNull()
-    once = F.count("*").over(Window.partitionBy(*columns)) == 1
-    checked = source.withColumn("__once", once)
-    checked = checked.where(F.assert_true(whole, F.concat(F.lit("an upsert key is null: "), spot)).isNull() & F.assert_true(F.col("__once"), F.concat(F.lit("several rows to upsert have the key "), spot)).isNull()).drop("__once")
-    return target.join(checked.select(*columns), list(keys), "left_anti").select(*map(named, target.columns)).unionByName(checked)
+    found = checked(project(source, target.columns), keys)
+    return target.join(found.select(*map(named, keys)), list(keys), "left_anti").select(*map(named, target.columns)).unionByName(found)

@@ -20,7 +20,7 @@ from .functions.geo import is_geometry
 from .operators import merge, rows, shape
 from .plans import storage
 from .plans.copy import prepare
-from .session import shared_folder
+from .session import checkpointed, shared_folder
 from .schema import Array, Column, GeoJson, OneOf, Schema, Struct, StructField, Table
 from .sources import arguments, files, locators
 from .sources.arguments import DestinationArguments, IfExists, SourceArguments
@@ -170,6 +170,21 @@ def upsert_orders(spark, d):
     return merge.upsert(there, changed.withColumn("o_orderstatus", F.lit("X")).union(new), ["o_orderkey"])
 
 
+def upsert_by_file(spark, d):
+    """Orders in files by ranges of keys; some of one range changed, and as many new ones.  Whether files were left alone, and all rows."""
+    name, there = f"orders_{uuid.uuid4().hex[:8]}", read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    there.repartitionByRange(8, "o_orderkey").write.saveAsTable(name)
+    try:
+        before = {*spark.table(name).inputFiles()}
+        changed = there.where(F.col("o_orderkey") % 2 == 0).where(F.col("o_orderkey") <= there.agg(F.max("o_orderkey")).first()[0] // 20).withColumn("o_orderstatus", F.lit("X"))
+        new = changed.select((-F.col("o_orderkey") - 1).alias("o_orderkey"), "o_custkey", F.lit("N").alias("o_orderstatus"))
+        locators.parse(f"table:{name}").write(changed.union(new), S.from_spark(name, there.schema), DestinationArguments(IfExists("upsert", ("o_orderkey",))))
+        alone = len(before & {*spark.table(name).inputFiles()})
+        return checkpointed(spark.table(name).withColumn("some_alone", F.lit(0 < alone < len(before))))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def upsert_composite_key(spark, d):
     there = read(spark, d, "conversations").select("conv_id", "turn", "role", F.length("text").alias("n"))
     changed = there.where("turn = 1").withColumn("n", F.lit(-1)).union(there.where("turn = 0").withColumn("turn", F.lit(1000).cast("long")))
@@ -520,7 +535,7 @@ def driver_arguments(spark, d):
 
 _DONE = (
     copy_orders, where_filter, count_where, count_all_tables, encode_timestamp, encode_timestamp_utc, encode_bool, decode_bool_tokens, decode_scalars, decode_timestamp_offsets, decode_uuid, encode_int_array,
-    struct_encode, struct_roundtrip, json_field, json_lines_encode, json_lines_decode, upsert_orders, upsert_composite_key, upsert_all_keys, append_rows, concat_streams, align_columns, rename_header,
+    struct_encode, struct_roundtrip, json_field, json_lines_encode, json_lines_decode, upsert_orders, upsert_by_file, upsert_composite_key, upsert_all_keys, append_rows, concat_streams, align_columns, rename_header,
     null_empty_semantics, one_of_validate, geo_points, storage_hive_timestamp, storage_iceberg_rows, csv_roundtrip, csv_roundtrip_text, csv_in_ranges, jsonl_roundtrip, rechunk_sizes, stream_names, inline_relation,
     schema_of_tables, schema_conversion, csv_header_schema, if_exists_error, if_exists_append, if_exists_overwrite, if_exists_upsert, single_file, copied_folder, arriving_files, align_types, json_lines_not_null,
     nested_encode, nested_decode, json_kinds, storage_types, storage_tables, storage_times, rechunk_chunks, rechunk_long_rows, literals_of_rows, driver_arguments,
@@ -561,6 +576,8 @@ SQL = {
         from (select *, cast(n_nationkey as bigint) * 1125899906842624 as b from nation)""",
     "json_lines_decode": "select event_id as id, event_type as kind, cast(null as date) as missing, true as ok from events",
     "upsert_orders": "select o_orderkey, o_custkey, case when o_orderkey % 5 = 0 then 'X' else o_orderstatus end as o_orderstatus from orders union all select -o_orderkey - 1, o_custkey, 'N' from orders where o_orderkey % 5 = 0",
+    "upsert_by_file": """with c as (select *, o_orderkey % 2 = 0 and o_orderkey <= (select max(o_orderkey) // 20 from orders) as chosen from orders)
+        select o_orderkey, o_custkey, case when chosen then 'X' else o_orderstatus end as o_orderstatus, true as some_alone from c union all select -o_orderkey - 1, o_custkey, 'N', true from c where chosen""",
     "upsert_composite_key": "select conv_id, turn, role, case when turn = 1 then -1 else cast(length(text) as integer) end as n from conversations union all select conv_id, 1000, role, cast(length(text) as integer) from conversations where turn = 0",
     "upsert_all_keys": "select n_nationkey, n_regionkey from nation union all select 99, 9",
     "append_rows": "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier union all select s_suppkey + 1000000, s_name, s_nationkey, s_acctbal from supplier",

@@ -16,7 +16,7 @@ from ..dialects import bigquery, postgres, redshift, trino, typescript
 from ..errors import TideError
 from ..operators import merge, rows
 from ..schema import Schema
-from . import files
+from . import files, rewrite
 from ..session import shared_folder
 from .arguments import DestinationArguments, Features, IfExists, SourceArguments
 from .storage import Files
@@ -327,14 +327,18 @@ class TableLocator(Locator):
         return [self.text]
 
     def _upsert(self, spark: SparkSession, data: DataFrame, keys: list[str]) -> None:
-        """Writes the merged rows as a new table, and gives it the old one's name once it is whole: a plan cannot overwrite what it reads.
+        """Rewrites the files that hold a key, where the table's files can be replaced one by one, see rewrite.
 
-        The whole table is written anew.  If the new table cannot get the name, the old one gets it back.
+        Of other tables the merged rows become a new table, which gets the old one's name once it is whole: a plan cannot overwrite
+        what it reads.  If it cannot get the name, the old one gets it back.
         """
         there = spark.table(self.body)
         for k in keys:
             if k not in there.columns:
                 raise TideError(f"the upsert key {k!r} is no column of {self}")
+        if (place := rewrite.place_of(spark, self.body)) is not None:
+            rewrite.upsert(place, data, keys)
+            return
         tag = uuid.uuid4().hex[:10]
         merge.upsert(there, data, keys).write.saveAsTable(f"{self.body}_{tag}")
         spark.sql(f"ALTER TABLE {self.body} RENAME TO {self.body}_{tag}_old")

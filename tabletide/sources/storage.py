@@ -41,6 +41,15 @@ class Files:
                 continue
             yield status.getPath().toString(), status.getLen()
 
+    def qualified(self) -> str:
+        """The path as listed() gives paths below it."""
+        return self._fs.makeQualified(self._place).toString()
+
+    def folders(self, prefix: str) -> list[str]:
+        """The folders here whose names begin so, hidden ones too."""
+        found = self._fs.listStatus(self._place) if self.exists() else []
+        return [s.getPath().toString() for s in found if s.isDirectory() and s.getPath().getName().startswith(prefix)]
+
     def delete(self) -> None:
         self._fs.delete(self._place, True)
 
