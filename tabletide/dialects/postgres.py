@@ -157,8 +157,8 @@ def render(schema: Schema, table: str | None = None) -> str:
     return "".join(out) + ",\n".join(columns) + "\n);\n"
 
 
-def export_select(schema: Schema, table: str, where: str | None = None) -> str:
-    """The SELECT that reads a table in interchange form, for a server to run."""
+def export_select(schema: Schema, table: str, where: str | None = None, *more: str) -> str:
+    """The SELECT that reads a table in interchange form, and `more` expressions, for a server to run."""
     if not schema.table.columns:
         raise TideError("cannot read a table without columns")
 
@@ -184,7 +184,7 @@ def export_select(schema: Schema, table: str, where: str | None = None) -> str:
         return x
 
     selected = [e if (e := expression(c)) == quote(c.name) else f"{e} AS {quote(c.name)}" for c in schema.table.columns]
-    return f"SELECT {', '.join(selected)} FROM {quote_table(table)}" + (f" WHERE ({where})" if where else "")
+    return f"SELECT {', '.join([*selected, *more])} FROM {quote_table(table)}" + (f" WHERE ({where})" if where else "")
 
 
 def count_select(table: str, where: str | None = None) -> str:

@@ -36,9 +36,7 @@ def stage(spark: SparkSession, temporary: Iterable[str]) -> None:
         scheme = place.split(":", 1)[0]
         if scheme == "gs":
             spark.conf.set("temporaryGcsBucket", place[len("gs://") :].split("/", 1)[0])
-        elif scheme == "s3":
-            spark.conf.set("tempdir", "s3a" + place[len("s3") :])
-        else:
+        elif scheme != "s3":  # see staged
             raise TideError(f"{place} is no place in an object store")
 
 
@@ -50,8 +48,8 @@ def copy(
 
     `metrics`, if given, gets the number of rows and of outputs, by schemes, and of bytes in files; rows are counted as they go by.
 
-    Two servers that can do it between them copy without Spark: see remote.  `temporary` names folders where connectors stage data, such
-    as s3://bucket/tmp/ for Redshift and gs://bucket/tmp/ for BigQuery.
+    Two servers that can do it between them copy without Spark: see remote.  `temporary` names folders for data on its way: with
+    s3://bucket/tmp/ Redshift and Trino load and unload files there, see staged, and gs://bucket/tmp/ is for BigQuery's connector.
     """
     prepare(spark)
     a, b = locators.parse(source, unstable), locators.parse(destination, unstable)
@@ -64,13 +62,20 @@ def copy(
     a.features.check_source(a.scheme, read)
     b.features.check_destination(b.scheme, write)
     table = _schema(spark, a, schema, read, unstable)
+    from . import staged
     from .remote import transfer
 
+    temporary = list(temporary)
     if (written := transfer(spark, a, b, table, read, write)) is not None:
         if metrics is not None:
             metrics |= {"from": a.scheme, "to": b.scheme, "streams": len(written)}
         return written
     stage(spark, temporary)
+    if (by := staged.plan(a, b, table, read, write, temporary)) is not None:
+        written = staged.run(spark, by, a, b, table, read, write, stream_size, max_streams)
+        if metrics is not None:
+            metrics |= {"from": a.scheme, "to": b.scheme, "streams": len(written)}
+        return written
     df = a.read(spark, table, read)
     if max_streams:
         df = bounded(df, max_streams)

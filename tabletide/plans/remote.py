@@ -82,20 +82,35 @@ def key_loader(schema: Schema, profile: str) -> Callable[[str, str], str]:
 
 
 def transfer(spark: SparkSession, source: Locator, target: Locator, schema: Schema, a: SourceArguments, b: DestinationArguments) -> list[str] | None:
-    """The locators that were written, or None if these two cannot do it between them."""
+    """The locators that were written, or None if these two cannot do it between them.
+
+    A folder that is overwritten gets what is new in a folder of its own below it, and what was there goes once that is whole; if the
+    server fails, the new folder goes.
+    """
     tag = uuid.uuid4().hex[:10]
-    match source, target:
+    place = target
+    if isinstance(target, S3Locator) and b.if_exists.mode == "overwrite":
+        place = S3Locator(f"{_url(target)}{tag}/")
+    match source, place:
         case RedshiftLocator(), S3Locator():
-            server, statements = source, redshift_to_s3(schema, source.table_name(), target, a)
+            server, statements = source, redshift_to_s3(schema, source.table_name(), place, a)
         case TrinoLocator(), S3Locator():
-            server, statements = source, trino_to_s3(schema, source.table_name(), target, a, source.profile(a.arguments), tag)
+            server, statements = source, trino_to_s3(schema, source.table_name(), place, a, source.profile(a.arguments), tag)
         case S3Locator(), RedshiftLocator() if not a.where and a.format in (None, "csv"):
             server, statements = target, s3_to_redshift(schema, source, target.table_name(), b, tag)
         case S3Locator(), TrinoLocator() if not a.where and a.format in (None, "csv"):
             server, statements = target, s3_to_trino(schema, source, target.table_name(), b.if_exists, target.profile(b.arguments), tag)
         case _:
             return None
-    if isinstance(target, S3Locator) and b.if_exists.mode == "overwrite":
-        Files(spark, target.path).delete()
-    server.execute(spark, statements)
+    if place is target:
+        server.execute(spark, statements)
+        return [target.text]
+    old = [p for p, _ in Files(spark, target.path).listed()] if Files(spark, target.path).exists() else []
+    try:
+        server.execute(spark, statements)
+    except BaseException:
+        Files(spark, place.path).delete()
+        raise
+    for file in old:
+        Files(spark, file).delete()
     return [target.text]

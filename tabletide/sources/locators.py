@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from typing import ClassVar
 from urllib.parse import quote, unquote, urlsplit
 
@@ -414,11 +414,15 @@ class Database(Locator):
     def schema(self, spark, a):
         return postgres.from_catalog(self.table_name(), self._catalog(spark, postgres.catalog_query(self.table_name())))
 
-    def select(self, schema: Schema, where: str | None) -> str:
-        return postgres.export_select(schema, self.table_name(), where)
+    def select(self, schema: Schema, a: SourceArguments, *more: str) -> str:
+        return postgres.export_select(schema, self.table_name(), a.where, *more)
 
     def read_options(self, schema: Schema, a: SourceArguments) -> dict[str, str]:
-        return self.options() | {"query": self.select(schema, a.where), "fetchsize": "10000"}
+        return self.options() | {"query": self.select(schema, a), "fetchsize": "10000"}
+
+    def part_key(self, a: SourceArguments) -> str:
+        """What the conditions of partitions() are on."""
+        return postgres.quote(a.arguments["partition"]["column"])
 
     def partitions(self, spark: SparkSession, a: SourceArguments) -> list[str]:
         """Conditions that cut the table in parts, for a task each.
@@ -438,19 +442,20 @@ class Database(Locator):
         return [f"{name} < {cuts[0]} OR {name} IS NULL", *inner, f"{name} >= {cuts[-1]}"]
 
     def read(self, spark, schema, a):
-        parts = self.partitions(spark, a)
-        if len(parts) > 1:
-            out = None
-            for part in parts:
-                both = replace(a, where=f"({a.where}) AND ({part})" if a.where else part, arguments={k: v for k, v in a.arguments.items() if k != "partition"})
-                one = spark.read.format("jdbc").options(**self.read_options(schema, both)).load()
-                out = one if out is None else out.union(one)
-            cells = out
-        else:
-            cells = spark.read.format("jdbc").options(**self.read_options(schema, a)).load()
+        cells = self.cells(spark, schema, a, self.partitions(spark, a))
         texts = rows.rename_header(cells, [c.name for c in schema.table.columns])
         return rows.decoded(texts.select([rows.named(c).cast("string").alias(c) for c in texts.columns]), schema)
 
+    def cells(self, spark: SparkSession, schema: Schema, a: SourceArguments, parts: list[str]) -> DataFrame:
+        """One relation, read by a task for each of the parts; each sees the table at its own time, if that changes meanwhile."""
+        options = self.read_options(schema, a)
+        if len(parts) < 2:
+            return spark.read.format("jdbc").options(**options).load()
+        key, name = self.part_key(a), postgres.quote("tide_part")
+        inner = self.select(schema, a, f"{key} AS {name}")
+        properties = {k: v for k, v in options.items() if k not in ("url", "query")}
+        return spark.read.jdbc(options["url"], f"({inner}) AS parts", predicates=[p.replace(key, name) for p in parts], properties=properties).drop("tide_part")
+
     def count_statement(self, a: SourceArguments) -> str:
         return postgres.count_select(self.table_name(), a.where)
 
@@ -474,14 +479,21 @@ class Database(Locator):
         self.execute(df.sparkSession, [*self.upsert(schema, staged, list(a.if_exists.keys)), f"DROP TABLE IF EXISTS {staged}"])
         return [self.text]
 
-    def execute(self, spark: SparkSession, statements: list[str]) -> None:
-        """Runs statements in one transaction."""
+    def connect(self, spark: SparkSession):
         options, manager = self.options(), spark._jvm.java.sql.DriverManager
-        connection = manager.getConnection(options["url"], options.get("user"), options.get("password"))
+        return manager.getConnection(options["url"], options.get("user"), options.get("password"))
+
+    def execute(self, spark: SparkSession, statements: list[str]) -> None:
+        """Runs statements in one transaction; none has an effect if one fails."""
+        connection = self.connect(spark)
         try:
             connection.setAutoCommit(False)
-            for s in statements:
-                connection.createStatement().execute(s)
+            try:
+                for s in statements:
+                    connection.createStatement().execute(s)
+            except BaseException:
+                connection.rollback()
+                raise
             connection.commit()
         finally:
             connection.close()
@@ -507,6 +519,9 @@ class PostgresLocator(Database):
             return super().partitions(spark, a)
         return self.page_ranges(self.pages(spark))
 
+    def part_key(self, a):
+        return super().part_key(a) if a.arguments.get("partition") else "ctid"
+
     @classmethod
     def page_ranges(cls, pages: int) -> list[str]:
         step = max(cls.PAGES, -(-pages // cls.PARTS))
@@ -536,19 +551,34 @@ class TrinoLocator(Database):
     def schema(self, spark, a):
         return trino.from_catalog(self.table_name(), self._catalog(spark, trino.catalog_query(self.table_name())))
 
+    def execute(self, spark, statements):
+        """Runs statements one by one, as its connectors write in no transaction; if one fails, tables that later ones would drop are dropped."""
+        connection, done = self.connect(spark), 0
+        try:
+            for s in statements:
+                connection.createStatement().execute(s)
+                done += 1
+        except BaseException:
+            for s in statements[done + 1 :]:
+                if s.startswith("DROP TABLE "):
+                    try:
+                        connection.createStatement().execute(s.replace("DROP TABLE ", "DROP TABLE IF EXISTS ", 1))
+                    except Exception:  # what failed first is told
+                        pass
+            raise
+        finally:
+            connection.close()
+
     def profile(self, arguments: dict) -> str:
         """How the catalog stores tables: hive, unless an argument connector=... says another."""
         return arguments.get("connector", "hive")
 
-    def select(self, schema, where, profile="hive"):
+    def select(self, schema, a, *more):
         from ..plans.storage import loaded_sql
 
         columns = [(trino.quote(trino.identifier(c.name)), trino.from_portable(schema, c.data_type)) for c in schema.table.columns]
-        cells = [x if (e := trino.export_expression(t, loaded_sql(profile, t, x))) == x else f"{e} AS {x}" for x, t in columns]
-        return f"SELECT {', '.join(cells)} FROM {trino.quote_table(self.table_name())}" + (f" WHERE ({where})" if where else "")
-
-    def read_options(self, schema, a):
-        return super().read_options(schema, a) | {"query": self.select(schema, a.where, self.profile(a.arguments))}
+        cells = [x if (e := trino.export_expression(t, loaded_sql(self.profile(a.arguments), t, x))) == x else f"{e} AS {x}" for x, t in columns]
+        return f"SELECT {', '.join([*cells, *more])} FROM {trino.quote_table(self.table_name())}" + (f" WHERE ({a.where})" if a.where else "")
 
     def write(self, df, schema, a, stream_size=None):
         """Creates the table as its storage can have it, and appends stored values; an upsert merges a table of the new rows."""
@@ -569,7 +599,12 @@ class TrinoLocator(Database):
         self.execute(df.sparkSession, first)
         data = rows.not_null(schema, df.drop("__stream"))
         data = data.select([storage.store(profile, trino.from_portable(schema, c.data_type), rows.named(c.name)).alias(trino.identifier(c.name)) for c in schema.table.columns])
-        data.write.format("jdbc").options(**self.write_options(a) | {"dbtable": staged}).mode("append").save()
+        try:
+            data.write.format("jdbc").options(**self.write_options(a) | {"dbtable": staged}).mode("append").save()
+        except BaseException:
+            if last:
+                self.execute(df.sparkSession, last[-1:])
+            raise
         if last:
             self.execute(df.sparkSession, last)
         return [self.text]
@@ -580,7 +615,7 @@ class TrinoLocator(Database):
     def write_schema(self, spark, schema, if_exists):
         from ..plans.storage import storage_table
 
-        first, table = storage_table("hive", trino.create_table(schema, self.table_name(), or_replace=if_exists.mode == "overwrite"))
+        first, table = storage_table(self.profile({}), trino.create_table(schema, self.table_name(), or_replace=if_exists.mode == "overwrite"))
         self.execute(spark, [*first, str(table)])
 
 

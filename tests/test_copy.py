@@ -222,7 +222,7 @@ def test_database_options():
     options = at.read_options(schema, arguments.SourceArguments(where="a > 1"))
     assert options["url"] == "jdbc:postgresql://host:99/db" and options["user"] == "me" and options["password"] == "p w" and options["query"] == 'SELECT "a" FROM "s"."t" WHERE (a > 1)'
     assert at.count_statement(arguments.SourceArguments()) == 'SELECT COUNT(*) AS "count" FROM "s"."t"'
-    assert locators.parse("trino://h:8080/c/s#t").select(schema, None) == 'SELECT CAST("a" AS VARCHAR) AS "a" FROM "t"'
+    assert locators.parse("trino://h:8080/c/s#t").select(schema, arguments.SourceArguments()) == 'SELECT CAST("a" AS VARCHAR) AS "a" FROM "t"'
     assert locators.parse("bigquery:p:d.t").options(arguments.SourceArguments(where="x")) == {"table": "p:d.t", "filter": "x"}
     assert locators.parse("s3://b/dir/").path == "s3a://b/dir/" and locators.parse("gs://b/x.csv").path == "gs://b/x.csv"
 
