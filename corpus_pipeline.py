@@ -1,4 +1,10 @@
-"""A corpus pipeline: documents in a known language, exact and near copies removed, benchmark passages kept out, packed."""
+"""A corpus pipeline: documents in a known language, exact and near copies removed, benchmark passages kept out, packed.
+
+Each stage but the last returns the columns of its documents, with further ones whatever they are called, as they came.  A null text
+counts as empty: language_id rejects it, the stages on copies take it for a text without words, and packing gives it no tokens.  Texts of
+any length are read whole.  Equal ids and repeated rows are told in the stages' own docstrings; of an empty table each stage makes an
+empty one.
+"""
 
 from __future__ import annotations
 
@@ -21,10 +27,21 @@ def _id() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1) - F.pmod(F.xxhash64("text"), F.lit(1 << 48)))
 
 
+def _free(docs: DataFrame, *wanted: str) -> list[str]:
+    """Names like these that no column of `docs` has, whatever the case."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def _chosen(docs: DataFrame, digest: Column, kept: DataFrame) -> DataFrame:
     """The rows of `docs` whose id and digest are those of a row of `kept`, one for each."""
-    keys = ["__id", "__digest"]
-    found = docs.withColumn("__id", _id()).withColumn("__digest", digest).join(kept.toDF(*keys), keys, "left_semi")
+    keys = _free(docs, "chosen_id", "chosen_digest")
+    found = docs.withColumns(dict(zip(keys, (_id(), digest)))).join(kept.toDF(*keys), keys, "left_semi")
     return found.dropDuplicates(keys).select(*docs.columns)
 
 
@@ -42,7 +59,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of an id with several texts, each text counts as a document.  Null ids come after others; of a text that has null ids only, one
     row is kept.
     """
-    found = exact.exact_duplicates(docs.withColumn("__id", _id()), id_col="__id")
+    [own] = _free(docs, "own_id")
+    found = exact.exact_duplicates(docs.withColumn(own, _id()), id_col=own)
     return _chosen(docs, exact.digest(F.col("text")), found.where("kept").select("doc_id", "text_sha256"))
 
 
@@ -52,7 +70,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of an id with several texts, each text counts as a document; one that links connect with another of them isn't kept beside it.
     Null ids come after others; of documents with null ids only that links connect, one is kept.
     """
-    found = jaccard.one_of_each(docs.withColumn("__id", _id()), words=5, num=4, den=5, id_col="__id")
+    [own] = _free(docs, "own_id")
+    found = jaccard.one_of_each(docs.withColumn(own, _id()), words=5, num=4, den=5, id_col=own)
     return _chosen(docs, jaccard.digest(F.col("text")), found)
 
 
