@@ -79,3 +79,24 @@ def test_null_and_repeated_ids(spark, small):
     assert [x for x, _ in kept("near_dedup", [(None, near), (None, long)])] == [None]
     assert len(kept("near_dedup", [(5, near), (5, long), (5, b), (6, b), (5, "Y"), (5, "y")])) == 3
     assert kept("near_dedup", [(5, ""), (5, " "), (5, " ")]) == [(5, " "), (5, "")]
+
+
+def test_clashing_names_empty_tables_and_long_texts(spark, small):
+    """Columns are what they were, whatever their names; an empty table stays one; long texts are read whole."""
+    names = ["__id", "__digest", "own_id", "Chosen_ID", "chosen_digest", "node", "sha", "key", "part"]
+    words = " ".join(f"word{i}" for i in range(60_000))
+    ddl = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    rows = [(i, x, "en", "s", None, *(f"{n} of {i}" for n in names)) for i, x in enumerate([words, words, words + " more", "The cat sat on the mat and it was a good cat .", words.replace("word59999", "end")])]
+    docs = spark.createDataFrame(rows, ddl)
+    want = {"exact_dedup": {0, 2, 3, 4}, "near_dedup": {0, 3}, "decontaminate": {0, 1, 2, 3, 4}}
+    for name, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, docs.limit(0), small)
+        assert empty.collect() == []
+        if name == "packing":
+            continue
+        assert empty.columns == docs.columns and empty.dtypes == docs.dtypes
+        if name in want:
+            out = stage(spark, docs, small)
+            assert out.dtypes == docs.dtypes
+            got = [tuple(r) for r in out.collect()]
+            assert sorted(got) == [r for r in rows if r[0] in want[name]]
