@@ -9,6 +9,9 @@ from decimal import Decimal
 from uuid import UUID
 
 from .. import schema as S
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from ..dialects.trino import Type
 from ..errors import TideError
 from ..schema import DataType, Schema
@@ -122,3 +125,58 @@ def _fraction(text: str, digits: int) -> str:
     """A time with so many digits after the point, cut, not rounded."""
     whole, _, rest = text.partition(".")
     return f"{whole}.{rest[:digits].ljust(digits, '0')}" if digits else whole
+
+
+# The same for columns: whole tables are written as literals by expressions, without the driver.
+
+
+def _bigquery_text_column(c: Column) -> Column:
+    point = lambda ch: F.concat(F.lit("\\U"), F.lpad(F.lower(F.hex(F.ascii(ch).cast("long"))), 8, "0"))
+    plain = lambda ch: (ch >= " ") & (ch <= "~") & (F.octet_length(ch) == 1)
+    each = F.transform(F.regexp_extract_all(c, F.lit("(?s)(.)"), 1), lambda ch: F.when(ch.isin('"', "\\"), F.concat(F.lit("\\"), ch)).when(plain(ch), ch).otherwise(point(ch)))
+    return F.concat(F.lit('"'), F.array_join(each, ""), F.lit('"'))
+
+
+def bigquery_column(t: DataType, c: Column) -> Column:
+    """BigQuery literals of a column of texts, whole numbers, booleans, dates or times, or of arrays of these."""
+    if isinstance(t, S.Array):
+        if isinstance(t.element, S.Array):
+            raise TideError(f"no literals of columns of {S.type_to_json(t)}")
+        found = F.concat(F.lit("ARRAY["), F.array_join(F.transform(c, lambda x: bigquery_column(t.element, x)), ","), F.lit("]"))
+    elif t in (S.TEXT, S.UUID, S.JSON):
+        found = _bigquery_text_column(c)
+    elif t in (S.INT16, S.INT32, S.INT64):
+        found = c.cast("string")
+    elif t == S.BOOL:
+        found = F.when(c, "TRUE").otherwise("FALSE")
+    elif t == S.DATE:
+        found = F.concat(F.lit('DATE "'), c.cast("string"), F.lit('"'))
+    elif t in (S.TIMESTAMP, S.TIMESTAMPTZ):
+        from .encode import timestamp, timestamp_utc
+
+        zoned = t == S.TIMESTAMPTZ
+        found = F.concat(F.lit("TIMESTAMP " if zoned else "DATETIME "), _bigquery_text_column((timestamp_utc if zoned else timestamp)(c)))
+    else:
+        raise TideError(f"no literals of columns of {S.type_to_json(t)}")
+    return F.when(c.isNull(), "NULL").otherwise(found)
+
+
+def trino_column(t: Type, c: Column, top: bool = True) -> Column:
+    """Trino literals of a column of texts, whole numbers, booleans, dates or uuids, or of arrays of these."""
+    quoted = lambda x: F.concat(F.lit("'"), F.replace(x.cast("string"), F.lit("'"), F.lit("''")), F.lit("'"))
+    match t.name:
+        case "array":
+            found = F.concat(F.lit("ARRAY["), F.array_join(F.transform(c, lambda x: trino_column(t.element, x, False)), ", "), F.lit("]"))  # type: ignore[arg-type]
+            if top:  # an empty one doesn't show its type
+                found = F.when(F.size(c) > 0, found).otherwise(F.lit(f"CAST(ARRAY[] AS {t})"))
+        case "boolean":
+            found = F.when(c, "TRUE").otherwise("FALSE")
+        case "int":
+            found = c.cast("string")
+        case "tinyint" | "smallint" | "bigint" | "date" | "uuid":
+            found = F.concat(F.lit(f"{t.name.upper()} "), quoted(c))
+        case "varchar":
+            found = quoted(c)
+        case _:
+            raise TideError(f"no literals of columns of {t}")
+    return F.when(c.isNull(), f"CAST(NULL AS {t})").otherwise(found)

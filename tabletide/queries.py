@@ -423,16 +423,20 @@ def arriving_files(spark, d):
 
 
 def align_types(spark, d):
-    """A text column takes what is written as text; other types have to be the same."""
-    have, want = table(Column("a", S.TEXT)), table(Column("a", S.TEXT))
-    cases = [(S.TEXT, t) for t in (S.TEXT, S.UUID, S.JSON, GeoJson(), OneOf(("x",)), S.INT64, S.BOOL)] + [(S.INT64, S.INT64), (S.INT64, S.INT32), (Array(S.TEXT), Array(S.UUID)), (Array(S.TEXT), Array(S.DATE))]
-    out = []
-    for i, (t, u) in enumerate(cases):
+    """A table's text column takes JSON as it is written; its number column takes no text."""
+    name, events = f"aligned_{uuid.uuid4().hex[:8]}", read(spark, d, "events").select("event_id", "event_type", "props")
+    at, refused = locators.parse(f"table:{name}"), 0
+    columns = lambda *types: table(*[Column(c, t) for c, t in zip(events.columns, types)])
+    try:
+        at.write(events.where("event_id % 2 = 0"), columns(S.INT64, S.TEXT, S.TEXT), DestinationArguments())
+        at.write(events.where("event_id % 2 = 1").select("props", "event_id", "event_type"), columns(S.INT64, OneOf(("click", "view")), S.JSON).select(["props", "event_id", "event_type"]), DestinationArguments(IfExists("append")))
         try:
-            out.append((i, json.dumps(S.type_to_json(rows.align_type(have, t, want, u, "a")))))
+            at.write(events.withColumn("event_id", F.col("event_id").cast("string")), columns(S.TEXT, S.TEXT, S.TEXT), DestinationArguments(IfExists("append")))
         except TideError:
-            out.append((i, None))
-    return spark.createDataFrame(out, "i int, taken string")
+            refused = 1
+        return checkpointed(spark.table(name).withColumn("refused", F.lit(refused)))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def json_lines_not_null(spark, d):
@@ -473,27 +477,33 @@ def json_kinds(spark, d):
     return read(spark, d, "events").select("event_id", decode.cell(ONE(t), t, text, "value").alias("value")).select("event_id", value["n"].alias("n"), value["s"].alias("s"), value["b"].alias("b"), value["xs"][0].alias("x0"), value["xs"][1].alias("x1"), value["xs"][2].isNull().alias("x2_null"))
 
 
-STORED = ("boolean", "smallint", "bigint", "varchar", "json", "uuid", "time(3)", "timestamp(6)", "timestamp(3) with time zone", "array(smallint)", 'row("a" json, "b" bigint)', "SphericalGeography")
+def _own_schemas(spark, d) -> list[tuple[str, Schema]]:
+    """The given tables' schemas, as Spark reads them."""
+    return [(t, S.from_spark(t, read(spark, d, t).schema)) for t in TABLES]
 
 
 def storage_types(spark, d):
-    """What each profile stores a type as, and the SQL that stores and loads it, around an expression x."""
+    """What each profile stores the types of all tables' columns as, alone, in arrays and in rows, and whether an expression changes."""
     found = []
-    for profile in storage.CAPABILITIES:
-        for name in STORED:
-            t = parse_type(name)
-            found.append((profile, name, str(storage.transform(profile, t).stored), storage.transform(profile, t).is_identity, storage.stored_sql(profile, t, "x") == "x"))
-    return spark.createDataFrame(found, "profile string, name string, stored string, same boolean, plain boolean")
+    for t, own in _own_schemas(spark, d):
+        for c in own.table.columns:
+            plain = trino.from_portable(own, c.data_type)
+            for kind, of in (("alone", plain), ("array", parse_type(f"array({plain})")), ("row", parse_type(f'row("a" {plain}, "b" varchar)'))):
+                for profile in storage.CAPABILITIES:
+                    found.append((t, c.name, kind, profile, str(storage.transform(profile, of).stored), storage.transform(profile, of).is_identity, storage.stored_sql(profile, of, "x") == "x"))
+    return spark.createDataFrame(found, "table_name string, column_name string, kind string, profile string, stored string, same boolean, plain boolean")
 
 
 def storage_tables(spark, d):
-    """CREATE TABLE as each profile can have it: NOT NULL, OR REPLACE, and what merging needs."""
+    """CREATE TABLE for all tables as each profile can have them: NOT NULL where a name ends in key or id, OR REPLACE, and what merging needs."""
     found = []
-    for profile, can in storage.CAPABILITIES.items():
-        plain = trino.create_table(table(Column("k", S.INT64, False), Column("j", S.JSON)), "t", or_replace=True)
-        first, made = storage.storage_table(profile, plain, merge=can["merge"])
-        found.append((profile, len(first), made.or_replace, [n for _, _, n, _ in made.columns], [str(t) for _, t, _, _ in made.columns], sorted(k for k, _ in made.options)))
-    return spark.createDataFrame(found, "profile string, drops int, or_replace boolean, nullable array<boolean>, types array<string>, options array<string>").select("profile", "drops", "or_replace", F.array_join(F.col("nullable").cast("array<string>"), ",").alias("nullable"), F.array_join("types", ",").alias("types"), F.array_join("options", ",").alias("options"))
+    for t, own in _own_schemas(spark, d):
+        own = Schema(Table(t, tuple(Column(c.name, c.data_type, not c.name.endswith(("key", "_id"))) for c in own.table.columns)))
+        for profile, can in storage.CAPABILITIES.items():
+            first, made = storage.storage_table(profile, trino.create_table(own, or_replace=True), merge=can["merge"])
+            for i, (name, kind, nullable, _) in enumerate(made.columns, 1):
+                found.append((t, profile, i, name, str(kind), nullable, len(first), made.or_replace, ",".join(sorted(k for k, _ in made.options))))
+    return spark.createDataFrame(found, "table_name string, profile string, position int, column_name string, type string, nullable boolean, drops int, or_replace boolean, options string")
 
 
 def storage_times(spark, d):
@@ -520,17 +530,22 @@ def rechunk_long_rows(spark, d):
 
 
 def literals_of_rows(spark, d):
-    """Values as BigQuery and Trino write them."""
-    found = read(spark, d, "region").collect()
-    texts = [(int(r.r_regionkey), literals.bigquery(ONE(S.TEXT), S.TEXT, r.r_name), literals.bigquery(ONE(S.INT64), S.INT64, int(r.r_regionkey)), literals.trino(parse_type("varchar"), r.r_name), literals.trino(parse_type("bigint"), int(r.r_regionkey))) for r in found]
-    return spark.createDataFrame(texts, "r_regionkey long, bq_text string, bq_number string, trino_text string, trino_number string")
+    """Values of all customers and turns as BigQuery and Trino write them."""
+    customers = read(spark, d, "customer").select(F.lit("customer").alias("source"), F.col("c_custkey").alias("id"), F.lit(0).cast("long").alias("part"), F.col("c_name").alias("text"), F.when(F.col("c_custkey") % 3 > 0, F.col("c_custkey")).alias("number"))
+    turns = read(spark, d, "conversations").select(F.lit("conversations"), F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("text"), F.length("text").cast("long"))
+    texts, numbers = F.col("text"), F.col("number")
+    return customers.union(turns).select(
+        "source", "id", "part", literals.bigquery_column(S.TEXT, texts).alias("bq_text"), literals.bigquery_column(S.INT64, numbers).alias("bq_number"), literals.bigquery_column(Array(S.INT64), F.array(numbers, F.lit(None), F.lit(-1))).alias("bq_array"),
+        literals.trino_column(parse_type("varchar"), texts).alias("trino_text"), literals.trino_column(parse_type("bigint"), numbers).alias("trino_number"), literals.trino_column(parse_type("array(bigint)"), F.array(numbers, F.lit(7))).alias("trino_array"),
+    )
 
 
 def driver_arguments(spark, d):
-    """Arguments as one object."""
-    found = arguments.parse(["a=1", "b.c=x", "b[d]=y=z", "e[]=p", "e[]=q", "f.g[]="])
-    flat = [("a", found["a"]), ("b.c", found["b"]["c"]), ("b.d", found["b"]["d"]), *((f"e.{i}", x) for i, x in enumerate(found["e"])), ("f.g.0", found["f"]["g"][0])]
-    return spark.createDataFrame(flat, "name string, value string")
+    """The columns of all tables as arguments of a driver: objects in objects, and lists."""
+    own = _own_schemas(spark, d)
+    given = [x for t, schema in own for c in schema.table.columns for x in (f"tables[{t}].{c.name}={json.dumps(S.type_to_json(c.data_type))}", f"names.{t}[]={c.name}")]
+    found = arguments.parse(given)
+    return spark.createDataFrame([(t, i, name, found["tables"][t][name]) for t, names in found["names"].items() for i, name in enumerate(names, 1)], "table_name string, position int, column_name string, portable string")
 
 
 _DONE = (
@@ -608,23 +623,29 @@ SQL = {
     "single_file": f"{_NATION} from nation where n_regionkey <> 3 and n_nationkey > 4",
     "copied_folder": "select case when n_regionkey % 2 = 1 then 'deep/' else '' end || 'r' || n_regionkey as stream, count(*) as n, nullif(sum(case when n_nationkey % 2 = 0 then 1 else 0 end), 0)::bigint as even from nation group by 1",
     "arriving_files": f"{_NATION} from nation",
-    "align_types": """select i::integer as i, taken from (values (0, '"text"'), (1, '"uuid"'), (2, '"json"'), (3, '{"geo_json": 4326}'), (4, '{"one_of": ["x"]}'), (5, null), (6, null), (7, '"int64"'), (8, null), (9, '{"array": "uuid"}'), (10, null)) t(i, taken)""",
+    "align_types": "select event_id, event_type, props, 1 as refused from events",
     "json_lines_not_null": "select c_custkey as k, c_name as name, case when c_custkey % 2 = 1 then 'odd' end as note from customer",
     "nested_encode": f"""select o_orderkey, '{{"price":"' || o_custkey || '.25","times":["' || {_STAMP.format('o_orderdate')} || '",null],"big":"' || o_orderkey || '","flags":[' || case when o_custkey % 2 = 0 then 'true' else 'false' end || '],"at":{{"type":"Point","coordinates":[' || o_custkey || ',0]}}}}' as cell from orders""",
     "nested_decode": f"select o_orderkey, o_custkey || '.25' as price, {_STAMP.format('o_orderdate')} as first, true as missing, o_orderkey as big, o_custkey % 2 = 0 as flag from orders",
     "json_kinds": "select event_id, event_id as n, cast(event_id as varchar) as s, event_id % 3 = 0 as b, 1.5::double as x0, 2::double as x1, true as x2_null from events",
-    "storage_types": """with t(name, trino, hive, iceberg) as (values ('boolean', 'BOOLEAN', null, null), ('smallint', 'SMALLINT', null, 'INT'), ('bigint', 'BIGINT', null, null), ('varchar', 'VARCHAR', null, null), ('json', 'JSON', 'VARCHAR', 'VARCHAR'), ('uuid', 'UUID', 'VARCHAR', null),
-        ('time(3)', 'TIME(3)', 'VARCHAR', 'TIME(6)'), ('timestamp(6)', 'TIMESTAMP(6)', 'TIMESTAMP(3)', null), ('timestamp(3) with time zone', 'TIMESTAMP(3) WITH TIME ZONE', 'TIMESTAMP(3)', 'TIMESTAMP(6) WITH TIME ZONE'), ('array(smallint)', 'ARRAY(SMALLINT)', null, 'ARRAY(INT)'),
-        ('row("a" json, "b" bigint)', 'ROW("a" JSON, "b" BIGINT)', 'ROW("a" VARCHAR, "b" BIGINT)', 'ROW("a" VARCHAR, "b" BIGINT)'), ('SphericalGeography', 'SphericalGeography', 'VARCHAR', 'VARCHAR')),
-        p as (select 'hive' as profile, name, coalesce(hive, trino) as stored, hive is null as same from t union all select 'iceberg', name, coalesce(iceberg, trino), iceberg is null from t union all select 'memory', name, trino, true from t)
-        select profile, name, stored, same, same as plain from p""",
-    "storage_tables": "select * from (values ('hive', 1::integer, false, 'true,true', 'BIGINT,VARCHAR', 'format,transactional'), ('iceberg', 0, true, 'false,true', 'BIGINT,VARCHAR', ''), ('memory', 1, false, 'true,true', 'BIGINT,JSON', '')) t(profile, drops, or_replace, nullable, types, options)",
+    "storage_types": f"""with c as (select c.table_name, c.column_name, t.trino from {_LISTED} c join (values {_TYPE_ROWS}) t(name, portable, postgres, bigquery, trino, from_bigquery, from_trino) on c.data_type = t.name),
+        k as (select *, 'alone' as kind, trino as of from c union all select *, 'array', 'ARRAY(' || trino || ')' from c union all select *, 'row', 'ROW("a" ' || trino || ', "b" VARCHAR)' from c)
+        select table_name, column_name, kind, profile, case when profile = 'iceberg' then replace(of, 'TIMESTAMP(3)', 'TIMESTAMP(6)') else of end as stored, profile <> 'iceberg' or not contains(of, 'TIMESTAMP(3)') as same,
+               profile <> 'iceberg' or not contains(of, 'TIMESTAMP(3)') as plain from k, (values ('hive'), ('iceberg'), ('memory')) p(profile)""",
+    "storage_tables": f"""select c.table_name, profile, cast(c.ordinal_position as integer) as position, c.column_name, case when profile = 'iceberg' then replace(t.trino, 'TIMESTAMP(3)', 'TIMESTAMP(6)') else t.trino end as type,
+        profile <> 'iceberg' or not regexp_matches(c.column_name, '(key|_id)$') as nullable, drops, or_replace, options
+        from {_LISTED} c join (values {_TYPE_ROWS}) t(name, portable, postgres, bigquery, trino, from_bigquery, from_trino) on c.data_type = t.name,
+        (values ('hive', 1::integer, false, 'format,transactional'), ('iceberg', 0, true, ''), ('memory', 1, false, '')) p(profile, drops, or_replace, options)""",
     "storage_times": f"select event_id, {_STAMP.format("date_trunc('milliseconds', ts)")} || 'Z' as hive, {_STAMP.format("time_bucket(interval '100 milliseconds', ts)")} as iceberg from events",
     "rechunk_chunks": f"""with recursive o as (select cast(o_orderkey as bigint) as k, strlen(o_orderkey) + strlen(o_custkey) + strlen(o_orderstatus) + strlen(o_orderdate) + strlen(o_orderpriority) + 5 as b from (select {_ORDER_CELLS} from orders)),
         s as materialized (select k, b, sum(b) over (order by k) as upto from o),
         c(chunk, begin) as (select 1, cast(0 as hugeint) union all select chunk + 1, min(upto) from c join s on upto > begin + 57344 - {sum(len(c.name) + 1 for c in ORDERS.table.columns)} group by chunk having min(upto) < (select max(upto) from s))
         select chunk, count(*) as n_rows, cast(sum(b) as bigint) as n_bytes, min(k) as first_key from s asof join c on s.upto > c.begin group by chunk""",
     "rechunk_long_rows": "select count(*) as n_rows, 1 as first, true as gapless from conversations where text is not null",
-    "literals_of_rows": """select cast(r_regionkey as bigint) as r_regionkey, '"' || r_name || '"' as bq_text, cast(r_regionkey as varchar) as bq_number, chr(39) || r_name || chr(39) as trino_text, 'BIGINT ' || chr(39) || r_regionkey || chr(39) as trino_number from region""",
-    "driver_arguments": "select * from (values ('a', '1'), ('b.c', 'x'), ('b.d', 'y=z'), ('e.0', 'p'), ('e.1', 'q'), ('f.g.0', '')) t(name, value)",
+    "literals_of_rows": r"""with v as (select 'customer' as source, c_custkey as id, 0 as part, c_name as text, case when c_custkey % 3 > 0 then c_custkey end as number from customer union all select 'conversations', conv_id, turn, text, length(text) from conversations),
+        b as (select *, '"' || array_to_string(list_transform(regexp_extract_all(text, '(?s).'), lambda c: case when c in ('"', '\') then '\' || c when c between ' ' and '~' and ascii(c) < 127 then c else '\U' || lpad(lower(to_hex(unicode(c))), 8, '0') end), '') || '"' as escaped from v)
+        select source, cast(id as bigint) as id, cast(part as bigint) as part, coalesce(escaped, 'NULL') as bq_text, coalesce(cast(number as varchar), 'NULL') as bq_number, 'ARRAY[' || coalesce(cast(number as varchar), 'NULL') || ',NULL,-1]' as bq_array,
+               coalesce('''' || replace(text, '''', '''''') || '''', 'CAST(NULL AS VARCHAR)') as trino_text, coalesce('BIGINT ''' || number || '''', 'CAST(NULL AS BIGINT)') as trino_number,
+               'ARRAY[' || coalesce('BIGINT ''' || number || '''', 'CAST(NULL AS BIGINT)') || ', BIGINT ''7'']' as trino_array from b""",
+    "driver_arguments": f"select c.table_name, cast(c.ordinal_position as integer) as position, c.column_name, t.portable from {_LISTED} c join (values {_TYPE_ROWS}) t(name, portable, postgres, bigquery, trino, from_bigquery, from_trino) on c.data_type = t.name",
 }
