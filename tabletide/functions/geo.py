@@ -1,4 +1,4 @@
-"""GeoJSON geometries as text: what is one, and points to and from well-known text."""
+"""GeoJSON geometries as text: what is one, and all kinds to and from well-known text, by expressions on the text of their coordinates."""
 
 from __future__ import annotations
 
@@ -30,15 +30,66 @@ def is_geometry(text: Column) -> Column:
     return F.coalesce(good | ((kind == "GeometryCollection") & members.startswith("ARRAY")), F.lit(False))
 
 
-def point_to_wkt(text: Column) -> Column:
-    """`POINT (x y)` of a point; other geometries are an error, as text alone cannot say what they are stored as."""
+#: Fixed value: the word for a geometry without coordinates.
+EMPTY = "EMPTY"
+_POSITION = rf"\[({NUMBER}),({NUMBER})(?:,({NUMBER}))?\]"
+_COLLECTION = "GeometryCollection"
+#: A position in well-known text; what a simple geometry's numbers and parentheses are made of; and one as a member of a collection.
+_PLACE = rf"({NUMBER})\s+({NUMBER})(?:\s+({NUMBER}))?"
+_BODY = rf"(?:{EMPTY}|\((?:[-+0-9.,()\s]|(?<=\d)[eE](?=[-+\d]))*\))"
+_MEMBER = rf"({'|'.join(sorted(map(str.upper, DEPTHS), reverse=True))})\s*(Z?)\s*({_BODY})"
+
+
+def _simple_to_wkt(value: Column) -> Column:
+    """Of a geometry that is no collection, as a variant: brackets become parentheses, and the commas inside positions spaces; null if it isn't one."""
+    kind = F.try_variant_get(value, "$.type", "string")
+    text = F.to_json(F.try_variant_get(value, "$.coordinates", "variant"))
+    zs, positions = F.regexp_count(text, F.lit(rf"\[{NUMBER},{NUMBER},{NUMBER}\]")), F.regexp_count(text, F.lit(_POSITION))
+    # positions of a multipoint stand in parentheses of their own, as those of a point do
+    alone = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, _POSITION, "<$1 $2 $3>"), " >", ">"), ",", ", ")
+    own = kind.isin("Point", "MultiPoint")
+    body = F.translate(F.when(own, F.regexp_replace(F.regexp_replace(alone, "<", "("), ">", ")")).otherwise(F.regexp_replace(alone, "[<>]", "")), "[]", "()")
+    good = F.lit(False)
+    for depth in sorted({*DEPTHS.values()}):
+        good = good | (kind.isin(*[n for n, d in DEPTHS.items() if d == depth]) & (text.rlike(_coordinates(depth)) | (text == "[]")))
+    known = good & ((zs == 0) | (zs == positions))
+    return F.when(known, F.concat(F.upper(kind), F.when(zs > 0, " Z ").otherwise(" "), F.when(text == "[]", EMPTY).otherwise(body)))
+
+
+def geometry_to_wkt(text: Column) -> Column:
+    """Well-known text of a GeoJSON geometry; numbers stay as they are written.
+
+    Positions have two numbers, or all have three (`Z`).  Members of a collection are simple geometries: a collection in a collection,
+    and whatever is no geometry, is an error that shows it.
+    """
     value = F.try_parse_json(text)
-    x, y = (F.to_json(F.try_variant_get(value, f"$.coordinates[{i}]", "variant")) for i in (0, 1))
-    is_point = F.try_variant_get(value, "$.type", "string") == "Point"
-    return F.when(text.isNull(), F.lit(None)).when(is_point, F.concat(F.lit("POINT ("), x, F.lit(" "), y, F.lit(")"))).otherwise(F.raise_error(F.concat(F.lit("only points can be stored as well-known text, not "), text)))
+    members = F.transform(F.try_variant_get(value, "$.geometries", "array<variant>"), _simple_to_wkt)
+    collection = F.when(F.size(members) == 0, EMPTY).when(~F.exists(members, lambda x: x.isNull()), F.concat(F.lit("("), F.array_join(members, ", "), F.lit(")")))
+    is_collection = F.try_variant_get(value, "$.type", "string") == _COLLECTION
+    found = F.when(is_collection, F.concat(F.lit(_COLLECTION.upper() + " "), collection)).otherwise(_simple_to_wkt(value))
+    return F.when(text.isNull(), F.lit(None)).otherwise(F.coalesce(found, F.raise_error(F.concat(F.lit("cannot be stored as well-known text: "), text))))
+
+
+def _simple_from_wkt(kind: Column, body: Column) -> Column:
+    """GeoJSON of a simple geometry's kind, in capitals, and its part in parentheses."""
+    name = F.element_at(F.create_map(*[F.lit(x) for n in DEPTHS for x in (n.upper(), n)]), kind)
+    places = F.regexp_replace(F.regexp_replace(body, _PLACE, "[$1,$2,$3]"), r",\]", "]")
+    plain = F.regexp_replace(places, r"\s", "")
+    # a point's parentheses, and those of each in a multipoint, are its position's brackets
+    own = F.regexp_replace(plain, rf"\((\[{NUMBER},{NUMBER}(?:,{NUMBER})?\])\)", "$1")
+    coordinates = F.when(F.upper(body) == EMPTY, "[]").otherwise(F.translate(F.when(kind.isin("POINT", "MULTIPOINT"), own).otherwise(plain), "()", "[]"))
+    depth = F.element_at(F.create_map(*[F.lit(x) for n, d in DEPTHS.items() for x in (n.upper(), _coordinates(d))]), kind)
+    good = (coordinates == "[]") | F.regexp_like(coordinates, depth)
+    return F.when(good, F.concat(F.lit('{"type":"'), name, F.lit('","coordinates":'), coordinates, F.lit("}")))
 
 
-def wkt_to_point(text: Column) -> Column:
-    pattern = rf"^\s*(?i:POINT)\s*\(\s*({NUMBER})\s+({NUMBER})\s*\)\s*$"
-    point = F.concat(F.lit('{"type":"Point","coordinates":['), F.regexp_extract(text, pattern, 1), F.lit(","), F.regexp_extract(text, pattern, 2), F.lit("]}"))
-    return F.when(text.isNull(), F.lit(None)).when(text.rlike(pattern), point).otherwise(F.raise_error(F.concat(F.lit("not a point: "), text)))
+def wkt_to_geometry(text: Column) -> Column:
+    """The GeoJSON geometry of well-known text, of any of the seven kinds; what is none is an error that shows it."""
+    whole, members = rf"^\s*(?i){_MEMBER}\s*$", rf"(?i){_MEMBER}"
+    simple = F.when(text.rlike(whole), _simple_from_wkt(F.upper(F.regexp_extract(text, whole, 1)), F.regexp_extract(text, whole, 3)))
+    collection = rf"^\s*(?i:{_COLLECTION})\s*(?i:{EMPTY}|\(((?:\s*,?\s*(?i){_MEMBER})*)\s*\))\s*$"
+    inner = F.regexp_extract(text, collection, 1)
+    # kinds and parts by two searches of the same members
+    each = F.zip_with(F.regexp_extract_all(inner, F.lit(members), 1), F.regexp_extract_all(inner, F.lit(members), 3), lambda k, b: _simple_from_wkt(F.upper(k), b))
+    gathered = F.when(text.rlike(collection) & ~F.exists(each, lambda x: x.isNull()), F.concat(F.lit(f'{{"type":"{_COLLECTION}","geometries":['), F.array_join(each, ","), F.lit("]}")))
+    return F.when(text.isNull(), F.lit(None)).otherwise(F.coalesce(simple, gathered, F.raise_error(F.concat(F.lit("not a geometry: "), text))))

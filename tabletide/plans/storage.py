@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..dialects import trino
 from ..dialects.trino import Type
 from ..errors import TideError
-from ..functions.geo import point_to_wkt, wkt_to_point
+from ..functions.geo import geometry_to_wkt, wkt_to_geometry
 
 #: What each storage can do.
 CAPABILITIES = {
@@ -85,7 +85,7 @@ def transform(profile: str, t: Type) -> Transform:
         case ("hive" | "iceberg", "json") | ("hive", "uuid"):
             return Transform(Type("varchar"), lambda c: c, lambda c: c)
         case ("hive" | "iceberg", "sphericalgeography"):
-            return Transform(Type("varchar"), point_to_wkt, wkt_to_point)
+            return Transform(Type("varchar"), geometry_to_wkt, wkt_to_geometry)
     return same
 
 

@@ -266,6 +266,23 @@ def _written(spark, df, schema, kind):
     return files.scan(spark, path, schema, kind).drop("__stream")
 
 
+#: Geometries of each kind around a number K, and the well-known text of each.
+SHAPES = (
+    ('{"type":"Point","coordinates":[K,-K.5]}', "POINT (K -K.5)"), ('{"type":"MultiPoint","coordinates":[[K,1],[2,K]]}', "MULTIPOINT ((K 1), (2 K))"), ('{"type":"LineString","coordinates":[[K,1,2],[2,3,K]]}', "LINESTRING Z (K 1 2, 2 3 K)"),
+    ('{"type":"Polygon","coordinates":[[[0,0],[K,0],[K,K],[0,0]]]}', "POLYGON ((0 0, K 0, K K, 0 0))"), ('{"type":"MultiLineString","coordinates":[[[K,1],[2,3]],[[4,5],[6,K]]]}', "MULTILINESTRING ((K 1, 2 3), (4 5, 6 K))"),
+    ('{"type":"MultiPolygon","coordinates":[[[[0,0],[K,0],[K,K],[0,0]]],[[[9,9],[K,9],[K,K],[9,9]]]]}', "MULTIPOLYGON (((0 0, K 0, K K, 0 0)), ((9 9, K 9, K K, 9 9)))"),
+    ('{"type":"GeometryCollection","geometries":[{"type":"Point","coordinates":[K,1]},{"type":"LineString","coordinates":[[K,1],[2,K]]}]}', "GEOMETRYCOLLECTION (POINT (K 1), LINESTRING (K 1, 2 K))"),
+)
+
+
+def geo_kinds(spark, d):
+    """Geometries of all kinds, one for each customer, as a storage without them has them, and back."""
+    shape = F.element_at(F.array(*[F.lit(g) for g, _ in SHAPES]), (F.col("c_custkey") % len(SHAPES) + 1).cast("int"))
+    text, t = F.replace(shape, F.lit("K"), F.col("c_custkey").cast("string")), parse_type("SphericalGeography")
+    stored = storage.store("hive", t, text)
+    return read(spark, d, "customer").select("c_custkey", is_geometry(text).alias("good"), stored.alias("stored"), storage.load("hive", t, stored).alias("loaded"))
+
+
 def csv_roundtrip(spark, d):
     return _written(spark, read(spark, d, "events"), EVENTS, "csv").withColumn("ts", encode.timestamp(F.col("ts")))
 
@@ -551,7 +568,7 @@ def driver_arguments(spark, d):
 _DONE = (
     copy_orders, where_filter, count_where, count_all_tables, encode_timestamp, encode_timestamp_utc, encode_bool, decode_bool_tokens, decode_scalars, decode_timestamp_offsets, decode_uuid, encode_int_array,
     struct_encode, struct_roundtrip, json_field, json_lines_encode, json_lines_decode, upsert_orders, upsert_by_file, upsert_composite_key, upsert_all_keys, append_rows, concat_streams, align_columns, rename_header,
-    null_empty_semantics, one_of_validate, geo_points, storage_hive_timestamp, storage_iceberg_rows, csv_roundtrip, csv_roundtrip_text, csv_in_ranges, jsonl_roundtrip, rechunk_sizes, stream_names, inline_relation,
+    null_empty_semantics, one_of_validate, geo_points, geo_kinds, storage_hive_timestamp, storage_iceberg_rows, csv_roundtrip, csv_roundtrip_text, csv_in_ranges, jsonl_roundtrip, rechunk_sizes, stream_names, inline_relation,
     schema_of_tables, schema_conversion, csv_header_schema, if_exists_error, if_exists_append, if_exists_overwrite, if_exists_upsert, single_file, copied_folder, arriving_files, align_types, json_lines_not_null,
     nested_encode, nested_decode, json_kinds, storage_types, storage_tables, storage_times, rechunk_chunks, rechunk_long_rows, literals_of_rows, driver_arguments,
 )
@@ -604,6 +621,7 @@ SQL = {
     "geo_points": """select c_custkey, true as good, 'POINT (' || c_custkey || ' -' || c_custkey || '.5)' as stored, '{"type":"Point","coordinates":[' || c_custkey || ',-' || c_custkey || '.5]}' as loaded from customer""",
     "storage_hive_timestamp": f"select event_id, {_STAMP.format("date_trunc('milliseconds', ts)")} as stored from events",
     "storage_iceberg_rows": "select p_partkey, p_size as stored_size, p_size as size, p_name as name from part",
+    "geo_kinds": f"""select c_custkey, true as good, replace(wkt, 'K', c_custkey) as stored, replace(geo, 'K', c_custkey) as loaded from customer join (values {", ".join(f"({i}, '{g}', '{w}')" for i, (g, w) in enumerate(SHAPES))}) t(i, geo, wkt) on c_custkey % {len(SHAPES)} = i""",
     "csv_roundtrip": f"select event_id, {_STAMP.format('ts')} as ts, user_id, event_type, value, props from events",
     "csv_roundtrip_text": "select conv_id, turn, role, text from conversations",
     "csv_in_ranges": "select conv_id, turn, role, text from conversations",
