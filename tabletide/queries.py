@@ -621,7 +621,7 @@ SQL = {
     "geo_points": """select c_custkey, true as good, 'POINT (' || c_custkey || ' -' || c_custkey || '.5)' as stored, '{"type":"Point","coordinates":[' || c_custkey || ',-' || c_custkey || '.5]}' as loaded from customer""",
     "storage_hive_timestamp": f"select event_id, {_STAMP.format("date_trunc('milliseconds', ts)")} as stored from events",
     "storage_iceberg_rows": "select p_partkey, p_size as stored_size, p_size as size, p_name as name from part",
-    "geo_kinds": f"""select c_custkey, true as good, replace(wkt, 'K', c_custkey) as stored, replace(geo, 'K', c_custkey) as loaded from customer join (values {", ".join(f"({i}, '{g}', '{w}')" for i, (g, w) in enumerate(SHAPES))}) t(i, geo, wkt) on c_custkey % {len(SHAPES)} = i""",
+    "geo_kinds": f"""select c_custkey, true as good, replace(wkt, 'K', cast(c_custkey as varchar)) as stored, replace(geo, 'K', cast(c_custkey as varchar)) as loaded from customer join (values {", ".join(f"({i}, '{g}', '{w}')" for i, (g, w) in enumerate(SHAPES))}) t(i, geo, wkt) on c_custkey % {len(SHAPES)} = i""",
     "csv_roundtrip": f"select event_id, {_STAMP.format('ts')} as ts, user_id, event_type, value, props from events",
     "csv_roundtrip_text": "select conv_id, turn, role, text from conversations",
     "csv_in_ranges": "select conv_id, turn, role, text from conversations",
