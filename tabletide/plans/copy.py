@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..errors import TideError
 from ..operators.shape import bounded
 from ..schema import Schema
-from ..sources import locators
+from ..sources import files, locators
 from ..sources.storage import Files
 from ..sources.arguments import DestinationArguments, IfExists, SourceArguments, parse
 
@@ -79,13 +79,19 @@ def copy(
     df = a.read(spark, table, read)
     if max_streams:
         df = bounded(df, max_streams)
-    if metrics is None:
-        return b.write(df, table, write, stream_size)
     seen = Observation()
-    written = b.write(df.observe(seen, F.count(F.lit(1)).alias("rows")), table, write, stream_size)
-    metrics |= {"from": a.scheme, "to": b.scheme, "rows": seen.get["rows"], "streams": len(written)}
-    if isinstance(b, locators.FileLocator):
-        metrics["bytes"] = sum(n for w in written for _, n in Files(spark, locators.parse(w).path).listed())
+    try:
+        written = b.write(df if metrics is None else df.observe(seen, F.count(F.lit(1)).alias("rows")), table, write, stream_size)
+    except Exception as e:
+        if not isinstance(a, locators.FileLocator) or a.path == "-" or files.format_of(files.extension(a.path.rstrip("/")), read.format) != "csv":
+            raise
+        if (placed := files.with_place(spark, a.path, table, e)) is e:
+            raise
+        raise placed from e
+    if metrics is not None:
+        metrics |= {"from": a.scheme, "to": b.scheme, "rows": seen.get["rows"], "streams": len(written)}
+        if isinstance(b, locators.FileLocator):
+            metrics["bytes"] = sum(n for w in written for _, n in Files(spark, locators.parse(w).path).listed())
     return written
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ast
+import re
 import sys
 import uuid
 from fnmatch import fnmatch
@@ -25,6 +27,9 @@ FORMATS = {"csv": "csv", "jsonl": "jsonl"}
 #: How CSV is written: doubled quotes, empty cells for null and for empty text, white space as it is.
 CSV = {"header": True, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "encoding": "UTF-8"}
 
+#: How it is read.
+CELLS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 #: The folders that a write by stream makes; names that begin with _ are hidden.
 BY = "tide-stream"
 
@@ -69,10 +74,10 @@ def read_cells(spark: SparkSession, path: str, schema: Schema, kind: str, one_li
         reader = reader.option("pathGlobFilter", pattern)
     if kind == "csv":
         names = [c.name for c in schema.table.columns]
-        options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        options = CELLS
         share = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
         if not one_line and (ranged or any(n > share for p, n in there.listed() if pattern is None or fnmatch(p.rsplit("/", 1)[-1], pattern))):
-            df = ranges.cells(spark, path, names, pattern, {k: str(v).lower() for k, v in options.items()})
+            df = ranges.cells(spark, path, names, pattern, _texts(options))
             return shape.with_stream(df, path, is_folder, file="__path").drop("__path")
         # enforceSchema off: each file's own reader compares its header with the names, so there is no pass for that
         df = reader.options(**options, multiLine=not one_line, mode="FAILFAST", header=True, enforceSchema=False).schema(text_schema(names)).csv(path)
@@ -82,6 +87,32 @@ def read_cells(spark: SparkSession, path: str, schema: Schema, kind: str, one_li
     return lines.select(*decode.from_json_text(schema, F.col("__line")), "__stream")
 
 
+def _texts(options: dict) -> dict[str, str]:
+    return {k: str(v).lower() for k, v in options.items()}
+
+
+#: The errors that name a column and a cell.
+_READ, _NULL = re.compile(r"column ('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"): cannot read \"(.*?)\" as ", re.S), re.compile(r"unexpected NULL value in column ('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")")
+
+
+def with_place(spark: SparkSession, path: str, schema: Schema, error: Exception) -> Exception:
+    """An error about a cell of CSV files, with the cell's file, line and record; any other error as it is.
+
+    Only now are the records counted, in ranges, by as many tasks as read them; a copy that goes well doesn't number its rows.
+    """
+    text = str(error)
+    found = _READ.search(text) or _NULL.search(text)
+    name = found and ast.literal_eval(found[1])
+    names = [c.name for c in schema.table.columns]
+    if found is None or name not in names:
+        return error
+    place = ranges.located(spark, path, names, name, found[2] if found.re is _READ else "", options=_texts(CELLS))
+    if place is None:
+        return error
+    what = text[found.start() :].split("\n", 1)[0] if found.re is _NULL else f"{found[0]}{text[found.end() :].split(' SQLSTATE', 1)[0].split(chr(10), 1)[0]}"
+    return TideError(f"{place[0]}, line {place[1]}, record {place[2]}: {what}")
+
+
 def header(spark: SparkSession, path: str, pattern: str | None = None) -> list[str] | None:
     """The header of the first CSV file at a path that isn't empty: its first record, as text."""
     found = _top(spark, path, pattern)

@@ -178,13 +178,28 @@ def records(spark: SparkSession, path: str, pattern: str | None = None) -> DataF
     return _records(placed, True).select("record", "row", "path").unionByName(again.select("record", "row", "path"))
 
 
-def cells(spark: SparkSession, path: str, names: list[str], pattern: str | None = None, options: dict | None = None) -> DataFrame:
-    """The cells of the files' records, as texts under `names`, and their file as `__path`.  Each file's first record has to be the names."""
+def _parsed(spark: SparkSession, path: str, names: list[str], pattern: str | None, options: dict | None) -> DataFrame:
+    """cells, row, path: the records that aren't empty, headers too."""
     kind = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
     text = F.regexp_replace(F.col("record").cast("string"), r"\r\z", "")
-    rows = records(spark, path, pattern).where(~F.col("record").isin(b"", b"\r")).select(F.from_csv(text, kind, (options or {}) | {"multiLine": "true", "mode": "FAILFAST"}).alias("cells"), "row", "path")
+    found = records(spark, path, pattern).where(~F.col("record").isin(b"", b"\r"))
+    return found.select(F.from_csv(text, kind, (options or {}) | {"multiLine": "true", "mode": "FAILFAST"}).alias("cells"), "row", "path")
+
+
+def cells(spark: SparkSession, path: str, names: list[str], pattern: str | None = None, options: dict | None = None) -> DataFrame:
+    """The cells of the files' records, as texts under `names`, and their file as `__path`.  Each file's first record has to be the names."""
+    rows = _parsed(spark, path, names, pattern, options)
     found = F.array(*[F.coalesce(F.col("cells")[n], F.lit("")) for n in names])
     wanted = F.array(*[F.lit(n) for n in names])
     wrong = F.concat(F.lit("the columns of "), F.col("path"), F.lit(" are "), F.array_join(found, ", "), F.lit(", but the schema has "), F.array_join(wanted, ", "))
     rows = rows.where(F.when(F.col("row") == 0, F.assert_true(found == wanted, wrong).isNotNull()).otherwise(F.lit(True)))
     return rows.select(*[F.col("cells")[n].alias(n) for n in names], F.col("path").alias("__path"))
+
+
+def located(spark: SparkSession, path: str, names: list[str], name: str, cell: str, pattern: str | None = None, options: dict | None = None) -> tuple[str, int, int] | None:
+    """Where a cell stands first in a column: file, line, and record, both from 1, the header's record not counted; None if nowhere."""
+    rows = _parsed(spark, path, names, pattern, options).where("row > 0")
+    first = rows.where(F.coalesce(F.col("cells")[name], F.lit("")) == cell).agg(F.min(F.struct("path", "row")).alias("first")).first()["first"]
+    if first is None:
+        return None
+    return first["path"], first["row"] + 1, rows.where((F.col("path") == first["path"]) & (F.col("row") <= first["row"])).count()

@@ -2,6 +2,7 @@
 
 import csv
 import io
+import os
 import random
 import re
 
@@ -139,3 +140,22 @@ def test_copies(spark, tmp_path):
     with open(tmp_path / "out.csv", newline="") as f:
         got = list(csv.reader(f))
     assert got[0] == ["id", "text"] and sorted(map(tuple, got[1:])) == sorted(rows)
+
+
+@pytest.mark.parametrize("bad", ["x7", ""])
+def test_errors_say_where(spark, tmp_path, bad):
+    """File, line and record of the first cell that cannot be read, also where lines and records differ and many tasks read a file."""
+    os.makedirs(tmp_path / "in")
+    for name, wrong in (("a", None), ("b", 150)):
+        text = io.StringIO(newline="")
+        csv.writer(text, lineterminator="\n").writerows([("n", "t"), *((bad if i == wrong else i, "two\nlines" if i % 3 else "one") for i in range(200))])
+        (tmp_path / f"in/{name}.csv").write_text(text.getvalue(), newline="")
+    (tmp_path / "s.sql").write_text("CREATE TABLE t (n int NOT NULL, t text)")
+    lines = (tmp_path / "in/b.csv").read_text().split("\n")
+    line = next(i for i, x in enumerate(lines, 1) if x == f"{bad},one")
+    for share in (500, 1 << 27):
+        session = spark.newSession()
+        session.conf.set("spark.sql.files.maxPartitionBytes", share)
+        with pytest.raises(TideError) as e:
+            copy.copy(session, f"file:{tmp_path}/in/", f"file:{tmp_path}/out{share}/", schema=f"postgres-sql:{tmp_path}/s.sql", from_format="csv")
+        assert f"in/b.csv, line {line}, record 151: column 'n': cannot read \"{bad}\" as int32" in str(e.value)
