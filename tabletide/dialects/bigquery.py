@@ -132,3 +132,24 @@ def parse(source: str, table: str = "unnamed") -> Schema:
         columns.append(Column(c["name"], t, nullable, c.get("description")))
     check_names([c.name for c in columns])
     return Schema(Table(table, tuple(columns)))
+
+
+def quote_table(name: str) -> str:
+    """`project.dataset.table`, of a name with a colon after the project."""
+    return f"`{name.replace(':', '.', 1)}`"
+
+
+def merge_statement(schema: Schema, source: str, target: str, keys: list[str]) -> str:
+    """MERGE on equal keys, which cannot be null; without other columns, rows that match stay as they are."""
+    if not keys:
+        raise TideError("an upsert needs a key")
+    for k in keys:
+        if schema.table.column(k).is_nullable:
+            raise TideError(f"the upsert key {k!r} has to be REQUIRED")
+    names = [c.name for c in schema.table.columns]
+    check_names(names)
+    on = " AND ".join(f"old.`{k}` = new.`{k}`" for k in keys)
+    rest = ", ".join(f"`{n}` = new.`{n}`" for n in names if n not in keys)
+    matched = f" WHEN MATCHED THEN UPDATE SET {rest}" if rest else ""
+    columns, values = ", ".join(f"`{n}`" for n in names), ", ".join(f"new.`{n}`" for n in names)
+    return f"MERGE INTO {quote_table(target)} AS old USING {quote_table(source)} AS new ON {on}{matched} WHEN NOT MATCHED THEN INSERT ({columns}) VALUES ({values})"

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,19 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
+@contextmanager
+def prepared(spark: SparkSession) -> Iterator[None]:
+    """prepare() for a while: the session's own settings come back."""
+    names = ("spark.sql.session.timeZone", "spark.sql.caseSensitive", "spark.sql.ansi.enabled")
+    before = {n: spark.conf.get(n) for n in names}
+    prepare(spark)
+    try:
+        yield
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+
+
 def _schema(spark: SparkSession, source: locators.Locator, given: str | None, a: SourceArguments, unstable: bool) -> Schema:
     at = locators.parse(given, unstable) if given else source
     found = at.schema(spark, SourceArguments() if given else a)
@@ -51,10 +65,17 @@ def copy(
     Two servers that can do it between them copy without Spark: see remote.  `temporary` names folders for data on its way: with
     s3://bucket/tmp/ Redshift and Trino load and unload files there, see staged, and gs://bucket/tmp/ is for BigQuery's connector.
     """
-    prepare(spark)
     a, b = locators.parse(source, unstable), locators.parse(destination, unstable)
     read = SourceArguments(where, from_format, parse(from_args))
     write = DestinationArguments(IfExists.parse(if_exists), to_format, parse(to_args))
+    with prepared(spark):
+        return _copied(spark, a, b, schema, read, write, stream_size, max_streams, list(temporary), unstable, metrics)
+
+
+def _copied(
+    spark: SparkSession, a: locators.Locator, b: locators.Locator, schema: str | None, read: SourceArguments, write: DestinationArguments, stream_size: int | None, max_streams: int | None, temporary: list[str], unstable: bool,
+    metrics: dict | None,
+) -> list[str]:
     if not a.features.read:
         raise TideError(f"cannot copy from {a}")
     if not b.features.write:
@@ -65,7 +86,6 @@ def copy(
     from . import staged
     from .remote import transfer
 
-    temporary = list(temporary)
     if (written := transfer(spark, a, b, table, read, write)) is not None:
         if metrics is not None:
             metrics |= {"from": a.scheme, "to": b.scheme, "streams": len(written)}
@@ -97,13 +117,13 @@ def copy(
 
 def count(spark: SparkSession, source: str, *, schema: str | None = None, where: str | None = None, from_format: str | None = None, from_args: Iterable[str] = (), unstable: bool = True) -> int:
     """The number of rows, of those for which `where` is true."""
-    prepare(spark)
     a = locators.parse(source, unstable)
     read = SourceArguments(where, from_format, parse(from_args))
     if not a.features.count:
         raise TideError(f"cannot count {a}")
     a.features.check_source(a.scheme, read)
-    return a.count(spark, _schema(spark, a, schema, read, unstable), read)
+    with prepared(spark):
+        return a.count(spark, _schema(spark, a, schema, read, unstable), read)
 
 
 def convert_schema(spark: SparkSession, source: str, destination: str, *, if_exists: str = "error", unstable: bool = True) -> None:

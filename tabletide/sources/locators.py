@@ -624,6 +624,8 @@ class BigQueryLocator(Locator):
     """project:dataset.table"""
 
     scheme = "bigquery:"
+    #: What the connector calls a load job's dispositions.
+    MODES: ClassVar[dict[str, str]] = {"WRITE_EMPTY": "errorifexists", "WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite"}
     features = Features(schema=True, count=True, read=True, write=True, source=frozenset(("--where", "--from-arg")), destination=frozenset(("--to-arg",)), if_exists=_ALL)
 
     def __post_init__(self) -> None:
@@ -644,21 +646,34 @@ class BigQueryLocator(Locator):
         return rows.project(df, [c.name for c in schema.table.columns])
 
     def write(self, df, schema, a, stream_size=None):
+        """Rows by the connector's load jobs; an upsert loads a table beside, which the server merges, and which goes in the end, well or not."""
         bigquery.check_names([c.name for c in schema.table.columns])
-        mode = a.if_exists.mode
         data = rows.not_null(schema, df.drop("__stream"))
-        if mode == "upsert":
-            for k in a.if_exists.keys:
-                if schema.table.column(k).is_nullable:
-                    raise TideError(f"the upsert key {k!r} has to be REQUIRED")
-            # a plan cannot overwrite what it reads: the merged rows become a table of their own first
-            reader, staged = df.sparkSession.read.format("bigquery"), {"table": f"{self.body}_{uuid.uuid4().hex[:10]}"}
-            merged = merge.upsert(reader.options(**self.options()).load(), data, list(a.if_exists.keys))
-            merged.write.format("bigquery").options(**staged).mode("errorifexists").save()
-            data, mode = reader.options(**staged).load(), "overwrite"
-        data.write.format("bigquery").options(**self.options()).mode({"error": "errorifexists"}.get(mode, mode)).save()
+        if a.if_exists.mode != "upsert":
+            data.write.format("bigquery").options(**self.options()).mode(self.MODES[a.if_exists.write_disposition]).save()
+            return [self.text]
+        staged = f"{self.body}_{uuid.uuid4().hex[:10]}"
+        merge_rows = bigquery.merge_statement(schema, staged, self.body, list(a.if_exists.keys))
+        try:
+            data.write.format("bigquery").options(table=staged).mode("errorifexists").save()
+            self.execute(df.sparkSession, [merge_rows])
+        finally:
+            self.execute(df.sparkSession, [f"DROP TABLE IF EXISTS {bigquery.quote_table(staged)}"])
         return [self.text]
 
+    def connect(self, spark: SparkSession):
+        """By BigQuery's JDBC driver, with the credentials of the environment."""
+        project = self.body.split(":", 1)[0]
+        return spark._jvm.java.sql.DriverManager.getConnection(f"jdbc:bigquery://https://www.googleapis.com/bigquery/v2:443;ProjectId={project};OAuthType=3")
+
+    def execute(self, spark: SparkSession, statements: list[str]) -> None:
+        connection = self.connect(spark)
+        try:
+            for s in statements:
+                connection.createStatement().execute(s)
+        finally:
+            connection.close()
+
 
 @dataclass(frozen=True)
 class ShopifyLocator(Locator):

@@ -181,3 +181,55 @@ def test_one_relation_for_all_parts():
     assert seen["predicates"] == ['"tide_part" < 5 OR "tide_part" IS NULL', '"tide_part" >= 5']
     with pytest.raises(TideError):
         locators.parse("postgres://h/d")
+
+
+def test_bigquery_merges_a_table_beside(spark, monkeypatch):
+    """New rows are loaded, merged by the server, and their table goes, also if the merge fails."""
+    at, wrote = locators.parse("bigquery:p:d.t"), []
+
+    class Writer:
+        def format(self, kind):
+            return self
+
+        def options(self, **options):
+            self.table = options["table"]
+            return self
+
+        def mode(self, mode):
+            self.how = mode
+            return self
+
+        def save(self):
+            wrote.append((self.table, self.how))
+
+    frame = type(spark.createDataFrame([(1, "a")], "k long, v string"))
+    monkeypatch.setattr(frame, "write", property(lambda self: Writer()))
+    df = spark.createDataFrame([(1, "a")], "k long, v string")
+    for fails in (None, "MERGE"):
+        server = connect(monkeypatch, locators.BigQueryLocator, Server(fails=fails))
+        if fails:
+            with pytest.raises(RuntimeError):
+                at.write(df, SCHEMA, DestinationArguments(IfExists("upsert", ("k",))))
+        else:
+            assert at.write(df, SCHEMA, DestinationArguments(IfExists("upsert", ("k",)))) == ["bigquery:p:d.t"]
+        table, how = wrote.pop()
+        beside = table.replace(":", ".")
+        assert how == "errorifexists" and server.ran == [
+            f"MERGE INTO `p.d.t` AS old USING `{beside}` AS new ON old.`k` = new.`k` WHEN MATCHED THEN UPDATE SET `v` = new.`v` WHEN NOT MATCHED THEN INSERT (`k`, `v`) VALUES (new.`k`, new.`v`)", f"DROP TABLE IF EXISTS `{beside}`"
+        ]
+    for mode, how in (("error", "errorifexists"), ("append", "append"), ("overwrite", "overwrite")):
+        at.write(df, SCHEMA, DestinationArguments(IfExists(mode)))
+        assert wrote.pop() == ("p:d.t", how)
+    with pytest.raises(TideError, match="REQUIRED"):
+        at.write(df, Schema(Table("t", (Column("k", S.INT64), Column("v", S.TEXT)))), DestinationArguments(IfExists("upsert", ("k",))))
+
+
+def test_the_session_keeps_its_settings(spark, put, tmp_path):
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    session.conf.set("spark.sql.ansi.enabled", "false")
+    copy.copy(session, f"file:{put('t.csv', 'k,v')}", f"file:{tmp_path}/o.csv", schema=f"postgres-sql:{put('t.sql', SQL)}")
+    with pytest.raises(TideError):
+        copy.copy(session, f"file:{tmp_path}/none.csv", f"file:{tmp_path}/o2.csv", schema=f"postgres-sql:{put('t.sql', SQL)}")
+    assert copy.count(session, f"file:{put('u.csv', 'k,v')}", schema=f"postgres-sql:{put('t.sql', SQL)}") == 0
+    assert session.conf.get("spark.sql.session.timeZone") == "Europe/Berlin" and session.conf.get("spark.sql.ansi.enabled") == "false"
