@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,16 +46,20 @@ def concatenate(*streams: DataFrame) -> DataFrame:
     return first
 
 
-def row_bytes(df: DataFrame) -> Column:
-    """The bytes that a row of texts takes as CSV, with its separators, its line break and the quotes that cells need."""
-    total = F.lit(len(df.columns))
-    for c in df.columns:
-        cell = F.col("`" + c.replace("`", "``") + "`")
+def cell_bytes(cells: Sequence[Column]) -> Column:
+    """The bytes that a row of these texts takes as CSV, with its separators, its line break and the quotes that cells need."""
+    total = F.lit(len(cells))
+    for cell in cells:
         quotes = F.octet_length(cell) - F.octet_length(F.replace(cell, F.lit('"')))
         total = total + F.coalesce(F.octet_length(cell) + F.when(cell.rlike('[",\r\n]'), 2 + quotes).otherwise(0), F.lit(0))
     return total.cast("long")
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """cell_bytes() of all columns."""
+    return cell_bytes([F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+
+
 #: Fixed value: bytes that a writer of chunks holds back at most before it counts them.
 BUFFER = 8 << 10
 

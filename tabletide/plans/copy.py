@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import TideError
-from ..operators.shape import bounded
+from ..functions import encode
+from ..operators.shape import bounded, cell_bytes
 from ..schema import Schema
 from ..sources import files, locators
 from ..sources.storage import Files
@@ -54,13 +55,24 @@ def stage(spark: SparkSession, temporary: Iterable[str]) -> None:
             raise TideError(f"{place} is no place in an object store")
 
 
+#: Streams that are counted one by one; so few are counted exactly by a sketch that has room for more of them.
+STREAMS, ROOM = 10_000, 65_536
+
+
+def _counters(df: DataFrame, schema: Schema) -> list[Column]:
+    """What is counted as rows go by, without another pass: rows, their bytes as interchange text, and rows of each stream."""
+    out = [F.count(F.lit(1)).alias("rows"), F.sum(cell_bytes(encode.columns(schema))).alias("bytes")]
+    return [*out, F.expr(f"approx_top_k(`__stream`, {STREAMS}, {ROOM})").alias("by_stream")] if "__stream" in df.columns else out
+
+
 def copy(
     spark: SparkSession, source: str, destination: str, *, if_exists: str = "error", schema: str | None = None, where: str | None = None, from_format: str | None = None, to_format: str | None = None,
     from_args: Iterable[str] = (), to_args: Iterable[str] = (), stream_size: int | None = None, max_streams: int | None = None, temporary: Iterable[str] = (), unstable: bool = True, metrics: dict | None = None,
 ) -> list[str]:
     """Copies a table, and returns the locators of what was written.
 
-    `metrics`, if given, gets the number of rows and of outputs, by schemes, and of bytes in files; rows are counted as they go by.
+    `metrics`, if given, gets the number of rows, of bytes and of outputs, by schemes, and the rows of each source stream; rows are
+    counted as they go by, bytes as they are in files, or, where none are written, as interchange text.
 
     Two servers that can do it between them copy without Spark: see remote.  `temporary` names folders for data on its way: with
     s3://bucket/tmp/ Redshift and Trino load and unload files there, see staged, and gs://bucket/tmp/ is for BigQuery's connector.
@@ -101,7 +113,7 @@ def _copied(
         df = bounded(df, max_streams)
     seen = Observation()
     try:
-        written = b.write(df if metrics is None else df.observe(seen, F.count(F.lit(1)).alias("rows")), table, write, stream_size)
+        written = b.write(df if metrics is None else df.observe(seen, *_counters(df, table)), table, write, stream_size)
     except Exception as e:
         if not isinstance(a, locators.FileLocator) or a.path == "-" or files.format_of(files.extension(a.path.rstrip("/")), read.format) != "csv":
             raise
@@ -109,8 +121,11 @@ def _copied(
             raise
         raise placed from e
     if metrics is not None:
-        metrics |= {"from": a.scheme, "to": b.scheme, "rows": seen.get["rows"], "streams": len(written)}
-        if isinstance(b, locators.FileLocator):
+        found = seen.get
+        metrics |= {"from": a.scheme, "to": b.scheme, "rows": found["rows"], "bytes": found["bytes"] or 0, "streams": len(written)}
+        if len(found.get("by_stream") or ()) in range(1, STREAMS):
+            metrics["by_stream"] = {x["item"]: x["count"] for x in found["by_stream"]}
+        if isinstance(b, locators.FileLocator) and b.path != "-":
             metrics["bytes"] = sum(n for w in written for _, n in Files(spark, locators.parse(w).path).listed())
     return written
 

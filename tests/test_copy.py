@@ -62,7 +62,16 @@ def test_csv_to_jsonl_and_back(sql, put, tmp_path):
 def test_metrics(sql, put, tmp_path):
     found = {}
     copy.copy(sql, f"file:{put('posts.csv', POSTS)}", f"file:{tmp_path}/o.csv", metrics=found)
-    assert found == {"from": "file:", "to": "file:", "rows": 2, "streams": 1, "bytes": len(POSTS)}
+    assert found == {"from": "file:", "to": "file:", "rows": 2, "streams": 1, "bytes": len(POSTS), "by_stream": {"posts": 2}}
+    # by stream, and bytes where no file is written
+    put("in/01.csv", "a,b\n1,x\n2,\"y\n\"\n"), put("in/deep/02.csv", "a,b\n3,z\n")
+    schema, found = "postgres-sql:" + put("t.sql", "CREATE TABLE t (a text, b text)"), {}
+    sql.sql("DROP TABLE IF EXISTS metrics_test")
+    copy.copy(sql, f"file:{tmp_path}/in/", "table:metrics_test", schema=schema, metrics=found)
+    assert found == {"from": "file:", "to": "table:", "rows": 3, "streams": 1, "bytes": len('1,x\n2,"y\n"\n3,z\n'), "by_stream": {"01": 2, "deep/02": 1}}
+    found = {}
+    copy.copy(sql, "table:metrics_test", f"file:{tmp_path}/o2.csv", metrics=found)
+    assert found == {"from": "table:", "to": "file:", "rows": 3, "streams": 1, "bytes": os.path.getsize(f"{tmp_path}/o2.csv")}
 
 
 def test_folders_keep_streams(sql, put, tmp_path):
