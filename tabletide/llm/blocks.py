@@ -52,7 +52,7 @@ def _rows(kind: int, of: np.ndarray, arrays: list[np.ndarray]) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), SCHEMA)], schema=SCHEMA)
 
 
-def dealt(parts: int, kind: int, part: np.ndarray, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
+def dealt(kind: int, part: np.ndarray, *arrays: np.ndarray, parts: int = 1) -> Iterator[pa.RecordBatch]:
     """Blocks of the records, a row for each part that has some, or for each range of parts, in which each record keeps its part."""
     if not len(part):
         return

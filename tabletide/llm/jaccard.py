@@ -139,15 +139,15 @@ def _count(rule: Rule, parts: int):
                 new = np.concatenate(([True], name[order][1:] != name[order][:-1]))
                 often = np.empty(len(name), bool)
                 often[order] = (np.bincount(np.cumsum(new) - 1) >= FREQUENT)[np.cumsum(new) - 1]
-                yield from blocks.dealt(parts, 0, part[~often], short[~often], node[~often])
+                yield from blocks.dealt(0, part[~often], short[~often], node[~often], parts=parts)
                 known = np.unique(name[often])
-                yield from blocks.dealt(parts, 1, (known & U64(0xFFFFFFFF)).astype(np.int32), (known >> U64(32)).astype(np.uint32))
-                yield from blocks.dealt(parts, 4, _part(node[often], parts), node[often], name[often])
+                yield from blocks.dealt(1, (known & U64(0xFFFFFFFF)).astype(np.int32), (known >> U64(32)).astype(np.uint32), parts=parts)
+                yield from blocks.dealt(4, _part(node[often], parts), node[often], name[often], parts=parts)
                 nodes = np.array([n for n, _ in heavy], np.int64)
-                yield from blocks.dealt(parts, 2, _part(nodes, parts), nodes, size.astype(np.int64))
+                yield from blocks.dealt(2, _part(nodes, parts), nodes, size.astype(np.int64), parts=parts)
             if light:
                 node, key = np.repeat(np.array([n for n, _ in light], np.int64), [len(k) for _, k in light]), np.concatenate([k for _, k in light])
-                yield from blocks.dealt(parts, 3, _part(node, parts), node, key)
+                yield from blocks.dealt(3, _part(node, parts), node, key, parts=parts)
 
         for _, texts in slices(batches):
             for found in sets_of(texts, rule.words):
@@ -188,11 +188,11 @@ def _rank(parts: int):
             total = np.minimum(np.bincount(index, weights=weight), FREQUENT)[index[: len(short)]].astype(np.uint8)
             keep = total > 1
             name = short[keep].astype(U64) << U64(32) | U64(own.pop())
-            yield from blocks.dealt(parts, 0, _part(node[keep], parts), node[keep], name, total[keep])
+            yield from blocks.dealt(0, _part(node[keep], parts), node[keep], name, total[keep], parts=parts)
         node, name = found[4]
-        yield from blocks.dealt(parts, 0, _part(node, parts), node, name, np.full(len(node), FREQUENT, np.uint8))
+        yield from blocks.dealt(0, _part(node, parts), node, name, np.full(len(node), FREQUENT, np.uint8), parts=parts)
         for kind in (2, 3):
-            yield from blocks.dealt(parts, kind, _part(found[kind][0], parts), *found[kind])
+            yield from blocks.dealt(kind, _part(found[kind][0], parts), *found[kind], parts=parts)
 
     return run
 
@@ -229,8 +229,8 @@ def _enter(rule: Rule, parts: int):
         a, b = node[~new], head[~new]
         if (a != b).any():
             a, b = smallest_labels(a, b)
-            yield from blocks.dealt(parts, 1, _part(a, parts), a, b)
-        yield from blocks.dealt(parts, 0, (key[new] % U64(parts)).astype(np.int32), key[new], node[new])
+            yield from blocks.dealt(1, _part(a, parts), a, b, parts=parts)
+        yield from blocks.dealt(0, (key[new] % U64(parts)).astype(np.int32), key[new], node[new], parts=parts)
 
     return run
 

@@ -161,10 +161,10 @@ def _enter_anchors(window: int, parts: int):
             new = _runs(h[order])
             twice = np.empty(len(h), bool)
             twice[order] = _repeated(new, np.zeros(len(h), bool))
-            yield from blocks.dealt(parts, 0, (h[~twice] % U64(parts)).astype(np.int32), h[~twice], key[~twice], at[~twice])
+            yield from blocks.dealt(0, (h[~twice] % U64(parts)).astype(np.int32), h[~twice], key[~twice], at[~twice], parts=parts)
             known = np.unique(h[twice])
-            yield from blocks.dealt(parts, 1, (known % U64(parts)).astype(np.int32), known)
-            yield from blocks.dealt(parts, 2, _by_key(key[twice], parts), key[twice], at[twice])
+            yield from blocks.dealt(1, (known % U64(parts)).astype(np.int32), known, parts=parts)
+            yield from blocks.dealt(2, _by_key(key[twice], parts), key[twice], at[twice], parts=parts)
 
         for rows, texts in slices(batches):
             w = Windows(Batch(texts, "space", False), window)
@@ -193,8 +193,8 @@ def _match_anchors(parts: int):
             hit = np.empty(len(h), bool)
             hit[order] = _repeated(_runs(h[order]), many[order])
             hit = hit[: len(found[0][0])]
-            yield from blocks.dealt(parts, 0, _by_key(found[0][1][hit], parts), found[0][1][hit], found[0][2][hit])
-        yield from blocks.dealt(parts, 0, _by_key(found[2][0], parts), *found[2])
+            yield from blocks.dealt(0, _by_key(found[0][1][hit], parts), found[0][1][hit], found[0][2][hit], parts=parts)
+        yield from blocks.dealt(0, _by_key(found[2][0], parts), *found[2], parts=parts)
 
     return run
 
@@ -262,9 +262,9 @@ def _enter_windows(window: int, parts: int, hot: np.ndarray):
         def flush():
             part, h, check, key, at = (np.concatenate(x) for x in zip(*held))
             own, first, hit = parse(h, check, key, at, np.ones(len(h), bool))
-            yield from blocks.dealt(parts, 2, _by_key(own[0], parts), *own)
+            yield from blocks.dealt(2, _by_key(own[0], parts), *own, parts=parts)
             for kind, which in ((0, ~hit), (1, hit & first)):
-                yield from blocks.dealt(parts, kind, part[which], h[which], check[which], key[which], at[which])
+                yield from blocks.dealt(kind, part[which], h[which], check[which], key[which], at[which], parts=parts)
 
         for rows, texts in slices(batches):
             batch = Batch(texts, "space", False)
@@ -300,8 +300,8 @@ def _match_windows(parts: int):
         both = [np.concatenate(x) for x in zip(found[0], found[1])]
         if len(both[0]):
             own, _, _ = parse(*both, np.arange(len(both[0])) < len(found[0][0]))
-            yield from blocks.dealt(parts, 0, _by_key(own[0], parts), *own)
-        yield from blocks.dealt(parts, 0, _by_key(found[2][0], parts), *found[2])
+            yield from blocks.dealt(0, _by_key(own[0], parts), *own, parts=parts)
+        yield from blocks.dealt(0, _by_key(found[2][0], parts), *found[2], parts=parts)
 
     return run
 

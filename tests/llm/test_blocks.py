@@ -26,8 +26,8 @@ def test_records_reach_their_parts(spark, step):
     def deal(batches):
         for batch in batches:
             x = batch.column(0).to_numpy()
-            yield from blocks.dealt(parts, 0, (x % 60).astype(np.int32), x, (x * 2).astype(np.uint32))
-            yield from blocks.dealt(parts, 3, (x // 9 % 60).astype(np.int32), x.astype(np.uint64))
+            yield from blocks.dealt(0, (x % 60).astype(np.int32), x, (x * 2).astype(np.uint32), parts=parts)
+            yield from blocks.dealt(3, (x // 9 % 60).astype(np.int32), x.astype(np.uint64), parts=parts)
 
     def gather(batches):
         import pyarrow as pa
@@ -49,11 +49,11 @@ def test_rows_of_many_records():
     """With as many parts as 100 TB have, a task's records make rows of hundreds, and a range's of thousands."""
     parts, r = blocks.Parts(HUGE), np.random.default_rng(1)
     part = r.integers(0, HUGE, 1 << 20).astype(np.int32)
-    first = [n for b in blocks.dealt(parts, 0, part, part.astype(np.uint64), part.astype(np.int64)) for n in b.column(2).to_pylist()]
+    first = [n for b in blocks.dealt(0, part, part.astype(np.uint64), part.astype(np.int64), parts=parts) for n in b.column(2).to_pylist()]
     assert sum(first) == 1 << 20 and np.mean(first) > 500
     # a range's rows, from as many tasks as give it GATHERED bytes
     own = r.integers(0, parts.step, 4 << 20).astype(np.int32)
-    rows = list(blocks._dealt_again(b for i in range(0, len(own), 1000) for b in blocks.dealt(parts, 0, own[i : i + 1000], own[i : i + 1000].astype(np.int64))))
+    rows = list(blocks._dealt_again(b for i in range(0, len(own), 1000) for b in blocks.dealt(0, own[i : i + 1000], own[i : i + 1000].astype(np.int64), parts=parts)))
     second = [n for b in rows for n in b.column(2).to_pylist()]
     assert sum(second) == len(own) and np.mean(second) > 1000
 
