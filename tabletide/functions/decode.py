@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..schema import DataType, Schema
+from .bound import bound
 from .geo import is_geometry
 
 #: What stands for true and false, in any case.
@@ -94,11 +95,6 @@ def _field(value: Column, name: str) -> Column:
     return F.try_variant_get(value, "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']", "variant")
 
 
-def _bound(value: Column, f) -> Column:
-    """f(value), with the value computed once however often f refers to it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
 def _kind(value: Column) -> Column:
     return F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
 
@@ -127,7 +123,7 @@ def _from_json(schema: Schema, t: DataType, value: Column, name: str) -> Column:
     elif isinstance(t, S.Struct):
         good, what, fields = kind.startswith("OBJECT"), "a JSON object", []
         for f in t.fields:
-            fields.append(_bound(_field(value, f.name), _member(schema, f, name)).alias(f.name))
+            fields.append(bound(_field(value, f.name), _member(schema, f, name)).alias(f.name))
         found = F.struct(*fields)
     elif t == S.BOOL:
         good, what, found = kind == "BOOLEAN", "JSON true or false", F.try_variant_get(value, "$", "boolean")
@@ -155,7 +151,7 @@ def cell(schema: Schema, t: DataType, text: Column, name: str) -> Column:
         return F.when(x["text"].isNull(), F.lit(None)).when(_kind(value).startswith(opening), _from_json(schema, t, value, name)).otherwise(fail(name, what, x["text"]))
 
     # of a text that is no JSON nothing is left to look at but the text
-    return _bound(F.struct(text.alias("text"), F.try_parse_json(text).alias("value")), whole)
+    return bound(F.struct(text.alias("text"), F.try_parse_json(text).alias("value")), whole)
 
 
 def column(schema: Schema, c: S.Column, text: Column) -> Column:

@@ -233,6 +233,15 @@ def one_of_validate(spark, d):
     return rows.decoded(cells, schema)
 
 
+def _as_text(texts, value):
+    """Of rows with a `text`, whether it is a geometry, a value of it as a storage without geometries has it, and that loaded: each in a step, computed once."""
+    t = parse_type("SphericalGeography")
+    # a file of small rows may have a single row group, which one task reads, and a row takes long
+    texts = texts.repartition("c_custkey")
+    stored = texts.select("c_custkey", is_geometry(F.col("text")).alias("good"), storage.store("hive", t, value).alias("stored"))
+    return stored.select("*", storage.load("hive", t, F.col("stored")).alias("loaded"))
+
+
 def geo_points(spark, d):
     """GeoJSON points, checked, stored as well-known text and loaded again."""
     text = F.concat(F.lit('{"type":"Point","coordinates":['), F.col("c_custkey"), F.lit(",-"), F.col("c_custkey"), F.lit(".5]}"))
@@ -278,9 +287,8 @@ SHAPES = (
 def geo_kinds(spark, d):
     """Geometries of all kinds, one for each customer, as a storage without them has them, and back."""
     shape = F.element_at(F.array(*[F.lit(g) for g, _ in SHAPES]), (F.col("c_custkey") % len(SHAPES) + 1).cast("int"))
-    text, t = F.replace(shape, F.lit("K"), F.col("c_custkey").cast("string")), parse_type("SphericalGeography")
-    stored = storage.store("hive", t, text)
-    return read(spark, d, "customer").select("c_custkey", is_geometry(text).alias("good"), stored.alias("stored"), storage.load("hive", t, stored).alias("loaded"))
+    text = F.replace(shape, F.lit("K"), F.col("c_custkey").cast("string"))
+    return _as_text(read(spark, d, "customer").select("c_custkey", text.alias("text")), F.col("text"))
 
 
 def csv_roundtrip(spark, d):

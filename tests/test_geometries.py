@@ -69,3 +69,21 @@ def test_generated_shapes(spark):
     found = df.select("i", is_geometry(F.col("g")).alias("good"), wkt_to_geometry(geometry_to_wkt(F.col("g"))).alias("back")).collect()
     for x in found:
         assert x.good and json.loads(x.back) == shapes[x.i]
+
+
+@pytest.mark.parametrize("kind", ["LineString", "Polygon", "GeometryCollection"])
+def test_many_positions(spark, kind):
+    """No search in a text takes room on the stack for each position, nor for each member."""
+    line = [[i, i + 0.5] for i in range(20_000)]
+    members = [{"type": "Point", "coordinates": p} for p in line]
+    shape = {"type": kind, "geometries": members} if kind == "GeometryCollection" else {"type": kind, "coordinates": [line] if kind == "Polygon" else line}
+    found = spark.createDataFrame([(json.dumps(shape),)], "g string").select(is_geometry(F.col("g")).alias("good"), wkt_to_geometry(geometry_to_wkt(F.col("g"))).alias("back")).first()
+    assert found.good and found.back == compact(shape)
+
+
+@pytest.mark.parametrize("name", ["geo_kinds"])
+def test_values_are_computed_once(spark, small, name):
+    """An expression that stands wherever its value is used grows with each step that uses it several times."""
+    from tabletide.queries import QUERIES
+
+    assert len(QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()) < 50_000
