@@ -49,7 +49,7 @@ def scalar(schema: Schema, t: DataType, cell: Column, name: str) -> Column:
     if isinstance(t, S.OneOf):
         return _guarded(cell, cell.isin(*t.values), cell, name, f"one of {', '.join(t.values)}")
     if isinstance(t, S.GeoJson):
-        return _guarded(cell, is_geometry(cell), cell, name, "GeoJSON geometry")
+        return bound(cell, lambda x: _guarded(x, is_geometry(x), x, name, "GeoJSON geometry"))
     if t == S.TEXT:
         return cell
     if t == S.BOOL:

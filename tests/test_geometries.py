@@ -81,7 +81,7 @@ def test_many_positions(spark, kind):
     assert found.good and found.back == compact(shape)
 
 
-@pytest.mark.parametrize("name", ["geo_kinds"])
+@pytest.mark.parametrize("name", ["geo_kinds", "geo_points"])
 def test_values_are_computed_once(spark, small, name):
     """An expression that stands wherever its value is used grows with each step that uses it several times."""
     from tabletide.queries import QUERIES
